@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from millrace.plans import feature_queries, relational_queries  # noqa: F401
+from millrace.plans import (  # noqa: F401
+    customer_queries, feature_queries, model_queries, relational_queries, stream_queries,
+)
 from millrace.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
