@@ -1,8 +1,9 @@
 """Point-in-time (as-of) left join.
 
-Both sides go into one union and one shuffle on the key; within a key the last feature row before
+All sides go into one union and one shuffle on the key; within a key the last feature row before
 each lookup row is carried down by a running ``last``. No pairs are formed, so the cost is that of
-sorting both sides once.
+sorting the sides once. Several feature tables that are looked up by the same key and time share
+the union, the shuffle and the sort.
 
 A key that holds more rows than one task should take is cut into time bins. Within a bin the
 running ``last`` works as before; what a bin needs from earlier bins is one row, its opening value,
@@ -14,19 +15,34 @@ has too many lookup rows is dealt out further: its lookups go to several salts,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.operators.keys import hot_groups, small_frame
 
 _NULL_SPREAD = 4096
-_BIN, _SALT, _TIME, _SIDE, _HIT = "__bin", "__salt", "__time", "__side", "__hit"
+_BIN, _SALT, _TIME, _SIDE = "__bin", "__salt", "__time", "__side"
+
+# Rows of one key, or of one key and time bin, that a single task takes at most.
+MAX_GROUP_ROWS = 2_000_000
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+@dataclass(frozen=True)
+class Features:
+    """A feature table to look up: its rows, key columns, time column and the wanted values."""
+
+    frame: DataFrame
+    keys: Sequence[str]
+    ts: str
+    values: Sequence[str]
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -36,59 +52,81 @@ def asof_join(
     right_ts: str,
     values: Sequence[str],
     right_keys: str | Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """``asof_join_all`` with one feature table."""
+    side = Features(right, _as_list(right_keys if right_keys is not None else keys), right_ts, list(values))
+    return asof_join_all(left, [side], keys=keys, left_ts=left_ts, **options)
+
+
+def asof_join_all(
+    left: DataFrame,
+    sides: Sequence[Features],
+    *,
+    keys: str | Sequence[str],
+    left_ts: str,
     inclusive: bool = False,
     hot_keys: Sequence[tuple] | None | str = "find",
-    max_group_rows: int = 2_000_000,
+    max_group_rows: int = MAX_GROUP_ROWS,
     bin_seconds: int = 3600,
 ) -> DataFrame:
-    """For each left row, the right row of the same key with the latest time before the left time.
+    """For each left row and side, the row of the same key with the latest time before the left time.
 
     Strictly before, or at the same time too when ``inclusive``. Every left row is kept once; the
-    ``values`` are null where there is no match. A null value in the matched row stays null and
-    does not fall back to an older row. Right rows with a null key or time never match. The right
-    side is expected to have one row per key and time, as a feature table has.
+    values are null where there is no match. A null value in the matched row stays null and does
+    not fall back to an older row. Feature rows with a null key or time never match. Each side is
+    expected to have one row per key and time, as a feature table has.
 
     ``hot_keys``: "find" counts rows per key first (a pass over the key columns alone); a list of
     key tuples is taken as given; ``None`` cuts no key.
     """
-    keys, values = _as_list(keys), list(values)
-    right_keys = _as_list(right_keys) if right_keys is not None else keys
-    clash = [v for v in values if v in left.columns]
+    keys = _as_list(keys)
+    left_schema = left.schema
+    columns = left_schema.names
+    wanted = [v for s in sides for v in s.values]
+    clash = [v for v in wanted if v in columns or wanted.count(v) > 1]
     if clash:
         raise ValueError(f"feature columns are already in the input: {clash}")
-    if left.schema[left_ts].dataType != right.schema[right_ts].dataType:
-        raise TypeError(
-            f"{left_ts} is {left.schema[left_ts].dataType.simpleString()} but {right_ts} is "
-            f"{right.schema[right_ts].dataType.simpleString()}"
-        )
-    features = right.select(
-        *[F.col(r).alias(k) for r, k in zip(right_keys, keys)],
-        F.col(right_ts).alias(_TIME),
-        F.struct(*values).alias(_HIT),
-    ).na.drop("any", subset=[*keys, _TIME])
+    left_kind = left_schema[left_ts].dataType
+    for s in sides:
+        kind = s.frame.schema[s.ts].dataType
+        if kind != left_kind:
+            raise TypeError(f"{left_ts} is {left_kind.simpleString()} but {s.ts} is {kind.simpleString()}")
+
+    hits = [f"__hit{i}" for i in range(len(sides))]
+    features = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            s.frame.select(
+                *[F.col(r).alias(k) for r, k in zip(s.keys, keys)],
+                F.col(s.ts).alias(_TIME),
+                F.struct(*s.values).alias(hit),
+            ).na.drop("any", subset=[*keys, _TIME])
+            for s, hit in zip(sides, hits)
+        ],
+    )
     lookups = left.withColumn(_TIME, F.col(left_ts))
-
     if hot_keys == "find":
         hot = [row[:-1] for row in hot_groups([lookups, features], keys, max_group_rows)]
     else:
         hot = [tuple(k) for k in hot_keys or []]
 
     unmatched = F.greatest(*[F.col(c).isNull().cast("int") for c in [*keys, _TIME]]) == 1
-    spread = -1 - F.pmod(F.xxhash64(*left.columns), F.lit(_NULL_SPREAD)).cast("long")
-    if not hot:
-        lookups = lookups.withColumn(_BIN, F.when(unmatched, spread).otherwise(F.lit(0).cast("long")))
-        lookups = lookups.withColumn(_SALT, F.lit(0))
-        features = features.withColumn(_BIN, F.lit(0).cast("long")).withColumn(_SALT, F.lit(0))
-        openings = None
-    else:
+    spread = -1 - F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD)).cast("long")
+    openings = None
+    if hot:
+        key_fields = [T.StructField(k, left_schema[k].dataType) for k in keys]
         lookups, features, openings = _cut(
-            lookups, features, keys, hot, max_group_rows, bin_seconds, unmatched, spread
+            lookups, features, key_fields, hits, hot, max_group_rows, bin_seconds, columns
         )
+    else:
+        whole = {_BIN: F.lit(0).cast("long"), _SALT: F.lit(0)}
+        lookups, features = lookups.withColumns(whole), features.withColumns(whole)
+    lookups = lookups.withColumn(_BIN, F.when(unmatched, spread).otherwise(F.col(_BIN)))
 
-    first, second = ("features", "lookups") if inclusive else ("lookups", "features")
-    order = {first: 0, second: 1}
-    both = lookups.withColumn(_SIDE, F.lit(order["lookups"])).unionByName(
-        features.withColumn(_SIDE, F.lit(order["features"])), allowMissingColumns=True
+    lookup_side, feature_side = (1, 0) if inclusive else (0, 1)
+    both = lookups.withColumn(_SIDE, F.lit(lookup_side)).unionByName(
+        features.withColumn(_SIDE, F.lit(feature_side)), allowMissingColumns=True
     )
     if openings is not None:
         both = both.unionByName(openings.withColumn(_SIDE, F.lit(-1)), allowMissingColumns=True)
@@ -97,31 +135,30 @@ def asof_join(
         .orderBy(F.col(_TIME).asc_nulls_first(), _SIDE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = both.withColumn(_HIT, F.last(_HIT, ignorenulls=True).over(before))
-    return carried.filter(F.col(_SIDE) == order["lookups"]).select(
-        *[F.col(f"`{c}`") for c in left.columns],
-        *[F.col(f"{_HIT}.{v}").alias(v) for v in values],
+    carried = both.withColumns({hit: F.last(hit, ignorenulls=True).over(before) for hit in hits})
+    return carried.filter(F.col(_SIDE) == lookup_side).select(
+        *[F.col(f"`{c}`") for c in columns],
+        *[F.col(f"{hit}.{v}").alias(v) for s, hit in zip(sides, hits) for v in s.values],
     )
 
 
 def _cut(
-    lookups: DataFrame, features: DataFrame, keys: list[str], hot: list[tuple], max_rows: int,
-    bin_seconds: int, unmatched: Column, spread: Column,
+    lookups: DataFrame, features: DataFrame, key_fields: list[T.StructField], hits: list[str],
+    hot: list[tuple], max_rows: int, bin_seconds: int, columns: list[str],
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Give rows of hot keys a time bin and salt, and build the opening rows of their bins."""
     spark = lookups.sparkSession
-    key_fields = [T.StructField(k, lookups.schema[k].dataType) for k in keys]
+    keys = [f.name for f in key_fields]
     hot_frame = small_frame(
         spark, [(*k, 1) for k in hot], T.StructType([*key_fields, T.StructField("__hot", T.IntegerType())])
     )
     time_bin = F.floor(F.unix_seconds(F.col(_TIME).cast("timestamp")) / bin_seconds)
+    binned = F.coalesce(F.when(F.col("__hot") == 1, time_bin), F.lit(0)).cast("long")
+    lookups = lookups.join(hot_frame, keys, "left").withColumn(_BIN, binned)
+    features = features.join(hot_frame, keys, "left").withColumn(_BIN, binned)
+    hot_lookups = lookups.filter((F.col("__hot") == 1) & F.col(_TIME).isNotNull()).select(*keys, _BIN)
 
-    def binned(df: DataFrame) -> DataFrame:
-        joined = df.join(hot_frame, keys, "left")
-        return joined.withColumn(_BIN, F.when(F.col("__hot") == 1, time_bin).otherwise(F.lit(0).cast("long")))
-
-    lookups, features = binned(lookups), binned(features)
-    crowded = hot_groups([lookups.filter("__hot = 1")], [*keys, _BIN], max_rows)
+    crowded = hot_groups([hot_lookups], [*keys, _BIN], max_rows)
     salts = small_frame(
         spark,
         [(*row[:-1], -(-row[-1] // max_rows)) for row in crowded],
@@ -132,42 +169,53 @@ def _cut(
         return df.join(salts, [*keys, _BIN], "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
 
     every_salt = F.explode(F.sequence(F.lit(0), (F.col("__salts") - 1).cast("int")))
-    hot_lookups = lookups.filter("__hot = 1").filter(F.col(_TIME).isNotNull())
-    closing = features.filter("__hot = 1").groupBy(*keys, _BIN).agg(F.max_by(_HIT, _TIME).alias(_HIT))
+    closing = features.filter("__hot = 1").groupBy(*keys, _BIN).agg(*[
+        F.max_by(h, F.when(F.col(h).isNotNull(), F.col(_TIME))).alias(h) for h in hits
+    ])
     needed = hot_lookups.groupBy(*keys, _BIN).agg(F.lit(1).alias("__needed"))
     earlier = Window.partitionBy(*keys).orderBy(_BIN).rowsBetween(Window.unboundedPreceding, -1)
     openings = (
         closing.unionByName(needed, allowMissingColumns=True)
         .groupBy(*keys, _BIN)
-        .agg(F.first(_HIT, ignorenulls=True).alias(_HIT), F.max("__needed").alias("__needed"))
-        .withColumn(_HIT, F.last(_HIT, ignorenulls=True).over(earlier))
-        .filter(F.col(_HIT).isNotNull() & F.col("__needed").isNotNull())
+        .agg(*[F.first(h, ignorenulls=True).alias(h) for h in hits], F.max("__needed").alias("__needed"))
+        .withColumns({h: F.last(h, ignorenulls=True).over(earlier) for h in hits})
+        .filter(F.col("__needed").isNotNull() & F.greatest(*[F.col(h).isNotNull().cast("int") for h in hits], F.lit(0)).cast("boolean"))
         .drop("__needed")
     )
     openings = salted(openings).withColumn(_SALT, every_salt).drop("__salts")
     features = salted(features).withColumn(_SALT, every_salt).drop("__salts", "__hot")
-    payload = [c for c in lookups.columns if c not in ("__hot", _BIN)]
-    lookups = (
-        salted(lookups)
-        .withColumn(_SALT, F.pmod(F.xxhash64(*payload), F.col("__salts")).cast("int"))
-        .drop("__salts", "__hot")
-        .withColumn(_BIN, F.when(unmatched, spread).otherwise(F.col(_BIN)))
-    )
+    salt = F.pmod(F.xxhash64(*columns), F.col("__salts")).cast("int")
+    lookups = salted(lookups).withColumn(_SALT, salt).drop("__salts", "__hot")
     return lookups, features, openings
 
 
 def keyed_lookup(
     left: DataFrame, right: DataFrame, *, keys: str | Sequence[str], values: Sequence[str],
-    right_keys: str | Sequence[str] | None = None,
+    right_keys: str | Sequence[str] | None = None, hot_keys: Sequence[tuple] | None | str = "find",
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Left join to a table with one row per key; no time involved.
 
-    Adaptive execution splits a hot key on the left side, whose matches are single rows.
+    Left rows of hot keys are joined to the rows of those keys alone. These are as few as the hot
+    keys, which are bounded, so they are broadcast and the hot rows are not shuffled. All other
+    left rows, those with a null key too, take the usual join. ``hot_keys`` as in ``asof_join_all``.
     """
     keys = _as_list(keys)
     right_keys = _as_list(right_keys) if right_keys is not None else keys
-    clash = [v for v in values if v in left.columns]
+    schema = left.schema
+    columns = schema.names
+    clash = [v for v in values if v in columns]
     if clash:
         raise ValueError(f"feature columns are already in the input: {clash}")
     features = right.select(*[F.col(r).alias(k) for r, k in zip(right_keys, keys)], *values)
-    return left.join(features, keys, "left").select(*left.columns, *values)
+    if hot_keys == "find":
+        hot = [row[:-1] for row in hot_groups([left], keys, max_group_rows)]
+    else:
+        hot = [tuple(k) for k in hot_keys or []]
+    if not hot:
+        return left.join(features, keys, "left").select(*columns, *values)
+    hot_frame = small_frame(left.sparkSession, hot, T.StructType([schema[k] for k in keys]))
+    few = features.join(hot_frame, keys, "left_semi")
+    cold = left.join(hot_frame, keys, "left_anti").join(features, keys, "left")
+    dense = left.join(hot_frame, keys, "left_semi").join(F.broadcast(few), keys, "left")
+    return cold.select(*columns, *values).unionByName(dense.select(*columns, *values))

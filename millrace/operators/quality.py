@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.numbers import matches
 from millrace.operators.ranks import running_total
+from millrace.session import cut_lineage
 
 # The share of right answers that every slice needs, and the shortest description.
 SLICE_THRESHOLD = 0.55
@@ -75,6 +76,8 @@ def curve_points(df: DataFrame, score: str, label: str, buckets: int = 1024) ->
         F.sum((F.col(label) == 1).cast("long")).alias("tp"),
         F.sum((F.col(label) == 0).cast("long")).alias("fp"),
     ).filter(F.col(score).isNotNull()).withColumn("__down", -F.col(score).cast("double"))
+    # Read three times below; the scores may come from a model, which should run once.
+    per_score = cut_lineage(per_score, "scores")
     cuts = per_score.approxQuantile("__down", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) > 2:

@@ -134,12 +134,12 @@ class FeatureTable:
 
     def _check_keys(self, written: DataFrame) -> None:
         """One row per full key and no null in it, within one batch."""
-        full = [*self.keys, *([self.timestamp_key] if self.timestamp_key else [])]
-        empty = written.filter(F.greatest(*[F.col(k).isNull().cast("int") for k in full], F.lit(0)) == 1)
-        if empty.limit(1).count():
-            raise ValueError(f"null in key columns {full}")
-        if written.groupBy(*full).count().filter("count > 1").limit(1).count():
-            raise ValueError(f"duplicate keys {full} in one batch")
+        full = self._full_key()
+        no_key = F.greatest(*[F.col(k).isNull().cast("int") for k in full], F.lit(0)) == 1
+        bad = written.groupBy(*full).agg(F.count("*").alias("__n")).filter((F.col("__n") > 1) | no_key)
+        for row in bad.limit(1).collect():
+            kind = "duplicate keys" if row["__n"] > 1 and None not in row else "null"
+            raise ValueError(f"{kind} in key columns {full} of one batch: {row.asDict()}")
 
     def _publish(self, version: int, parts: dict[str, int], batch_id: str | None) -> int:
         snapshot = {"version": version, "batch_id": batch_id, "parts": parts}

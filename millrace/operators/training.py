@@ -9,7 +9,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators.asof import asof_join, keyed_lookup
+from millrace.operators.asof import MAX_GROUP_ROWS, Features, asof_join_all, keyed_lookup
+from millrace.operators.keys import hot_groups
 from millrace.operators.store import FeatureTable
 from millrace.sources import files
 
@@ -23,17 +24,49 @@ class FeatureLookup:
     lookup_key: Sequence[str]
     timestamp_lookup_key: str | None = None
 
-    def attach(self, df: DataFrame, **asof_options) -> DataFrame:
-        table = FeatureTable.open(df.sparkSession, self.table)
-        keys = [self.lookup_key] if isinstance(self.lookup_key, str) else list(self.lookup_key)
-        if (self.timestamp_lookup_key is None) != (table.timestamp_key is None):
+    @property
+    def keys(self) -> list[str]:
+        return [self.lookup_key] if isinstance(self.lookup_key, str) else list(self.lookup_key)
+
+
+def attach(
+    raw: DataFrame, lookups: Sequence[FeatureLookup], *, inclusive: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS, bin_seconds: int = 3600,
+) -> DataFrame:
+    """Join the features of all lookups to the raw rows.
+
+    Lookups by the same key and time are answered by one as-of join. Hot keys are counted on the
+    raw rows and the stored tables, never on the output of an earlier join.
+    """
+    spark = raw.sparkSession
+    groups: dict[tuple, list[tuple[FeatureLookup, FeatureTable]]] = {}
+    for look in lookups:
+        table = FeatureTable.open(spark, look.table)
+        if (look.timestamp_lookup_key is None) != (table.timestamp_key is None):
             raise ValueError("a time-series table needs a timestamp lookup key, another table has none")
-        if self.timestamp_lookup_key is None:
-            return keyed_lookup(df, table.read(), keys=keys, right_keys=table.keys, values=list(self.features))
-        return asof_join(
-            df, table.read(), keys=keys, right_keys=table.keys, values=list(self.features),
-            left_ts=self.timestamp_lookup_key, right_ts=table.timestamp_key, **asof_options,
-        )
+        groups.setdefault((tuple(look.keys), look.timestamp_lookup_key), []).append((look, table))
+    df = raw
+    for (keys, ts), members in groups.items():
+        counted = [raw.select(*keys)]
+        if ts is not None:
+            counted += [
+                table.read().select(*[F.col(k).alias(name) for k, name in zip(table.keys, keys)])
+                for _, table in members
+            ]
+        hot = [row[:-1] for row in hot_groups(counted, list(keys), max_group_rows)]
+        if ts is not None:
+            sides = [Features(t.read(), t.keys, t.timestamp_key, list(look.features)) for look, t in members]
+            df = asof_join_all(
+                df, sides, keys=keys, left_ts=ts, inclusive=inclusive, hot_keys=hot,
+                max_group_rows=max_group_rows, bin_seconds=bin_seconds,
+            )
+        else:
+            for look, t in members:
+                df = keyed_lookup(
+                    df, t.read(), keys=keys, right_keys=t.keys, values=list(look.features), hot_keys=hot
+                )
+    wanted = [f for look in lookups for f in look.features]
+    return df.select(*raw.columns, *wanted)
 
 
 @dataclass(frozen=True)
@@ -49,10 +82,7 @@ class TrainingSet:
         """Attach all features, then drop the excluded columns, which may be lookup times."""
         if self.label is not None and self.label not in self.raw.columns:
             raise ValueError(f"label {self.label} is not in the raw data")
-        df = self.raw
-        for lookup in self.lookups:
-            df = lookup.attach(df, **asof_options)
-        return df.drop(*self.exclude)
+        return attach(self.raw, self.lookups, **asof_options).drop(*self.exclude)
 
     def spec(self) -> str:
         """The lookups as JSON, to be kept beside the model."""
@@ -84,8 +114,7 @@ def score_batch(
         got = df.schema[name].dataType.simpleString() if name in df.columns else "missing"
         if got != kind:
             raise TypeError(f"lookup time {name} is {got}, was {kind} in training")
-    for look in saved["lookups"]:
-        df = FeatureLookup(**look).attach(df, **asof_options)
+    df = attach(df, [FeatureLookup(**look) for look in saved["lookups"]], **asof_options)
     scored = model.transform(df) if isinstance(model, Model) else model(df)
     result = F.col(prediction)
     if result_type:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import fare_band
-from millrace.operators.asof import asof_join, keyed_lookup
+from millrace.operators.asof import (
+    MAX_GROUP_ROWS, Features, asof_join, asof_join_all, keyed_lookup,
+)
 from millrace.operators.keys import hot_groups
 from millrace.operators.onehot import one_hot
 from millrace.operators.store import FeatureTable, upserted
@@ -15,9 +17,6 @@ from millrace.plans.features import churn_features, dropoff_features, pickup_fea
 from millrace.plans.registry import Tables, query
 from millrace.session import cut_lineage, scratch_path
 
-# Rows of one key that a single task may take before the key is cut up.
-GROUP_ROWS = 2_000_000
-
 PICKUP_SQL = """
 pickup AS (
   SELECT user_id AS zip, time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes' * (step + 1) AS ts,
@@ -55,9 +54,9 @@ def dropoff(t: Tables, **options):
 
 
 def hot_users(t: Tables) -> list[tuple]:
-    """Users with too many events for one task. A user's features are at most four per event, so
-    this one column tells for both sides of the as-of joins, before any window is computed."""
-    return [row[:-1] for row in hot_groups([t.events], ["user_id"], GROUP_ROWS // 5)]
+    """Users with too many events for one task. A user has at most five feature rows per event, so
+    this one column tells for all sides of the as-of join, before any window is computed."""
+    return [row[:-1] for row in hot_groups([t.events], ["user_id"], MAX_GROUP_ROWS // 6)]
 
 
 @query(f"WITH {PICKUP_EVENTS} SELECT * FROM pickup")
@@ -114,17 +113,12 @@ FROM events e
 ASOF LEFT JOIN pickup p ON e.user_id = p.zip AND e.ts > p.ts
 ASOF LEFT JOIN dropoff d ON e.user_id = d.zip AND e.ts > d.ts""")
 def asof_training_set(t):
-    hot = hot_users(t)
     rows = t.events.select("event_id", "user_id", "ts", "value")
-    rows = asof_join(
-        rows, pickup(t), keys="user_id", right_keys="zip", left_ts="ts", right_ts="ts",
-        values=["mean_fare_window_1h", "count_trips_window_1h"], hot_keys=hot, max_group_rows=GROUP_ROWS,
-    )
-    rows = asof_join(
-        rows, dropoff(t), keys="user_id", right_keys="zip", left_ts="ts", right_ts="ts",
-        values=["count_trips_window_30m", "is_weekend"], hot_keys=hot, max_group_rows=GROUP_ROWS,
-    )
-    return rows.drop("ts")
+    sides = [
+        Features(pickup(t), ["zip"], "ts", ["mean_fare_window_1h", "count_trips_window_1h"]),
+        Features(dropoff(t), ["zip"], "ts", ["count_trips_window_30m", "is_weekend"]),
+    ]
+    return asof_join_all(rows, sides, keys="user_id", left_ts="ts", hot_keys=hot_users(t)).drop("ts")
 
 
 DAILY_SQL = """
@@ -139,7 +133,7 @@ def daily_totals(t: Tables):
 
 
 def orders_with_daily(t: Tables, inclusive: bool):
-    hot = [row[:-1] for row in hot_groups([t.orders], ["o_custkey"], GROUP_ROWS // 2)]
+    hot = [row[:-1] for row in hot_groups([t.orders], ["o_custkey"], MAX_GROUP_ROWS // 2)]
     return asof_join(
         t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), daily_totals(t), keys="o_custkey",
         left_ts="o_orderdate", right_ts="o_orderdate", values=["cents", "n"], inclusive=inclusive, hot_keys=hot,
