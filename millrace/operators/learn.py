@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.numbers import fare_band, lenient_double
 from millrace.operators.quality import binary_metrics
@@ -182,5 +182,5 @@ def encode_with(
         for batch in batches:
             yield batch.assign(**{output: [list(map(float, v)) for v in model(batch[text].tolist())]})
 
-    schema = df.schema.add(output, "array<float>")
-    return df.mapInPandas(encode, schema)
+    vector = T.StructField(output, T.ArrayType(T.FloatType()))
+    return df.mapInPandas(encode, T.StructType([*df.schema.fields, vector]))

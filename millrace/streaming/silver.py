@@ -9,6 +9,9 @@ from millrace.functions.texts import initial_caps, pseudonym
 from millrace.functions.times import parse_timestamp
 from millrace.streaming.ingest import RESCUED
 
+# Fixed value: creation times may have hours of one digit.
+CREATION_LAYOUT = "MM-dd-yyyy H:mm:ss"
+
 
 def silver_users(bronze: DataFrame) -> DataFrame:
     """Name the key, hide the e-mail, parse the dates, tidy the names, cut numbers to int."""
@@ -18,7 +21,7 @@ def silver_users(bronze: DataFrame) -> DataFrame:
         churn = churn.try_cast("boolean")
     return renamed.withColumns({
         "email": pseudonym("email"),
-        "creation_date": parse_timestamp("creation_date"),
+        "creation_date": parse_timestamp("creation_date", CREATION_LAYOUT),
         "last_activity_date": parse_timestamp("last_activity_date"),
         "firstname": initial_caps("firstname"),
         "lastname": initial_caps("lastname"),
