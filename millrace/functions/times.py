@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Fixed value: the layout of timestamps written as text in the raw files.
 RAW_LAYOUT = "MM-dd-yyyy HH:mm:ss"
@@ -48,3 +48,18 @@ def weekend_flag(
     source = F.current_timezone() if source_zone is None else F.lit(source_zone)
     local = F.convert_timezone(source, F.lit(zone), _col(c).cast("timestamp_ntz"))
     return (F.weekday(local) >= 5).cast("int")
+
+
+def clock_seconds(c: Column | str, kind: T.DataType) -> Column:
+    """Seconds since the epoch, rising with the time whatever the session's zone is.
+
+    A timestamp without a zone is counted on its own clock: taken through a zone, its order would
+    break where clocks are put forward.
+    """
+    c = _col(c)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(c)
+    days = F.unix_date(c.cast("date")).cast("long") * 86400
+    if isinstance(kind, T.DateType):
+        return days
+    return days + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)

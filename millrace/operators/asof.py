@@ -20,7 +20,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from millrace.operators.keys import hot_groups, small_frame
+from millrace.functions.times import clock_seconds
+from millrace.operators.keys import MAX_HOT_GROUPS, hot_groups, small_frame
 
 _NULL_SPREAD = 4096
 _BIN, _SALT, _TIME, _SIDE = "__bin", "__salt", "__time", "__side"
@@ -152,7 +153,7 @@ def _cut(
     hot_frame = small_frame(
         spark, [(*k, 1) for k in hot], T.StructType([*key_fields, T.StructField("__hot", T.IntegerType())])
     )
-    time_bin = F.floor(F.unix_seconds(F.col(_TIME).cast("timestamp")) / bin_seconds)
+    time_bin = F.floor(clock_seconds(_TIME, lookups.schema[_TIME].dataType) / bin_seconds)
     binned = F.coalesce(F.when(F.col("__hot") == 1, time_bin), F.lit(0)).cast("long")
     lookups = lookups.join(hot_frame, keys, "left").withColumn(_BIN, binned)
     features = features.join(hot_frame, keys, "left").withColumn(_BIN, binned)
@@ -216,6 +217,8 @@ def keyed_lookup(
         return left.join(features, keys, "left").select(*columns, *values)
     hot_frame = small_frame(left.sparkSession, hot, T.StructType([schema[k] for k in keys]))
     few = features.join(hot_frame, keys, "left_semi")
+    if few.limit(MAX_HOT_GROUPS + 1).count() > MAX_HOT_GROUPS:
+        raise ValueError(f"the table has several rows for one key {keys}")
     cold = left.join(hot_frame, keys, "left_anti").join(features, keys, "left")
     dense = left.join(hot_frame, keys, "left_semi").join(F.broadcast(few), keys, "left")
     return cold.select(*columns, *values).unionByName(dense.select(*columns, *values))

@@ -11,16 +11,20 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace.functions.times import clock_seconds
 from millrace.operators.filters import time_range
 from millrace.session import scratch_path
 from millrace.sources import files
 
 _PART = "__part"
 
+# A batch id is remembered for this many versions. A stream replays its last batch only.
+_REMEMBERED = 1000
+
 
 @dataclass
 class FeatureTable:
@@ -85,7 +89,7 @@ class FeatureTable:
         known = self.versions()
         version = (known[-1] if known else 0) if version is None else version
         if version == 0:
-            return {"version": 0, "batch_id": None, "parts": {}}
+            return {"version": 0, "batches": [], "parts": {}}
         if version not in self._snapshots:
             text = files.read_text(self.spark, f"{self.path}/_snapshots/{version:08d}.json")
             self._snapshots[version] = json.loads(text)
@@ -95,10 +99,12 @@ class FeatureTable:
         self, start: datetime | str | None = None, end: datetime | str | None = None,
         version: int | None = None,
     ) -> DataFrame:
-        """The table, or ``start <= timestamp key < end`` of it; whole days outside are not opened."""
+        """The table, or ``start <= timestamp key < end`` of it; days well outside are not opened."""
         parts = self._snapshot(version)["parts"]
         if self.timestamp_key:
-            low, high = (str(b)[:10] if b is not None else None for b in (start, end))
+            # Parts are days in UTC and the bounds are in the session's zone, so a day to spare.
+            low, high = (datetime.fromisoformat(str(b)) if b is not None else None for b in (start, end))
+            low, high = low and (low - timedelta(days=1)).isoformat()[:10], high and (high + timedelta(days=1)).isoformat()[:10]
             parts = {
                 p: v for p, v in parts.items() if (low is None or p >= low) and (high is None or p <= high)
             }
@@ -115,7 +121,9 @@ class FeatureTable:
 
     def _part(self) -> Column:
         if self.timestamp_key:
-            return F.date_format(self.timestamp_key, "yyyy-MM-dd")
+            # The day must not depend on the session's zone: a later batch has to find the same part.
+            seconds = clock_seconds(self.timestamp_key, self.schema[self.timestamp_key].dataType)
+            return F.date_from_unix_date(F.floor(seconds / 86400).cast("int")).cast("string")
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
 
     def _shaped(self, df: DataFrame) -> DataFrame:
@@ -142,20 +150,15 @@ class FeatureTable:
             raise ValueError(f"{kind} in key columns {full} of one batch: {row.asDict()}")
 
     def _publish(self, version: int, parts: dict[str, int], batch_id: str | None) -> int:
-        snapshot = {"version": version, "batch_id": batch_id, "parts": parts}
-        # The rename fails if another writer has published this version meanwhile.
+        batches = self._snapshot(version - 1)["batches"] + ([batch_id] if batch_id else [])
+        snapshot = {"version": version, "batches": batches[-_REMEMBERED:], "parts": parts}
+        # This fails if another writer has published the version meanwhile.
         files.write_text(self.spark, f"{self.path}/_snapshots/{version:08d}.json", json.dumps(snapshot))
         return version
 
     def _next_version(self) -> int:
         return self._snapshot()["version"] + 1
 
-    def _seen(self, batch_id: str | None) -> bool:
-        """Whether this batch was published before. Streams replay their last batch only."""
-        return batch_id is not None and any(
-            self._snapshot(v)["batch_id"] == batch_id for v in reversed(self.versions())
-        )
-
     def overwrite(self, df: DataFrame) -> int:
         """Replace the contents; earlier versions stay readable. Returns the version number."""
         version = self._next_version()
@@ -168,7 +171,7 @@ class FeatureTable:
 
         A batch with a ``batch_id`` published earlier is skipped, so a replay changes nothing.
         """
-        if self._seen(batch_id):
+        if batch_id is not None and batch_id in self._snapshot()["batches"]:
             return self._snapshot()["version"]
         version = self._next_version()
         stage = scratch_path(self.spark, "upsert")
@@ -182,6 +185,28 @@ class FeatureTable:
         self._write_parts(upserted(old, batch, self._full_key()), f"{self.path}/data/v={version}")
         return self._publish(version, {**current, **dict.fromkeys(touched, version)}, batch_id)
 
+    def forget(self, keep: int = 10) -> None:
+        """Remove all but the last ``keep`` versions, and the data that only they refer to.
+
+        For a time when no job reads the old versions or writes a new one.
+        """
+        versions = self.versions()
+        kept = versions[-keep:]
+        used = {v for k in kept for v in self._snapshot(k)["parts"].values()}
+        for v in versions[:-keep]:
+            files.remove(self.spark, f"{self.path}/_snapshots/{v:08d}.json")
+            self._snapshots.pop(v, None)
+            if v not in used:
+                files.remove(self.spark, f"{self.path}/data/v={v}")
+
+    @staticmethod
+    def drop(spark: SparkSession, path: str) -> None:
+        """Remove a feature table, if it is there. Any other folder is refused."""
+        if files.exists(spark, f"{path}/_table.json"):
+            files.remove(spark, path)
+        elif not files.is_empty(spark, path):
+            raise ValueError(f"{path} is not a feature table")
+
     def _full_key(self) -> list[str]:
         return [*self.keys, *([self.timestamp_key] if self.timestamp_key else [])]
 

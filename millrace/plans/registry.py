@@ -19,7 +19,10 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Called for names not set yet; keeping the DataFrame reads each file footer once.
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def query(sql: str | None = None):

@@ -53,3 +53,9 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         fs.delete(target, False)
     if not fs.rename(part, target):
         raise OSError(f"cannot rename to {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all that is in it."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from millrace.session import scratch_path
 
 
-def save_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a catalog table, schema included."""
+def save_table(
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None, path: str | None = None
+) -> DataFrame:
+    """Replace a catalog table, schema included. With ``path`` the files are kept there."""
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)

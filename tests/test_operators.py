@@ -173,6 +173,18 @@ def test_keyed_lookup(spark, options):
     assert len(rows) == 15 and {r["id"]: r["v"] for r in rows} == want
 
 
+def test_asof_over_a_clock_change(spark):
+    times = [datetime(2024, 3, 10, 1, 50) + timedelta(minutes=10 * i) for i in range(15)]
+    left = spark.createDataFrame([(1, t) for t in times], "k int, t timestamp_ntz")
+    right = spark.createDataFrame([(1, t - timedelta(minutes=1), i) for i, t in enumerate(times)], "k int, ts timestamp_ntz, v int")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = asof_join(left, right, keys="k", left_ts="t", right_ts="ts", values=["v"], max_group_rows=1, bin_seconds=600)
+        assert [r["v"] for r in sorted(got.collect(), key=lambda r: r["t"])] == list(range(15))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_hot_groups_are_bounded(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("k"))
     assert hot_groups([df], ["k"], 9, limit=4) and len(hot_groups([df], ["k"], 9, limit=4)) == 4

@@ -67,7 +67,7 @@ def test_upsert_disjoint_partial_and_full(spark, table):
 
 def test_upsert_rewrites_touched_days_only(spark, table):
     table.upsert(frame(spark, [(1, 31, 5)]))
-    snapshot = table._snapshot()["parts"]
+    snapshot = FeatureTable.open(spark, table.path)._snapshot()["parts"]
     assert snapshot == {"2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1}
 
 
@@ -93,11 +93,11 @@ def test_bad_batches_leave_the_table_as_it_was(spark, table):
 
 
 def test_overwrite_and_ranged_read(spark, table):
-    table.write(frame(spark, [(5, h, h) for h in (0, 23, 24, 25, 49)]), mode="overwrite")
+    table.write(frame(spark, [(5, h, h) for h in (0, 23, 24, 25, 49, 100, 125)]), mode="overwrite")
     ranged = table.read(start=DAY + timedelta(hours=23), end=DAY + timedelta(hours=25))
     assert content(ranged) == [(5, 23, 23), (5, 24, 24)]
-    assert len(ranged.inputFiles()) == 2
-    assert table.read(start="2024-01-03").count() == 1
+    assert len(ranged.inputFiles()) == 3
+    assert table.read(start="2024-01-03").count() == 3
 
 
 def test_static_table(spark, tmp_path):
@@ -108,6 +108,30 @@ def test_static_table(spark, tmp_path):
     assert len(got) == 51 and got[7] == "new" and got[99] == "more" and got[8] == "p8"
 
 
+def test_parts_do_not_depend_on_the_zone(spark, table):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        table.upsert(table.read().withColumn("n", F.lit(9)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [n for _, _, n in content(table.read())] == [9, 9, 9]
+
+
+def test_forget_and_drop(spark, table, tmp_path):
+    for n in range(4):
+        table.upsert(frame(spark, [(1, 0, n)]), batch_id=f"b{n}")
+    table.forget(keep=2)
+    assert table.versions() == [4, 5] and content(table.read(version=4)) == [(1, 0, 2), (1, 30, 2), (2, 50, 3)]
+    assert files.list_names(spark, f"{table.path}/data") == ["v=1", "v=4", "v=5"]
+    assert table.upsert(frame(spark, [(1, 0, 7)]), batch_id="b1") == 5
+    FeatureTable.drop(spark, table.path)
+    assert not files.exists(spark, table.path)
+    FeatureTable.drop(spark, table.path)
+    files.write_text(spark, str(tmp_path / "other" / "x"), "keep")
+    with pytest.raises(ValueError):
+        FeatureTable.drop(spark, str(tmp_path / "other"))
+
+
 def test_second_writer_of_a_version_fails(spark, table):
     other = FeatureTable.open(spark, table.path)
     assert other._next_version() == 2
