@@ -170,10 +170,11 @@ def label_churn(
     )
 
 
-def crm_customers(spark: SparkSession, n: int = 1000, seed: int = 0) -> DataFrame:
+def crm_customers(ids: DataFrame, seed: int = 0) -> DataFrame:
+    """A customer for each row of ``ids`` (column ``id``), such as ``spark.range(1, 1001)``."""
     first, last = pick(FIRST_NAMES, seed, "crm_first", "id"), pick(LAST_NAMES, seed, "crm_last", "id")
     digits = F.lpad(F.floor(unit_of(seed, "crm_phone", "id") * 10_000_000).cast("string"), 7, "0")
-    return spark.range(1, n + 1).select(
+    return ids.select(
         F.col("id").alias("customer_id"),
         F.initcap(first).alias("first_name"),
         F.initcap(last).alias("last_name"),
@@ -190,8 +191,9 @@ def _day_of_year(year: int, seed: int, field: str) -> Column:
     return F.date_add(F.lit(f"{year}-01-01").cast("date"), F.floor(unit_of(seed, field, "id") * 365).cast("int"))
 
 
-def crm_orders(spark: SparkSession, n: int = 300, customers: int = 1000, year: int = 2024, seed: int = 0) -> DataFrame:
-    return spark.range(1, n + 1).select(
+def crm_orders(ids: DataFrame, customers: int = 1000, year: int = 2024, seed: int = 0) -> DataFrame:
+    """An order for each id, by one of the customers 1 to ``customers``."""
+    return ids.select(
         F.col("id").alias("order_id"),
         _customer_ref(customers, seed, "crm_order").alias("customer_id"),
         _day_of_year(year, seed, "crm_order_date").alias("order_date"),
@@ -199,11 +201,10 @@ def crm_orders(spark: SparkSession, n: int = 300, customers: int = 1000, year: i
     )
 
 
-def crm_interactions(
-    spark: SparkSession, n: int = 500, customers: int = 1000, year: int = 2024, seed: int = 0
-) -> DataFrame:
+def crm_interactions(ids: DataFrame, customers: int = 1000, year: int = 2024, seed: int = 0) -> DataFrame:
+    """A contact for each id, with one of the customers 1 to ``customers``."""
     notes = F.concat_ws(" ", *[pick(WORDS, seed, f"note{i}", "id") for i in range(6)])
-    return spark.range(1, n + 1).select(
+    return ids.select(
         F.col("id").alias("interaction_id"),
         _customer_ref(customers, seed, "crm_contact").alias("customer_id"),
         _day_of_year(year, seed, "crm_contact_date").alias("interaction_date"),

@@ -223,3 +223,31 @@ def generated_churn(t):
     people = made_users(t)
     orders = synth.user_orders(people.filter(F.col("id").isNotNull()), "id")
     return synth.label_churn(people, orders, synth.user_events(orders))
+
+
+@query(f"""
+SELECT c_custkey AS customer_id,
+       upper({_picked(synth.FIRST_NAMES, 'crm_first', 'c_custkey')}[1]) || {_picked(synth.FIRST_NAMES, 'crm_first', 'c_custkey')}[2:] AS first_name,
+       upper({_picked(synth.LAST_NAMES, 'crm_last', 'c_custkey')}[1]) || {_picked(synth.LAST_NAMES, 'crm_last', 'c_custkey')}[2:] AS last_name,
+       {_picked(synth.FIRST_NAMES, 'crm_first', 'c_custkey')} || '.' || {_picked(synth.LAST_NAMES, 'crm_last', 'c_custkey')} || '@crm.example.com' AS email,
+       '555-' || lpad(CAST(CAST(floor({_unit('crm_phone', 'c_custkey')} * 10000000) AS BIGINT) AS VARCHAR), 7, '0') AS phone
+FROM customer""")
+def generated_crm_customers(t):
+    return synth.crm_customers(t.customer.select(F.col("c_custkey").alias("id")))
+
+
+@query(f"""
+SELECT o_orderkey AS order_id, CAST(floor({_unit('crm_order', 'o_orderkey')} * 1000) + 1 AS BIGINT) AS customer_id,
+       DATE '2024-01-01' + CAST(floor({_unit('crm_order_date', 'o_orderkey')} * 365) AS INTEGER) AS order_date,
+       CAST(floor({_unit('crm_amount', 'o_orderkey')} * 100000) AS BIGINT) AS amount FROM orders""")
+def generated_crm_orders(t):
+    return synth.crm_orders(t.orders.select(F.col("o_orderkey").alias("id")))
+
+
+@query(f"""
+SELECT event_id AS interaction_id, CAST(floor({_unit('crm_contact', 'event_id')} * 1000) + 1 AS BIGINT) AS customer_id,
+       DATE '2024-01-01' + CAST(floor({_unit('crm_contact_date', 'event_id')} * 365) AS INTEGER) AS interaction_date,
+       {_picked(synth.CHANNELS, 'crm_channel', 'event_id')} AS channel,
+       concat_ws(' ', {', '.join(_picked(synth.WORDS, f'note{i}', 'event_id') for i in range(6))}) AS notes FROM events""")
+def generated_crm_interactions(t):
+    return synth.crm_interactions(t.events.select(F.col("event_id").alias("id")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.functions import (
@@ -388,3 +390,36 @@ def append_with_new_column(t):
         F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
     )
     return writers.append_evolving(more, path)
+
+
+@query("""
+SELECT o_custkey AS user_id, count(*) AS order_count, max(o_totalprice) AS largest FROM orders GROUP BY o_custkey""")
+def table_from_select(t):
+    """A catalog table made from a query, over the table of an earlier run, and read back."""
+    name = "millrace_stats_" + uuid.uuid4().hex[:8]
+    path = scratch_path(t.spark, "tables")
+    rows = t.orders.groupBy(F.col("o_custkey").alias("user_id"))
+    writers.save_table(rows.agg(F.count("*").alias("order_count")), name, path=path)
+    made = writers.save_table(
+        rows.agg(F.count("*").alias("order_count"), F.max("o_totalprice").alias("largest")), name, path=path
+    )
+    catalog.drop_table(t.spark, name)  # the files stay, and the DataFrame has their folder already
+    return made
+
+
+@query("""
+SELECT n_name AS name, CAST(n_nationkey AS VARCHAR) AS date, CAST(NULL AS INTEGER) AS region FROM nation
+WHERE n_name <> 'NATION_3' UNION ALL SELECT s_name, NULL, s_nationkey FROM supplier""")
+def evolving_table(t):
+    """A run table: made empty, appended to, given a new column, and one name deleted."""
+    name = "millrace_runs_" + uuid.uuid4().hex[:8]
+    path = scratch_path(t.spark, "tables")
+    empty = t.spark.createDataFrame([], "name string, date string")
+    writers.save_table(empty, name, path=path)
+    writers.append_evolving_table(
+        t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("date")), name
+    )
+    writers.append_evolving_table(t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("region")), name)
+    left = writers.keep_unless(t.spark.table(name), F.col("name") == "NATION_3")
+    catalog.drop_table(t.spark, name)
+    return left

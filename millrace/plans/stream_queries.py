@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F, types as T
 
 from millrace.operators.store import FeatureTable
@@ -89,3 +91,27 @@ def streamed_features(t):
     return plain_times(table.read()).withColumnsRenamed({
         "mean_fare_window_1h_user": "mean_fare_window_1h", "count_trips_window_1h_user": "count_trips_window_1h",
     })
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+       CAST(o_orderkey % 3 + 1 AS INTEGER) AS item_count, CAST(trunc(o_totalprice) AS INTEGER) AS amount
+FROM orders""")
+def streamed_tables(t):
+    """Two streams at once: files to one catalog table, and users to another; then table to table."""
+    root, mark = scratch_path(t.spark, "tables"), uuid.uuid4().hex[:8]
+    orders, users = raw_orders(t).drop("transaction_date"), raw_users(t)
+    names = {n: f"millrace_{n}_{mark}" for n in ("orders", "users", "silver")}
+    streams = [
+        t.spark.readStream.schema(rows.schema).json(_landing(t, rows, "json")) for rows in (orders, users)
+    ]
+    control.wait_all([
+        ingest.stream_to_table(stream, names[n], f"{root}/checkpoint/{n}", path=f"{root}/{n}")
+        for stream, n in zip(streams, ("orders", "users"))
+    ])
+    clean = silver.silver_orders(ingest.table_stream(t.spark, names["orders"]))
+    control.wait_all([ingest.stream_to_table(clean, names["silver"], f"{root}/checkpoint/silver", path=f"{root}/silver")])
+    made = t.spark.table(names["silver"])
+    for name in names.values():
+        t.spark.sql(f"DROP TABLE {name}")
+    return made

@@ -188,9 +188,13 @@ def stream_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.readStream.schema(bronze_schema(spark, root, table)).parquet(path)
 
 
-def stream_to_table(df: DataFrame, name: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Append a stream to a catalog table, made on first use."""
+def stream_to_table(
+    df: DataFrame, name: str, checkpoint: str, once: bool = True, path: str | None = None
+) -> StreamingQuery:
+    """Append a stream to a catalog table, made on first use; ``path`` says where its files go."""
     writer = df.writeStream.outputMode("append").queryName(f"{name}_sink").option("checkpointLocation", checkpoint)
+    if path:
+        writer = writer.option("path", path)
     return (writer.trigger(availableNow=True) if once else writer).toTable(name)
 
 

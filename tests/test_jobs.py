@@ -47,7 +47,8 @@ def test_from_raw_to_customer_360(spark):
 
 
 def test_crm(spark):
-    customers, orders, contacts = synth.crm_customers(spark), synth.crm_orders(spark), synth.crm_interactions(spark)
+    customers = synth.crm_customers(spark.range(1, 1001))
+    orders, contacts = synth.crm_orders(spark.range(1, 301)), synth.crm_interactions(spark.range(1, 501))
     assert (customers.count(), orders.count(), contacts.count()) == (1000, 300, 500)
     assert orders.join(customers, "customer_id", "left_anti").count() == 0
     assert {r[0] for r in contacts.select("channel").distinct().collect()} == set(synth.CHANNELS)
