@@ -1,5 +1,5 @@
 """millrace: feature and customer-data work as Spark DataFrame operators."""
 
-from millrace.session import get_session, scratch_path
+from millrace.session import get_session, scratch_path, size_shuffles
 
-__all__ = ["get_session", "scratch_path"]
+__all__ = ["get_session", "scratch_path", "size_shuffles"]

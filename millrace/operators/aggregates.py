@@ -43,6 +43,16 @@ def top_groups(
     return df.groupBy(group).agg(*aggs).orderBy(F.desc(by), F.asc(group)).limit(k)
 
 
+def sorted_rows(df: DataFrame, *order: Column | str) -> DataFrame:
+    """A global sort that a frequent value cannot put into one task.
+
+    Spark sorts by ranges of the sort key and cannot divide rows that are equal in it. A row
+    number as the last sort column makes all rows differ.
+    """
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.sort(*order, "__row").drop("__row")
+
+
 def latest_row(df: DataFrame, column: str, name: str, order: str, *ties: str) -> DataFrame:
     """The newest row for one name."""
     return df.filter(F.col(column) == name).orderBy(F.desc(order), *[F.desc(t) for t in ties]).limit(1)

@@ -34,6 +34,17 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _dealing_columns(schema: T.StructType) -> list[str]:
+    """Columns whose hash deals rows out: those of fixed width, which cost little to read.
+
+    Rows are dealt by content and not by row number, so that a task that runs again sends each row
+    to the same place.
+    """
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    names = [f.name for f in schema if isinstance(f.dataType, fixed)]
+    return names or [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+
+
 @dataclass(frozen=True)
 class Features:
     """A feature table to look up: its rows, key columns, time column and the wanted values."""
@@ -113,12 +124,13 @@ def asof_join_all(
         hot = [tuple(k) for k in hot_keys or []]
 
     unmatched = F.greatest(*[F.col(c).isNull().cast("int") for c in [*keys, _TIME]]) == 1
-    spread = -1 - F.pmod(F.xxhash64(*columns), F.lit(_NULL_SPREAD)).cast("long")
+    dealt = _dealing_columns(left_schema)
+    spread = -1 - F.pmod(F.xxhash64(*dealt), F.lit(_NULL_SPREAD)).cast("long")
     openings = None
     if hot:
         key_fields = [T.StructField(k, left_schema[k].dataType) for k in keys]
         lookups, features, openings = _cut(
-            lookups, features, key_fields, hits, hot, max_group_rows, bin_seconds, columns
+            lookups, features, key_fields, hits, hot, max_group_rows, bin_seconds, dealt
         )
     else:
         whole = {_BIN: F.lit(0).cast("long"), _SALT: F.lit(0)}
@@ -145,7 +157,7 @@ def asof_join_all(
 
 def _cut(
     lookups: DataFrame, features: DataFrame, key_fields: list[T.StructField], hits: list[str],
-    hot: list[tuple], max_rows: int, bin_seconds: int, columns: list[str],
+    hot: list[tuple], max_rows: int, bin_seconds: int, dealt: list[str],
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Give rows of hot keys a time bin and salt, and build the opening rows of their bins."""
     spark = lookups.sparkSession
@@ -185,7 +197,7 @@ def _cut(
     )
     openings = salted(openings).withColumn(_SALT, every_salt).drop("__salts")
     features = salted(features).withColumn(_SALT, every_salt).drop("__salts", "__hot")
-    salt = F.pmod(F.xxhash64(*columns), F.col("__salts")).cast("int")
+    salt = F.pmod(F.xxhash64(*dealt), F.col("__salts")).cast("int")
     lookups = salted(lookups).withColumn(_SALT, salt).drop("__salts", "__hot")
     return lookups, features, openings
 

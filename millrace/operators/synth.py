@@ -6,8 +6,6 @@ through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.hashing import normal_of, pick, pick_weighted, random_id, unit_of
@@ -25,6 +23,21 @@ OLD_USERS = 133
 COHORTS = 23
 COHORT_BASE, COHORT_STEP = 2000, 200
 
+# Any one of these makes a user likely to leave. ``days`` counts from account creation.
+CHURN_RULES = (
+    "orders >= 5 AND platform = 'ios'",
+    "orders = 3 AND gender = 0",
+    "orders = 2 AND gender = 1 AND age_group <= 3",
+    "items <= 1 AND platform = 'android'",
+    "items >= 10 AND platform = 'ios'",
+    "actions >= 4",
+    "country = 'USA'",
+    "days >= 90",
+    "age_group >= 7 AND gender = 0",
+    "age_group <= 2 AND gender = 1",
+)
+CHURN_BASE, CHURN_LIKELY, CHURN_UNLIKELY = 5, 80, 20
+
 FIRST_NAMES = ("ada", "bo", "cleo", "dara", "eli", "fern", "gale", "hana", "ira", "juno", "kit", "lou")
 LAST_NAMES = ("ames", "brook", "crane", "dale", "ellis", "frost", "grove", "hale", "irwin", "jarvis")
 WORDS = ("call", "order", "late", "happy", "return", "price", "asked", "later", "again", "offer")
@@ -129,26 +142,6 @@ def user_events(
     )
 
 
-def churn_rules(c: Mapping[str, Column]) -> list[Column]:
-    """The ten conditions under which a user is likely to leave.
-
-    ``c`` maps orders, items, actions, platform, gender, age_group, country and days (since the
-    account was made) to columns.
-    """
-    return [
-        (c["orders"] >= 5) & (c["platform"] == "ios"),
-        (c["orders"] == 3) & (c["gender"] == 0),
-        (c["orders"] == 2) & (c["gender"] == 1) & (c["age_group"] <= 3),
-        (c["items"] <= 1) & (c["platform"] == "android"),
-        (c["items"] >= 10) & (c["platform"] == "ios"),
-        c["actions"] >= 4,
-        c["country"] == "USA",
-        c["days"] >= 90,
-        (c["age_group"] >= 7) & (c["gender"] == 0),
-        (c["age_group"] <= 2) & (c["gender"] == 1),
-    ]
-
-
 def label_churn(
     users_df: DataFrame, orders_df: DataFrame, events_df: DataFrame, as_of: str = "2024-02-01", seed: int = 0
 ) -> DataFrame:
@@ -162,14 +155,17 @@ def label_churn(
     joined = per_user_orders.join(per_user_events, ["user_id"]).join(
         users_df, F.col("user_id") == users_df["id"]
     )
-    columns = {n: F.col(n) for n in ("orders", "items", "actions", "platform", "gender", "age_group", "country")}
-    columns["days"] = days_between(parse_timestamp("creation_date"), F.lit(as_of).cast("date"))
-    chance = score_if_any(churn_rules(columns), hit=80, miss=20, base=5)
-    return joined.withColumn("churn", unit_of(seed, "churn", "id") * 100 < chance).select(
+    joined = joined.withColumn("days", days_between(parse_timestamp("creation_date"), F.lit(as_of).cast("date")))
+    return joined.withColumn("churn", unit_of(seed, "churn", "id") * 100 < churn_chance()).select(
         *users_df.columns, "churn"
     )
 
 
+def churn_chance() -> Column:
+    """Percent chance of leaving, from the columns that ``CHURN_RULES`` name."""
+    return score_if_any([F.expr(r) for r in CHURN_RULES], hit=CHURN_LIKELY, miss=CHURN_UNLIKELY, base=CHURN_BASE)
+
+
 def crm_customers(ids: DataFrame, seed: int = 0) -> DataFrame:
     """A customer for each row of ``ids`` (column ``id``), such as ``spark.range(1, 1001)``."""
     first, last = pick(FIRST_NAMES, seed, "crm_first", "id"), pick(LAST_NAMES, seed, "crm_last", "id")

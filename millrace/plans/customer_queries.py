@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import formatted
-from millrace.operators import filters, synth
+from millrace.operators import synth
 from millrace.operators.aggregates import first_by
 from millrace.operators.quality import null_key_report
 from millrace.plans.customers import customer_360 as customer_360_of
@@ -112,36 +112,34 @@ def customer_360(t):
 
 @query("""
 WITH o AS (SELECT o_custkey AS user_id, count(*) AS orders, CAST(sum(o_orderkey % 3 + 1) AS BIGINT) AS items FROM orders GROUP BY ALL),
-     e AS (SELECT user_id, count(*) AS actions, arg_min(event_type, (ts, event_id)) AS platform FROM events GROUP BY ALL)
-SELECT user_id, orders, items, actions, platform,
-       CAST(5 + CASE WHEN (orders >= 5 AND platform = 'view') OR (orders = 3 AND gender = 0)
-         OR (orders = 2 AND gender = 1 AND age_group <= 3) OR (items <= 1 AND platform = 'click')
-         OR (items >= 10 AND platform = 'view') OR actions >= 60 OR country = 'BUILDING'
+     e AS (SELECT user_id, count(*) AS event_count, arg_min(event_type, (ts, event_id)) AS first_type FROM events GROUP BY ALL)
+SELECT user_id, orders, items, event_count, first_type,
+       CAST(5 + CASE WHEN (orders >= 5 AND first_type = 'view') OR (orders = 3 AND gender = 0)
+         OR (orders = 2 AND gender = 1 AND age_group <= 3) OR (items <= 1 AND first_type = 'click')
+         OR (items >= 10 AND first_type = 'view') OR event_count >= 60 OR segment = 'BUILDING'
          OR days >= 900 OR (age_group >= 7 AND gender = 0) OR (age_group <= 2 AND gender = 1)
        THEN 80 ELSE 20 END AS INTEGER) AS chance
 FROM o JOIN e USING (user_id)
-JOIN (SELECT c_custkey, c_custkey % 2 AS gender, c_nationkey % 11 AS age_group, c_mktsegment AS country,
+JOIN (SELECT c_custkey, c_custkey % 2 AS gender, c_nationkey % 11 AS age_group, c_mktsegment AS segment,
              c_custkey % 1000 AS days FROM customer) c ON user_id = c_custkey""")
 def churn_rules(t):
-    """The ten churn rules with stand-in columns; thresholds fit the tables' own counts."""
+    """The churn rules on stand-in columns, scaled so that the thresholds fit the tables' counts."""
     o = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
         F.count("*").alias("orders"), F.sum(F.col("o_orderkey") % 3 + 1).alias("items")
     )
     e = t.events.groupBy("user_id").agg(
-        F.count("*").alias("actions"), first_by("event_type", "ts", "event_id").alias("platform")
+        F.count("*").alias("event_count"), first_by("event_type", "ts", "event_id").alias("first_type")
     )
     c = t.customer.select(
         "c_custkey", (F.col("c_custkey") % 2).alias("gender"), (F.col("c_nationkey") % 11).alias("age_group"),
         F.when(F.col("c_mktsegment") == "BUILDING", "USA").otherwise("FR").alias("country"),
-        (F.col("c_custkey") % 1000).alias("days"),
+        F.floor(F.col("c_custkey") % 1000 / 10).alias("days"),
     )
-    joined = o.join(e, ["user_id"]).join(c, F.col("user_id") == F.col("c_custkey"))
-    columns = {n: F.col(n) for n in ("orders", "items", "gender", "age_group", "country")}
-    columns["platform"] = F.when(F.col("platform") == "view", "ios").when(F.col("platform") == "click", "android")
-    columns["actions"] = F.floor(F.col("actions") / 15)
-    columns["days"] = F.floor(F.col("days") / 10)
-    chance = filters.score_if_any(synth.churn_rules(columns), hit=80, miss=20, base=5)
-    return joined.select("user_id", "orders", "items", "actions", "platform", chance.alias("chance"))
+    joined = o.join(e, ["user_id"]).join(c, F.col("user_id") == F.col("c_custkey")).withColumns({
+        "platform": F.when(F.col("first_type") == "view", "ios").when(F.col("first_type") == "click", "android"),
+        "actions": F.floor(F.col("event_count") / 15),
+    })
+    return joined.select("user_id", "orders", "items", "event_count", "first_type", synth.churn_chance().alias("chance"))
 
 
 @query("""
@@ -217,12 +215,30 @@ def generated_users(t):
     return made_users(t).select("id", "canal", "country", "firstname", "lastname", "gender", "age_group")
 
 
-@query()
+@query(f"""
+WITH people AS (
+  SELECT md5('0|id|' || c_custkey) AS id, {_picked(synth.COUNTRIES, 'country', 'c_custkey')} AS country,
+         floor({_unit('gender', 'c_custkey')} + 0.7) AS gender, floor({_unit('age', 'c_custkey')} * 10 + 0.5) AS age_group,
+         CASE WHEN c_custkey % 24 = 0 THEN TIMESTAMP '2012-01-01' + to_seconds(CAST(floor({_unit('old', 'c_custkey')} * 126144000) AS BIGINT))
+              ELSE TIMESTAMP '2024-02-01' - to_days(CAST((24 - c_custkey % 24) * 30 AS INTEGER))
+                   + to_seconds(CAST(floor({_unit('created', 'c_custkey')} * 2592000) AS BIGINT)) END AS created
+  FROM customer WHERE {_unit('null', 'c_custkey')} < 0.98),
+{MADE_ORDERS_SQL.replace('c_custkey AS user_id', 'id AS user_id').replace("c_custkey", "id").replace("FROM customer", "FROM people")},
+o AS (SELECT user_id, CAST(sum(item_count) AS BIGINT) AS items, count(*) AS orders FROM made_orders GROUP BY ALL),
+keyed AS (SELECT user_id, user_id || '|' || id || '|1' AS k FROM made_orders),
+e AS (SELECT user_id, count(*) AS actions, arg_min_null(platform, (sec, event_id)) AS platform FROM (
+        SELECT user_id, md5('0|event|' || k) AS event_id, {_weighted(synth.PLATFORMS, 'platform', 'k')} AS platform,
+               floor({_unit('event_date', 'k')} * 2592000) AS sec FROM keyed) GROUP BY ALL)
+SELECT id, country, gender, age_group, strftime(created, '%m-%d-%Y %H:%M:%S') AS creation_date,
+       {_unit('churn', 'id')} * 100 < 5 + CASE WHEN {' OR '.join(f'coalesce({r}, false)' for r in synth.CHURN_RULES)} THEN 80 ELSE 20 END AS churn
+FROM (SELECT *, date_diff('day', created, TIMESTAMP '2024-02-01') AS days FROM people) p
+JOIN o ON p.id = o.user_id JOIN e ON p.id = e.user_id""")
 def generated_churn(t):
     """Labels for generated users, whose orders and events follow from their generated ids."""
     people = made_users(t)
     orders = synth.user_orders(people.filter(F.col("id").isNotNull()), "id")
-    return synth.label_churn(people, orders, synth.user_events(orders))
+    labelled = synth.label_churn(people, orders, synth.user_events(orders))
+    return labelled.select("id", "country", "gender", "age_group", "creation_date", "churn")
 
 
 @query(f"""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.operators.aggregates import sorted_rows
+
 # The thresholds of the questions.
 WARM, HOT, HUMID = 25, 30, 70
 BATTERY_OK, CO2_HIGH = 6, 1400
@@ -19,9 +21,8 @@ def warm_readings(devices: DataFrame) -> DataFrame:
 
 
 def charged_by_co2(devices: DataFrame) -> DataFrame:
-    return devices.where(F.col("battery_level") > BATTERY_OK).select(
-        "battery_level", "c02_level", "device_name"
-    ).sort("c02_level")
+    rows = devices.where(F.col("battery_level") > BATTERY_OK).select("battery_level", "c02_level", "device_name")
+    return sorted_rows(rows, "c02_level")
 
 
 def country_averages(devices: DataFrame, warm_only: bool = False) -> DataFrame:
@@ -38,7 +39,8 @@ def busiest_countries(devices: DataFrame, k: int = TOP_COUNTRIES) -> DataFrame:
 
 
 def high_co2(devices: DataFrame) -> DataFrame:
-    return devices.filter(F.col("c02_level") > CO2_HIGH).select("cca3", "c02_level").orderBy(F.desc("c02_level"))
+    rows = devices.filter(F.col("c02_level") > CO2_HIGH).select("cca3", "c02_level")
+    return sorted_rows(rows, F.desc("c02_level"))
 
 
 def empty_batteries(devices: DataFrame, k: int = TOP_EMPTY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -24,9 +25,8 @@ _local_root: str | None = None
 def get_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution and UTC; the cluster's own settings stay otherwise.
 
-    ``spark.sql.shuffle.partitions`` is left alone on a cluster: adaptive execution merges small
-    partitions, so the cluster can keep a high starting number. Extra settings go in ``conf`` with
-    ``__`` in place of dots.
+    Extra settings go in ``conf`` with ``__`` in place of dots. ``size_shuffles`` fits the number
+    of shuffle partitions to the data.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +38,25 @@ def get_session(app_name: str = "millrace", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession, *paths: str, partition_bytes: int = 128 << 20, growth: float = 1.0
+) -> int:
+    """Set the number of shuffle partitions from the size of the inputs; returns it.
+
+    Adaptive execution merges partitions that turn out small but never makes more than it started
+    with, so the start has to fit the data. ``growth`` is the size of shuffled rows relative to the
+    stored files (compression, or windows that copy rows).
+    """
+    total = 0
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    wanted = math.ceil(total * growth / partition_bytes)
+    number = max(wanted, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder shared by all executors for intermediate tables: ``spark.checkpoint.dir``.
 

@@ -192,6 +192,21 @@ def test_hot_groups_are_bounded(spark):
     assert len(hot_groups([df, df], ["k"], 10)) == 10
 
 
+def test_hot_groups_on_a_sample(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
+    (key, rows), = hot_groups([df], ["k"], 20_000)
+    assert key == 0 and 85_000 < rows < 115_000
+
+
+def test_sorted_rows_spread_a_frequent_value(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).otherwise(7).alias("v"))
+    got = aggregates.sorted_rows(df.repartition(8), F.desc("v"))
+    values = [r["v"] for r in got.collect()]
+    assert values == sorted(values, reverse=True)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__row" in plan and got.columns == ["id", "v"]
+
+
 # -- one-hot -----------------------------------------------------------------------------------
 
 def test_one_hot_nulls_and_unseen_values(spark):

@@ -5,7 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.session import cut_lineage, scratch_path
+from millrace.session import cut_lineage, scratch_path, size_shuffles
 from millrace.sources import catalog, files, readers, writers
 
 
@@ -116,3 +116,14 @@ def test_scratch_is_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     df = cut_lineage(spark.range(5))
     assert df.count() == 5 and shared in df.inputFiles()[0]
+
+
+def test_shuffles_follow_the_data(spark, tmp_path):
+    spark.range(200_000).write.parquet(str(tmp_path / "p"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, str(tmp_path / "p"), partition_bytes=10_000) > 50
+        assert spark.conf.get("spark.sql.shuffle.partitions") != before
+        assert size_shuffles(spark, str(tmp_path / "p")) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
