@@ -1,14 +1,16 @@
 """Keyed feature tables in folders of parquet files, with upsert and readable earlier versions.
 
 A table is split into parts: days of its time key, or hash buckets of its keys when it has none. A
-write makes new part folders under ``data/v=N`` and then publishes a small snapshot file that says
-which folder holds each part. An upsert rewrites the parts its batch touches and nothing else.
+write makes a new folder of parts under ``data`` and then publishes a small snapshot file that says
+which folders hold each part. An upsert writes its batch once; of the parts that were there before
+it also writes the rows that the batch leaves standing, and it does not open any other part.
 Readers see the last published snapshot, so a job that dies half way leaves the table as it was.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -17,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace.functions.times import clock_seconds
 from millrace.operators.filters import time_range
-from millrace.session import scratch_path
 from millrace.sources import files
 
 _PART = "__part"
@@ -111,8 +112,8 @@ class FeatureTable:
         df = self._read_parts(parts)
         return time_range(df, self.timestamp_key, start, end)
 
-    def _read_parts(self, parts: dict[str, int]) -> DataFrame:
-        folders = [f"{self.path}/data/v={v}/{_PART}={p}" for p, v in parts.items()]
+    def _read_parts(self, parts: dict[str, list[str]]) -> DataFrame:
+        folders = [f"{self.path}/data/{f}/{_PART}={p}" for p, held in parts.items() for f in held]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
@@ -133,12 +134,14 @@ class FeatureTable:
             raise ValueError(f"columns differ from the table: missing {missing}, unknown {extra}")
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
 
-    def _write_parts(self, df: DataFrame, folder: str) -> list[str]:
+    def _write_parts(self, df: DataFrame, version: int) -> dict[str, list[str]]:
+        """Write to a folder of its own, so that two writers never mix; returns part and folder."""
+        folder = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         # Rebalancing makes few files per day and still splits a day that is too large for a task.
         parted = df.withColumn(_PART, self._part()).hint("rebalance", F.col(_PART))
-        parted.write.mode("overwrite").partitionBy(_PART).parquet(folder)
-        prefix = f"{_PART}="
-        return [n.removeprefix(prefix) for n in files.list_names(self.spark, folder) if n.startswith(prefix)]
+        parted.write.partitionBy(_PART).parquet(f"{self.path}/data/{folder}")
+        names = files.list_names(self.spark, f"{self.path}/data/{folder}")
+        return {n.removeprefix(f"{_PART}="): [folder] for n in names if n.startswith(_PART)}
 
     def _check_keys(self, written: DataFrame) -> None:
         """One row per full key and no null in it, within one batch."""
@@ -149,7 +152,7 @@ class FeatureTable:
             kind = "duplicate keys" if row["__n"] > 1 and None not in row else "null"
             raise ValueError(f"{kind} in key columns {full} of one batch: {row.asDict()}")
 
-    def _publish(self, version: int, parts: dict[str, int], batch_id: str | None) -> int:
+    def _publish(self, version: int, parts: dict[str, list[str]], batch_id: str | None) -> int:
         batches = self._snapshot(version - 1)["batches"] + ([batch_id] if batch_id else [])
         snapshot = {"version": version, "batches": batches[-_REMEMBERED:], "parts": parts}
         # This fails if another writer has published the version meanwhile.
@@ -162,7 +165,7 @@ class FeatureTable:
     def overwrite(self, df: DataFrame) -> int:
         """Replace the contents; earlier versions stay readable. Returns the version number."""
         version = self._next_version()
-        parts = dict.fromkeys(self._write_parts(self._shaped(df), f"{self.path}/data/v={version}"), version)
+        parts = self._write_parts(self._shaped(df), version)
         self._check_keys(self._read_parts(parts))
         return self._publish(version, parts, None)
 
@@ -174,30 +177,31 @@ class FeatureTable:
         if batch_id is not None and batch_id in self._snapshot()["batches"]:
             return self._snapshot()["version"]
         version = self._next_version()
-        stage = scratch_path(self.spark, "upsert")
-        touched = self._write_parts(self._shaped(df), stage)
         current = self._snapshot()["parts"]
-        if not touched:
-            return self._publish(version, current, batch_id)
-        batch = self.spark.read.schema(self.schema).parquet(*[f"{stage}/{_PART}={p}" for p in touched])
-        self._check_keys(batch)
-        old = self._read_parts({p: current[p] for p in touched if p in current})
-        self._write_parts(upserted(old, batch, self._full_key()), f"{self.path}/data/v={version}")
-        return self._publish(version, {**current, **dict.fromkeys(touched, version)}, batch_id)
+        fresh = self._write_parts(self._shaped(df), version)
+        self._check_keys(self._read_parts(fresh))
+        shared = {p: held for p, held in current.items() if p in fresh}
+        kept: dict[str, list[str]] = {}
+        if shared:
+            full = self._full_key()
+            replacing = self._read_parts({p: fresh[p] for p in shared}).select(*full)
+            kept = self._write_parts(self._read_parts(shared).join(replacing, full, "left_anti"), version)
+        merged = {p: held + kept.get(p, []) for p, held in fresh.items()}
+        return self._publish(version, {**current, **merged}, batch_id)
 
     def forget(self, keep: int = 10) -> None:
-        """Remove all but the last ``keep`` versions, and the data that only they refer to.
+        """Remove all but the last ``keep`` versions, and the data that none of those refers to.
 
         For a time when no job reads the old versions or writes a new one.
         """
         versions = self.versions()
-        kept = versions[-keep:]
-        used = {v for k in kept for v in self._snapshot(k)["parts"].values()}
+        used = {f for v in versions[-keep:] for held in self._snapshot(v)["parts"].values() for f in held}
         for v in versions[:-keep]:
             files.remove(self.spark, f"{self.path}/_snapshots/{v:08d}.json")
             self._snapshots.pop(v, None)
-            if v not in used:
-                files.remove(self.spark, f"{self.path}/data/v={v}")
+        for folder in files.list_names(self.spark, f"{self.path}/data"):
+            if folder not in used:
+                files.remove(self.spark, f"{self.path}/data/{folder}")
 
     @staticmethod
     def drop(spark: SparkSession, path: str) -> None:

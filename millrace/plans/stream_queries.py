@@ -13,7 +13,7 @@ from millrace.plans.customer_queries import (
 from millrace.plans.feature_queries import PICKUP_EVENTS
 from millrace.plans.features import pickup_features
 from millrace.plans.registry import query
-from millrace.session import scratch_path
+from millrace.session import scratch_path, size_shuffles
 from millrace.streaming import control, ingest, silver
 from millrace.streaming.features import stream_features
 
@@ -76,7 +76,11 @@ def streamed_features(t):
     """Window features of events read as a stream, upserted into a feature table as windows close."""
     landing = scratch_path(t.spark, "events")
     t.events.select("user_id", "ts", "value").write.parquet(landing)
-    stream = t.spark.readStream.schema("user_id long, ts timestamp_ntz, value double").parquet(landing)
+    # The number of state partitions is fixed by the first run, so the stream gets a session of its
+    # own, with shuffles sized to its input.
+    session = t.spark.newSession()
+    size_shuffles(session, landing)
+    stream = session.readStream.schema("user_id long, ts timestamp_ntz, value double").parquet(landing)
 
     def compute(df):
         found = pickup_features(df, None, key="user_id", value="value", suffix="user", time_column="ts")

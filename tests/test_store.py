@@ -68,7 +68,11 @@ def test_upsert_disjoint_partial_and_full(spark, table):
 def test_upsert_rewrites_touched_days_only(spark, table):
     table.upsert(frame(spark, [(1, 31, 5)]))
     snapshot = FeatureTable.open(spark, table.path)._snapshot()["parts"]
-    assert snapshot == {"2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1}
+    made = {p: [int(f[:8]) for f in held] for p, held in snapshot.items()}
+    assert made == {"2024-01-01": [1], "2024-01-02": [2, 2], "2024-01-03": [1]}
+    assert content(table.read()) == [(1, 0, 1), (1, 30, 2), (1, 31, 5), (2, 50, 3)]
+    table.upsert(frame(spark, [(1, 30, 6), (1, 31, 6)]))
+    assert len(table._snapshot()["parts"]["2024-01-02"]) == 1
 
 
 def test_replayed_batch_changes_nothing(spark, table):
@@ -122,7 +126,7 @@ def test_forget_and_drop(spark, table, tmp_path):
         table.upsert(frame(spark, [(1, 0, n)]), batch_id=f"b{n}")
     table.forget(keep=2)
     assert table.versions() == [4, 5] and content(table.read(version=4)) == [(1, 0, 2), (1, 30, 2), (2, 50, 3)]
-    assert files.list_names(spark, f"{table.path}/data") == ["v=1", "v=4", "v=5"]
+    assert [n[:8] for n in files.list_names(spark, f"{table.path}/data")] == ["00000001", "00000004", "00000005"]
     assert table.upsert(frame(spark, [(1, 0, 7)]), batch_id="b1") == 5
     FeatureTable.drop(spark, table.path)
     assert not files.exists(spark, table.path)
