@@ -18,6 +18,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.numbers import fare_band, lenient_double
+from millrace.operators.onehot import category_values
 from millrace.operators.quality import binary_metrics
 from millrace.sources.writers import save_table
 
@@ -94,7 +95,13 @@ def churn_classifier(
     passthrough: Sequence[str] = (), rounds: int = 20, step: float = 0.1, depth: int = 5,
     min_instances: int = 3, subsample: float = 1.0, seed: int = 123,
 ):
-    """Boosted classification trees behind one feature pipeline; remaining columns stay."""
+    """Boosted classification trees behind one feature pipeline; remaining columns stay.
+
+    A categorical column with very many values is an error: they would fill the driver and the
+    vectors.
+    """
+    if categorical:
+        category_values(train, categorical)
     tree = GBTClassifier(
         labelCol=label, featuresCol="features", predictionCol="prediction", maxIter=rounds, stepSize=step,
         maxDepth=depth, minInstancesPerNode=min_instances, subsamplingRate=subsample, seed=seed,

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.asof import MAX_GROUP_ROWS, Features, asof_join_all, keyed_lookup
@@ -120,3 +120,16 @@ def score_batch(
     if result_type:
         result = result.cast(result_type)
     return scored.select(*df.columns, result.alias(prediction))
+
+
+def save_model(model: PipelineModel, training_set: TrainingSet, path: str) -> None:
+    """Keep a fitted model together with the lookups that its features come from."""
+    spark = training_set.raw.sparkSession
+    model.write().overwrite().save(f"{path}/model")
+    save_spec(spark, training_set, f"{path}/features.json")
+
+
+def score_saved(df: DataFrame, path: str, **options) -> DataFrame:
+    """``score_batch`` with a model and lookups kept by ``save_model``."""
+    spec = files.read_text(df.sparkSession, f"{path}/features.json")
+    return score_batch(df, spec, PipelineModel.load(f"{path}/model"), **options)

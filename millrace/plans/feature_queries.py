@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from millrace.functions import fare_band
@@ -11,7 +13,7 @@ from millrace.operators.asof import (
 from millrace.operators.keys import hot_groups
 from millrace.operators.onehot import one_hot
 from millrace.operators.store import FeatureTable, upserted
-from millrace.operators.training import FeatureLookup, TrainingSet, score_batch
+from millrace.operators.training import FeatureLookup, TrainingSet, save_model, score_batch, score_saved
 from millrace.operators.windows import sliding_mean_count
 from millrace.plans.features import churn_features, dropoff_features, pickup_features, weekend_totals
 from millrace.plans.registry import Tables, query
@@ -167,7 +169,7 @@ def asof_hot_keys(t):
         F.count("*").alias("last_hour")
     ).select("event_type", F.col("w.end").alias("ts"), "last_hour")
     rows = t.events.select("event_id", "event_type", "ts")
-    share = max(1, t.events.count() // 100)
+    share = max(1, min(MAX_GROUP_ROWS, t.events.count() // 100))
     return asof_join(
         rows, hourly, keys="event_type", left_ts="ts", right_ts="ts", values=["last_hour"],
         max_group_rows=share, bin_seconds=7 * 86400,
@@ -263,6 +265,22 @@ def score_with_lookups(t):
     )
 
 
+@query(f"""
+WITH {PICKUP_EVENTS}
+SELECT e.event_id, e.user_id, e.ts, p.mean_fare_window_1h, p.count_trips_window_1h, c.c_mktsegment,
+       CAST(coalesce(p.count_trips_window_1h, 0) * 2 AS VARCHAR) AS prediction
+FROM events e ASOF LEFT JOIN pickup p ON e.user_id = p.zip AND e.ts > p.ts
+LEFT JOIN customer c ON e.user_id = c.c_custkey""")
+def score_saved_model(t):
+    """A model and its lookups, saved in one folder, read back and applied to rows without features."""
+    raw = t.events.select("event_id", "user_id", "ts")
+    rule = SQLTransformer(statement="SELECT *, coalesce(count_trips_window_1h, 0) * 2 AS prediction FROM __THIS__")
+    training = TrainingSet(raw, stored_lookups(t))
+    path = scratch_path(t.spark, "model")
+    save_model(Pipeline(stages=[rule]).fit(training.to_df()), training, path)
+    return score_saved(raw, path, result_type="string")
+
+
 # -- categories --------------------------------------------------------------------------------
 
 STATUSES = ["F", "O", "P"]

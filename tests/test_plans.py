@@ -11,7 +11,7 @@ from millrace.plans.registry import Tables
 # Queries whose building runs training or streams are left to their own tests.
 SLOW_TO_BUILD = {
     "churn_model_metrics", "fare_model", "searched_model_scores", "document_vectors", "feature_table_merge",
-    "feature_table_range", "score_with_lookups", "stored_training_set", "streamed_features", "streamed_silver_orders",
+    "feature_table_range", "score_with_lookups", "score_saved_model", "stored_training_set", "streamed_features", "streamed_silver_orders",
     "streamed_silver_users", "streamed_tables", "rescued_fields", "evolving_table", "table_from_select",
 }
 PYTHON = {"column_model_scores"}

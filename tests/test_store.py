@@ -6,8 +6,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from millrace.operators.learn import fare_regressor
 from millrace.operators.store import FeatureTable, upserted
-from millrace.operators.training import FeatureLookup, TrainingSet, save_spec, score_batch
+from millrace.operators.training import (
+    FeatureLookup, TrainingSet, save_model, save_spec, score_batch, score_saved,
+)
 from millrace.sources import files
 
 DAY = datetime(2024, 1, 1)
@@ -212,3 +215,17 @@ def test_scoring_repeats_the_lookups(spark, lookups, tmp_path):
         score_batch(new.withColumn("pickup_at", F.col("pickup_at").cast("date")), spec, lambda df: df)
     with pytest.raises(TypeError, match="missing"):
         score_batch(new.drop("dropoff_at"), spec, lambda df: df)
+
+
+def test_model_saved_with_its_lookups(spark, lookups, tmp_path):
+    training = TrainingSet(rides(spark), lookups, label="fare", exclude=["pickup_at", "dropoff_at"])
+    model = fare_regressor(training.to_df(), "fare", ["n", "m"], rounds=2, depth=2)
+    path = str(tmp_path / "saved")
+    save_model(model, training, path)
+    save_model(model, training, path)
+    scored = score_saved(rides(spark).drop("fare"), path)
+    assert scored.columns == ["ride", "pickup_zip", "dropoff_zip", "pickup_at", "dropoff_at", "n", "name", "m", "prediction"]
+    direct = model.transform(training.to_df())
+    assert sorted(map(tuple, scored.select("ride", "prediction").collect())) == sorted(
+        map(tuple, direct.select("ride", "prediction").collect())
+    )
