@@ -2,8 +2,9 @@
 
 A table is split into parts: days of its time key, or hash buckets of its keys when it has none. A
 write makes a new folder of parts under ``data`` and then publishes a small snapshot file that says
-which folders hold each part. An upsert writes its batch once; of the parts that were there before
-it also writes the rows that the batch leaves standing, and it does not open any other part.
+which folders hold each part. An upsert writes its batch once, beside what is there. Parts in which
+it replaces rows are cleared of those; all others are left as they are, and parts that the batch
+has no rows for are not opened.
 Readers see the last published snapshot, so a job that dies half way leaves the table as it was.
 """
 
@@ -26,6 +27,9 @@ _PART = "__part"
 # A batch id is remembered for this many versions. A stream replays its last batch only.
 _REMEMBERED = 1000
 
+# A part in this many folders is written to one again, so that small batches do not pile up.
+_MAX_FOLDERS = 16
+
 
 @dataclass
 class FeatureTable:
@@ -181,14 +185,27 @@ class FeatureTable:
         fresh = self._write_parts(self._shaped(df), version)
         self._check_keys(self._read_parts(fresh))
         shared = {p: held for p, held in current.items() if p in fresh}
-        kept: dict[str, list[str]] = {}
-        if shared:
-            full = self._full_key()
-            replacing = self._read_parts({p: fresh[p] for p in shared}).select(*full)
-            kept = self._write_parts(self._read_parts(shared).join(replacing, full, "left_anti"), version)
-        merged = {p: held + kept.get(p, []) for p, held in fresh.items()}
+        beside = {**shared, **self._without(shared, {p: fresh[p] for p in shared}, version)}
+        merged = {p: held + beside.get(p, []) for p, held in fresh.items()}
         return self._publish(version, {**current, **merged}, batch_id)
 
+    def _without(
+        self, old: dict[str, list[str]], new: dict[str, list[str]], version: int
+    ) -> dict[str, list[str]]:
+        """The old parts that have to be written again, because rows of ``new`` replace some of
+        theirs or because they are in too many folders, with the folders of what remains."""
+        if not old:
+            return {}
+        full = self._full_key()
+        replacing = self._read_parts(new).select(*full)
+        hit = self._read_parts(old).select(*full).join(replacing, full, "left_semi")
+        changed = {row[0] for row in hit.select(self._part()).distinct().collect()}
+        again = {p: held for p, held in old.items() if p in changed or len(held) >= _MAX_FOLDERS}
+        if not again:
+            return {}
+        kept = self._write_parts(self._read_parts(again).join(replacing, full, "left_anti"), version)
+        return {p: kept.get(p, []) for p in again}
+
     def forget(self, keep: int = 10) -> None:
         """Remove all but the last ``keep`` versions, and the data that none of those refers to.
 

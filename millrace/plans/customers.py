@@ -19,14 +19,21 @@ def event_stats(
     events: DataFrame, key: str = "user_id", when: Column | None = None, platform: str = "platform",
     session: str = "session_id", order: str = "date", tie: str = "event_id",
 ) -> DataFrame:
-    """Platform of the first event, event and session counts, time of the last event."""
-    when = parse_timestamp(order) if when is None else when
-    return events.groupBy(key).agg(
-        first_by(platform, when, tie).alias("platform"),
+    """Platform of the first event, event and session counts, time of the last event, per key.
+
+    Events without a key are left out. Sessions are counted apart: a distinct count in the same
+    aggregation would send the first platforms through its extra rounds, which have to sort. The
+    two results are partitioned by the key alike, so joining them moves nothing.
+    """
+    keyed = events.filter(F.col(key).isNotNull())
+    timed = keyed.withColumn("__when", parse_timestamp(order) if when is None else when)
+    stats = timed.groupBy(key).agg(
+        first_by(platform, "__when", tie).alias("platform"),
         F.count("*").alias("event_count"),
-        F.countDistinct(session).alias("session_count"),
-        F.max(when).alias("last_event"),
+        F.max("__when").alias("last_event"),
     )
+    sessions = keyed.groupBy(key).agg(F.countDistinct(session).alias("session_count"))
+    return stats.join(sessions, [key]).select(key, "platform", "event_count", "session_count", "last_event")
 
 
 def customer_360(

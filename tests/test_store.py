@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from millrace.operators import store
 from millrace.operators.learn import fare_regressor
 from millrace.operators.store import FeatureTable, upserted
 from millrace.operators.training import (
@@ -68,16 +69,35 @@ def test_upsert_disjoint_partial_and_full(spark, table):
     assert content(table.read(version=1)) == [(1, 0, 1), (1, 30, 2), (2, 50, 3)]
 
 
-def test_upsert_rewrites_touched_days_only(spark, table):
+def test_upsert_rewrites_only_days_with_replaced_rows(spark, table):
     table.upsert(frame(spark, [(1, 31, 5)]))
     snapshot = FeatureTable.open(spark, table.path)._snapshot()["parts"]
     made = {p: [int(f[:8]) for f in held] for p, held in snapshot.items()}
-    assert made == {"2024-01-01": [1], "2024-01-02": [2, 2], "2024-01-03": [1]}
+    assert made == {"2024-01-01": [1], "2024-01-02": [2, 1], "2024-01-03": [1]}  # no row replaced
     assert content(table.read()) == [(1, 0, 1), (1, 30, 2), (1, 31, 5), (2, 50, 3)]
     table.upsert(frame(spark, [(1, 30, 6), (1, 31, 6)]))
     assert len(table._snapshot()["parts"]["2024-01-02"]) == 1
 
 
+def test_new_keys_in_an_old_day_leave_its_files_alone(spark, table):
+    first = table._snapshot()["parts"]["2024-01-02"]
+    for n in range(3):
+        table.upsert(frame(spark, [(10 + n, 30, n)]))
+    held = table._snapshot()["parts"]["2024-01-02"]
+    assert len(held) == 4 and held[-1:] == first
+    table.upsert(frame(spark, [(11, 30, 50)]))
+    assert len(table._snapshot()["parts"]["2024-01-02"]) == 2
+    assert content(table.read()) == [(1, 0, 1), (1, 30, 2), (2, 50, 3), (10, 30, 0), (11, 30, 50), (12, 30, 2)]
+
+
+def test_many_small_batches_are_put_together(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "_MAX_FOLDERS", 3)
+    for n in range(5):
+        table.upsert(frame(spark, [(10 + n, 30, n)]))
+        assert len(table._snapshot()["parts"]["2024-01-02"]) <= 3
+    assert table.read().count() == 8
+
+
 def test_replayed_batch_changes_nothing(spark, table):
     batch = frame(spark, [(1, 0, 100)])
     assert table.upsert(batch, batch_id="b1") == 2
