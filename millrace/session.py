@@ -16,6 +16,9 @@ SESSION_CONF = {
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Open windows of a stream are kept on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Where a local session without spark.checkpoint.dir keeps its scratch tables.

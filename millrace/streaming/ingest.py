@@ -149,10 +149,11 @@ def rescue_unknown(raw: DataFrame, schema: T.StructType) -> DataFrame:
 def ingest_folder(
     spark: SparkSession, folder: str, fmt: str, table: str, root: str, *,
     hints: Mapping[str, str] | None = None, sample: float = 1.0, once: bool = True,
-    rescue: bool = False, max_files: int | None = None,
+    rescue: bool = False, max_files: int | None = 10_000,
 ) -> StreamingQuery:
     """Start taking new files of ``folder`` into the bronze table; returns the running query.
 
+    A large backlog is taken in batches of ``max_files``, each of which is done once and for all.
     With ``rescue``, JSON fields unknown to the schema are kept in ``_rescued_data`` too.
     """
     state = IngestState(root.rstrip("/"), table)
