@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, rules, sql
+from millrace.llm import mixing, packing, quality, rules, simhash, sql, toxicity
+from millrace.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -32,6 +34,28 @@ def op1_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit_quality(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query(sql.RULES_SQL)
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents")).select(
