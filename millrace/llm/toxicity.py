@@ -123,47 +123,52 @@ def _best(model_scores: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.nda
     return np.concatenate(best), np.concatenate(total), np.concatenate(number)
 
 
-def log_odds(toxic: np.ndarray, other: np.ndarray, prior: float) -> np.ndarray:
-    """Log-odds of each slot between two count vectors, each with ``prior`` counts in the joint shares."""
-    n1, n0 = max(toxic.sum(), 1.0), max(other.sum(), 1.0)
-    share = n1 / (n1 + n0)
+def log_odds(toxic: np.ndarray, other: np.ndarray, n1: int, n0: int, prior: float) -> np.ndarray:
+    """Log-odds of tokens between n1 toxic and n0 other texts, with ``prior`` counts in the joint shares."""
+    share = (n1 + 1) / (n1 + n0 + 2)
     return np.log((toxic + prior * share) / share) - np.log((other + prior * (1 - share)) / (1 - share))
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, most: int = 20_000, slots: int = 1 << 18, prior: float = 10.0, drift: float = 1.0,
+    docs: DataFrame, labels: DataFrame, most: int = 20_000, slots: int = 1 << 21,
+    prior: tuple[float, float] = (2.0, 1 / 80), drift: float = 2.0,
 ) -> ToxicModel:
     """Fit on at most ``most`` labelled rows outside the held-out share (``labels.fit_rows``).
 
-    Texts vote once for each token and stem that they hold. The counts come to the driver as one
-    number for each slot and label; ``slots`` bounds them. Then each row's best segment, at most
-    ``most`` numbers, gives the law of clean texts and the logistic curve.
+    Texts vote once for each token and stem that they hold. The prior counts are ``prior[0]`` and
+    ``prior[1]`` more for each toxic text, so that a token needs a share of them to count. Only
+    slots that some toxic text has come to the driver, ``slots`` at most; all others score minus
+    ``drift``. Then each row's best segment, at most ``most`` numbers, gives the law of clean
+    texts and the logistic curve.
     """
     rows = fit_rows(docs, labels, "toxic", 5, 0, most)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, slots), dtype=np.int64)
+        held = np.zeros((2, slots + 1), dtype=np.int64)  # the last slot counts the texts
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
+            held[:, slots] += np.bincount(label, minlength=2)
             for s, e in W.pieces(batch.column(0)):
                 w = tokens(batch.column(0).slice(s, e - s))
                 own, stem = _slots(w, slots)
-                text = np.concatenate([w.text, w.text])
-                once = np.unique(text * slots + np.concatenate([own, stem]))
+                once = np.unique(np.concatenate([w.text, w.text]) * slots + np.concatenate([own, stem]))
+                mine = label[s:e][once // slots]
                 for k in (0, 1):
-                    mine = label[s:e][once // slots] == k
-                    held[k] += np.bincount(once[mine] % slots, minlength=slots)
-        for k in (0, 1):
-            at = np.flatnonzero(held[k])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), k)), pa.array(at), pa.array(held[k][at])], names=["label", "slot", "n"])
-
-    counts = rows.mapInArrow(count, "label long, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n"))
-    held = np.zeros((2, slots))
-    found = counts.toPandas()
-    held[found["label"].to_numpy(dtype=np.int64), found["slot"].to_numpy(dtype=np.int64)] = found["n"].to_numpy()
-    scores = (log_odds(held[1], held[0], prior) - drift).astype(np.float32)
-    scores[(held[1] == 0)] = np.minimum(scores[(held[1] == 0)], -drift)
+                    held[k, :slots] += np.bincount(once[mine == k] % slots, minlength=slots)
+        at = np.flatnonzero(held.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(held[1][at]), pa.array(held[0][at])], names=["slot", "toxic", "other"])
+
+    counts = rows.mapInArrow(count, "slot long, toxic long, other long").groupBy("slot").agg(
+        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    found = counts.filter(f"toxic > 0 OR slot = {slots}").toPandas()
+    of_texts = found["slot"] == slots
+    n1, n0 = int(found.loc[of_texts, "toxic"].sum()), int(found.loc[of_texts, "other"].sum())
+    found = found[~of_texts]
+    scores = np.full(slots, -drift, dtype=np.float32)
+    scores[found["slot"].to_numpy(dtype=np.int64)] = log_odds(
+        found["toxic"].to_numpy(dtype=np.float64), found["other"].to_numpy(dtype=np.float64), n1, n0,
+        prior[0] + prior[1] * n1) - drift
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
