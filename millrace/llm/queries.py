@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality, rules, simhash, sql, toxicity
+from millrace.llm import mixing, packing, quality, rules, simhash, sql, suffixes, toxicity
 from millrace.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query(sql.RULES_SQL)
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents")).select(
