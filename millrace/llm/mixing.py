@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import hash_order, running_total, shard_digits, tasks_for, word_count
+from millrace.llm.common import hash_order, running_total, shard_digits, tasks_for, whole, word_count
 from millrace.session import cut_lineage
 
 # Odd number next to 2^31 / golden ratio: multiples of it modulo 2^31 are spread evenly.
@@ -99,18 +99,18 @@ def schedule(targets: DataFrame, total: int, block_words: int, spare: float = 0.
 
 def mixed_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights=(5, 2, 1), max_repeats: int = 3, block_words: int = 256,
+    weights=(5, 2, 1), max_repeats: int = 3, block_words: int = 256, keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Sized rows, and the pieces of them that the mix takes.
 
-    Sized rows: row (a number of the row), doc_id, size, source_size, target. Pieces: row, slot,
-    repeat (0 at the first pass over the source), first_word, words.
+    Sized rows: row (a number of the row), doc_id, size, source_size, target, and the columns
+    ``keep``. Pieces: row, slot, repeat (0 at the first pass over the source), first_word, words.
 
     Null text has size 0, a null source is a source of its own and the last. Rows repeated in the
     input are rows of their own. An empty table gives empty results.
     """
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), *keep,
     ).withColumn("order", hash_order("doc_id"))
     rows = cut_lineage(rows, "mix-sizes")
     digits = shard_digits(rows.count())
@@ -130,7 +130,7 @@ def mixed_pieces(
         .withColumn("start", F.col("_before") + F.coalesce(
             F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("row", F.concat_ws("/", "source_key", "shard", F.row_number().over(inside)))
-        .select("row", "doc_id", "source_key", "size", "source_size", "target", "start"), "mix-sized",
+        .select("row", "doc_id", "source_key", "size", "source_size", "target", "start", *keep), "mix-sized",
     )
     wanted = F.round("target").cast("long")
     # Passes over the source, each shifted by its size; blocks that the piece touches, each one row.
@@ -150,10 +150,24 @@ def mixed_pieces(
     return sized, taken.select("row", "slot", "repeat", "first_word", "words")
 
 
-def mix(docs: DataFrame, **settings) -> DataFrame:
+def mix(docs: DataFrame, keep: tuple[str, ...] = (), **settings) -> DataFrame:
     """What the mix takes of each row: doc_id, size, source_size, target, taken. See ``mixed_pieces``."""
-    sized, pieces = mixed_pieces(docs, **settings)
+    sized, pieces = mixed_pieces(docs, keep=keep, **settings)
     taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
     return sized.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+        "doc_id", *keep, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
     )
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``docs`` as often as the mix takes them: each row as many times as its size is taken, rounded.
+
+    Only the text in which the mix of a source ends is taken in part; it stays if half of it or more is.
+    Texts without words go. Rows with equal id and text share their copies evenly.
+    """
+    marked = docs.withColumn("_md5", F.md5(whole(text_col)))
+    copies = mix(marked, keep=("_md5",), id_col=id_col, text_col=text_col, **settings).groupBy("doc_id", "_md5").agg(
+        F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("_copies"))
+    copies = copies.filter("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_text"), "_copies")
+    same = marked[id_col].eqNullSafe(copies["_id"]) & (marked["_md5"] == copies["_text"])
+    return marked.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -356,7 +356,7 @@ def _cut_texts(chunk: pa.Table, covered: pa.Table) -> pa.Table:
     """What is left of each text of a chunk."""
     schema = pa.schema([
         ("md5", pa.string()), ("doc_key", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-        ("kept_sha256", pa.string()), ("kept", pa.binary())])
+        ("kept_sha256", pa.string()), ("kept", pa.string())])
     if not chunk.num_rows:
         return schema.empty_table()
     chunk = _sorted_chunk(chunk)
@@ -377,44 +377,42 @@ def _cut_texts(chunk: pa.Table, covered: pa.Table) -> pa.Table:
     kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     return pa.table([
         chunk.column("md5").cast(pa.string()), chunk.column("doc_key"), removed[offsets[1:]] - removed[offsets[:-1]],
-        spans[offsets[1:]] - spans[offsets[:-1]], [hashlib.sha256(k).hexdigest() for k in kept], kept], schema=schema)
+        spans[offsets[1:]] - spans[offsets[:-1]], [hashlib.sha256(k).hexdigest() for k in kept],
+        [k.decode("utf-8", "ignore") for k in kept]], schema=schema)
 
 
-def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False,
-    chunk_bytes: int = 8 << 20, name: str = "suffix_texts",
-) -> DataFrame:
-    """One row for each text: doc_id, md5, n_bytes, n_removed, n_spans, kept_sha256 (and kept, its bytes).
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = whole(text_col)
+    return docs.withColumns({
+        "_doc_key": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_md5": F.md5(text),
+        "_n_bytes": F.octet_length(text).cast("long"),
+    })
 
-    A byte is removed if a string of 50 bytes around it also starts in a text with a smaller id.
-    Null text is empty. A null id is smaller than none, so such texts lose what any other has. Texts
-    with the same id take nothing from each other. Repeated rows are all returned. An empty table
-    gives no rows.
 
-    Of exact copies only the one with the smallest id is searched; the others go whole. Texts are
-    stored once, in buckets of chunks, and read three times from there without another shuffle. Work
-    for a partition grows with the anchors in it, which hash spreads; of equal pieces a chunk sends one.
+def search_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, chunk_bytes: int = 8 << 20,
+) -> DataFrame:
+    """What goes of each different text of 50 bytes or more: _md5, _doc_key, n_removed, n_spans, kept_sha256.
+
+    ``keep_text`` adds kept, the rest of the text without characters that were cut in part. Of
+    exact copies only the one with the smallest id is searched and listed; the others go whole.
+    Texts are stored once, in buckets of chunks, and read three times from there without another
+    shuffle. Work for a partition grows with the anchors in it, which hash spreads; of equal pieces
+    a chunk sends one.
     """
     spark = docs.sparkSession
-    marked = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_key"), F.col(id_col).alias("doc_id"),
-        whole(text_col).alias("text"),
-    ).withColumns({"md5": F.md5("text"), "n_bytes": F.octet_length("text").cast("long")})
-    short_hash = F.when(F.col("n_bytes") < LENGTH, F.sha2(F.col("text").cast("binary"), 256))
-    short_kept = F.when(F.col("n_bytes") < LENGTH, F.col("text").cast("binary"))
-    base = cut_lineage(marked.select(
-        "doc_id", "doc_key", "md5", "n_bytes", short_hash.alias("short_hash"),
-        *([short_kept.alias("short_kept")] if keep_bytes else [])), "suffix-base")
-    total = base.agg(F.sum("n_bytes")).first()[0] or 0
+    marked = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    long = marked.filter(F.col("_n_bytes") >= LENGTH)
+    keys = cut_lineage(long.select("_md5", "_doc_key", "_n_bytes"), "suffix-keys")
+    total = keys.agg(F.sum("_n_bytes")).first()[0] or 0
     chunks = tasks_for(spark, total, chunk_bytes)
     parts = tasks_for(spark, total, 2 * chunk_bytes)
-    firsts = base.filter(F.col("n_bytes") >= LENGTH).groupBy("md5").agg(F.min("doc_key").alias("doc_key"))
     chunk: Column = F.pmod(F.xxhash64("md5", "doc_key"), F.lit(chunks)).alias("chunk")
-    table = f"{name}_{uuid.uuid4().hex[:12]}"
-    flagged = marked.filter(F.col("n_bytes") >= LENGTH).select(chunk, "md5", "doc_key", "text")
-    first_keys = firsts.select(chunk, "md5", "doc_key")
+    firsts = keys.groupBy(F.col("_md5").alias("md5")).agg(F.min("_doc_key").alias("doc_key")).select(chunk, "md5", "doc_key")
+    every = long.select(F.col("_md5").alias("md5"), F.col("_doc_key").alias("doc_key"), "text").select(chunk, "md5", "doc_key", "text")
+    table = f"suffix_texts_{uuid.uuid4().hex[:12]}"
     (
-        flagged.repartition(chunks, "chunk").groupBy("chunk").cogroup(first_keys.groupBy("chunk"))
+        every.repartition(chunks, "chunk").groupBy("chunk").cogroup(firsts.groupBy("chunk"))
         .applyInArrow(_first_texts, "chunk long, md5 string, doc_key long, text string")
         .write.option("compression", "zstd").bucketBy(chunks, "chunk").saveAsTable(table)
     )
@@ -427,17 +425,47 @@ def remove_repeats(
         _repeats_of_partition(), "chunk long, numbers binary, starts binary, lengths binary")
     covered = repeats.unionByName(pieces.filter("part < 0").select("chunk", "numbers", "starts", "lengths"))
     done = texts.groupBy("chunk").cogroup(covered.groupBy("chunk")).applyInArrow(
-        _cut_texts, "md5 string, doc_key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    done = cut_lineage(done if keep_bytes else done.drop("kept"), "suffix-done")
+        _cut_texts, "md5 string, doc_key long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    done = done.withColumnsRenamed({"md5": "_md5", "doc_key": "_doc_key"})
+    done = cut_lineage(done if keep_text else done.drop("kept"), "suffix-done")
     spark.sql(f"DROP TABLE {table}")
-    joined = base.join(done, ["md5", "doc_key"], "left")
+    return done
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each text: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    A byte is removed if a string of 50 bytes around it also starts in a text with a smaller id.
+    Null text is empty. A null id is smaller than none, so such texts lose what any other has. Texts
+    with the same id take nothing from each other. Repeated rows are all returned. An empty table
+    gives no rows.
+    """
+    short = F.col("_n_bytes") < LENGTH
+    base = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").select(
+        "doc_id", "_doc_key", "_md5", "_n_bytes",
+        F.when(short, F.sha2(whole("text").cast("binary"), 256)).alias("_short_hash"))
     # No row there: shorter than the length, so nothing goes; or a later copy, so all goes.
-    short = F.col("n_bytes") < LENGTH
     empty = hashlib.sha256(b"").hexdigest()
-    return joined.select(
-        "doc_id", "md5", "n_bytes",
-        F.when(short, F.lit(0)).otherwise(F.coalesce("n_removed", "n_bytes")).cast("long").alias("n_removed"),
+    return base.join(search_repeats(docs, id_col, text_col), ["_md5", "_doc_key"], "left").select(
+        "doc_id", F.col("_n_bytes").alias("n_bytes"),
+        F.when(short, F.lit(0)).otherwise(F.coalesce("n_removed", "_n_bytes")).cast("long").alias("n_removed"),
         F.when(short, F.lit(0)).otherwise(F.coalesce("n_spans", F.lit(1))).cast("long").alias("n_spans"),
-        F.when(short, F.col("short_hash")).otherwise(F.coalesce("kept_sha256", F.lit(empty))).alias("kept_sha256"),
-        *([F.when(short, F.col("short_kept")).otherwise(F.coalesce("kept", F.lit(b""))).alias("kept")] if keep_bytes else []),
+        F.when(short, F.col("_short_hash")).otherwise(F.coalesce("kept_sha256", F.lit(empty))).alias("kept_sha256"),
+    )
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts; texts of which no word is left go.
+
+    All columns stay; a text that loses nothing stays as it is, null too.
+    """
+    done = search_repeats(docs, id_col, text_col, keep_text=True)
+    own = (F.col("_n_bytes") < LENGTH) | (F.col("n_removed") == 0)
+    # Long texts come back with the result, so they need not be shuffled from here.
+    slim = _marked(docs, id_col, text_col).withColumn(text_col, F.when(F.col("_n_bytes") < LENGTH, F.col(text_col)))
+    joined = slim.join(done, ["_md5", "_doc_key"], "left")
+    text = F.when(F.col("_n_bytes") < LENGTH, F.col(text_col)).otherwise(F.coalesce("kept", F.lit("")))
+    return (
+        joined.withColumn(text_col, text)
+        .filter(own | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
     )
