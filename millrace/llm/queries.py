@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality, rules, simhash, sql, suffixes, toxicity
+from millrace.llm import mixing, packing, pivots, quality, rules, simhash, sql, suffixes, toxicity
 from millrace.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query(sql.TOP_K_SQL)
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_k(table(spark, folder, "embeddings"))
+
+
 @query()
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -77,3 +77,19 @@ SELECT doc_id, size, source_size, target, CAST(
   + least(size, greatest(0, wanted - start - 2 * source_size)) AS BIGINT) AS taken
 FROM starts
 """
+
+TOP_K_SQL = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
