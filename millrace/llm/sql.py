@@ -1,5 +1,6 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
+from millrace.llm.licenses import SHINGLE, TEMPLATES, shingles_of
 from millrace.llm.rules import RULES, SHOUTS, STOP_WORDS, SYMBOLS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -93,3 +94,22 @@ WITH vectors AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+_SHINGLES = ", ".join(f"('{name}', '{s}')" for name, text in sorted(TEMPLATES.items()) for s in shingles_of(text))
+LICENSE_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda w: w <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row, doc_id, array_to_string(words[i : i + {SHINGLE - 1}], ' ') AS shingle
+  FROM (SELECT row, doc_id, words, unnest(range(1, len(words) - {SHINGLE - 2})) AS i FROM texts WHERE len(words) >= {SHINGLE})
+), templates(license, shingle) AS (VALUES {_SHINGLES}
+), sizes AS (
+  SELECT license, count(*) AS n FROM templates GROUP BY license
+)
+SELECT doc_id, license, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_found,
+  count(*)::DOUBLE / any_value(n)::DOUBLE AS containment
+FROM shingles JOIN templates USING (shingle) JOIN sizes USING (license)
+GROUP BY row, doc_id, license HAVING count(*)::DOUBLE / any_value(n)::DOUBLE >= 0.8
+"""
