@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import licenses, mixing, packing, pivots, quality, rules, simhash, sql, suffixes, toxicity
+from millrace.llm import licenses, mixing, ngrams, packing, pivots, quality, rules, simhash, sql, suffixes, toxicity
 from millrace.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,11 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query()
+def op7_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.backoff_scores(table(spark, folder, "documents"))
+
+
 @query(sql.LICENSE_SQL)
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
