@@ -116,7 +116,7 @@ def _best(model_scores: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.nda
         most = np.zeros(w.texts)
         np.maximum.at(most, t, score)
         best.append(most)
-        total.append(np.bincount(t, score, w.texts))
+        total.append(np.bincount(t, score, w.texts).astype(np.float64))
         number.append(w.per_text())
     if not best:
         return np.zeros(0), np.zeros(0), np.zeros(0)
