@@ -22,8 +22,12 @@ def value_counts_only(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def first_by(value: str, order: Column | str, *ties: Column | str) -> Column:
-    """The value of the earliest row in the group. Unlike ``first``, the answer is always the same."""
-    return F.min_by(value, F.struct(order, *ties))
+    """The value of the earliest row in the group. Unlike ``first``, the answer is always the same.
+
+    Rows whose order is null, as a date that did not parse, come after all others.
+    """
+    order = F.col(order) if isinstance(order, str) else order
+    return F.min_by(value, F.struct(order.isNull(), order, *ties))
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -205,13 +205,15 @@ def _cut(
 def keyed_lookup(
     left: DataFrame, right: DataFrame, *, keys: str | Sequence[str], values: Sequence[str],
     right_keys: str | Sequence[str] | None = None, hot_keys: Sequence[tuple] | None | str = "find",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS, unique: bool = False,
 ) -> DataFrame:
     """Left join to a table with one row per key; no time involved.
 
     Left rows of hot keys are joined to the rows of those keys alone. These are as few as the hot
     keys, which are bounded, so they are broadcast and the hot rows are not shuffled. All other
     left rows, those with a null key too, take the usual join. ``hot_keys`` as in ``asof_join_all``.
+    Several rows for one key of the table are an error, whatever its size; ``unique`` says that the
+    table has been checked, as feature tables are on writing.
     """
     keys = _as_list(keys)
     right_keys = _as_list(right_keys) if right_keys is not None else keys
@@ -221,6 +223,9 @@ def keyed_lookup(
     if clash:
         raise ValueError(f"feature columns are already in the input: {clash}")
     features = right.select(*[F.col(r).alias(k) for r, k in zip(right_keys, keys)], *values)
+    known = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 0
+    if not unique and not features.filter(known).groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"the table has several rows for one key {keys}")
     if hot_keys == "find":
         hot = [row[:-1] for row in hot_groups([left], keys, max_group_rows)]
     else:
@@ -229,8 +234,6 @@ def keyed_lookup(
         return left.join(features, keys, "left").select(*columns, *values)
     hot_frame = small_frame(left.sparkSession, hot, T.StructType([schema[k] for k in keys]))
     few = features.join(hot_frame, keys, "left_semi")
-    if few.limit(MAX_HOT_GROUPS + 1).count() > MAX_HOT_GROUPS:
-        raise ValueError(f"the table has several rows for one key {keys}")
     cold = left.join(hot_frame, keys, "left_anti").join(features, keys, "left")
     dense = left.join(hot_frame, keys, "left_semi").join(F.broadcast(few), keys, "left")
     return cold.select(*columns, *values).unionByName(dense.select(*columns, *values))

@@ -90,18 +90,23 @@ def fare_regressor(
     return Pipeline(stages=[*feature_stages(numeric), tree]).fit(train)
 
 
+def _frequent_values(df: DataFrame, columns: Sequence[str], most: int) -> DataFrame:
+    """Null in place of all but the most frequent values, so that what an indexer collects is bounded."""
+    values = category_values(df, columns, most) if columns else {}
+    return df.withColumns({c: F.when(F.col(c).cast("string").isin(v), F.col(c)) for c, v in values.items()})
+
+
 def churn_classifier(
     train: DataFrame, label: str, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
     passthrough: Sequence[str] = (), rounds: int = 20, step: float = 0.1, depth: int = 5,
-    min_instances: int = 3, subsample: float = 1.0, seed: int = 123,
+    min_instances: int = 3, subsample: float = 1.0, seed: int = 123, most_values: int = 1000,
 ):
     """Boosted classification trees behind one feature pipeline; remaining columns stay.
 
-    A categorical column with very many values is an error: they would fill the driver and the
-    vectors.
+    The ``most_values`` most frequent values of each category are told apart; all others count as one
+    unknown value, in training and in scoring.
     """
-    if categorical:
-        category_values(train, categorical)
+    train = _frequent_values(train, categorical, most_values)
     tree = GBTClassifier(
         labelCol=label, featuresCol="features", predictionCol="prediction", maxIter=rounds, stepSize=step,
         maxDepth=depth, minInstancesPerNode=min_instances, subsamplingRate=subsample, seed=seed,
@@ -112,9 +117,13 @@ def churn_classifier(
 def model_search(
     train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     depths: Sequence[int] = (3, 5), steps: Sequence[float] = (0.1,), rounds: int = 10, seed: int = 123,
-    parallelism: int = 2,
+    parallelism: int = 2, most_values: int = 1000,
 ):
-    """Try a small grid on one held-out split; the best model and the metric of each try."""
+    """Try a small grid on one held-out split; the best model and the metric of each try.
+
+    Categories as in ``churn_classifier``.
+    """
+    train = _frequent_values(train, categorical, most_values)
     tree = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, seed=seed)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).addGrid(tree.stepSize, list(steps)).build()
     search = TrainValidationSplit(

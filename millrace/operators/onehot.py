@@ -8,34 +8,32 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def category_values(
-    df: DataFrame, columns: Sequence[str], max_values: int = 1000
+    df: DataFrame, columns: Sequence[str], most: int = 1000
 ) -> dict[str, list[str]]:
-    """The distinct non-null values of each column, sorted, found in one pass.
+    """The ``most`` most frequent non-null values of each column, ties by value, sorted; one pass.
 
-    Duplicates are removed before the shuffle. A column with more than ``max_values`` values is no
-    category, and an error: its values would become columns and fill the driver.
+    Rows are counted before the shuffle. All values become columns, so their number is a parameter;
+    ``one_hot(other=True)`` flags the values beyond it.
     """
     tagged = F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns
     ]))
-    distinct = (
-        df.select(tagged.alias("pair")).select("pair.*").filter(F.col("value").isNotNull()).distinct()
-    )
+    counts = df.select(tagged.alias("pair")).select("pair.*").filter(F.col("value").isNotNull()).groupBy("name", "value").count()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in distinct.limit(max_values * len(columns) + 1).collect():
-        found[row["name"]].append(row["value"])
-    too_many = [c for c, v in found.items() if len(v) > max_values]
-    if too_many:
-        raise ValueError(f"more than {max_values} values in {too_many}")
+    for c in columns:
+        # Each task keeps its first rows, so no task sees all values.
+        for row in counts.filter(F.col("name") == c).orderBy(F.desc("count"), "value").limit(most).collect():
+            found[c].append(row["value"])
     return {c: sorted(v) for c, v in found.items()}
 
 
 def one_hot(
-    df: DataFrame, columns: Sequence[str], values: Mapping[str, Sequence[str]] | None = None
+    df: DataFrame, columns: Sequence[str], values: Mapping[str, Sequence[str]] | None = None, other: bool = False
 ) -> DataFrame:
     """Replace each column by one long column per value, named ``column_value``, holding 1 or 0.
 
-    Null and values outside the list give 0 everywhere. Pass the ``values`` found at training time
+    Null and values outside the list give 0 everywhere; ``other`` adds a flag ``column_other_values``
+    for the latter. Pass the ``values`` found at training time
     when scoring, so that both have the same columns; without them the data is searched.
     """
     values = values if values is not None else category_values(df, columns)
@@ -45,4 +43,10 @@ def one_hot(
         for c in columns
         for v in values[c]
     ]
+    if other:
+        flags += [
+            F.coalesce((~F.col(c).cast("string").isin(list(values[c]))).cast("long"), F.lit(0).cast("long"))
+            .alias(f"{c}_other_values")
+            for c in columns
+        ]
     return df.select(*kept, *flags)

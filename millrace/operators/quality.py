@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -66,22 +67,27 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def curve_points(df: DataFrame, score: str, label: str, buckets: int = 1024) -> DataFrame:
+def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_000) -> DataFrame:
     """ROC and precision-recall points, one per distinct score, from the highest score down.
 
     Rows are first counted per score. The distinct scores may still be many, so the running counts
-    go through buckets between approximate quantiles of the score.
+    go through buckets of about ``bucket_rows`` scores between approximate quantiles. Infinite
+    scores are the first and last points; NaN, where a model failed, comes after all others. Rows
+    without score or label are left out.
     """
-    per_score = df.groupBy(score).agg(
+    per_score = df.filter(F.col(label).isNotNull()).groupBy(score).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("tp"),
         F.sum((F.col(label) == 0).cast("long")).alias("fp"),
     ).filter(F.col(score).isNotNull()).withColumn("__down", -F.col(score).cast("double"))
     # Read three times below; the scores may come from a model, which should run once.
     per_score = cut_lineage(per_score, "scores")
-    cuts = per_score.approxQuantile("__down", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    buckets = -(-per_score.count() // bucket_rows)
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = per_score.approxQuantile("__down", shares, 0.5 / buckets) if shares else []
+    splits = [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)}), float("inf")]
     if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol="__down", outputCol="__bucket").transform(per_score)
+        bucketed = Bucketizer(
+            splits=splits, inputCol="__down", outputCol="__bucket", handleInvalid="keep").transform(per_score)
     else:
         bucketed = per_score.withColumn("__bucket", F.lit(0.0))
     points = running_total(
@@ -118,7 +124,7 @@ def scoring_check(spark: SparkSession, run) -> DataFrame:
         run().write.format("noop").mode("overwrite").save()
         outcome = ("predicts", 1, "")
     except Exception as error:  # any failure of the model is the finding
-        outcome = ("predicts", 0, str(error).splitlines()[0][:200])
+        outcome = ("predicts", 0, str(error))
     return spark.createDataFrame([outcome], REPORT_SCHEMA)
 
 

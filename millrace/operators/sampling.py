@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.ranks import running_total
 
@@ -47,52 +47,13 @@ def hash_split(
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, train_fraction: float = 0.75, seed: int = 123,
-    name: str = "is_train", max_labels: int = 10_000,
+    df: DataFrame, key: str, label: str, train_fraction: float = 0.75, seed: int = 123, name: str = "is_train",
 ) -> DataFrame:
     """Mark the first ceil(fraction * n) rows of each label, in hash order, as training rows.
 
-    The share is exact per label. For each label one row is looked for, the last training row:
-    counts per hash bucket say which bucket holds it, and only the rows of that bucket are ranked.
-    The rows themselves are not shuffled, as long as the labels are few. Rows of more than
-    ``max_labels`` labels are ranked in their buckets instead.
+    The share is exact per label. Rows are ranked in hash buckets of their label, and the bucket
+    totals give each bucket its start, so neither a frequent label nor many labels meet in one task.
     """
-    hashed = df.withColumn("__hash", row_hash(key, seed)).withColumn("__bucket", F.substring("__hash", 1, 4))
-    group = Window.partitionBy(label)
-    counts = hashed.groupBy(label, "__bucket").agg(F.count("*").alias("__n"))
-    reached = F.sum("__n").over(group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0))
-    need = F.ceil(F.sum("__n").over(group) * train_fraction)
-    crossing = (
-        counts.select(label, "__bucket", "__n", reached.alias("__reached"), need.alias("__need"))
-        .filter((F.col("__reached") >= F.col("__need")) & (F.col("__reached") - F.col("__n") < F.col("__need")))
-        .select(label, "__bucket", (F.col("__need") - F.col("__reached") + F.col("__n")).alias("__k"))
-    )
-    found = crossing.limit(max_labels + 1).collect()
-    if len(found) > max_labels:
-        return _stratified_by_rank(df, key, label, train_fraction, seed, name)
-    buckets = F.broadcast(df.sparkSession.createDataFrame(found, crossing.schema)).alias("b")
-    same = F.col(f"h.{label}").eqNullSafe(F.col(f"b.{label}"))
-    last = (
-        hashed.select(label, key, "__hash", "__bucket").alias("h")
-        .join(buckets, same & (F.col("h.__bucket") == F.col("b.__bucket")))
-        .select(f"h.{label}", f"h.{key}", "h.__hash", "b.__k")
-        .withColumn("__rank", F.row_number().over(group.orderBy("__hash", key)))
-        .filter(F.col("__rank") == F.col("__k"))
-        .select(label, F.col("__hash").alias("__last_hash"), F.col(key).alias("__last_key"))
-    )
-    cuts = F.broadcast(df.sparkSession.createDataFrame(last.collect(), last.schema)).alias("b")
-    is_train = (F.col("__hash") < F.col("__last_hash")) | (
-        (F.col("__hash") == F.col("__last_hash")) & (F.col(f"h.{key}") <= F.col("__last_key"))
-    )
-    return hashed.alias("h").join(cuts, same, "left").select(
-        *[F.col(f"h.{c}") for c in df.columns], F.coalesce(is_train.cast("int"), F.lit(0)).alias(name)
-    )
-
-
-def _stratified_by_rank(
-    df: DataFrame, key: str, label: str, train_fraction: float, seed: int, name: str
-) -> DataFrame:
-    """The same marks for any number of labels, by ranking all rows in hash buckets."""
     hashed = df.withColumn("__hash", row_hash(key, seed)).withColumn("__rank", F.lit(1).cast("long"))
     ranked = running_total(
         hashed.withColumn("__bucket", F.substring("__hash", 1, 4)), ["__rank"], bucket="__bucket",

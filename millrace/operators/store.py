@@ -24,9 +24,6 @@ from millrace.sources import files
 
 _PART = "__part"
 
-# A batch id is remembered for this many versions. A stream replays its last batch only.
-_REMEMBERED = 1000
-
 # A part in this many folders is written to one again, so that small batches do not pile up.
 _MAX_FOLDERS = 16
 
@@ -68,12 +65,17 @@ class FeatureTable:
                 raise ValueError(f"{timestamp_key} cannot be both a key and the timestamp key")
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
         table = cls(spark, path.rstrip("/"), keys, timestamp_key, description, schema, buckets)
+        # The data is written and checked first, so a create that fails leaves the name free. Only then
+        # the table is claimed by its description, and its first version published.
+        parts = table._write_parts(table._shaped(df), 1) if df is not None else None
+        if parts is not None:
+            table._check_keys(table._read_parts(parts))
         files.write_text(spark, f"{table.path}/_table.json", json.dumps({
             "keys": keys, "timestamp_key": timestamp_key, "description": description,
             "schema": schema.jsonValue(), "buckets": buckets,
         }))
-        if df is not None:
-            table.overwrite(df)
+        if parts is not None:
+            table._publish(table._next_version(), parts, None)
         return table
 
     @classmethod
@@ -94,7 +96,7 @@ class FeatureTable:
         known = self.versions()
         version = (known[-1] if known else 0) if version is None else version
         if version == 0:
-            return {"version": 0, "batches": [], "parts": {}}
+            return {"version": 0, "batches": {}, "parts": {}}
         if version not in self._snapshots:
             text = files.read_text(self.spark, f"{self.path}/_snapshots/{version:08d}.json")
             self._snapshots[version] = json.loads(text)
@@ -157,8 +159,11 @@ class FeatureTable:
             raise ValueError(f"{kind} in key columns {full} of one batch: {row.asDict()}")
 
     def _publish(self, version: int, parts: dict[str, list[str]], batch_id: str | None) -> int:
-        batches = self._snapshot(version - 1)["batches"] + ([batch_id] if batch_id else [])
-        snapshot = {"version": version, "batches": batches[-_REMEMBERED:], "parts": parts}
+        batches = dict(self._snapshot(version - 1)["batches"])
+        if batch_id:
+            stream, number = _batch(batch_id)
+            batches[stream] = number
+        snapshot = {"version": version, "batches": batches, "parts": parts}
         # This fails if another writer has published the version meanwhile.
         files.write_text(self.spark, f"{self.path}/_snapshots/{version:08d}.json", json.dumps(snapshot))
         return version
@@ -176,10 +181,14 @@ class FeatureTable:
     def upsert(self, df: DataFrame, batch_id: str | None = None) -> int:
         """Insert rows; a row whose full key is there already replaces it. Returns the version.
 
-        A batch with a ``batch_id`` published earlier is skipped, so a replay changes nothing.
+        A batch with a ``batch_id`` published earlier is skipped, so a replay changes nothing. Of ids
+        ``<stream>#<number>`` the last number of each stream is kept for good, and batches up to it
+        count as published; other ids are all kept.
         """
-        if batch_id is not None and batch_id in self._snapshot()["batches"]:
-            return self._snapshot()["version"]
+        if batch_id is not None:
+            stream, number = _batch(batch_id)
+            if self._snapshot()["batches"].get(stream, -1) >= number:
+                return self._snapshot()["version"]
         version = self._next_version()
         current = self._snapshot()["parts"]
         fresh = self._write_parts(self._shaped(df), version)
@@ -242,7 +251,9 @@ class FeatureTable:
     def write_stream(self, df: DataFrame, checkpoint: str, name: str | None = None, once: bool = True):
         """Start a query that upserts each micro-batch under an id of its own."""
         def merge(batch: DataFrame, number: int) -> None:
-            self.upsert(batch, batch_id=f"{checkpoint}#{number}")
+            # The id in the checkpoint: a stream that starts anew, with a new checkpoint, has another.
+            stream = json.loads(files.read_text(self.spark, f"{checkpoint}/metadata"))["id"]
+            self.upsert(batch, batch_id=f"{stream}#{number}")
 
         writer = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
         if name:
@@ -250,6 +261,12 @@ class FeatureTable:
         return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _batch(batch_id: str) -> tuple[str, int]:
+    """Stream and number of a batch id; an id without a number is a stream of its own."""
+    stream, mark, number = batch_id.rpartition("#")
+    return (stream, int(number)) if mark and number.isdecimal() else (batch_id, 0)
+
+
 def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``old`` whose key is not in ``new``, and all of ``new``."""
     return old.join(new.select(*keys), list(keys), "left_anti").select(*new.columns).unionByName(new)

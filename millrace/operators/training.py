@@ -63,7 +63,8 @@ def attach(
         else:
             for look, t in members:
                 df = keyed_lookup(
-                    df, t.read(), keys=keys, right_keys=t.keys, values=list(look.features), hot_keys=hot
+                    df, t.read(), keys=keys, right_keys=t.keys, values=list(look.features), hot_keys=hot,
+                    unique=True,
                 )
     wanted = [f for look in lookups for f in look.features]
     return df.select(*raw.columns, *wanted)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -38,21 +41,30 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Write beside the target, then rename, so that readers see the whole file or none."""
+    """Write beside the target, then rename in one step: readers see the old file, the new one, or none.
+
+    Each writer has a name of its own for the part. Without ``overwrite`` only one writer gets the
+    target; the others fail with ``FileExistsError``.
+    """
     fs, target = _fs(spark, path)
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    part = jpath(target.getParent(), f".{target.getName()}.part")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    part = hadoop.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}.part")
     stream = fs.create(part, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if fs.exists(target):
-        if not overwrite:
-            raise FileExistsError(path)
-        fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot rename to {path}")
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
+    try:
+        context.rename(fs.makeQualified(part), fs.makeQualified(target), options)
+    except Py4JJavaError as error:
+        fs.delete(part, False)
+        if not overwrite and fs.exists(target):
+            raise FileExistsError(path) from error
+        raise
 
 
 def remove(spark: SparkSession, path: str) -> None:

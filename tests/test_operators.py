@@ -216,8 +216,16 @@ def test_one_hot_nulls_and_unseen_values(spark):
     assert sorted(map(tuple, got.collect())) == [(1, 0, 1), (2, 1, 0), (3, 0, 0)]
     given = onehot.one_hot(df, ["c"], {"c": ["a", "z"]})
     assert sorted(map(tuple, given.collect())) == [(1, 0, 0), (2, 1, 0), (3, 0, 0)]
-    with pytest.raises(ValueError, match="more than 1"):
-        onehot.category_values(df, ["c"], max_values=1)
+
+
+def test_one_hot_of_many_values(spark):
+    """The most frequent values get columns, at every size; the others share one flag."""
+    df = spark.range(6000).select("id", F.when(F.col("id") < 3000, F.col("id") % 2 + 5000).otherwise(F.col("id")).cast("string").alias("c"))
+    assert onehot.category_values(df, ["c"], most=2) == {"c": ["5000", "5001"]}
+    got = onehot.one_hot(df, ["c"], {"c": ["5000", "5001"]}, other=True).agg(*[
+        F.sum(c) for c in ("c_5000", "c_5001", "c_other_values")]).first()
+    assert tuple(got) == (1501, 1501, 2998)
+    assert len(onehot.category_values(df, ["c"])["c"]) == 1000
 
 
 def test_churn_frame_has_41_flags_and_45_inputs(spark):
@@ -248,19 +256,42 @@ def test_churn_frame_has_41_flags_and_45_inputs(spark):
 
 # -- splits and totals -------------------------------------------------------------------------
 
-@pytest.mark.parametrize("max_labels", [100, 1])
-def test_stratified_split_is_exact(spark, max_labels):
+def test_stratified_split_is_exact(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "rare").when(F.col("id") % 7 > 0, "common").alias("y"))
-    got = sampling.stratified_split(df, "id", "y", 0.75, max_labels=max_labels)
+    got = sampling.stratified_split(df, "id", "y", 0.75)
     counts = {r["y"]: (r["n"], r["k"]) for r in got.groupBy("y").agg(F.count("*").alias("n"), F.sum("is_train").alias("k")).collect()}
     assert set(counts) == {"rare", "common", None}
     assert all(k == -(-n * 3 // 4) for n, k in counts.values())
 
 
-def test_both_ways_to_stratify_agree(spark):
-    df = spark.range(500).select("id", (F.col("id") % 3).alias("y"))
-    few, many = (sampling.stratified_split(df, "id", "y", 0.4, max_labels=m) for m in (10, 1))
-    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+def test_stratified_split_of_many_labels(spark):
+    df = spark.range(22_000).select("id", (F.col("id") % 11_000).alias("y"))
+    got = sampling.stratified_split(df, "id", "y", 0.5)
+    assert got.groupBy("y").agg(F.sum("is_train").alias("k")).filter("k != 1").count() == 0 and got.count() == 22_000
+
+
+def test_keyed_lookup_refuses_several_rows_for_a_key(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k int, v string")
+    with pytest.raises(ValueError, match="several rows"):
+        keyed_lookup(left, right, keys="k", values=["v"])
+    once = keyed_lookup(left, right.filter("v != 'b'"), keys="k", values=["v"])
+    assert sorted(map(str, once.collect())) == ["Row(k=1, v='a')", "Row(k=2, v=None)"]
+
+
+def test_first_by_puts_unknown_order_last(spark):
+    df = spark.createDataFrame([("a", None, 1, "bad"), ("a", 5, 2, "late"), ("a", 3, 3, "early"), ("b", None, 9, "y"), ("b", None, 4, "x")],
+                               "k string, d int, tie int, v string")
+    got = df.groupBy("k").agg(aggregates.first_by("v", "d", "tie").alias("v")).collect()
+    assert dict(map(tuple, got)) == {"a": "early", "b": "x"}
+
+
+def test_curve_points_of_odd_scores(spark):
+    rows = [(float("inf"), 1), (float("-inf"), 0), (float("nan"), 1), (0.5, 1), (0.4, 0), (0.5, None), (None, 1)]
+    df = spark.createDataFrame(rows, "score double, y int")
+    for bucket_rows in (1, 2, 100_000):
+        got = sorted((r["tp"], r["fp"], str(r["score"])) for r in quality.curve_points(df, "score", "y", bucket_rows).collect())
+        assert got == [(1, 0, "inf"), (2, 0, "0.5"), (2, 1, "0.4"), (2, 2, "-inf"), (3, 2, "nan")]
 
 
 def test_hash_split_and_samples(spark):
@@ -309,7 +340,7 @@ def test_curve_points(spark):
     rng = random.Random(3)
     rows = [(rng.randrange(30) / 30, rng.randrange(2)) for _ in range(300)]
     df = spark.createDataFrame(rows, "score double, y int")
-    got = {r["score"]: (r["tp"], r["fp"]) for r in quality.curve_points(df, "score", "y", buckets=8).collect()}
+    got = {r["score"]: (r["tp"], r["fp"]) for r in quality.curve_points(df, "score", "y", bucket_rows=20).collect()}
     want = {s: (sum(y for x, y in rows if x >= s), sum(1 - y for x, y in rows if x >= s)) for s, _ in rows}
     assert got == want
     same = quality.curve_points(df.withColumn("score", F.lit(0.5)), "score", "y").collect()

@@ -159,6 +159,26 @@ def test_forget_and_drop(spark, table, tmp_path):
         FeatureTable.drop(spark, str(tmp_path / "other"))
 
 
+def test_a_failed_create_leaves_the_name_free(spark, tmp_path):
+    path = str(tmp_path / "again")
+    with pytest.raises(ValueError, match="duplicate"):
+        FeatureTable.create(spark, path, "zip", df=frame(spark, [(1, 0, 1), (1, 0, 2)]), timestamp_key="ts")
+    made = FeatureTable.create(spark, path, "zip", df=frame(spark, [(1, 0, 1)]), timestamp_key="ts")
+    assert content(made.read()) == [(1, 0, 1)] and made.versions() == [1]
+
+
+def test_replay_of_a_slow_stream_beside_a_fast_one(spark, table):
+    table.upsert(frame(spark, [(1, 0, 1)]), batch_id="slow#0")
+    snapshot = table._snapshot()
+    # As after very many versions of another stream.
+    table._publish(table._next_version(), snapshot["parts"], "fast#5000")
+    table.upsert(frame(spark, [(1, 0, 2)]), batch_id="fast#5001")
+    version = table._snapshot()["version"]
+    assert table.upsert(frame(spark, [(1, 0, 1)]), batch_id="slow#0") == version
+    assert table.upsert(frame(spark, [(1, 0, 9)]), batch_id="fast#17") == version
+    assert (1, 0, 2) in content(table.read())
+
+
 def test_second_writer_of_a_version_fails(spark, table):
     other = FeatureTable.open(spark, table.path)
     assert other._next_version() == 2
