@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F, types as T
@@ -14,6 +15,7 @@ from millrace.plans.feature_queries import PICKUP_EVENTS
 from millrace.plans.features import pickup_features
 from millrace.plans.registry import query
 from millrace.session import scratch_path, size_shuffles
+from millrace.sources import files
 from millrace.streaming import control, ingest, silver
 from millrace.streaming.features import stream_features
 
@@ -69,6 +71,80 @@ def rescued_fields(t):
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
+DAY_MS = 86_400_000
+
+
+def _ingested(t, root: str, folder: str, fmt: str, **options):
+    control.wait_all([ingest.ingest_folder(t.spark, folder, fmt, "bronze", root, **options)])
+    return ingest.read_bronze(t.spark, root, "bronze")
+
+
+def _order_rows(t):
+    return t.orders.select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("amount"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+
+
+@query("""
+SELECT o_custkey AS user_id, o_orderkey AS order_id, o_totalprice AS amount, o_orderpriority AS priority,
+       CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
+def ingested_late_files(t):
+    """Files that are weeks older than others, in the first run and in a later one, arrive all the same."""
+    folder, root = scratch_path(t.spark, "landing"), scratch_path(t.spark, "lake")
+    for turn in range(3):
+        part = _order_rows(t).filter(F.pmod("order_id", F.lit(3)) == turn)
+        staged = _landing(t, part, "json")
+        files.set_modified(t.spark, staged, (int(time.time()) - 40 * 86_400 * turn) * 1000)
+        files.move_into(t.spark, staged, folder, f"{turn}-")
+        if turn:
+            found = _ingested(t, root, folder, "json")
+    return found
+
+
+@query("""
+SELECT o_custkey AS user_id, o_orderkey AS order_id, o_totalprice AS amount,
+       CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority,
+       CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
+def ingested_new_field(t):
+    """A field that inference did not see: rescued by the second run, a column once the third has learned it."""
+    folder, root = scratch_path(t.spark, "landing"), scratch_path(t.spark, "lake")
+    for turn in range(3):
+        part = _order_rows(t).filter(F.pmod("order_id", F.lit(3)) == turn)
+        staged = _landing(t, part if turn else part.drop("priority"), "json")
+        if turn == 1:
+            files.set_modified(t.spark, staged, int(time.time() * 1000) - DAY_MS)
+        files.move_into(t.spark, staged, folder, f"{turn}-")
+        if turn == 2:
+            # Inference reads what is a second newer than the last run.
+            time.sleep(1.5)
+            files.set_modified(t.spark, folder, int(time.time() * 1000))
+        found = _ingested(t, root, folder, "json")
+    return found.select("user_id", "order_id", "amount", "priority", ingest.RESCUED)
+
+
+@query("""
+SELECT o_custkey AS user_id, o_orderkey AS order_id, o_totalprice AS amount,
+       CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority,
+       CASE WHEN o_orderkey % 3 = 2 THEN '{"amount":"n/a ' || o_orderkey || '"}' END AS _rescued_data
+FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_totalprice END AS o_totalprice) FROM orders)""")
+def ingested_mixed_csv(t):
+    """CSV files with three headers: other columns, another order, and values that do not fit, over two runs."""
+    folder, root = scratch_path(t.spark, "landing"), scratch_path(t.spark, "lake")
+    rows = _order_rows(t)
+    misfit = F.concat(F.lit("n/a "), F.col("order_id"))
+    shapes = [
+        rows.drop("priority"), rows.select("priority", "amount", "order_id", "user_id"),
+        rows.select("order_id", "user_id", misfit.alias("amount"), "priority"),
+    ]
+    hints = {"user_id": "bigint", "order_id": "bigint", "amount": "double"}
+    for turn, shape in enumerate(shapes):
+        files.move_into(t.spark, _landing(t, shape.filter(F.pmod("order_id", F.lit(3)) == turn), "csv"), folder, f"{turn}-")
+        if turn:
+            found = _ingested(t, root, folder, "csv", hints=hints)
+    return found.select("user_id", "order_id", "amount", "priority", ingest.RESCUED)
+
+
 @query(f"""
 WITH {PICKUP_EVENTS}
 SELECT * FROM pickup WHERE ts <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 hour' FROM events)""")

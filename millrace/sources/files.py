@@ -67,6 +67,24 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         raise
 
 
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Give all files of a folder this modification time, as copies that keep times have."""
+    fs, p = _fs(spark, path)
+    for status in fs.listStatus(p):
+        fs.setTimes(status.getPath(), millis, -1)
+
+
+def move_into(spark: SparkSession, source: str, folder: str, prefix: str = "") -> None:
+    """Move the data files of one folder into another, under names with a prefix."""
+    fs, p = _fs(spark, source)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs.mkdirs(hadoop.Path(folder))
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            fs.rename(status.getPath(), hadoop.Path(folder, f"{prefix}{name}"))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder with all that is in it."""
     fs, p = _fs(spark, path)

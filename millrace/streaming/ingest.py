@@ -2,12 +2,13 @@
 
 The schema is inferred by a batch read, kept in a file, and given to the stream, which therefore
 never infers. Later runs infer over files newer than the last run only and add what is new to the
-kept schema. The checkpoint remembers which files were taken, and the sink's commit log which
+kept schema. What a run finds beyond its schema is rescued as text and read as a column later. The checkpoint remembers which files were taken, and the sink's commit log which
 output files count, so a restarted run neither loses nor doubles rows.
 """
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.sources import files
 
 RESCUED = "_rescued_data"
+_BATCH = "ingest_batch"
 
 
 @dataclass(frozen=True)
@@ -56,20 +58,40 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
 
 
 def infer_schema(
-    spark: SparkSession, folder: str, fmt: str, modified_after: str | None = None, sample: float = 1.0
+    spark: SparkSession, folder: str, fmt: str, modified_after: str | None = None,
 ) -> T.StructType:
-    """Column names and types found in the files, which must be JSON lines or CSV with a header."""
-    reader = spark.read.format(fmt).option("samplingRatio", sample).option("inferSchema", True)
+    """Column names and types found in the files, which must be JSON lines or CSV with a header.
+
+    CSV files are grouped by their headers, and each group is inferred by itself.
+    """
+    after = {"modifiedAfter": modified_after} if modified_after else {}
     if fmt == "csv":
-        reader = reader.option("header", True)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader.load(folder).schema
+        found = T.StructType([])
+        for paths in _by_header(_located(spark.read.format("text").options(**after).load(folder))).values():
+            found = merge_schemas(found, spark.read.option("header", True).option("inferSchema", True).csv(paths).schema)
+        return found
+    found = spark.read.format(fmt).options(**after).load(folder).schema
+    # Lines that do not parse are rescued whole.
+    return T.StructType([f for f in found if f.name != "_corrupt_record"])
+
+
+def _located(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def _by_header(lines: DataFrame) -> dict[str, list[str]]:
+    """Files of a batch by their first line; one short row a file comes to the driver."""
+    # Line numbers rise within a task, and one task reads the start of a file.
+    numbered = lines.withColumn("line", F.monotonically_increasing_id()).filter(F.col("start") == 0)
+    found: dict[str, list[str]] = {}
+    for path, header in numbered.groupBy("path").agg(F.min_by("value", "line")).collect():
+        found.setdefault(header, []).append(path)
+    return found
 
 
 def resolve_schema(
     spark: SparkSession, state: IngestState, folder: str, fmt: str,
-    hints: Mapping[str, str] | None = None, sample: float = 1.0,
+    hints: Mapping[str, str] | None = None,
 ) -> T.StructType:
     """The kept schema, extended by what new files bring. Types in ``hints`` win over inference.
 
@@ -82,7 +104,7 @@ def resolve_schema(
         saved = json.loads(files.read_text(spark, state.schema_file))
         kept, after = T.StructType.fromJson(saved["schema"]), saved["inferred_at"]
     try:
-        found = infer_schema(spark, folder, fmt, after, sample)
+        found = infer_schema(spark, folder, fmt, after)
     except Exception as error:
         if kept is None or "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
@@ -108,18 +130,13 @@ def resolve_schema(
     return schema
 
 
-def open_stream(
-    spark: SparkSession, folder: str, fmt: str, schema: T.StructType, max_files: int | None = None
-) -> DataFrame:
-    """New files of the folder as a stream; rows that do not parse keep their text in ``_rescued_data``."""
-    reader = (
-        spark.readStream.format(fmt)
-        .schema(T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType(), True)]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-    )
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+# Longer than any file's age: Spark would leave out files more than 7 days older than the newest one.
+_ANY_AGE = "36500d"
+
+
+def open_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Lines of new files as a stream (column ``value``), however old the files say they are."""
+    reader = spark.readStream.format("text").option("maxFileAge", _ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
@@ -146,27 +163,91 @@ def rescue_unknown(raw: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def promote_rescued(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Give rescued fields to columns that the schema has by now, where their values fit.
+
+    What is given to a column leaves ``_rescued_data``; the rest of it stays.
+    """
+    rescued = F.from_json(F.when(F.json_object_keys(RESCUED).isNotNull(), F.col(RESCUED)), "map<string,string>")
+    atomic = [f for f in schema if isinstance(f.dataType, T.AtomicType)]
+    df = df.withColumn("__all", rescued)
+    fits = {
+        f.name: F.when(F.col(f"`{f.name}`").isNull(), F.col("__all")[f.name].try_cast(f.dataType)) for f in atomic
+    }
+    moved = F.array_compact(F.array(*[F.when(v.isNotNull(), F.lit(n)) for n, v in fits.items()])) if fits else F.array().cast("array<string>")
+    left = F.map_filter("__all", lambda k, _: ~F.array_contains("__moved", k))
+    return df.withColumn("__moved", moved).select(
+        *[F.coalesce(F.col(f"`{f.name}`"), fits[f.name]).alias(f.name) if f.name in fits else F.col(f"`{f.name}`") for f in schema],
+        F.when(F.coalesce(F.size("__moved"), F.lit(0)) == 0, F.col(RESCUED))
+        .when(F.size(left) > 0, F.to_json(left)).alias(RESCUED),
+    )
+
+
+def _csv_by_header(batch: DataFrame, schema: T.StructType) -> DataFrame | None:
+    """Typed rows of one batch of CSV lines (value, path, start): each file by the names in its own header.
+
+    Columns the schema lacks, values that do not fit, and whole rows that do not parse go to ``_rescued_data``.
+    """
+    spark = batch.sparkSession
+    typed = {f.name: f.dataType for f in schema}
+    result = None
+    for header, paths in sorted(_by_header(batch).items()):
+        names = [n or f"_c{i}" for i, n in enumerate(next(csv.reader([header])))]
+        text = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("__bad", T.StringType())])
+        rows = (
+            spark.read.schema(text).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "__bad").csv(paths)
+        )
+        value = {n: F.col(f"`{n}`").try_cast(typed[n]) for n in names if n in typed}
+        left = F.map_filter(
+            F.map_from_arrays(
+                F.array(*[F.lit(n) for n in names]),
+                F.array(*[F.when(value[n].isNull(), F.col(f"`{n}`")) if n in value else F.col(f"`{n}`") for n in names])),
+            lambda _, v: v.isNotNull())
+        part = rows.select(
+            *[value.get(n, F.lit(None).cast(t)).alias(n) for n, t in typed.items()],
+            F.when(F.col("__bad").isNotNull(), F.col("__bad")).when(F.size(left) > 0, F.to_json(left)).alias(RESCUED),
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def _write_csv_batches(lines: DataFrame, state: IngestState, schema: T.StructType, once: bool) -> StreamingQuery:
+    """Each batch goes to a folder of its own, which is left alone if the batch is run again."""
+    spark = lines.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        folder = f"{state.data}/{_BATCH}={number}"
+        if files.exists(spark, f"{folder}/_SUCCESS"):
+            return
+        rows = _csv_by_header(batch, schema)
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(folder)
+
+    writer = _located(lines).writeStream.foreachBatch(write).queryName(f"{state.table}_bronze_ingest").option(
+        "checkpointLocation", state.checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def ingest_folder(
     spark: SparkSession, folder: str, fmt: str, table: str, root: str, *,
-    hints: Mapping[str, str] | None = None, sample: float = 1.0, once: bool = True,
-    rescue: bool = False, max_files: int | None = 10_000,
+    hints: Mapping[str, str] | None = None, once: bool = True, max_files: int | None = 10_000,
 ) -> StreamingQuery:
     """Start taking new files of ``folder`` into the bronze table; returns the running query.
 
-    A large backlog is taken in batches of ``max_files``, each of which is done once and for all.
-    With ``rescue``, JSON fields unknown to the schema are kept in ``_rescued_data`` too.
+    No value is lost: what the kept schema does not have, and what does not fit it, is kept in
+    ``_rescued_data``, and reading the table hands it to the column once the schema knows it. CSV
+    columns are read by name, as the header of each file says. A large backlog is taken in batches
+    of ``max_files``, each of which is done once and for all.
     """
     state = IngestState(root.rstrip("/"), table)
-    schema = resolve_schema(spark, state, folder, fmt, hints, sample)
-    if rescue and fmt == "json":
-        lines = spark.readStream.format("text")
-        lines = lines.option("maxFilesPerTrigger", max_files) if max_files else lines
-        stream = rescue_unknown(lines.load(folder), schema)
-    else:
-        stream = open_stream(spark, folder, fmt, schema, max_files)
+    schema = resolve_schema(spark, state, folder, fmt, hints)
+    lines = open_lines(spark, folder, max_files)
+    if fmt == "csv":
+        return _write_csv_batches(lines, state, schema, once)
     writer = (
-        stream.writeStream.format("parquet").outputMode("append").queryName(f"{table}_bronze_ingest")
-        .option("checkpointLocation", state.checkpoint).option("path", state.data)
+        rescue_unknown(lines, schema).writeStream.format("parquet").outputMode("append")
+        .queryName(f"{table}_bronze_ingest").option("checkpointLocation", state.checkpoint).option("path", state.data)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
@@ -178,15 +259,17 @@ def bronze_schema(spark: SparkSession, root: str, table: str) -> T.StructType:
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The bronze table as a batch; columns that came later are null in older rows."""
-    path = IngestState(root.rstrip("/"), table).data
-    return spark.read.schema(bronze_schema(spark, root, table)).parquet(path)
+    """The bronze table as a batch; columns that came later hold what was rescued from older rows."""
+    schema = bronze_schema(spark, root, table)
+    raw = spark.read.schema(schema).parquet(IngestState(root.rstrip("/"), table).data)
+    return promote_rescued(raw, T.StructType(schema.fields[:-1]))
 
 
 def stream_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The bronze table as a stream."""
-    path = IngestState(root.rstrip("/"), table).data
-    return spark.readStream.schema(bronze_schema(spark, root, table)).parquet(path)
+    """The bronze table as a stream, otherwise as ``read_bronze``."""
+    schema = bronze_schema(spark, root, table)
+    raw = spark.readStream.schema(schema).option("maxFileAge", _ANY_AGE).parquet(IngestState(root.rstrip("/"), table).data)
+    return promote_rescued(raw, T.StructType(schema.fields[:-1]))
 
 
 def stream_to_table(

@@ -33,20 +33,20 @@ def test_second_run_adds_nothing_and_new_files_arrive_once(spark, tmp_path):
 def test_malformed_lines_are_kept(spark, tmp_path):
     put(tmp_path / "in", "a.json", {"id": "1", "amount": 1.5}, "{broken")
     df = run(spark, tmp_path)
-    assert sorted((r["id"], r["_rescued_data"]) for r in df.drop("_corrupt_record").collect() if r["id"]) == [("1", None)]
+    assert sorted((r["id"], r["_rescued_data"]) for r in df.collect() if r["id"]) == [("1", None)]
     assert [r["_rescued_data"] for r in df.collect() if r["id"] is None] == ["{broken"]
 
 
 def test_rescue_keeps_unknown_fields_and_misfits(spark, tmp_path):
     put(tmp_path / "in", "a.json", {"id": "1", "amount": 1.5})
-    run(spark, tmp_path, rescue=True)
+    run(spark, tmp_path)
     saved = json.loads((tmp_path / "lake" / "schema" / "orders.json").read_text())
     fields = [f for f in saved["schema"]["fields"] if f["name"] in ("id", "amount")]
     schema_file = tmp_path / "lake" / "schema" / "orders.json"
     schema_file.write_text(json.dumps({"schema": {"type": "struct", "fields": fields}, "inferred_at": "2999-01-01T00:00:00"}))
     (tmp_path / "lake" / "schema" / ".orders.json.crc").unlink(missing_ok=True)
     put(tmp_path / "in", "b.json", {"id": "2", "amount": 3.0, "extra": "x"}, {"id": "3", "amount": "many"}, "{bad")
-    df = run(spark, tmp_path, rescue=True)
+    df = run(spark, tmp_path)
     got = {r["id"]: (r["amount"], r["_rescued_data"]) for r in df.collect()}
     assert got["1"] == (1.5, None) and got["2"] == (3.0, '{"extra":"x"}')
     assert got["3"] == (None, '{"id": "3", "amount": "many"}') and got[None] == (None, "{bad")
