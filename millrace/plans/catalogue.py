@@ -1,7 +1,7 @@
 """All registered queries."""
 
 from millrace.plans import (  # noqa: F401
-    customer_queries, feature_queries, model_queries, relational_queries, stream_queries,
+    catalog_queries, customer_queries, feature_queries, model_queries, relational_queries, stream_queries,
 )
 from millrace.plans.registry import CHECKS, QUERIES
 

@@ -420,6 +420,6 @@ def evolving_table(t):
         t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("date")), name
     )
     writers.append_evolving_table(t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("region")), name)
-    left = writers.keep_unless(t.spark.table(name), F.col("name") == "NATION_3")
+    left = writers.delete_rows(t.spark, name, F.col("name") == "NATION_3")
     catalog.drop_table(t.spark, name)
     return left

@@ -70,10 +70,16 @@ def read_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -
 
 
 def run_sql(spark: SparkSession, text: str, args: Mapping | None = None, variables: Mapping | None = None) -> DataFrame:
-    """SQL with named parameters (``:name``); ``variables`` are set first for ``${name}``."""
-    for key, value in (variables or {}).items():
-        spark.sql(f"SET {key}={value}")
-    return spark.sql(text, args=dict(args)) if args else spark.sql(text)
+    """SQL with named parameters (``:name``); ``variables`` stand for ``${name}`` in this text only."""
+    before = {key: spark.conf.get(key, None) for key in variables or {}}
+    try:
+        for key, value in (variables or {}).items():
+            spark.conf.set(key, str(value))
+        return spark.sql(text, args=dict(args)) if args else spark.sql(text)
+    finally:
+        # The text has been read by now; the session is left as it was.
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

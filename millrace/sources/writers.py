@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.session import scratch_path
+from millrace.session import cut_lineage
 
 
 def save_table(
@@ -66,12 +66,37 @@ def keep_unless(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def delete_rows(spark: SparkSession, name: str, condition: Column) -> DataFrame:
-    """Delete from a parquet table by rewriting it.
+    """Delete from a parquet table; its location, partitioning and definition stay.
 
-    The remaining rows are written to the shared scratch folder first, because a table cannot be
-    overwritten while it is read, and a lost task must not lose rows.
+    The rows that remain are written to the shared scratch folder first, because a table cannot be
+    overwritten while it is read, and a lost task must not lose rows. Of a partitioned table only
+    the partitions that lose rows are written again.
     """
-    path = scratch_path(spark, "delete")
-    kept = keep_unless(spark.table(name), condition)
-    kept.write.parquet(path)
-    return save_table(spark.read.schema(kept.schema).parquet(path), name)
+    table = spark.table(name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not parts:
+        kept = _stored(keep_unless(table, condition))
+        kept.write.insertInto(name, overwrite=True)
+        return spark.table(name)
+    # One row for each partition that loses rows, and whether it keeps any.
+    hit = F.coalesce(condition, F.lit(False))
+    touched = _stored(table.groupBy(*parts).agg(F.bool_or(hit).alias("__hit"), F.bool_and(hit).alias("__gone")).filter("__hit"))
+    same = lambda t: [table[p].eqNullSafe(t[p]) for p in parts]
+    some = touched.filter("NOT __gone")
+    kept = _stored(keep_unless(table.join(some, same(some), "left_semi"), condition))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        kept.select(*table.columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in table.schema if f.name not in parts)
+    for row in touched.filter("__gone").select(*parts).collect():  # partitions that are emptied
+        where = ", ".join(
+            f"`{p}` = " + ("NULL" if row[p] is None else "'" + str(row[p]).replace("'", "\\'") + "'") for p in parts)
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT {nothing} WHERE false")
+    return spark.table(name)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    return cut_lineage(df, "delete")
