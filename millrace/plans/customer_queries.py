@@ -63,7 +63,7 @@ def raw_orders(t: Tables):
 def app_events(t: Tables):
     return t.events.select(
         F.col("user_id").cast("string").alias("user_id"), "event_id", F.col("event_type").alias("platform"),
-        formatted("ts").alias("date"), F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("session_id"), "ts",
+        F.when(F.col("event_id") % 7 == 3, "unknown").otherwise(formatted("ts")).alias("date"), F.concat_ws("-", "user_id", F.dayofmonth("ts")).alias("session_id"), "ts",
     )
 
 
@@ -94,10 +94,10 @@ order_stats AS (
          CAST(sum(o_orderkey % 3 + 1) AS BIGINT) AS total_item
   FROM orders GROUP BY ALL),
 event_stats AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id, arg_min(event_type, (date_trunc('second', ts), event_id)) AS platform,
-         count(*) AS event_count, count(DISTINCT user_id || '-' || day(ts)) AS session_count,
-         max(date_trunc('second', ts)) AS last_event
-  FROM events GROUP BY ALL)
+  SELECT CAST(user_id AS VARCHAR) AS user_id,
+         arg_min(event_type, (coalesce(known, TIMESTAMP '9999-01-01'), event_id)) AS platform,
+         count(*) AS event_count, count(DISTINCT user_id || '-' || day(ts)) AS session_count, max(known) AS last_event
+  FROM (SELECT *, CASE WHEN event_id % 7 <> 3 THEN date_trunc('second', ts) END AS known FROM events) GROUP BY ALL)
 SELECT *, CAST(date_diff('day', creation_date, TIMESTAMP '2024-02-01') AS INTEGER) AS days_since_creation,
        CAST(date_diff('day', last_activity_date, TIMESTAMP '2024-02-01') AS INTEGER) AS days_since_last_activity,
        CAST(date_diff('day', last_event, TIMESTAMP '2024-02-01') AS INTEGER) AS days_last_event
@@ -169,9 +169,15 @@ def _picked(values, field: str, key: str) -> str:
     return f"[{items}][CAST(floor({_unit(field, key)} * {len(values)}) AS INTEGER) + 1]"
 
 
+def _day_in(start: str, days: int, field: str, key: str) -> str:
+    """A second within so many days of a SQL timestamp, as text."""
+    return f"strftime({start} + to_seconds(CAST(floor({_unit(field, key)} * {days * 86400}) AS BIGINT)), '%m-%d-%Y %H:%M:%S')"
+
+
 MADE_ORDERS_SQL = f"""
 made_orders AS (
   SELECT user_id, md5('0|order|' || user_id || '|' || nr) AS id,
+         {_day_in("TIMESTAMP '2024-01-02'", 30, 'date', "user_id || '|' || nr")} AS transaction_date,
          floor({_unit('items', "user_id || '|' || nr")} * 2 + 0.5) + 1 AS item_count,
          (floor({_unit('items', "user_id || '|' || nr")} * 2 + 0.5) + 1)
            * floor({_unit('price', "user_id || '|' || nr")} * 30 + 10.5) AS amount
@@ -186,17 +192,18 @@ def made_orders(t: Tables):
 
 @query(f"WITH {MADE_ORDERS_SQL} SELECT * FROM made_orders")
 def generated_orders(t):
-    return made_orders(t).drop("transaction_date")
+    return made_orders(t)
 
 
 @query(f"""
 WITH {MADE_ORDERS_SQL}, keyed AS (SELECT user_id, user_id || '|' || id || '|1' AS k FROM made_orders)
 SELECT user_id, md5('0|event|' || k) AS event_id, {_weighted(synth.PLATFORMS, 'platform', 'k')} AS platform,
+       {_day_in("TIMESTAMP '2024-01-02'", 30, 'event_date', 'k')} AS date,
        {_weighted(synth.ACTIONS, 'action', 'k')} AS action, md5('0|session|' || k) AS session_id,
        'https://shop.example.com/' || substr(md5('0|page|' || k), 1, 8) AS url
 FROM keyed""")
 def generated_events(t):
-    return synth.user_events(made_orders(t)).drop("date")
+    return synth.user_events(made_orders(t))
 
 
 def made_users(t: Tables):
@@ -204,19 +211,29 @@ def made_users(t: Tables):
     return synth.user_columns(t.customer.select("c_custkey", cohort.alias("cohort")), "c_custkey", "2024-02-01")
 
 
-@query(f"""
-SELECT CASE WHEN {_unit('null', 'c_custkey')} < 0.98 THEN md5('0|id|' || c_custkey) END AS id,
-       {_weighted(synth.CANALS, 'canal', 'c_custkey')} AS canal, {_picked(synth.COUNTRIES, 'country', 'c_custkey')} AS country,
-       {_picked(synth.FIRST_NAMES, 'first', 'c_custkey')} AS firstname,
-       {_picked(synth.LAST_NAMES, 'last', 'c_custkey')} AS lastname,
-       floor({_unit('gender', 'c_custkey')} + 0.2 + 0.5) AS gender, floor({_unit('age', 'c_custkey')} * 10 + 0.5) AS age_group
-FROM customer""")
+_OPENED = "TIMESTAMP '2024-02-01' - to_days(CAST((24 - c_custkey % 24) * 30 AS INTEGER))"
+MADE_USERS_SQL = f"""
+made_users AS (
+  SELECT CASE WHEN {_unit('null', 'c_custkey')} < 0.98 THEN md5('0|id|' || c_custkey) END AS id,
+         {_picked(synth.FIRST_NAMES, 'first', 'c_custkey')} AS firstname, {_picked(synth.LAST_NAMES, 'last', 'c_custkey')} AS lastname,
+         {_picked(synth.FIRST_NAMES, 'first', 'c_custkey')} || '.' || {_picked(synth.LAST_NAMES, 'last', 'c_custkey')}
+           || '@mail.example.com' AS email,
+         CAST(CAST(floor({_unit('house', 'c_custkey')} * 999) + 1 AS BIGINT) AS VARCHAR) || ' Mill Lane' AS address,
+         {_weighted(synth.CANALS, 'canal', 'c_custkey')} AS canal, {_picked(synth.COUNTRIES, 'country', 'c_custkey')} AS country,
+         CASE WHEN c_custkey % 24 = 0 THEN {_day_in("TIMESTAMP '2012-01-01'", 1460, 'old', 'c_custkey')}
+              ELSE {_day_in(_OPENED, 30, 'created', 'c_custkey')} END AS creation_date,
+         {_day_in("TIMESTAMP '2024-01-02'", 30, 'active', 'c_custkey')} AS last_activity_date,
+         floor({_unit('gender', 'c_custkey')} + 0.2 + 0.5) AS gender, floor({_unit('age', 'c_custkey')} * 10 + 0.5) AS age_group
+  FROM customer)"""
+
+
+@query(f"WITH {MADE_USERS_SQL} SELECT * FROM made_users")
 def generated_users(t):
-    return made_users(t).select("id", "canal", "country", "firstname", "lastname", "gender", "age_group")
+    return made_users(t)
 
 
 @query(f"""
-WITH people AS (
+WITH {MADE_USERS_SQL}, people AS (
   SELECT md5('0|id|' || c_custkey) AS id, {_picked(synth.COUNTRIES, 'country', 'c_custkey')} AS country,
          floor({_unit('gender', 'c_custkey')} + 0.7) AS gender, floor({_unit('age', 'c_custkey')} * 10 + 0.5) AS age_group,
          CASE WHEN c_custkey % 24 = 0 THEN TIMESTAMP '2012-01-01' + to_seconds(CAST(floor({_unit('old', 'c_custkey')} * 126144000) AS BIGINT))
@@ -229,16 +246,16 @@ keyed AS (SELECT user_id, user_id || '|' || id || '|1' AS k FROM made_orders),
 e AS (SELECT user_id, count(*) AS actions, arg_min_null(platform, (sec, event_id)) AS platform FROM (
         SELECT user_id, md5('0|event|' || k) AS event_id, {_weighted(synth.PLATFORMS, 'platform', 'k')} AS platform,
                floor({_unit('event_date', 'k')} * 2592000) AS sec FROM keyed) GROUP BY ALL)
-SELECT id, country, gender, age_group, strftime(created, '%m-%d-%Y %H:%M:%S') AS creation_date,
+SELECT made_users.*, churn FROM (SELECT id AS labelled,
        {_unit('churn', 'id')} * 100 < 5 + CASE WHEN {' OR '.join(f'coalesce({r}, false)' for r in synth.CHURN_RULES)} THEN 80 ELSE 20 END AS churn
 FROM (SELECT *, date_diff('day', created, TIMESTAMP '2024-02-01') AS days FROM people) p
-JOIN o ON p.id = o.user_id JOIN e ON p.id = e.user_id""")
+JOIN o ON p.id = o.user_id JOIN e ON p.id = e.user_id) JOIN made_users ON made_users.id = labelled""")
 def generated_churn(t):
     """Labels for generated users, whose orders and events follow from their generated ids."""
     people = made_users(t)
     orders = synth.user_orders(people.filter(F.col("id").isNotNull()), "id")
     labelled = synth.label_churn(people, orders, synth.user_events(orders))
-    return labelled.select("id", "country", "gender", "age_group", "creation_date", "churn")
+    return labelled
 
 
 @query(f"""

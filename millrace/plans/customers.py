@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.times import days_between, parse_timestamp
-from millrace.operators.aggregates import first_by
 
 
 def order_stats(orders: DataFrame, key: str = "user_id") -> DataFrame:
@@ -21,19 +20,17 @@ def event_stats(
 ) -> DataFrame:
     """Platform of the first event, event and session counts, time of the last event, per key.
 
-    Events without a key are left out. Sessions are counted apart: a distinct count in the same
-    aggregation would send the first platforms through its extra rounds, which have to sort. The
-    two results are partitioned by the key alike, so joining them moves nothing.
+    Events without a key are left out; events whose date does not parse count, but come last. The
+    events are summed up by session first, so one pass counts the sessions without a distinct.
     """
-    keyed = events.filter(F.col(key).isNotNull())
-    timed = keyed.withColumn("__when", parse_timestamp(order) if when is None else when)
-    stats = timed.groupBy(key).agg(
-        first_by(platform, "__when", tie).alias("platform"),
-        F.count("*").alias("event_count"),
-        F.max("__when").alias("last_event"),
+    timed = events.filter(F.col(key).isNotNull()).withColumn("__when", parse_timestamp(order) if when is None else when)
+    first = F.struct(F.col("__when").isNull(), "__when", F.col(tie), F.col(platform).alias("platform"))
+    sessions = timed.groupBy(key, session).agg(
+        F.min(first).alias("__first"), F.count("*").alias("__n"), F.max("__when").alias("__last"))
+    return sessions.groupBy(key).agg(
+        F.min("__first")["platform"].alias("platform"), F.sum("__n").alias("event_count"),
+        F.count(session).alias("session_count"), F.max("__last").alias("last_event"),
     )
-    sessions = keyed.groupBy(key).agg(F.countDistinct(session).alias("session_count"))
-    return stats.join(sessions, [key]).select(key, "platform", "event_count", "session_count", "last_event")
 
 
 def customer_360(

@@ -46,10 +46,11 @@ def streamed_silver_users(t):
 
 @query("""
 SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+       strftime(o_orderdate, '%m-%d-%Y %H:%M:%S') AS transaction_date,
        CAST(o_orderkey % 3 + 1 AS INTEGER) AS item_count, CAST(trunc(o_totalprice) AS INTEGER) AS amount
 FROM orders""")
 def streamed_silver_orders(t):
-    folder = _landing(t, raw_orders(t).drop("transaction_date"), "csv")
+    folder = _landing(t, raw_orders(t), "csv")
     hints = {"user_id": "string", "id": "string"}
     return _through_silver(t, folder, "csv", silver.silver_orders, hints=hints)
 
@@ -175,12 +176,13 @@ def streamed_features(t):
 
 @query("""
 SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+       strftime(o_orderdate, '%m-%d-%Y %H:%M:%S') AS transaction_date,
        CAST(o_orderkey % 3 + 1 AS INTEGER) AS item_count, CAST(trunc(o_totalprice) AS INTEGER) AS amount
 FROM orders""")
 def streamed_tables(t):
     """Two streams at once: files to one catalog table, and users to another; then table to table."""
     root, mark = scratch_path(t.spark, "tables"), uuid.uuid4().hex[:8]
-    orders, users = raw_orders(t).drop("transaction_date"), raw_users(t)
+    orders, users = raw_orders(t), raw_users(t)
     names = {n: f"millrace_{n}_{mark}" for n in ("orders", "users", "silver")}
     streams = [
         t.spark.readStream.schema(rows.schema).json(_landing(t, rows, "json")) for rows in (orders, users)
