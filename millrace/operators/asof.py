@@ -24,6 +24,7 @@ from millrace.functions.times import clock_seconds
 from millrace.operators.keys import MAX_HOT_GROUPS, hot_groups, small_frame
 
 _NULL_SPREAD = 4096
+_MOST_PARTS = 1 << 20  # of one time bin
 _BIN, _SALT, _TIME, _SIDE = "__bin", "__salt", "__time", "__side"
 
 # Rows of one key, or of one key and time bin, that a single task takes at most.
@@ -35,14 +36,12 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
 
 
 def _dealing_columns(schema: T.StructType) -> list[str]:
-    """Columns whose hash deals rows out: those of fixed width, which cost little to read.
+    """Columns whose hash deals rows out: all that can be hashed, as rows with equal key and time may differ in any.
 
     Rows are dealt by content and not by row number, so that a task that runs again sends each row
     to the same place.
     """
-    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-    names = [f.name for f in schema if isinstance(f.dataType, fixed)]
-    return names or [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    return [f.name for f in schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
 
 
 @dataclass(frozen=True)
@@ -159,7 +158,11 @@ def _cut(
     lookups: DataFrame, features: DataFrame, key_fields: list[T.StructField], hits: list[str],
     hot: list[tuple], max_rows: int, bin_seconds: int, dealt: list[str],
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Give rows of hot keys a time bin and salt, and build the opening rows of their bins."""
+    """Give rows of hot keys a time bin and salt, and build the opening rows of their bins.
+
+    A bin with too many lookups and features is cut into equal parts of its time, as many as its rows need. Parts that
+    still have too many lookups, as those of one instant, are salted.
+    """
     spark = lookups.sparkSession
     keys = [f.name for f in key_fields]
     hot_frame = small_frame(
@@ -169,8 +172,24 @@ def _cut(
     binned = F.coalesce(F.when(F.col("__hot") == 1, time_bin), F.lit(0)).cast("long")
     lookups = lookups.join(hot_frame, keys, "left").withColumn(_BIN, binned)
     features = features.join(hot_frame, keys, "left").withColumn(_BIN, binned)
-    hot_lookups = lookups.filter((F.col("__hot") == 1) & F.col(_TIME).isNotNull()).select(*keys, _BIN)
 
+    def hot_rows(df: DataFrame) -> DataFrame:
+        return df.filter((F.col("__hot") == 1) & F.col(_TIME).isNotNull()).select(*keys, _BIN)
+
+    dense = hot_groups([hot_rows(lookups), hot_rows(features)], [*keys, _BIN], max_rows)
+    parts = small_frame(
+        spark, [(*row[:-1], min(-(-2 * row[-1] // max_rows), _MOST_PARTS)) for row in dense],
+        T.StructType([*key_fields, T.StructField(_BIN, T.LongType()), T.StructField("__parts", T.LongType())]),
+    )
+
+    def refined(df: DataFrame) -> DataFrame:
+        within = clock_seconds(_TIME, df.schema[_TIME].dataType) / bin_seconds - F.col(_BIN)
+        part = F.floor(within * F.coalesce("__parts", F.lit(1)))
+        label = F.when(F.col("__hot") == 1, F.col(_BIN) * _MOST_PARTS + F.coalesce(part, F.lit(0))).otherwise(F.lit(0))
+        return df.join(parts, [*keys, _BIN], "left").withColumn(_BIN, label.cast("long")).drop("__parts")
+
+    lookups, features = refined(lookups), refined(features)
+    hot_lookups = hot_rows(lookups)
     crowded = hot_groups([hot_lookups], [*keys, _BIN], max_rows)
     salts = small_frame(
         spark,

@@ -140,6 +140,26 @@ def test_two_feature_tables_in_one_join(spark, options):
     assert {r["id"]: r["v1"] for r in got} == brute_asof(lookups, second, False)
 
 
+def test_dense_bins_and_crowded_instants_are_cut(spark):
+    """No group stays far above the limit, few features are copied, and text ids spread over the salts."""
+    from pyspark.sql import types as T
+
+    from millrace.operators import asof
+
+    limit = 100
+    seconds = F.timestamp_seconds(F.col("id") % 3600)
+    left = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("name"), F.lit(1).alias("k"), seconds.alias("__time"))
+    left = left.unionByName(spark.range(1000).select(
+        F.md5(F.concat(F.lit("x"), "id")).alias("name"), F.lit(1).alias("k"), F.timestamp_seconds(F.lit(7)).alias("__time")))
+    right = spark.range(3600).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("__time"), F.struct(F.col("id").alias("v")).alias("__hit0"))
+    cut_left, cut_right, _ = asof._cut(
+        left, right, [T.StructField("k", T.IntegerType())], ["__hit0"], [(1,)], limit, 3600, asof._dealing_columns(left.schema))
+    sizes = cut_left.select("__bin", "__salt").unionAll(cut_right.select("__bin", "__salt")).groupBy("__bin", "__salt").count()
+    assert sizes.agg(F.max("count")).first()[0] < 2.5 * limit
+    assert cut_right.count() < 3 * 3600
+    assert cut_left.filter(F.col("__salt") > 0).select("__salt").distinct().count() > 5
+
+
 def test_asof_edges(spark):
     left = spark.createDataFrame([(1, at(0)), (2, at(0)), (9, at(0))], "k int, t timestamp")
     right = spark.createDataFrame([(1, at(0), 5), (2, at(-5), None), (2, at(-9), 6)], "k int, ts timestamp, v int")
