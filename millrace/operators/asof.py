@@ -35,12 +35,17 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _dealing_columns(schema: T.StructType) -> list[str]:
-    """Columns whose hash deals rows out: all that can be hashed, as rows with equal key and time may differ in any.
+def _dealing_columns(schema: T.StructType, same: Sequence[str] = ()) -> list[str]:
+    """Columns whose hash deals rows out: those of fixed width, which cost little to read, if any of them
+    can differ between rows that are equal in ``same``; otherwise all that can be hashed.
 
     Rows are dealt by content and not by row number, so that a task that runs again sends each row
     to the same place.
     """
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    names = [f.name for f in schema if isinstance(f.dataType, fixed)]
+    if set(names) - set(same):
+        return names
     return [f.name for f in schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
 
 
@@ -123,7 +128,7 @@ def asof_join_all(
         hot = [tuple(k) for k in hot_keys or []]
 
     unmatched = F.greatest(*[F.col(c).isNull().cast("int") for c in [*keys, _TIME]]) == 1
-    dealt = _dealing_columns(left_schema)
+    dealt = _dealing_columns(left_schema, [*keys, left_ts])
     spread = -1 - F.pmod(F.xxhash64(*dealt), F.lit(_NULL_SPREAD)).cast("long")
     openings = None
     if hot:

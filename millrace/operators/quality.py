@@ -89,7 +89,8 @@ def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_0
         bucketed = Bucketizer(
             splits=splits, inputCol="__down", outputCol="__bucket", handleInvalid="keep").transform(per_score)
     else:
-        bucketed = per_score.withColumn("__bucket", F.lit(0.0))
+        # One bucket; not a literal, which would leave the join in the running total without a key.
+        bucketed = per_score.withColumn("__bucket", F.pmod(F.xxhash64("__down"), F.lit(1)).cast("double"))
     points = running_total(
         bucketed, ["tp", "fp"], bucket="__bucket", order=[F.col("__down")], grand_total=True
     )

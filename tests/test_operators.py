@@ -153,7 +153,7 @@ def test_dense_bins_and_crowded_instants_are_cut(spark):
         F.md5(F.concat(F.lit("x"), "id")).alias("name"), F.lit(1).alias("k"), F.timestamp_seconds(F.lit(7)).alias("__time")))
     right = spark.range(3600).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("__time"), F.struct(F.col("id").alias("v")).alias("__hit0"))
     cut_left, cut_right, _ = asof._cut(
-        left, right, [T.StructField("k", T.IntegerType())], ["__hit0"], [(1,)], limit, 3600, asof._dealing_columns(left.schema))
+        left, right, [T.StructField("k", T.IntegerType())], ["__hit0"], [(1,)], limit, 3600, asof._dealing_columns(left.schema, ["k", "__time"]))
     sizes = cut_left.select("__bin", "__salt").unionAll(cut_right.select("__bin", "__salt")).groupBy("__bin", "__salt").count()
     assert sizes.agg(F.max("count")).first()[0] < 2.5 * limit
     assert cut_right.count() < 3 * 3600
