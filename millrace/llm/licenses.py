@@ -1,4 +1,4 @@
-"""Find licence notices: MinHash bands over short overlapping windows retrieve templates, shingles verify.
+"""Find licence notices: MinHash bands over short overlapping windows and single shingles retrieve templates, shingles verify.
 
 Everything is projections and filters, with the templates as a literal; no Python runs on the data.
 """
@@ -26,8 +26,6 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 SHINGLE, WINDOW, BANDS = 5, 2, 8
-# Odd constants, one for each band: the least hash XOR the constant is the band's value of a window.
-MASKS = tuple(((0x9E3779B97F4A7C15 * (2 * j + 1)) & ((1 << 63) - 1)) for j in range(BANDS))
 _NOT_WORD = "[^a-z0-9]+"
 
 
@@ -39,14 +37,21 @@ def shingles_of(text: str, size: int = SHINGLE) -> list[str]:
 
 
 def _band_values(hashes: Column) -> Column:
-    """Values of all bands of all windows of so many neighbouring shingles."""
-    def window(i: Column) -> Column:
-        own = [F.get(hashes, i + d) for d in range(WINDOW)]
-        return F.array(*[F.least(*[h.bitwiseXOR(F.lit(m)) for h in own]) for m in MASKS])
+    """Values of all bands of all windows of so many neighbouring shingles: the least hash of the band's own."""
+    def windows(own: Column) -> Column:
+        def window(i: Column) -> Column:
+            return F.array(*[F.least(*[F.get(F.get(own, i + d), F.lit(j)) for d in range(WINDOW)]) for j in range(BANDS)])
 
-    last = F.greatest(F.size(hashes) - WINDOW, F.lit(0))
-    return F.when(F.size(hashes) > 0, F.flatten(F.transform(F.sequence(F.lit(0), last), window))).otherwise(
-        F.array().cast("array<bigint>"))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - WINDOW, F.lit(0))), window))
+
+    own = F.transform(hashes, lambda h: F.array(*[F.xxhash64(h, F.lit(j)) for j in range(BANDS)]))
+    return F.when(F.size(hashes) > 0, let(own, windows)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _sure(hashes: list[int], least: float) -> list[int]:
+    """So many shingles of a template that a text with ``least`` of all has one of them."""
+    needed = next((k for k in range(1, len(hashes) + 1) if k / len(hashes) >= least), len(hashes))
+    return hashes[: len(hashes) - needed + 1]
 
 
 def template_table(spark, templates: dict[str, str]) -> DataFrame:
@@ -65,9 +70,10 @@ def find_licenses(
 
     A licence is found if the text holds at least ``least`` of the distinct five-word shingles of
     its notice (words are runs of a-z and 0-9, any case). Templates are retrieved by bands over windows of 2
-    neighbouring shingles, one hash a band. A window inside an unchanged notice is a window of the template, so
-    all its bands meet. A notice of one shingle is half of each of its two windows, so all 16 bands
-    miss with probability 2^-16; each further whole shingle only adds windows.
+    neighbouring shingles, each band a hash of its own. A window inside an unchanged notice is a window of the
+    template, so all its bands meet. Where no such window is sure (a notice of one shingle, shingles that stand
+    apart) the hashes of the template's first shingles retrieve it, one more of them than may be missing.
+    So no notice is missed.
 
     Null, empty and short texts hold no licence. Repeated rows each give their rows; an empty table or
     no templates give none. ``templates`` is a list to be held in a plan: a few thousand shingles at most.
@@ -78,13 +84,14 @@ def find_licenses(
     if not known:
         return spark.createDataFrame([], schema)
     all_hashes = sorted({h for t in known for h in t["hashes"]})
-    all_bands = F.lit(sorted({b for t in known for b in t["bands"]})).cast("array<bigint>")
+    keys = {t["license"]: sorted({*t["bands"], *_sure(t["hashes"], least)}) for t in known}
+    all_keys = F.lit(sorted({k for own in keys.values() for k in own})).cast("array<bigint>")
     words = F.array_remove(F.split(F.lower(whole(text_col)), _NOT_WORD), "")
 
     listed = F.array(*[
         F.struct(
             F.lit(t["license"]).alias("license"), F.array(*[F.lit(s) for s in t["shingles"]]).alias("shingles"),
-            F.lit(t["bands"]).cast("array<bigint>").alias("bands"))
+            F.lit(keys[t["license"]]).cast("array<bigint>").alias("keys"))
         for t in known
     ])
     none = F.array().cast("array<struct<license:string,n_shingles:int,n_found:int,containment:double>>")
@@ -95,14 +102,14 @@ def find_licenses(
     def scan(w: Column) -> Column:
         hashes = F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(shingle(w, i)))
         return F.when(F.size(w) < SHINGLE, none).otherwise(let(hashes, lambda h: let(
-            F.array_intersect(_band_values(h), all_bands),
-            lambda bands: F.when(F.size(bands) == 0, none).otherwise(verify(w, h, bands)))))
+            F.array_intersect(F.concat(_band_values(h), h), all_keys),
+            lambda met: F.when(F.size(met) == 0, none).otherwise(verify(w, h, met)))))
 
-    def verify(w: Column, h: Column, bands: Column) -> Column:
+    def verify(w: Column, h: Column, met: Column) -> Column:
         """The retrieved templates of which the text has enough shingles, compared as text."""
         held = F.array_distinct(F.transform(
             F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.get(h, i).isin(all_hashes)), lambda i: shingle(w, i)))
-        retrieved = F.filter(listed, lambda t: F.arrays_overlap(t["bands"], bands))
+        retrieved = F.filter(listed, lambda t: F.arrays_overlap(t["keys"], met))
         return let(held, lambda own: F.filter(F.transform(retrieved, lambda t: F.struct(
             t["license"].alias("license"), F.size(t["shingles"]).alias("n_shingles"),
             F.size(F.array_intersect(t["shingles"], own)).alias("n_found"),

@@ -63,6 +63,15 @@ def test_licenses(spark):
     assert licenses.find_licenses(df, templates={}).count() == 0
 
 
+def test_short_notices_among_many_neighbours(spark):
+    """One shingle at the start, the end or inside; shingles of a longer notice that stand apart."""
+    mit, apart = licenses.TEMPLATES["MIT"], "alpha beta gamma delta epsilon {0} beta gamma delta epsilon zeta"
+    texts = [t for i in range(300) for t in (f"left{i} {mit}", f"{mit} right{i}", f"a{i} {mit} b{i}", apart.format(f"mid{i}"))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.find_licenses(df, {"MIT": mit, "greek": "alpha beta gamma delta epsilon zeta"}).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(i, "greek" if i % 4 == 3 else "MIT") for i in range(1200)]
+
+
 def test_licenses_run_no_python(spark, data):
     plan = licenses.find_licenses(spark.read.parquet(f"{data}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
