@@ -73,8 +73,8 @@ def _place(slots: pd.DataFrame, shares: pd.DataFrame) -> pd.DataFrame:
 def schedule(targets: DataFrame, total: int, block_words: int, spare: float = 0.05) -> DataFrame:
     """Slots of the mix: source_key, slot, rank (from 0 within the source).
 
-    There are a few more slots than blocks, so that each source reaches its target in spite of the
-    small unevenness of the points.
+    There are a few more slots than blocks, because the points are a little uneven. A source that still
+    gets fewer slots than it has blocks, as a small one may, has its last ones after all others.
     """
     spark = targets.sparkSession
     count = -(-total // block_words)
@@ -94,7 +94,19 @@ def schedule(targets: DataFrame, total: int, block_words: int, spare: float = 0.
         slots.groupBy("cell").cogroup(shares.groupBy("cell"))
         .applyInPandas(_place, "source_key string, slot long, chunk long"), "mix-slots",
     )
-    return running_total(placed, ["source_key"], "chunk", ["slot"], F.lit(1), "rank").select("source_key", "slot", "rank")
+    ranked = running_total(placed, ["source_key"], "chunk", ["slot"], F.lit(1), "rank").select("source_key", "slot", "rank")
+    blocks = F.floor((F.col("high") - F.col("low") + F.lit(block_words - 1)) / F.lit(block_words))
+    short = (
+        targets.select("source_key", "number", blocks.alias("blocks"))
+        .join(placed.groupBy("source_key").agg(F.count("*").alias("had")), "source_key", "left")
+        .withColumn("had", F.coalesce("had", F.lit(0))).filter("blocks > had")
+    )
+    earlier = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    missing = short.withColumn("after", F.coalesce(F.sum(F.col("blocks") - F.col("had")).over(earlier), F.lit(0))).select(
+        "source_key", "had", "after", F.explode(F.sequence(F.col("had"), F.col("blocks") - 1)).alias("rank"),
+    )
+    return ranked.unionByName(missing.select(
+        "source_key", (F.lit(count) + F.col("after") + F.col("rank") - F.col("had")).alias("slot"), "rank"))
 
 
 def mixed_pieces(

@@ -56,6 +56,30 @@ def test_points_are_even(spark):
     assert np.abs(points - (np.arange(1000) + 0.5) / 1000).max() < 0.01
 
 
+def test_small_sources_keep_all_blocks(spark):
+    """Sources of 50 to 3,000 words beside 10^8: as many slots as blocks, each slot once."""
+    small = [50, 100, 1000, 3000] * 10
+    rows, low = [], 0
+    for i, n in enumerate([n for s in small for n in (10**8 // len(small) - s, s)]):
+        rows.append((f"={i}", i, low, low + n))
+        low += n
+    targets = spark.createDataFrame(rows, "source_key string, number int, low long, high long")
+    slots = mixing.schedule(targets, low, 256).toPandas()
+    assert slots["slot"].is_unique
+    ranks = slots.groupby("source_key")["rank"].apply(set)
+    assert all(set(range(-(-(high - low) // 256))) <= ranks.get(key, set()) for key, _, low, high in rows)
+
+
+def test_mix_with_tiny_sources(spark):
+    rows = [(i, "word " * 2000, "big") for i in range(10)] + [(100 + i, "one two", f"tiny{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, keep=(), block_words=2).toPandas()
+    assert len(out) == 40
+    assert (out[out["size"] == 2]["taken"] - out[out["size"] == 2]["target"]).abs().max() <= 1
+    big = out[out["size"] == 2000]
+    assert abs(big["taken"].sum() - big["target"].iloc[0]) <= 1
+
+
 def test_empty_tables(spark):
     assert mixing.mix(empty(spark)).count() == 0
     assert mixing.mixed_rows(empty(spark)).count() == 0
