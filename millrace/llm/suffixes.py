@@ -26,6 +26,7 @@ from millrace.session import cut_lineage
 
 LENGTH, ANCHOR = 50, 20  # bytes of a repeated string; bytes of an anchor
 NO_ID = (1 << 63) - 1  # stands for a null id, which is smaller than none
+HEAVY = 16_384  # pieces of an anchor, about a megabyte, from which they are dealt by window
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -158,8 +159,25 @@ def _first_texts(rows: pa.Table, firsts: pa.Table) -> pa.Table:
     return rows.take(pa.array(take, pa.int64()))
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without most repeats in one task, so that no chunk gathers many equal rows."""
+    seen: set[tuple] = set()
+    for batch in batches:
+        if len(seen) > 200_000:
+            seen.clear()
+        take = []
+        for i, key in enumerate(zip(batch.column("md5").to_pylist(), batch.column("doc_key").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                take.append(i)
+        yield batch if len(take) == batch.num_rows else batch.take(pa.array(take, pa.int64()))
+
+
 def _anchor_lists(parts: int):
-    """For each chunk: the anchors in one text of it, and those in several, by partition of the hash."""
+    """For each chunk: its anchors by partition of the hash, with the bits of how many pieces have each.
+
+    The highest bit of ``several`` says that several texts of the chunk have the anchor.
+    """
     schema = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("several", pa.binary())])
 
     def run(chunk: pa.Table) -> pa.Table:
@@ -173,6 +191,8 @@ def _anchor_lists(parts: int):
         h, t = h[order], t[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, dtype=np.int64)
         several = np.minimum.reduceat(t, first) != np.maximum.reduceat(t, first) if len(h) else np.zeros(0, dtype=bool)
+        pieces = np.diff(np.concatenate([first, [len(h)]]))
+        several = (np.frexp(pieces)[1] | np.where(several, 128, 0)).astype(np.uint8)
         h = h[first]
         part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -183,25 +203,28 @@ def _anchor_lists(parts: int):
     return run
 
 
-def _shared_anchors(lists: pa.Table) -> pa.Table:
-    """For each chunk, which anchors of one partition other texts have too."""
-    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("keys", pa.binary())])
+def _shared_anchors(lists: pa.Table, heavy: int) -> pa.Table:
+    """For each chunk, which anchors of one partition other texts have too, and which have about ``heavy`` pieces."""
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("heavy", pa.binary())])
     keys = [np.frombuffer(b, dtype=np.uint32) for b in lists.column("keys").to_pylist()]
-    several = np.concatenate([np.frombuffer(b, dtype=bool) for b in lists.column("several").to_pylist()])
+    several = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in lists.column("several").to_pylist()])
     owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
     flat = np.concatenate(keys)
     order = np.argsort(flat, kind="stable")
     flat, owner, several = flat[order], owner[order], several[order]
     same = flat[1:] == flat[:-1]
-    shared = several.copy()
+    first = np.flatnonzero(np.concatenate([[True], ~same])) if len(flat) else np.zeros(0, dtype=np.int64)
+    pieces = np.add.reduceat(np.int64(1) << (several & 127).astype(np.int64), first) if len(flat) else first
+    large = np.repeat(pieces > heavy, np.diff(np.concatenate([first, [len(flat)]])))
+    shared = several >= 128
     shared[1:] |= same
     shared[:-1] |= same
     # What several texts of one chunk share is shared for each chunk that has it.
-    flat, owner = flat[shared], owner[shared]
+    flat, owner, large = flat[shared], owner[shared], large[shared]
     order = np.lexsort((flat, owner))
-    rows = _blobs(owner[order], flat[order])
+    rows = _blobs(owner[order], flat[order], large[order])
     chunks, part = lists.column("chunk").to_pylist(), lists.column("part")[0].as_py()
-    return pa.table([[chunks[r[0]] for r in rows], [part] * len(rows), [r[1] for r in rows]], schema=schema)
+    return pa.table([[chunks[r[0]] for r in rows], [part] * len(rows), [r[1] for r in rows], [r[2] for r in rows]], schema=schema)
 
 
 _PIECE = (
@@ -212,6 +235,8 @@ def _pieces_of_chunk(parts: int, length: int = LENGTH):
     """Pieces of text around shared anchors, for the partition of the anchor; ``part`` -1: already decided.
 
     Of equal pieces in one chunk only those of the smallest id are sent; the others are covered by it.
+    Pieces of a heavy anchor go window by window to the partition of the window's hash, so that many
+    surroundings of one frequent string are spread and equal windows still meet.
     """
     schema = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), *((c, pa.binary()) for c in (
         "keys", "docs", "numbers", "starts", "lengths", "bytes"))])
@@ -220,13 +245,15 @@ def _pieces_of_chunk(parts: int, length: int = LENGTH):
         rows: list[tuple] = []
         if chunk.num_rows and shared.num_rows:
             chunk = _sorted_chunk(chunk)
-            known = np.sort(np.concatenate([
+            known = np.concatenate([
                 (np.uint64(p) << np.uint64(32)) | np.frombuffer(k, dtype=np.uint32).astype(np.uint64)
-                for p, k in zip(shared.column("part").to_pylist(), shared.column("keys").to_pylist(), strict=True)]))
-            rows = found(chunk, known)
+                for p, k in zip(shared.column("part").to_pylist(), shared.column("keys").to_pylist(), strict=True)])
+            heavy = np.concatenate([np.frombuffer(b, dtype=bool) for b in shared.column("heavy").to_pylist()])
+            order = np.argsort(known)
+            rows = found(chunk, known[order], heavy[order])
         return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema], schema=schema)
 
-    def found(chunk: pa.Table, known: np.ndarray) -> list[tuple]:
+    def found(chunk: pa.Table, known: np.ndarray, heavy: np.ndarray) -> list[tuple]:
         texts, doc_of = _texts(chunk), chunk.column("doc_key").to_numpy()
         number = chunk.column("chunk")[0].as_py()
         out, bytes_ = [], []
@@ -236,22 +263,41 @@ def _pieces_of_chunk(parts: int, length: int = LENGTH):
             key = (part << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
             at = np.minimum(np.searchsorted(known, key), len(known) - 1)
             hit = known[at] == key
-            text, starts, ends, part, key, content = (x[hit] for x in (text, starts, ends, part, key, content))
+            text, starts, ends, part, key, content, large = (
+                x[hit] for x in (text, starts, ends, part, key, content, heavy[at]))
             size = ends - starts + length
             take = _ranges(starts, size)
             bytes_.append(data[take])
             out.append((part.astype(np.int64), key & np.uint64(0xFFFFFFFF), text + begin, starts - offsets[text], size,
-                        held + np.cumsum(size) - size, content))
+                        held + np.cumsum(size) - size, content, large))
             held += len(take)
         if not out or not held:
             return []
-        part, key, text, start, size, at, content = (np.concatenate(c) for c in zip(*out, strict=True))
+        part, key, text, start, size, at, content, large = (np.concatenate(c) for c in zip(*out, strict=True))
         data, doc = np.concatenate(bytes_), doc_of[text]
         covered = _equal_pieces(data, at, size, content, doc)
         rows = []
         if covered.any():
             rows.append((-1, number, b"", b"", text[covered].astype(np.int32).tobytes(), start[covered].astype(np.int64).tobytes(),
                          size[covered].astype(np.int32).tobytes(), b""))
+        if (large & ~covered).any():
+            light = np.flatnonzero(~covered & ~large)
+            cut = np.flatnonzero(~covered & large)
+            windows = size[cut] - length + 1
+            of = np.repeat(cut, windows)
+            step = _ranges(np.zeros(len(cut), dtype=np.int64), windows)
+            own = (np.arange(len(of)) + len(light)).astype(np.int64)
+            hashed = _window_hashes(data, at[of] + step, length)
+            parted = ((hashed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            part, key, text, start, size, at = (np.concatenate([x[light], y]) for x, y in (
+                (part, parted), (key, hashed & np.uint64(0xFFFFFFFF)), (text, text[of]), (start, start[of] + step),
+                (size, np.full(len(of), length, dtype=np.int64)), (at, at[of] + step)))
+            doc = doc_of[text]
+            covered = np.zeros(len(text), dtype=bool)
+            covered[own] = _equal_pieces(data, at[own], size[own], hashed, doc[own])
+            if covered.any():
+                rows.append((-1, number, b"", b"", text[covered].astype(np.int32).tobytes(), start[covered].astype(np.int64).tobytes(),
+                             size[covered].astype(np.int32).tobytes(), b""))
         keep = np.flatnonzero(~covered)
         keep = keep[np.argsort(part[keep], kind="stable")]
         part, key, text, start, size, at, doc = (x[keep] for x in (part, key, text, start, size, at, doc))
@@ -275,6 +321,14 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of so many bytes from each start."""
+    up, inverse = W.powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return W.mix((sums[starts + length] - sums[starts]) * inverse[starts])
+
+
 def _equal_pieces(data: np.ndarray, at: np.ndarray, size: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Which pieces are, byte for byte, a piece of a smaller id; ``content`` is a hash of the bytes."""
     order = np.lexsort((doc, content, size))
@@ -391,6 +445,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def search_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, chunk_bytes: int = 8 << 20,
+    heavy: int = HEAVY,
 ) -> DataFrame:
     """What goes of each different text of 50 bytes or more: _md5, _doc_key, n_removed, n_spans, kept_sha256.
 
@@ -398,7 +453,8 @@ def search_repeats(
     exact copies only the one with the smallest id is searched and listed; the others go whole.
     Texts are stored once, in buckets of chunks, and read three times from there without another
     shuffle. Work for a partition grows with the anchors in it, which hash spreads; of equal pieces
-    a chunk sends one.
+    a chunk sends one, and anchors of more than about ``heavy`` pieces are dealt by window. Equal rows
+    are dropped by each task that reads them.
     """
     spark = docs.sparkSession
     marked = _marked(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
@@ -412,13 +468,14 @@ def search_repeats(
     every = long.select(F.col("_md5").alias("md5"), F.col("_doc_key").alias("doc_key"), "text").select(chunk, "md5", "doc_key", "text")
     table = f"suffix_texts_{uuid.uuid4().hex[:12]}"
     (
-        every.repartition(chunks, "chunk").groupBy("chunk").cogroup(firsts.groupBy("chunk"))
+        every.mapInArrow(_once, "chunk long, md5 string, doc_key long, text string").repartition(chunks, "chunk").groupBy("chunk").cogroup(firsts.groupBy("chunk"))
         .applyInArrow(_first_texts, "chunk long, md5 string, doc_key long, text string")
         .write.option("compression", "zstd").bucketBy(chunks, "chunk").saveAsTable(table)
     )
     texts = spark.table(table)
     lists = texts.groupBy("chunk").applyInArrow(_anchor_lists(parts), "part long, chunk long, keys binary, several binary")
-    shared = lists.groupBy("part").applyInArrow(_shared_anchors, "chunk long, part long, keys binary")
+    shared = lists.groupBy("part").applyInArrow(
+        lambda rows: _shared_anchors(rows, heavy), "chunk long, part long, keys binary, heavy binary")
     pieces = cut_lineage(
         texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_pieces_of_chunk(parts), _PIECE), "suffix-pieces")
     repeats = pieces.filter("part >= 0").groupBy("part").applyInArrow(

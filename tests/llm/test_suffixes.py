@@ -1,8 +1,10 @@
 """Suffix order and removal of repeated strings against brute force."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, empty
 from hypothesis import given, settings
@@ -58,6 +60,32 @@ def test_overlapping_passages(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected(df.collect())))
 
 
+def test_heavy_anchors_are_dealt_by_window(spark, data):
+    """The same result when every anchor counts as heavy; pieces of one anchor then have several partitions."""
+    df = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(awkward(spark).select("doc_id", "text"))
+    read = lambda **s: sorted(map(str, map(tuple, suffixes.search_repeats(df, keep_text=True, **s).collect())))
+    assert read(heavy=1, chunk_bytes=50_000) == read(heavy=1 << 40)
+    texts = [(f"{i:026d}" + "The same twenty-six bytes.")[-60:] + f"{i * 7919:026d}" for i in range(400)]
+    chunk = pa.table({"chunk": [0] * 400, "md5": [f"{i:03d}" for i in range(400)], "doc_key": list(range(400)), "text": texts})
+    lists = suffixes._anchor_lists(1)(chunk)
+    spread = {}
+    for heavy in (1, 1 << 40):
+        shared = suffixes._shared_anchors(lists, heavy)
+        one = suffixes._pieces_of_chunk(1)(chunk, shared)
+        size = Counter()
+        for keys, lengths in zip(one.column("keys").to_pylist(), one.column("lengths").to_pylist(), strict=True):
+            for k, n in zip(np.frombuffer(keys, np.uint32), np.frombuffer(lengths, np.int32)[: len(keys) // 4], strict=True):
+                size[int(k)] += int(n)
+        spread[heavy] = max(size.values())
+    assert spread[1] * 20 < spread[1 << 40]
+
+
+def test_equal_rows_leave_the_reading_task_once():
+    batch = pa.RecordBatch.from_pydict({"chunk": [1] * 6, "md5": list("aabbab"), "doc_key": [1, 1, 1, 2, 1, 2], "text": list("xxyyxy")})
+    out = pa.Table.from_batches(suffixes._once(iter([batch, batch])))
+    assert out.num_rows == 3
+
+
 def test_texts_without_repeats(spark):
     df = awkward(spark)
     out = suffixes.without_repeats(df)
