@@ -23,20 +23,23 @@ _BYTE = 255  # most that one entry counts; larger counts take several entries
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Rising 32-bit keys as differences of three bytes; as they are where a difference is larger."""
-    step = np.diff(keys, prepend=np.uint32(0))
-    if len(keys) and step.max() >= 1 << 24:
-        return b"\x01" + keys.astype("<u4").tobytes()
-    return b"\x00" + step.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    """Rising keys of up to 64 bits: the first, then differences of as many bytes as the largest needs."""
+    if not len(keys):
+        return b""
+    keys = keys.astype("<u8")
+    step = np.diff(keys)
+    width = max(-(-int(step.max()).bit_length() // 8), 1) if len(step) else 1
+    return bytes([width]) + keys[:1].tobytes() + step.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack_keys(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, dtype=np.uint8, offset=1)
-    if blob[0]:
-        return raw.view("<u4")
-    wide = np.zeros((len(raw) // 3, 4), dtype=np.uint8)
-    wide[:, :3] = raw.reshape(-1, 3)
-    return np.cumsum(wide.view("<u4").reshape(-1), dtype=np.uint32)
+    if not blob:
+        return np.zeros(0, dtype=np.uint64)
+    raw = np.frombuffer(blob, dtype=np.uint8, offset=9)
+    wide = np.zeros((len(raw) // blob[0] + 1, 8), dtype=np.uint8)
+    wide[0] = np.frombuffer(blob, dtype=np.uint8, count=8, offset=1)
+    wide[1:, : blob[0]] = raw.reshape(-1, blob[0])
+    return np.cumsum(wide.view("<u8").reshape(-1), dtype=np.uint64)
 
 
 def _grams(text: pa.Array, order: int) -> tuple[W.Words, list[tuple[np.ndarray, np.ndarray]]]:
@@ -53,70 +56,72 @@ def _chunk_texts(chunk: pa.Table) -> tuple[pa.Table, pa.Array]:
     return chunk, column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _address(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Partition in the high half, 32 other bits of the hash in the low half."""
-    part = (hashes >> np.uint64(32)) % np.uint64(parts)
-    return (part << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Partition of each hash: equal ranges of hashes, so that rising hashes have rising partitions."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
-def _chunk_counts(chunk: pa.Table, order: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Addresses of all n-grams of a chunk, in rising order, and their counts."""
+def _chunk_counts(chunk: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of a chunk, in rising order, and their counts."""
     _, column = _chunk_texts(chunk)
     found = []
     for s, e in W.pieces(column):
         for h, _ in _grams(column.slice(s, e - s), order)[1]:
-            found.append(np.sort(_address(h, parts)))
+            found.append(np.sort(h))
     flat = np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
     first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, dtype=np.int64)
     return flat[first], np.diff(np.concatenate([first, [len(flat)]]))
 
 
-def _blobs(address: np.ndarray, *columns: np.ndarray):
-    """For each partition: its number, the packed keys, and bytes of the columns."""
-    part = (address >> np.uint64(32)).astype(np.int64)
+def _blobs(hashes: np.ndarray, parts: int, *columns: np.ndarray):
+    """For each partition: its number, the packed hashes, and bytes of the columns."""
+    part = _part(hashes, parts)
     cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else [0]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(part[a]), pack_keys((address[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), *(c[a:b].tobytes() for c in columns)
+        yield int(part[a]), pack_keys(hashes[a:b]), *(c[a:b].tobytes() for c in columns)
 
 
 def _count_chunk(order: int, parts: int):
     schema = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(chunk: pa.Table) -> pa.Table:
-        address, count = _chunk_counts(chunk, order, parts)
+        hashes, count = _chunk_counts(chunk, order)
         entries = -(-count // _BYTE)
-        address, last = np.repeat(address, entries), np.cumsum(entries) - 1
-        small = np.full(len(address), _BYTE, dtype=np.uint8)
+        hashes, last = np.repeat(hashes, entries), np.cumsum(entries) - 1
+        small = np.full(len(hashes), _BYTE, dtype=np.uint8)
         small[last] = count - (entries - 1) * _BYTE
         number = chunk.column("chunk")[0].as_py()
-        rows = [(part, number, keys, counts) for part, keys, counts in _blobs(address, small)]
+        rows = [(part, number, keys, counts) for part, keys, counts in _blobs(hashes, parts, small)]
         return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema], schema=schema)
 
     return run
 
 
 def _sum_table(rows: pa.Table) -> pa.Table:
-    """One partition of the count tables: for each chunk the totals of its n-grams that others have too."""
+    """One partition of the count tables: for each chunk the totals of its n-grams that others have too.
+
+    ``keys`` of the result are places among the chunk's different hashes in this partition.
+    """
     schema = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary())])
     keys = [unpack_keys(b) for b in rows.column("keys").to_pylist()]
     counts = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in rows.column("counts").to_pylist()])
-    owner = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
-    flat = (np.concatenate(keys).astype(np.uint64) << np.uint64(32)) | owner
-    order = np.argsort(flat)
-    flat, counts = flat[order], counts[order]
-    key, owner = (flat >> np.uint64(32)).astype(np.uint32), (flat & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    place = np.concatenate([np.cumsum(np.diff(k, prepend=k[:1]) > 0) for k in keys])
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    key, owner, place, counts = key[order], owner[order], place[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     size = np.diff(np.concatenate([first, [len(key)]]))
     total = np.repeat(np.add.reduceat(counts.astype(np.int64), first), size)
     shared = np.repeat(np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first), size)
     # A chunk with several entries for one n-gram gets the total once.
-    shared &= np.concatenate([[True], flat[1:] != flat[:-1]])
-    key, owner, total = key[shared], owner[shared], total[shared]
+    shared &= np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]) if len(key) else shared
+    place, owner, total = place[shared], owner[shared], total[shared]
     order = np.argsort(owner, kind="stable")
-    key, owner, total = key[order], owner[order], total[order]
+    place, owner, total = place[order], owner[order], total[order]
     chunks, part = rows.column("chunk").to_pylist(), rows.column("part")[0].as_py()
     cuts = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]]) if len(owner) else [0]
-    out = [(chunks[owner[a]], part, pack_keys(key[a:b]), total[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    out = [(chunks[owner[a]], part, pack_keys(place[a:b]), total[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.table([list(c) for c in zip(*out, strict=True)] if out else [[] for _ in schema], schema=schema)
 
 
@@ -133,13 +138,14 @@ def _score_chunk(order: int, parts: int, backoff: float, total_words: int):
     def run(chunk: pa.Table, shared: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return schema.empty_table()
-        address, count = _chunk_counts(chunk, order, parts)
+        known, count = _chunk_counts(chunk, order)
         if shared.num_rows:
-            known = np.concatenate([
-                (np.uint64(p) << np.uint64(32)) | unpack_keys(k).astype(np.uint64)
+            begin = np.searchsorted(_part(known, parts), np.arange(parts))
+            at = np.concatenate([
+                begin[p] + unpack_keys(k).astype(np.int64)
                 for p, k in zip(shared.column("part").to_pylist(), shared.column("keys").to_pylist(), strict=True)])
             totals = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in shared.column("totals").to_pylist()])
-            count[np.searchsorted(address, known)] = totals
+            count[at] = totals
         chunk, column = _chunk_texts(chunk)
         scores, backed, number = [], [], []
         for s, e in W.pieces(column):
@@ -147,7 +153,7 @@ def _score_chunk(order: int, parts: int, backoff: float, total_words: int):
             # Counts of the other texts, for the run of each order that begins at each word (0: there is none).
             others = np.zeros((order + 1, len(w.start) + order), dtype=np.float64)
             for n, (h, at) in enumerate(grams, 1):
-                others[n, at] = count[np.searchsorted(address, _address(h, parts))] - _own_counts(w.text[at], h)
+                others[n, at] = count[np.searchsorted(known, h)] - _own_counts(w.text[at], h)
             own_words = w.per_text()[w.text]
             words = np.arange(len(w.start))
             place = words - np.searchsorted(w.text, w.text, side="left")
@@ -190,7 +196,7 @@ def backoff_scores(
     other texts. Texts without words (null, empty) have sums 0 and a null mean. Repeated rows are
     texts of their own; an empty table gives no rows.
 
-    Every text is counted; n-grams are told apart by 32 hash bits beside the partition, 38 bits or more.
+    Every text is counted; n-grams are told apart by all 64 bits of their hash.
     A chunk sends an n-gram once, however often it has it, so frequent ones make no hot partition.
     """
     spark = docs.sparkSession

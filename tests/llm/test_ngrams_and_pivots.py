@@ -55,6 +55,24 @@ def test_keys_round_trip(keys):
     assert ngrams.unpack_keys(ngrams.pack_keys(keys)).tolist() == keys.tolist()
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50))
+def test_wide_keys_round_trip(keys):
+    keys = np.sort(np.array(keys, dtype=np.uint64))
+    assert ngrams.unpack_keys(ngrams.pack_keys(keys)).tolist() == keys.tolist()
+
+
+def test_hashes_that_differ_in_high_bits_only():
+    """One partition and the low 32 bits do not tell these apart; the count tables must."""
+    hashes = np.array([7, 7 + (64 << 32), 7 + (128 << 32)], dtype=np.uint64)
+    rows = [(p, c, k, n) for c, own in ((0, hashes[:2]), (1, hashes[1:])) for p, k, n in ngrams._blobs(own, 64, np.array([5, 9], dtype=np.uint8))]
+    assert {r[0] for r in rows} == {0}
+    table = ngrams.pa.table(dict(zip(("part", "chunk", "keys", "counts"), map(list, zip(*rows, strict=True)), strict=True)))
+    got = {r["chunk"]: (ngrams.unpack_keys(r["keys"]).tolist(), np.frombuffer(r["totals"]).view(np.int64).tolist())
+           for r in ngrams._sum_table(table).to_pylist()}
+    assert got == {0: ([1], [14]), 1: ([0], [14])}
+
+
 def brute(rows, k=5):
     fine = {}
     for i, v in rows:
