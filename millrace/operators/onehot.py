@@ -28,15 +28,21 @@ def category_values(
 
 
 def one_hot(
-    df: DataFrame, columns: Sequence[str], values: Mapping[str, Sequence[str]] | None = None, other: bool = False
+    df: DataFrame, columns: Sequence[str], values: Mapping[str, Sequence[str]] | None = None, other: bool = False,
+    most: int = 1000,
 ) -> DataFrame:
     """Replace each column by one long column per value, named ``column_value``, holding 1 or 0.
 
     Null and values outside the list give 0 everywhere; ``other`` adds a flag ``column_other_values``
     for the latter. Pass the ``values`` found at training time
-    when scoring, so that both have the same columns; without them the data is searched.
+    when scoring, so that both have the same columns; without them the data is searched. More than
+    ``most`` values in a column are then an error unless ``other`` flags those beyond it.
     """
-    values = values if values is not None else category_values(df, columns)
+    if values is None:
+        values = category_values(df, columns, most if other else most + 1)
+        cut = [c for c in columns if not other and len(values[c]) > most]
+        if cut:
+            raise ValueError(f"more than {most} values in {cut}: pass the values, a larger number or other=True")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
     flags = [
         F.coalesce((F.col(c).cast("string") == v).cast("long"), F.lit(0).cast("long")).alias(f"{c}_{v}")

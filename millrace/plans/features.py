@@ -103,13 +103,14 @@ def weekend_totals(features: DataFrame, count: str, flag: str) -> DataFrame:
 def churn_features(
     df: DataFrame, categories: Sequence[str] = CHURN_CATEGORIES, label: str | None = "churn",
     values: Mapping[str, Sequence[str]] | None = None, labels: Mapping[str, int] = CHURN_LABELS,
+    other: bool = False, most: int = 1000,
 ) -> DataFrame:
     """One-hot the categories, map the label, clean the names, drop incomplete rows.
 
     A label outside ``labels`` becomes null, so its row is dropped; count such rows with
-    ``unmapped_labels`` before. Pass no label when scoring.
+    ``unmapped_labels`` before. Pass no label when scoring. ``other`` and ``most`` are those of ``one_hot``.
     """
-    wide = one_hot(df, categories, values)
+    wide = one_hot(df, categories, values, other, most)
     if label is not None:
         wide = wide.withColumn(label, label_to_int(label, labels))
     return complete_rows(clean_columns(wide, feature_name, repairs={}))

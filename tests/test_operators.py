@@ -248,6 +248,18 @@ def test_one_hot_of_many_values(spark):
     assert len(onehot.category_values(df, ["c"])["c"]) == 1000
 
 
+def test_one_hot_never_cuts_in_silence(spark):
+    df = spark.range(1001).select("id", F.col("id").cast("string").alias("c"), F.lit("Yes").alias("churn"))
+    with pytest.raises(ValueError, match="more than 1000 values"):
+        onehot.one_hot(df, ["c"])
+    with pytest.raises(ValueError, match="more than 1000 values"):
+        churn_features(df, ["c"])
+    small = df.filter("id < 5")
+    assert len(onehot.one_hot(small, ["c"], most=5).columns) == 7
+    flagged = churn_features(small, ["c"], other=True, most=3)
+    assert flagged.agg(F.sum("c_other_values")).first()[0] == 2
+
+
 def test_churn_frame_has_41_flags_and_45_inputs(spark):
     yes_no, internet = ["Yes", "No"], ["Yes", "No", "No internet service"]
     values = {
