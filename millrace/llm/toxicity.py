@@ -61,26 +61,28 @@ def _slots(w: W.Words, slots: int) -> tuple[np.ndarray, np.ndarray]:
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal segments (start, end, total) of a list of scores, in linear time.
 
-    Each candidate holds the running sum before it and at its end. A new one is joined with the
-    last earlier one that starts lower and ends lower than it, and with all in between.
+    Each candidate holds the running sum before it and at its end, and the place of the last earlier one
+    that starts lower. A new one is joined with the last earlier one that starts lower and ends lower
+    than it, and with all in between. The links skip what an earlier search has passed (Ruzzo and Tompa).
     """
-    held: list[tuple[int, int, float, float]] = []
+    held: list[tuple[int, int, float, float, int]] = []
     running = 0.0
     for i, s in enumerate(scores):
         before, running = running, running + s
         if s <= 0:
             continue
         start, low, high = i, before, running
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
             while j >= 0 and held[j][2] >= low:
-                j -= 1
+                j = held[j][4]
             if j < 0 or held[j][3] >= high:
-                held.append((start, i + 1, low, high))
+                held.append((start, i + 1, low, high, j))
                 break
-            start, low = held[j][0], held[j][2]
+            start, low, link = held[j][0], held[j][2], held[j][4]
             del held[j:]
-    return [(a, b, high - low) for a, b, low, high in held]
+            j = link
+    return [(a, b, high - low) for a, b, low, high, _ in held]
 
 
 def _segments_of(values: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
