@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import licenses, mixing, ngrams, packing, pivots, quality, rules, simhash, sql, suffixes, toxicity
+from millrace.llm import (
+    bpe, licenses, mixing, negatives, ngrams, packing, phrases, pivots, quality, rules, simhash, sql, suffixes, toxicity,
+)
 from millrace.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +89,25 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query(sql.MIX_SQL)
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+@query(sql.NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), label=moved)
+
+
+@query(sql.PHRASES_SQL)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    vocabulary = bpe.read_ranks(tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(table(spark, folder, "documents"), vocabulary, tokenizers.PATTERN)
+    return bpe.decode(encoded, vocabulary, keep_ids=True).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -113,3 +113,70 @@ SELECT doc_id, license, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(
 FROM shingles JOIN templates USING (shingle) JOIN sizes USING (license)
 GROUP BY row, doc_id, license HAVING count(*)::DOUBLE / any_value(n)::DOUBLE >= 0.8
 """
+
+NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 3
+"""
+
+PHRASES_SQL = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), w -> w <> '') AS words
+  FROM (SELECT lang, unnest(pieces) AS piece FROM texts)
+), grams AS (
+  SELECT lang, unnest(flatten(list_transform(range(1, 6), k -> list_transform(
+           range(1, greatest(len(words) - k + 2, 1)), i -> words[i : i + k - 1])))) AS gram
+  FROM pieces
+), counts AS (
+  SELECT lang, gram, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY lang, gram
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE len(gram) = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, gram, f AS a FROM counts WHERE len(gram) > 1 AND f >= 100
+), cuts AS (
+  SELECT lang, gram, a, unnest(range(1, len(gram))) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.gram, c.a, x.f AS l, y.f AS r, t.n,
+         CAST(1000 * CAST(c.a AS HUGEINT) * t.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN counts x ON x.lang = c.lang AND x.gram = c.gram[1 : c.k]
+  JOIN counts y ON y.lang = c.lang AND y.gram = c.gram[c.k + 1 :]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.gram ORDER BY score, c.k) = 1
+), around AS (
+  SELECT lang, gram[s : s + m - 1] AS gram, max(a) AS held
+  FROM (SELECT lang, gram, a, m, unnest(range(1, len(gram) - m + 2)) AS s
+        FROM (SELECT lang, gram, a, unnest(range(2, len(gram))) AS m FROM candidates))
+  GROUP BY ALL
+), named AS (
+  SELECT s.lang, array_to_string(s.gram, ' ') AS phrase, s.a, s.l, s.r, s.n, s.score
+  FROM scored s LEFT JOIN around h ON h.lang = s.lang AND h.gram = s.gram
+  WHERE h.held IS NULL OR 100 * h.held < 100 * s.a
+)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS BIGINT) AS rank,
+       phrase, a, l, r, n, score
+FROM named
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000
+"""

@@ -16,8 +16,8 @@ def test_same_as_duckdb(spark, data, con, name):
     assert differences(QUERIES[name](spark, data), con, CHECKS[name]) == []
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_entry_registers_all():
