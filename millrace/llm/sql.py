@@ -117,10 +117,10 @@ GROUP BY row, doc_id, license HAVING count(*)::DOUBLE / any_value(n)::DOUBLE >=
 NEGATIVES_SQL = """
 WITH rows AS (
   SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
   FROM rows a JOIN rows b ON a.vec_id <> b.vec_id
@@ -144,11 +144,11 @@ WITH texts AS (
                             '[.,;:!?\x0A-\x0D]') AS pieces
   FROM documents
 ), pieces AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), w -> w <> '') AS words
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
   FROM (SELECT lang, unnest(pieces) AS piece FROM texts)
 ), grams AS (
-  SELECT lang, unnest(flatten(list_transform(range(1, 6), k -> list_transform(
-           range(1, greatest(len(words) - k + 2, 1)), i -> words[i : i + k - 1])))) AS gram
+  SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k: list_transform(
+           range(1, greatest(len(words) - k + 2, 1)), lambda i: words[i : i + k - 1])))) AS gram
   FROM pieces
 ), counts AS (
   SELECT lang, gram, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY lang, gram
