@@ -24,8 +24,8 @@ from millrace.llm import words as W
 from millrace.llm.common import whole
 
 MOST_TOKENS = 2_000_000  # the vocabulary goes to every task
-MOST_PIECE = 1 << 18  # pre-tokens of one text that are held at once
-MOST_MEMO = 150_000  # merged pre-tokens that a task remembers, and as many older ones
+MOST_PIECE = 1 << 19  # pre-tokens of one text that are held at once
+MOST_MEMO = 200_000  # merged pre-tokens that a task remembers, and as many older ones
 _SPACE = 8  # hash slots of a level for each key left
 
 
@@ -270,7 +270,7 @@ def _mapped(column: int, work: Callable[[pa.Array], pa.Array], out: str, keep: b
     return run
 
 
-def _slices(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _slices(column: pa.Array, most_bytes: int = 6 << 20) -> Iterator[tuple[int, int]]:
     """Cuts a batch into runs of a few megabytes; a longer value is a run of its own."""
     ends = np.cumsum([0 if v is None else v for v in pc.binary_length(column).to_pylist()], dtype=np.int64)
     start = 0
@@ -289,7 +289,7 @@ def encode(
     Each match of ``pattern`` is encoded by itself; text between matches has no ids; there are no special tokens. Null
     and empty texts have no ids (an empty value). Rows are taken as they come: repeated rows and null ids stay, other
     columns play no part, an empty table gives no rows. Texts are whole, however long; memory holds the text
-    and some 260,000 pre-tokens of it. The vocabulary (checked to be bounded) goes to the tasks once.
+    and some 520,000 pre-tokens of it. The vocabulary (checked to be bounded) goes to the tasks once.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.build(vocabulary))
