@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ from millrace.session import cut_lineage, scratch_path
 
 BUCKETS = 1 << 22  # hash buckets of phrase counts; a task holds one counter for each
 BLOCK = 1 << 14  # buckets that are summed in one group
-RUN_BYTES = 8 << 20  # text that is split at once
+RUN_BYTES = 4 << 20  # text that is split at once
 TRIE_PHRASES = 250_000  # phrases of one trie
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 # Lower case for A-Z, one mark for all that ends a piece, one for all that ends a word.
@@ -57,27 +56,32 @@ def _split(seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                of_lang.setdefault(lang, []).append(text.encode())
-            for lang, texts in of_lang.items():
-                for data in _runs(texts):
-                    tokens = np.array([t for t in data.replace(b"\n", b" \n ").split(b" ") if t], dtype=object)
-                    code, words = pd.factorize(tokens)
-                    counts = np.bincount(code, minlength=len(words))
-                    # The mark between pieces has no number of its own.
-                    mark = np.flatnonzero(words == b"\n")
-                    if len(mark):
-                        code = np.where(code == mark[0], -1, code - (code > mark[0]))
-                        words, counts = np.delete(words, mark), np.delete(counts, mark)
-                    prefix = lang.encode() + b"\0"
-                    keys = np.array([xxhash.xxh64_intdigest(prefix + w, seed) for w in words], dtype=np.uint64)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([lang]), pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
-                        pa.array([counts], pa.list_(pa.int64())),
-                        pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
-                        pa.array([code.astype("<i4").tobytes()], pa.binary()),
-                    ], names=["lang", "words", "counts", "keys", "codes"])
+            for start, stop in W.pieces(batch.column(1), 2 * RUN_BYTES, batch.num_rows):
+                part = batch.slice(start, stop - start)
+                of_lang: dict[str, list[bytes]] = {}
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    of_lang.setdefault(lang, []).append(text.encode())
+                for lang in list(of_lang):
+                    for data in _runs(of_lang.pop(lang)):
+                        yield coded(lang, data)
+
+    def coded(lang: str, data: bytes) -> pa.RecordBatch:
+        tokens = data.replace(b"\n", b" \n ").split(b" ")
+        place = dict.fromkeys(tokens)
+        # Neither the mark between pieces nor the nothing between two blanks is a word.
+        words = [w for w in place if w and w != b"\n"]
+        place.update(zip(words, range(len(words)), strict=True))
+        place[b"\n"], place[b""] = -1, -2
+        code = np.fromiter(map(place.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+        code = code[code > -2]
+        counts = np.bincount(code + 1, minlength=len(words) + 1)[1:]
+        prefix = lang.encode() + b"\0"
+        keys = np.array([xxhash.xxh64_intdigest(prefix + w, seed) for w in words], dtype=np.uint64)
+        return pa.RecordBatch.from_arrays([
+            pa.array([lang]), pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
+            pa.array([counts], pa.list_(pa.int64())), pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
+            pa.array([code.astype("<i4").tobytes()], pa.binary()),
+        ], names=["lang", "words", "counts", "keys", "codes"])
 
     return run
 
@@ -135,7 +139,8 @@ def _bucket_sums(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Itera
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, dtype=np.int64 if least > 255 else np.int32)
         for h in work(batches):
-            total += np.bincount(_bucket(h), minlength=BUCKETS).astype(total.dtype)
+            at, n = np.unique(_bucket(h), return_counts=True)
+            total[at] += n.astype(total.dtype)
         rows = [
             (i, pa.compress(np.minimum(part, most).astype(kind).tobytes(), "zstd", asbytes=True))
             for i, part in enumerate(total.reshape(-1, BLOCK)) if part.any()]
@@ -321,8 +326,11 @@ def _word_table(docs: DataFrame, lang_col: str, text_col: str) -> tuple[DataFram
     """Stored runs of texts, and stored words (lang, word, key, n) whose keys are all different."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), whole(text_col).alias("text"))
     for seed in range(1000):
-        runs = cut_lineage(rows.mapInArrow(
-            _split(seed), "lang string, words array<string>, counts array<long>, keys array<long>, codes binary"), "runs")
+        schema = "lang string, words array<string>, counts array<long>, keys array<long>, codes binary"
+        path = scratch_path(docs.sparkSession, "runs")
+        # Rows of megabytes: few to a file, as a file's rows are read together.
+        rows.mapInArrow(_split(seed), schema).write.option("maxRecordsPerFile", 16).parquet(path)
+        runs = docs.sparkSession.read.schema(schema).parquet(path)
         word = F.explode(F.arrays_zip("words", "counts", "keys"))
         words = runs.select("lang", word.alias("w")).select("lang", "w.words", "w.counts", "w.keys")
         words = words.groupBy("lang", F.col("words").alias("word"), F.col("keys").alias("key")).agg(F.sum("counts").alias("n"))
