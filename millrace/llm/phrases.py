@@ -202,6 +202,12 @@ def _seen(size: int, frequent, full):
     return run
 
 
+def _more(base: np.ndarray, check: np.ndarray, accept: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The arrays with ``n`` more unused states."""
+    unused = np.full(n, -1, dtype=np.int64)
+    return np.append(base, np.zeros(n, dtype=np.int64)), np.append(check, unused), np.append(accept, unused)
+
+
 @dataclass
 class DoubleArray:
     """A trie of phrases in two arrays: from state s, symbol c leads to base[s] + c if check there is s.
@@ -228,7 +234,7 @@ class DoubleArray:
         base, check, accept = np.zeros(room, dtype=np.int64), np.full(room, -1, dtype=np.int64), np.full(room, -1, dtype=np.int64)
         check[0] = 0
         node = np.zeros(number, dtype=np.int64)  # state of each phrase's first words
-        low, top = 1, 1
+        top, tries = 1, np.arange(256)
         for level in range(size):
             code = codes[:, level]
             new = np.ones(number, dtype=bool)
@@ -238,33 +244,41 @@ class DoubleArray:
             begin = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
             end = np.append(begin[1:], len(parent))
             place = np.zeros(len(first), dtype=np.int64)
-            for i in np.argsort(begin - end, kind="stable"):  # most children first
+            children = end - begin
+            several = np.flatnonzero(children > 1)
+            start = 0
+            for i in several[np.argsort(-children[several], kind="stable")]:  # most children first
                 a, b = begin[i], end[i]
                 c = child[a:b]
-                start = max(low - int(c[0]), 0)
                 while True:
                     if start + 256 + int(c[-1]) >= len(check):
-                        more = len(check)
-                        base = np.append(base, np.zeros(more, dtype=np.int64))
-                        check, accept = (np.append(x, np.full(more, -1, dtype=np.int64)) for x in (check, accept))
-                    free = (check[start + np.arange(256)[:, None] + c] < 0).all(1)
+                        base, check, accept = _more(base, check, accept, len(check))
+                    free = (check[start + tries[:, None] + c] < 0).all(1)
                     at = int(free.argmax())
                     if free[at]:
                         break
-                    start += 256
+                    start += 256  # fewer children fit at least as well from here on
                 base[parent[a]] = start + at
                 place[a:b] = start + at + c
                 check[place[a:b]] = parent[a]
-                top = max(top, int(place[b - 1]))
-                while low + 64 <= top and (check[low : low + 64] >= 0).mean() > 0.9:
-                    low += 64
+            # Single children take the states that are left.
+            single = begin[children == 1]
+            low = len(symbols) + 1
+            left = low + np.flatnonzero(check[low:] < 0)
+            if len(left) < len(single):
+                more = len(single) + len(check)
+                left = np.concatenate([left, np.arange(len(check), more)])
+                base, check, accept = _more(base, check, accept, len(single))
+            at = left[: len(single)]
+            base[parent[single]] = at - child[single]
+            place[single], check[at] = at, parent[single]
+            top = max(top, int(place.max()))
             node = place[np.cumsum(new) - 1]
         accept[node] = order
-        stop = top + len(symbols) + 2
-        pad = max(0, stop - len(check))
-        base, check, accept = (np.append(x, np.full(pad, v, dtype=np.int64))[:stop] for x, v in ((base, 0), (check, -1), (accept, -1)))
         # A base may lie anywhere up to the last state.
-        return cls(symbols, base.astype(np.int32), check.astype(np.int32), accept.astype(np.int32), size, number)
+        stop = top + len(symbols) + 2
+        base, check, accept = (x[:stop].astype(np.int32) for x in _more(base, check, accept, max(0, stop - len(check))))
+        return cls(symbols, base, check, accept, size, number)
 
     def count(self, keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """How often each phrase begins at the places of a run (``codes`` are places in ``keys``, -1 between pieces)."""
