@@ -22,8 +22,7 @@ from millrace.llm import words as W
 from millrace.llm.common import whole
 from millrace.session import cut_lineage, scratch_path
 
-BUCKETS = 1 << 22  # hash buckets of phrase counts; a task holds one counter for each
-BLOCK = 1 << 14  # buckets that are summed in one group
+BLOCK = 1 << 14  # counters that are summed in one group
 RUN_BYTES = 4 << 20  # text that is split at once
 TRIE_PHRASES = 250_000  # phrases of one trie
 _STOPS = b".,;:!?\n\x0b\x0c\r"
@@ -105,8 +104,13 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.append(keys, np.uint64(0))[codes]
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - (BUCKETS.bit_length() - 1))).astype(np.int64)
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
+def buckets_for(words: int) -> int:
+    """A power of two near a sixteenth of all words, between 2^18 and 2^23."""
+    return 1 << min(max((words // 16).bit_length(), 18), 23)
 
 
 def _longer(h: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -118,7 +122,7 @@ def _able(keys: np.ndarray, size: int, frequent: list[np.ndarray]) -> tuple[np.n
     """Where phrases of ``size`` words begin whose two parts of one word less are frequent, and their hashes."""
     at, h = np.flatnonzero(keys), keys[keys != 0]
     for k in range(1, size):
-        on = frequent[k - 1][_bucket(h)]
+        on = frequent[k - 1][_bucket(h, len(frequent[k - 1]))]
         at, h = at[on], h[on]
         # The rest of the phrase begins one word later and has to be there too.
         both = np.flatnonzero(np.diff(at) == 1)
@@ -127,57 +131,60 @@ def _able(keys: np.ndarray, size: int, frequent: list[np.ndarray]) -> tuple[np.n
     return at, h
 
 
-def _bucket_sums(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], least: int) -> np.ndarray:
-    """Which hash buckets hold ``least`` of the hashes at least that ``work`` gives for the rows.
+def _summed(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]], counters: int,
+    most: int | None = None,
+) -> np.ndarray:
+    """Sums of counters over all rows; ``work`` gives places and what to add there.
 
-    Each task counts into one vector. Counts that reach ``least`` need no more, so few bits of each are sent.
-    Vectors are summed in blocks, in two steps where there are many tasks.
+    Each task adds up one vector, whose blocks are summed over the tasks, in two steps where there are many. Beyond ``most`` (255 or
+    less) sums need not be exact, so one byte each is sent.
     """
-    kind = np.uint8 if least <= 255 else np.uint32
-    most = np.iinfo(kind).max
+    kind = np.int64 if most is None else np.uint8
+    limit = np.iinfo(kind).max
+    spare = -counters % BLOCK
+
+    def packed(block: np.ndarray) -> bytes:
+        return pa.compress(np.minimum(block, limit).astype(kind).tobytes(), "zstd", asbytes=True)
+
+    def opened(block: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(block, BLOCK * np.dtype(kind).itemsize, "zstd", asbytes=True), dtype=kind)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64 if least > 255 else np.int32)
-        for h in work(batches):
-            at, n = np.unique(_bucket(h), return_counts=True)
+        total = np.zeros(counters + spare, dtype=np.int64 if most is None else np.int32)
+        for at, n in work(batches):
             total[at] += n.astype(total.dtype)
-        rows = [
-            (i, pa.compress(np.minimum(part, most).astype(kind).tobytes(), "zstd", asbytes=True))
-            for i, part in enumerate(total.reshape(-1, BLOCK)) if part.any()]
+        rows = [(i, packed(part)) for i, part in enumerate(total.reshape(-1, BLOCK)) if part.any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(BLOCK, dtype=np.int64)
         for c in rows.column("counts").to_pylist():
-            total += np.frombuffer(pa.decompress(c, BLOCK * np.dtype(kind).itemsize, "zstd", asbytes=True), dtype=kind)
-        packed = pa.compress(np.minimum(total, most).astype(kind).tobytes(), "zstd", asbytes=True)
-        return pa.table({"block": rows.column("block").slice(0, 1), "counts": pa.array([packed], pa.binary())})
+            total += opened(c)
+        return pa.table({"block": rows.column("block").slice(0, 1), "counts": pa.array([packed(total)], pa.binary())})
 
     schema = "block long, counts binary"
-    sums = df.mapInArrow(count, schema).withColumn("some", F.spark_partition_id() % F.lit(max(1, df.rdd.getNumPartitions() // 256)))
-    sums = sums.groupBy("block", "some").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
-    full = np.zeros(BUCKETS, dtype=bool)
-    for block, counts in sums.toLocalIterator():  # BUCKETS / BLOCK rows of bounded size
-        here = np.frombuffer(pa.decompress(counts, BLOCK * np.dtype(kind).itemsize, "zstd", asbytes=True), dtype=kind)
-        full[block * BLOCK : (block + 1) * BLOCK] = here >= least
-    return full
+    sums, tasks = df.mapInArrow(count, schema), df.rdd.getNumPartitions()
+    if tasks > 256:
+        sums = sums.withColumn("some", F.spark_partition_id() % F.lit(tasks // 256)).groupBy("block", "some").applyInArrow(add, schema)
+    out = np.zeros(counters + spare, dtype=kind)
+    for block, counts in sums.groupBy("block").applyInArrow(add, schema).toLocalIterator():  # counters / BLOCK rows
+        out[block * BLOCK : (block + 1) * BLOCK] = opened(counts)
+    return out[:counters]
 
 
 def _rows_of_keys(column: pa.Array) -> np.ndarray:
     """Phrases of one length as rows of keys."""
-    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1 if len(column) else 1)
 
 
-def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Hashes of stored phrases, all of one length."""
-    for batch in batches:
-        if batch.num_rows:
-            keys = _rows_of_keys(batch.column(0))
-            h = keys[:, 0]
-            for k in range(1, keys.shape[1]):
-                h = _longer(h, keys[:, k])
-            yield h
+def _hashes_of(rows: np.ndarray) -> np.ndarray:
+    """Hashes of phrases, given as rows of keys."""
+    h = rows[:, 0]
+    for k in range(1, rows.shape[1]):
+        h = _longer(h, rows[:, k])
+    return h
 
 
 def _phrase_column(rows: np.ndarray) -> pa.Array:
@@ -191,7 +198,7 @@ def _seen(size: int, frequent, full):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys in _keys_of(batches):
             at, h = _able(keys, size, frequent.value)
-            on = full.value[_bucket(h)]
+            on = full.value[_bucket(h, len(full.value))]
             at, h = at[on], h[on]
             if len(at):
                 order = np.argsort(h, kind="stable")
@@ -297,43 +304,47 @@ class DoubleArray:
         return np.bincount(self.accept[state], minlength=self.phrases)
 
 
-def _trie_counts(trie):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(trie.value.phrases, dtype=np.int64)
-        for keys, codes in _coded(batches):
-            total += trie.value.count(keys, codes)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["number", "n"])
-
-    return run
-
-
-def _frequent_of_size(spark: SparkSession, runs: DataFrame, shorter: list[DataFrame], size: int, least: int, bits: list) -> DataFrame:
-    """Phrases of ``size`` words with their counts, those of ``least`` occurrences at least."""
+def _frequent_of_size(
+    spark: SparkSession, runs: DataFrame, size: int, least: int, frequent: list[np.ndarray], buckets: int,
+) -> tuple[DataFrame, np.ndarray]:
+    """Phrases of ``size`` words with their counts, those of ``least`` occurrences at least, and the buckets of their hashes."""
     spread = runs.select("keys", "codes")
-    bits.append(_bucket_sums(shorter[-1].select("phrase"), _phrase_hashes, 1))
-    frequent = spark.sparkContext.broadcast(bits)
+    shared = spark.sparkContext.broadcast(frequent)
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        return (_able(keys, size, frequent.value)[1] for keys in _keys_of(batches))
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for keys in _keys_of(batches):
+            yield np.unique(_bucket(_able(keys, size, shared.value)[1], buckets), return_counts=True)
 
-    full = spark.sparkContext.broadcast(_bucket_sums(spread, hashes, least))
-    candidates = cut_lineage(spread.mapInArrow(_seen(size, frequent, full), "phrase array<long>").distinct(), "phrases-seen")
+    # A bucket counts its phrases together, so a phrase in an emptier one is not frequent.
+    full = spark.sparkContext.broadcast(_summed(spread, hashes, buckets, least if least <= 255 else None) >= least)
+    candidates = cut_lineage(spread.mapInArrow(_seen(size, shared, full), "phrase array<long>").distinct(), "phrases-seen")
     tries = -(-candidates.count() // TRIE_PHRASES)
     schema = "phrase array<long>, a long"
     path = scratch_path(spark, "phrases")
+    of_size, found = np.zeros(buckets, dtype=bool), False
     for i in range(tries):
         held = candidates.filter(F.pmod(F.xxhash64("phrase"), F.lit(tries)) == i).toArrow().column("phrase").combine_chunks()
         if not len(held):
             continue
-        trie = spark.sparkContext.broadcast(DoubleArray.build(_rows_of_keys(held)))
-        sums = spread.mapInArrow(_trie_counts(trie), "number long, n long").groupBy("number").agg(F.sum("n").alias("a"))
-        names = spark.createDataFrame(pa.table({"number": np.arange(len(held)), "phrase": held}))
-        sums.filter(F.col("a") >= least).join(names, "number").select("phrase", "a").write.mode("append").parquet(path)
+        rows = _rows_of_keys(held)
+        trie = spark.sparkContext.broadcast(DoubleArray.build(rows))
+
+        def accepted(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for keys, codes in _coded(batches):
+                n = trie.value.count(keys, codes)
+                at = np.flatnonzero(n)
+                yield at, n[at]
+
+        total = _summed(spread, accepted, len(rows))
+        on = total >= least
+        if on.any():
+            found = True
+            of_size[_bucket(_hashes_of(rows[on]), buckets)] = True
+            spark.createDataFrame(pa.table({"phrase": _phrase_column(rows[on]), "a": total[on]})).write.mode("append").parquet(path)
         trie.destroy()
-    frequent.destroy()
+    shared.destroy()
     full.destroy()
-    return spark.read.schema(schema).parquet(path) if tries else spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)), of_size
 
 
 def _word_table(docs: DataFrame, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -367,6 +378,9 @@ def collocations(
     with fewer words before the cut. A candidate goes if a longer candidate holds it and 100 * its count >= ``share`` * a.
     The first ``keep`` of each language come back by score, count (both falling) and phrase.
 
+    Memory is bounded: buckets, tries and runs have a largest size. Beyond some 10^8 words buckets fill up, so more phrases
+    become candidates and more tries pass over the runs; the result stays the same.
+
     Null texts are empty, a null language is ``und``; empty texts have no words. Repeated rows count again, ids and other
     columns play no part, an empty table gives no rows. Words are told apart by 64-bit keys that are checked to be
     all different (else other keys are taken), so counts are exact. Long texts are cut where pieces end.
@@ -376,12 +390,20 @@ def collocations(
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     known = cut_lineage(
         words.filter(F.col("n") >= least).select(F.array("key").alias("phrase"), F.col("n").alias("a"), "lang", "word"), "frequent")
-    levels, bits = [known.select("phrase", "a")], []
+    buckets = buckets_for(sum(r["n"] for r in totals.collect()))  # one row a language
+
+    def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            yield np.unique(_bucket(_hashes_of(_rows_of_keys(batch.column(0))), buckets), return_counts=True)
+
+    levels = [known.select("phrase", "a")]
+    frequent = [_summed(known.select("phrase"), word_hashes, buckets, 1) > 0]
     for size in range(2, longest + 1):
-        found = _frequent_of_size(spark, runs, levels, size, least, bits)
-        if found.isEmpty():
+        found, of_size = _frequent_of_size(spark, runs, size, least, frequent, buckets)
+        if not of_size.any():
             break
         levels.append(found)
+        frequent.append(of_size)
     counts = levels[0]
     for level in levels[1:]:
         counts = counts.unionByName(level)
