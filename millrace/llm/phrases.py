@@ -24,6 +24,7 @@ from millrace.session import cut_lineage, scratch_path
 
 BLOCK = 1 << 14  # counters that are summed in one group
 RUN_BYTES = 4 << 20  # text that is split at once
+MOST_HELD = 500_000  # different phrases that a task holds before it gives them out
 TRIE_PHRASES = 250_000  # phrases of one trie
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 # Lower case for A-Z, one mark for all that ends a piece, one for all that ends a word.
@@ -192,19 +193,45 @@ def _phrase_column(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).view(np.int64).ravel()))
 
 
-def _seen(size: int, frequent, full):
-    """The phrases of ``size`` words of each run that may be frequent."""
+def _distinct(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different phrases in the order of their hashes. (Of two that share a hash one may come twice.)"""
+    order = np.argsort(h, kind="stable")
+    h, rows = h[order], rows[order]
+    new = np.concatenate([np.ones(min(len(h), 1), dtype=bool), (rows[1:] != rows[:-1]).any(1)])
+    return h[new], rows[new]
+
+
+def _seen(size: int, frequent, full, blocks: int):
+    """The different phrases of ``size`` words of a task that may be frequent, packed by ranges of their hashes."""
+
+    def packed(h: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        block = (h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
+        begin = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), dtype=bool), block[1:] != block[:-1]]))
+        parts = [rows[a:b].astype("<u8").tobytes() for a, b in zip(begin, np.append(begin[1:], len(h)), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[begin].astype(np.int64)), pa.array(parts, pa.binary())], names=["block", "phrases"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_h, held = np.zeros(0, dtype=np.uint64), np.zeros((0, size), dtype=np.uint64)
         for keys in _keys_of(batches):
             at, h = _able(keys, size, frequent.value)
             on = full.value[_bucket(h, len(full.value))]
-            at, h = at[on], h[on]
-            if len(at):
-                order = np.argsort(h, kind="stable")
-                rows = keys[at[order][:, None] + np.arange(size)]
-                rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
-                yield pa.RecordBatch.from_arrays([_phrase_column(rows)], names=["phrase"])
+            h, rows = _distinct(h[on], keys[at[on][:, None] + np.arange(size)])
+            held_h, held = _distinct(np.concatenate([held_h, h]), np.concatenate([held, rows]))
+            if len(held) >= MOST_HELD:
+                yield packed(held_h, held)
+                held_h, held = held_h[:0], held[:0]
+        yield packed(held_h, held)
+
+    return run
+
+
+def _united(size: int):
+    """The different phrases of one range of hashes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        keys = np.frombuffer(b"".join(rows.column("phrases").to_pylist()), dtype="<u8").reshape(-1, size)
+        return pa.table({"phrase": _phrase_column(np.unique(keys, axis=0))})
 
     return run
 
@@ -317,7 +344,9 @@ def _frequent_of_size(
 
     # A bucket counts its phrases together, so a phrase in an emptier one is not frequent.
     full = spark.sparkContext.broadcast(_summed(spread, hashes, buckets, least if least <= 255 else None) >= least)
-    candidates = cut_lineage(spread.mapInArrow(_seen(size, shared, full), "phrase array<long>").distinct(), "phrases-seen")
+    blocks = max(64, buckets >> 12)
+    seen = spread.mapInArrow(_seen(size, shared, full, blocks), "block long, phrases binary")
+    candidates = cut_lineage(seen.groupBy("block").applyInArrow(_united(size), "phrase array<long>"), "phrases-seen")
     tries = -(-candidates.count() // TRIE_PHRASES)
     schema = "phrase array<long>, a long"
     path = scratch_path(spark, "phrases")
