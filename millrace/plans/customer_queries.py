@@ -86,7 +86,7 @@ def silver_orders(t):
     return silver.silver_orders(raw_orders(t))
 
 
-@query(f"""
+CUSTOMER_360_SQL = f"""
 WITH {RAW_USERS_SQL}, {SILVER_USERS_SQL},
 order_stats AS (
   SELECT CAST(o_custkey AS VARCHAR) AS user_id, count(*) AS order_count,
@@ -101,7 +101,10 @@ event_stats AS (
 SELECT *, CAST(date_diff('day', creation_date, TIMESTAMP '2024-02-01') AS INTEGER) AS days_since_creation,
        CAST(date_diff('day', last_activity_date, TIMESTAMP '2024-02-01') AS INTEGER) AS days_since_last_activity,
        CAST(date_diff('day', last_event, TIMESTAMP '2024-02-01') AS INTEGER) AS days_last_event
-FROM silver_users JOIN order_stats USING (user_id) JOIN event_stats USING (user_id)""")
+FROM silver_users JOIN order_stats USING (user_id) JOIN event_stats USING (user_id)"""
+
+
+@query(CUSTOMER_360_SQL)
 def customer_360(t):
     users = silver.silver_users(raw_users(t))
     orders = silver.silver_orders(raw_orders(t))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.operators.store import FeatureTable
 from millrace.plans.customer_queries import (
-    RAW_USERS_SQL, SILVER_USERS_SQL, plain_times, raw_orders, raw_users,
+    CUSTOMER_360_SQL, RAW_USERS_SQL, SILVER_USERS_SQL, app_events, plain_times, raw_orders, raw_users,
 )
 from millrace.plans.feature_queries import PICKUP_EVENTS
 from millrace.plans.features import pickup_features
@@ -17,7 +17,8 @@ from millrace.plans.registry import query
 from millrace.session import scratch_path, size_shuffles
 from millrace.sources import files
 from millrace.streaming import control, ingest, silver
-from millrace.streaming.features import stream_features
+from millrace.streaming.customers import CustomerStates
+from millrace.streaming.features import WindowStates, each_batch, stream_features
 
 
 def _landing(t, rows, fmt: str) -> str:
@@ -174,6 +175,68 @@ def streamed_features(t):
     })
 
 
+def _window_states(t) -> WindowStates:
+    """Events in three runs of a stream: early ones, later ones, and every tenth of the early ones, which come late."""
+    landing, path = scratch_path(t.spark, "events"), scratch_path(t.spark, "states")
+    events = t.events.select("event_id", "user_id", "ts", "value")
+    early, tenth = F.col("ts") <= F.lit("2024-01-20").cast("timestamp_ntz"), F.pmod("event_id", F.lit(10)) == 0
+    states = WindowStates.create(
+        t.spark, path, "user_id", "long", "ts", "15 minutes",
+        {"n": (F.count("*"), "long"), "n_value": (F.count("value"), "long"), "total": (F.sum("value"), "double")}, delay="1 hour")
+    for turn, part in enumerate([events.filter(early & ~tenth), events.filter(~early), events.filter(early & tenth)]):
+        staged = scratch_path(t.spark, "staged")
+        part.write.parquet(staged)
+        files.move_into(t.spark, staged, landing, f"{turn}-")
+        stream = t.spark.readStream.schema(events.schema).parquet(landing)
+        control.wait_all([states.write_stream(stream, f"{path}-checkpoint")])
+    return states
+
+
+@query(f"WITH {PICKUP_EVENTS} SELECT * FROM pickup")
+def streamed_features_complete(t):
+    """All sliding windows of a stream, open ones and those of late rows too, from states kept by pane."""
+    found = _window_states(t).windows(4)
+    return plain_times(found.select(
+        F.col("user_id").alias("zip"), F.col("window_end").alias("ts"),
+        F.try_divide("total", "n_value").cast("float").cast("double").alias("mean_fare_window_1h"),
+        F.col("n").cast("int").alias("count_trips_window_1h")))
+
+
+@query("""
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE ts <= TIMESTAMP '2024-01-20' AND event_id % 10 = 0 AND ts < latest - INTERVAL 1 HOUR) AS BIGINT) AS n_late,
+       CAST(count(*) FILTER (WHERE ts IS NULL) AS BIGINT) AS n_undated
+FROM events, (SELECT max(ts) AS latest FROM events)""")
+def streamed_late_rows(t):
+    """Rows of the same stream, and those that came after the delay; they are counted in their windows all the same."""
+    return _window_states(t).late_rows()
+
+
+@query(CUSTOMER_360_SQL)
+def customer_360_incremental(t):
+    """Raw files of users, orders and events in two deliveries, through bronze and silver streams, to states by user."""
+    root = scratch_path(t.spark, "customers")
+    sources = {
+        "users": (raw_users(t), "json", "id", {"id": "string"}, silver.silver_users),
+        "orders": (raw_orders(t), "json", "id", {"user_id": "string", "id": "string"}, silver.silver_orders),
+        "events": (app_events(t).drop("ts"), "csv", "event_id", {"user_id": "string", "event_id": "bigint"}, lambda df: df.drop(ingest.RESCUED)),
+    }
+    states = None
+    for turn in range(2):
+        running = []
+        for name, (rows, fmt, id_column, hints, clean) in sources.items():
+            # The second delivery has every fifth row, of all times.
+            part = rows.filter((F.pmod(F.xxhash64(id_column), F.lit(5)) == 0) == F.lit(turn == 1))
+            files.move_into(t.spark, _landing(t, part, fmt), f"{root}/landing/{name}", f"{turn}-")
+            control.wait_all([ingest.ingest_folder(t.spark, f"{root}/landing/{name}", fmt, name, root, hints=hints)])
+            stream = clean(ingest.stream_bronze(t.spark, root, name))
+            if states is None:
+                states = CustomerStates.create(t.spark, f"{root}/states", stream.schema)
+            running.append(each_batch(stream, getattr(states, f"add_{name}"), f"{root}/checkpoint/states-{name}"))
+        control.wait_all(running)
+    return plain_times(states.read(F.lit("2024-02-01").cast("date")))
+
+
 @query("""
 SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(o_orderkey AS VARCHAR) AS order_id,
        strftime(o_orderdate, '%m-%d-%Y %H:%M:%S') AS transaction_date,

@@ -3,9 +3,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.streaming import control, ingest, silver
-from millrace.streaming.features import watermarked
+from millrace.plans.customers import customer_360
+from millrace.streaming.customers import CustomerStates
+from millrace.streaming.features import WindowStates, watermarked
 
 
 def put(folder, name, *records):
@@ -121,3 +124,61 @@ def test_watermark_needs_a_zone(spark, tmp_path):
     spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts").write.parquet(str(tmp_path / "p"))
     stream = spark.readStream.schema("ts timestamp_ntz").parquet(str(tmp_path / "p"))
     assert dict(watermarked(stream, "ts", "1 hour").dtypes)["ts"] == "timestamp"
+
+
+def test_window_states(spark, tmp_path):
+    def rows(*values):
+        return spark.createDataFrame([(k, t and f"2024-01-01 {t}", v) for k, t, v in values], "k string, at string, v double").select(
+            "k", F.to_timestamp("at").alias("at"), "v")
+
+    states = WindowStates.create(
+        spark, str(tmp_path / "s"), "k", "string", "at", "15 minutes", {"n": (F.count("*"), "long"), "total": (F.sum("v"), "double")},
+        delay="30 minutes")
+    assert states.windows(2).collect() == [] and states.late_rows().first().asDict() == {"n_rows": 0, "n_late": 0, "n_undated": 0}
+    states.add(rows(("a", "10:00:00", 1.0), ("a", "10:14:59", 2.0), ("a", "10:15:00", 4.0), ("b", "12:00:00", 8.0)), "s#0")
+    states.add(rows(("a", "10:01:00", 16.0), ("b", "11:45:00", None), ("c", None, 1.0), (None, "12:10:00", 1.0)), "s#1")
+    states.add(rows(("a", "10:01:00", 16.0)), "s#1")  # a replay changes nothing
+    states.add(rows(), "s#2")
+    got = {(r["k"], r["window_end"].strftime("%H:%M")): (r["n"], r["total"]) for r in states.windows(2).collect()}
+    assert got == {
+        ("a", "10:15"): (3, 19.0), ("a", "10:30"): (4, 23.0), ("a", "10:45"): (1, 4.0),
+        ("b", "12:00"): (1, None), ("b", "12:15"): (2, 8.0), ("b", "12:30"): (1, 8.0),
+    }
+    assert states.late_rows().first().asDict() == {"n_rows": 8, "n_late": 1, "n_undated": 1}
+
+
+def test_customer_states(spark, tmp_path):
+    users = spark.createDataFrame(
+        [(u, "2024-01-01 00:00:00", "2024-01-02 00:00:00") for u in ("a", "b", "c", None)], "user_id string, c string, l string").select(
+        "user_id", F.to_timestamp("c").alias("creation_date"), F.to_timestamp("l").alias("last_activity_date"))
+    orders = [("a", 3, 1), ("a", 4, 2), ("b", 5, None), (None, 9, 9), ("a", 7, 1), ("c", 1, 1)]
+    events = [
+        ("a", "s1", 2, "ios", "01-05-2024 00:00:00"), ("a", "s2", 1, "web", "bad"), ("b", None, 3, "web", None),
+        (None, "s1", 4, "ios", None), ("a", "s1", 5, "android", "01-04-2024 00:00:00"), ("a", "s1", 6, None, "01-06-2024 00:00:00"),
+        ("c", "s9", 7, "ios", "01-04-2024 00:00:00"), ("a", "s2", 8, "web", "01-04-2024 00:00:00"),
+    ]
+    order_rows = lambda part: spark.createDataFrame(part, "user_id string, amount int, item_count int")
+    event_rows = lambda part: spark.createDataFrame(part, "user_id string, session_id string, event_id long, platform string, date string")
+    day = F.lit("2024-02-01").cast("date")
+    whole = customer_360(users, order_rows(orders), event_rows(events), day)
+
+    states = CustomerStates.create(spark, str(tmp_path / "s"), users.schema)
+    assert states.read(day).collect() == []
+    states.add_users(users, "u#0")
+    states.add_orders(order_rows(orders[:5]), "o#0")
+    states.add_events(event_rows(events[:4]), "e#0")
+    before = states.orders._snapshot()["parts"]
+    states.add_orders(order_rows(orders[5:]), "o#1")
+    after = states.orders._snapshot()["parts"]
+    # Every old folder is still there as it was, and the new one has the rows of the one user named.
+    assert all(set(held) <= set(after[part]) for part, held in before.items())
+    new = {part: set(held) - set(before.get(part, [])) for part, held in after.items()}
+    assert sum(map(len, new.values())) == 1
+    states.add_events(event_rows(events[4:]), "e#1")
+    states.add_events(event_rows(events[4:]), "e#1")  # a replay
+    same = lambda: sorted(map(str, states.read(day).select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+    assert same()
+    states.compact()
+    states.add_orders(order_rows(orders[5:]), "o#1")
+    assert same()
+    assert sorted(map(str, CustomerStates.open(spark, str(tmp_path / "s")).read(day).collect())) == sorted(map(str, states.read(day).collect()))
