@@ -207,7 +207,7 @@ def _seen(size: int, frequent, full, blocks: int):
     def packed(h: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
         block = (h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
         begin = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), dtype=bool), block[1:] != block[:-1]]))
-        parts = [rows[a:b].astype("<u8").tobytes() for a, b in zip(begin, np.append(begin[1:], len(h)), strict=True)]
+        parts = [rows[a:b].astype("<u8").tobytes() for a, b in zip(begin, [*begin[1:], len(h)], strict=False)]
         return pa.RecordBatch.from_arrays(
             [pa.array(block[begin].astype(np.int64)), pa.array(parts, pa.binary())], names=["block", "phrases"])
 
@@ -221,7 +221,8 @@ def _seen(size: int, frequent, full, blocks: int):
             if len(held) >= MOST_HELD:
                 yield packed(held_h, held)
                 held_h, held = held_h[:0], held[:0]
-        yield packed(held_h, held)
+        if len(held):
+            yield packed(held_h, held)
 
     return run
 
