@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -67,18 +68,13 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_000) -> DataFrame:
-    """ROC and precision-recall points, one per distinct score, from the highest score down.
-
-    Rows are first counted per score. The distinct scores may still be many, so the running counts
-    go through buckets of about ``bucket_rows`` scores between approximate quantiles. Infinite
-    scores are the first and last points; NaN, where a model failed, comes after all others. Rows
-    without score or label are left out.
-    """
-    per_score = df.filter(F.col(label).isNotNull()).groupBy(score).agg(
+def _running_counts(df: DataFrame, score: str, label: str, parts: Sequence[str], bucket_rows: int) -> DataFrame:
+    """For each distinct score of each part, from the highest down, how many of class 1 and 0 score so much or more."""
+    per_score = df.filter(F.col(label).isNotNull()).groupBy(*parts, score).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("tp"),
         F.sum((F.col(label) == 0).cast("long")).alias("fp"),
-    ).filter(F.col(score).isNotNull()).withColumn("__down", -F.col(score).cast("double"))
+    ).filter(F.col(score).isNotNull()).withColumns({
+        "__down": -F.col(score).cast("double"), "__tp": F.col("tp"), "__fp": F.col("fp")})
     # Read three times below; the scores may come from a model, which should run once.
     per_score = cut_lineage(per_score, "scores")
     buckets = -(-per_score.count() // bucket_rows)
@@ -91,9 +87,20 @@ def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_0
     else:
         # One bucket; not a literal, which would leave the join in the running total without a key.
         bucketed = per_score.withColumn("__bucket", F.pmod(F.xxhash64("__down"), F.lit(1)).cast("double"))
-    points = running_total(
-        bucketed, ["tp", "fp"], bucket="__bucket", order=[F.col("__down")], grand_total=True
+    return running_total(
+        bucketed, ["tp", "fp"], bucket="__bucket", order=[F.col("__down")], within=parts, grand_total=True
     )
+
+
+def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_000) -> DataFrame:
+    """ROC and precision-recall points, one per distinct score, from the highest score down.
+
+    Rows are first counted per score. The distinct scores may still be many, so the running counts
+    go through buckets of about ``bucket_rows`` scores between approximate quantiles. Infinite
+    scores are the first and last points; NaN, where a model failed, comes after all others. Rows
+    without score or label are left out.
+    """
+    points = _running_counts(df, score, label, [], bucket_rows)
     return points.select(
         score, "tp", "fp",
         F.try_divide("tp", "tp_total").alias("tpr"),
@@ -102,6 +109,39 @@ def curve_points(df: DataFrame, score: str, label: str, bucket_rows: int = 100_0
     )
 
 
+def probability_metrics(
+    df: DataFrame, score: str, label: str, parts: Sequence[str] = (), bucket_rows: int = 100_000, least: float = 1e-15,
+) -> DataFrame:
+    """Area under the ROC curve and log loss of scores from 0 to 1 for each part, such as train, validation and test.
+
+    The area is the share of pairs of class 1 and 0 in which class 1 scores higher, ties counting half; it comes from ranks
+    of the distinct scores, in buckets, so no pair is formed and no task sees all scores. It is null where a class is missing.
+    Log loss takes the score of the right class as ``least`` at least. Rows without score or label are left out.
+    """
+    if not parts:
+        # One part; not a literal, which would leave the joins without a key.
+        whole = df.withColumn("__part", F.pmod(F.xxhash64(score), F.lit(1)))
+        return probability_metrics(whole, score, label, ["__part"], bucket_rows, least).drop("__part")
+    parts = list(parts)
+    counts = _running_counts(df, score, label, parts, bucket_rows)
+    # Pairs won by class 1: for the class 0 rows of each score, those of class 1 above, and half of those beside.
+    won = F.col("__fp") * (F.col("tp") - F.col("__tp") + F.col("__tp") / 2)
+    area = counts.groupBy(*parts).agg(
+        F.try_divide(F.sum(won), F.max("tp_total").cast("double") * F.max("fp_total")).alias("auc"))
+    given = F.when(F.col(label) == 1, F.col(score).cast("double")).otherwise(1 - F.col(score))  # to the class that is right
+    loss = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*parts).agg(
+        F.count("*").alias("n"), F.avg(-F.log(F.greatest(given, F.lit(least)))).alias("log_loss"))
+    same = [loss[p].eqNullSafe(area[p]) for p in parts]
+    return loss.join(area, reduce(lambda x, y: x & y, same)).select(*[loss[p] for p in parts], "n", "auc", "log_loss")
+
+
+def calibration(df: DataFrame, score: str, label: str, parts: Sequence[str] = (), bins: int = 10) -> DataFrame:
+    """For each part and each bin of scores from 0 to 1: rows, mean score, and share of class 1."""
+    place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    return df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*parts, place.alias("bin")).agg(
+        F.count("*").alias("n"), F.avg(score).alias("mean_score"), F.avg((F.col(label) == 1).cast("double")).alias("positive_share"))
+
+
 def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
     """One row per expected input column: whether it is there with the expected type."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}

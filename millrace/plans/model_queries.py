@@ -67,6 +67,41 @@ def roc_points(t):
     return quality.curve_points(judged(t), "n_chars", "quality")
 
 
+PARTED_SQL = f"""{JUDGED_SQL}, parted AS (
+  SELECT CASE WHEN doc_id % 10 < 6 THEN 'train' WHEN doc_id % 10 < 8 THEN 'validation' ELSE 'test' END AS part,
+         quality, least(n_chars // 50, 39) / 40.0 AS score FROM judged)"""
+
+
+def parted(t):
+    """A score with many ties, in three parts."""
+    digit = F.col("doc_id") % 10
+    return judged(t).select(
+        F.when(digit < 6, "train").when(digit < 8, "validation").otherwise("test").alias("part"), "quality",
+        (F.least(F.floor(F.col("n_chars") / 50), F.lit(39)) / 40.0).alias("score"))
+
+
+@query(f"""
+WITH {PARTED_SQL}, pairs AS (
+  SELECT a.part, avg(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) AS auc
+  FROM parted a JOIN parted b ON a.part = b.part AND a.quality = 1 AND b.quality = 0 GROUP BY ALL)
+SELECT part, count(*) AS n, round(any_value(auc), 9) AS auc,
+       round(avg(-ln(CASE WHEN quality = 1 THEN greatest(score, 1e-15) ELSE 1 - score END)), 9) AS log_loss
+FROM parted JOIN pairs USING (part) GROUP BY ALL""")
+def probability_metrics(t):
+    found = quality.probability_metrics(parted(t), "score", "quality", ["part"], bucket_rows=10)
+    return found.withColumns({c: F.round(c, 9) for c in ("auc", "log_loss")})
+
+
+@query(f"""
+WITH {PARTED_SQL}
+SELECT part, CAST(floor(score * 10) AS INTEGER) AS bin, count(*) AS n, round(avg(score), 9) AS mean_score,
+       round(avg(CAST(quality = 1 AS DOUBLE)), 9) AS positive_share
+FROM parted GROUP BY ALL""")
+def calibration_bins(t):
+    found = quality.calibration(parted(t), "score", "quality", ["part"])
+    return found.withColumns({c: F.round(c, 9) for c in ("mean_score", "positive_share")})
+
+
 # -- run tables, with events as the log of runs ------------------------------------------------
 
 @query("""

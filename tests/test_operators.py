@@ -412,3 +412,33 @@ def test_rule_score(spark):
     df = spark.createDataFrame([(1, None), (0, 1), (0, None), (None, None)], "a int, b int")
     score = filters.score_if_any([F.col("a") == 1, F.col("b") == 1], hit=80, miss=20, base=5)
     assert [r["s"] for r in df.select(score.alias("s")).collect()] == [85, 85, 25, 25]
+
+
+@pytest.mark.parametrize("bucket_rows", [3, 100_000])
+def test_probability_metrics(spark, bucket_rows):
+    import math
+    import random
+
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([0, 1, None]), rng.choice([None, 0.0, 0.25, 0.5, 0.75, 1.0, rng.random()])) for _ in range(400)]
+    rows += [("one class", 1, 0.3), ("one class", 1, 0.3)]
+    df = spark.createDataFrame(rows, "part string, y int, p double")
+
+    def expected(of):
+        found = [(y, p) for part, y, p in rows if of(part) and y is not None and p is not None]
+        ones, zeros = [p for y, p in found if y], [p for y, p in found if not y]
+        won = sum((a > b) + (a == b) / 2 for a in ones for b in zeros)
+        loss = -sum(math.log(max(p if y else 1 - p, 1e-15)) for y, p in found) / len(found)
+        return len(found), won / (len(ones) * len(zeros)) if ones and zeros else None, loss
+
+    got = {r["part"]: (r["n"], r["auc"], r["log_loss"]) for r in quality.probability_metrics(df, "p", "y", ["part"], bucket_rows).collect()}
+    assert set(got) == {"a", "b", None, "one class"}
+    for part, (n, auc, loss) in got.items():
+        want = expected(lambda x: x == part)
+        assert (n, auc) == (want[0], want[1] if want[1] is None else pytest.approx(want[1])) and loss == pytest.approx(want[2])
+    (whole,) = quality.probability_metrics(df, "p", "y", bucket_rows=bucket_rows).collect()
+    assert tuple(whole) == pytest.approx(expected(lambda x: True))
+    bins = {(r["part"], r["bin"]): r for r in quality.calibration(df, "p", "y", ["part"], 4).collect()}
+    inside = [y for part, y, p in rows if part == "a" and y is not None and p is not None and p >= 0.75]
+    assert bins["a", 3]["n"] == len(inside) and bins["a", 3]["positive_share"] == pytest.approx(sum(inside) / len(inside))
+    assert quality.probability_metrics(df.limit(0), "p", "y").collect() == []
