@@ -31,6 +31,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def unlike(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so, in capitals or not."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def set_apart(docs: DataFrame, **roles: str) -> DataFrame:
+    """The columns of ``roles`` (new name = name in ``docs``) and all others inside one struct ``others``.
+
+    However a caller's columns are called, they cannot clash with those that an operator adds.
+    """
+    rest = [c for c in docs.columns if c not in roles.values()]
+    others = F.struct(*[F.col(_quoted(c)).alias(f"c{i}") for i, c in enumerate(rest)]) if rest else F.lit(0)
+    return docs.select(*[F.col(_quoted(c)).alias(name) for name, c in roles.items()], others.alias("others"))
+
+
+def put_back(rows: DataFrame, docs: DataFrame, **roles: str) -> DataFrame:
+    """The columns of ``docs`` in their order, from rows that ``set_apart`` made."""
+    names = {c: name for name, c in roles.items()}
+    rest = [c for c in docs.columns if c not in names]
+    names |= {c: f"others.c{i}" for i, c in enumerate(rest)}
+    return rows.select(*[F.col(names[c]).alias(c) for c in docs.columns])
+
+
 def hash_order(*columns: Column | str) -> Column:
     """A hex string that orders rows as if shuffled, alike on every run and in any engine."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]

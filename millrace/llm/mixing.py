@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import hash_order, running_total, shard_digits, tasks_for, whole, word_count
+from millrace.llm.common import (
+    hash_order, put_back, running_total, set_apart, shard_digits, tasks_for, whole, word_count,
+)
 from millrace.session import cut_lineage
 
 # Odd number next to 2^31 / golden ratio: multiples of it modulo 2^31 are spread evenly.
@@ -171,15 +173,20 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), **settings) -> DataFrame:
     )
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings
+) -> DataFrame:
     """``docs`` as often as the mix takes them: each row as many times as its size is taken, rounded.
 
     Only the text in which the mix of a source ends is taken in part; it stays if half of it or more is.
-    Texts without words go. Rows with equal id and text share their copies evenly.
+    Texts without words go. Rows with equal id and text share their copies evenly. Other columns stay,
+    whatever their names.
     """
-    marked = docs.withColumn("_md5", F.md5(whole(text_col)))
-    copies = mix(marked, keep=("_md5",), id_col=id_col, text_col=text_col, **settings).groupBy("doc_id", "_md5").agg(
+    roles = {"doc_id": id_col, "text": text_col, "source": source_col}
+    marked = set_apart(docs, **roles).withColumn("_md5", F.md5(whole("text")))
+    copies = mix(marked, keep=("_md5",), **settings).groupBy("doc_id", "_md5").agg(
         F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("_copies"))
     copies = copies.filter("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_text"), "_copies")
-    same = marked[id_col].eqNullSafe(copies["_id"]) & (marked["_md5"] == copies["_text"])
-    return marked.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    same = marked["doc_id"].eqNullSafe(copies["_id"]) & (marked["_md5"] == copies["_text"])
+    taken = marked.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return put_back(taken, docs, **roles)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as W
+from millrace.llm.common import unlike
 from millrace.llm.labels import fit_rows
 from millrace.llm.rules import STOP_WORDS
 
@@ -243,7 +244,7 @@ def score_quality(docs: DataFrame, model: AdditiveModel, out: str = "score", tex
 
     Repeated rows get equal scores; an empty table gives no rows. A column named as ``out`` is replaced.
     """
-    rows = docs.drop(out).withColumn("_text", F.col(text_col))
+    rows = docs.drop(out).withColumn(unlike(docs, "_text"), F.col(text_col))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop(out).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

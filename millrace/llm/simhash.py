@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import tasks_for, whole
+from millrace.llm.common import put_back, set_apart, tasks_for, whole
 from millrace.llm.components import components
 from millrace.session import cut_lineage
 
@@ -220,14 +220,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when one of each component stays: the one with the smallest id.
 
-    All columns stay. Among rows with the same id, and of null ids, the order of the texts' hashes
-    decides; of equal rows one stays.
+    All columns stay, whatever their names. Among rows with the same id, and of null ids, the order of
+    the texts' hashes decides; of equal rows one stays.
     """
-    found = near_duplicates(docs.withColumn("_md5", F.md5(whole(text_col))), id_col, text_col, keep=("_md5",))
+    roles = {"doc_id": id_col, "text": text_col}
+    marked = set_apart(docs, **roles).withColumn("_md5", F.md5(whole("text")))
+    found = near_duplicates(marked, keep=("_md5",))
     best = found.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_md5").alias("md5"))).alias("best"))
     best = best.select(F.col("best.id").alias("_best_id"), F.col("best.md5").alias("_best_md5"))
-    marked = docs.withColumn("_md5", F.md5(whole(text_col)))
     stay = marked.join(
-        best, marked[id_col].eqNullSafe(best["_best_id"]) & (marked["_md5"] == best["_best_md5"]), "left_semi")
-    return stay.dropDuplicates([id_col, "_md5"]).drop("_md5")
+        best, marked["doc_id"].eqNullSafe(best["_best_id"]) & (marked["_md5"] == best["_best_md5"]), "left_semi")
+    return put_back(stay.dropDuplicates(["doc_id", "_md5"]), docs, **roles)

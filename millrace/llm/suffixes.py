@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import words as W
-from millrace.llm.common import tasks_for, whole
+from millrace.llm.common import put_back, set_apart, tasks_for, whole
 from millrace.session import cut_lineage
 
 LENGTH, ANCHOR = 50, 20  # bytes of a repeated string; bytes of an anchor
@@ -514,15 +514,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated strings cut out of the texts; texts of which no word is left go.
 
-    All columns stay; a text that loses nothing stays as it is, null too.
+    All columns stay, whatever their names; a text that loses nothing stays as it is, null too.
     """
+    roles = {"doc_id": id_col, "text": text_col}
     done = search_repeats(docs, id_col, text_col, keep_text=True)
     own = (F.col("_n_bytes") < LENGTH) | (F.col("n_removed") == 0)
     # Long texts come back with the result, so they need not be shuffled from here.
-    slim = _marked(docs, id_col, text_col).withColumn(text_col, F.when(F.col("_n_bytes") < LENGTH, F.col(text_col)))
+    slim = _marked(set_apart(docs, **roles), "doc_id", "text").withColumn("text", F.when(F.col("_n_bytes") < LENGTH, F.col("text")))
     joined = slim.join(done, ["_md5", "_doc_key"], "left")
-    text = F.when(F.col("_n_bytes") < LENGTH, F.col(text_col)).otherwise(F.coalesce("kept", F.lit("")))
-    return (
-        joined.withColumn(text_col, text)
-        .filter(own | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
-    )
+    text = F.when(F.col("_n_bytes") < LENGTH, F.col("text")).otherwise(F.coalesce("kept", F.lit("")))
+    left = joined.withColumn("text", text).filter(own | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return put_back(left, docs, **roles)

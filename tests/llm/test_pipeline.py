@@ -1,7 +1,7 @@
 """The pipeline against brute force, stage by stage, and on awkward rows."""
 
 import corpus_pipeline
-from helpers import awkward, empty
+from helpers import CLASHING, awkward, empty
 from test_mix_and_pack import targets_by_rounds
 from test_simhash import classes, fingerprint
 from test_suffixes import expected
@@ -49,4 +49,6 @@ def test_awkward_rows_and_empty_table(spark, data):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = cut_lineage(stage(spark, docs, data), "stage")
             assert docs.columns == df.columns
+        for r in docs.collect():
+            assert [r[c] for c in CLASHING] == ([None] * len(CLASHING) if r.doc_id is None else ["clash"] * len(CLASHING))
         assert corpus_pipeline.STAGES[-1][1](spark, docs, data).count() >= 0
