@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import mixing, packing, quality, simhash, suffixes
+from millrace.llm.common import unlike
 from millrace.llm.queries import table
 from millrace.session import cut_lineage
 
@@ -17,8 +18,9 @@ QUALITY = 0.7
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at 0.7 or more; it learns from ``labels``."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model, out="_quality")
-    return scored.filter(F.col("_quality") >= QUALITY).select(*docs.columns)
+    score = unlike(docs, "_quality")
+    scored = quality.score_quality(docs, model, out=score)
+    return scored.filter(F.col(score) >= QUALITY).select(*docs.columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
