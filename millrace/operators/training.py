@@ -85,20 +85,37 @@ class TrainingSet:
             raise ValueError(f"label {self.label} is not in the raw data")
         return attach(self.raw, self.lookups, **asof_options).drop(*self.exclude)
 
-    def spec(self) -> str:
-        """The lookups as JSON, to be kept beside the model."""
+    def spec(self, inputs: dict[str, str] | None = None) -> str:
+        """The lookups, and the types of the model's inputs if given, as JSON to be kept beside the model."""
         times = {
             look.timestamp_lookup_key: self.raw.schema[look.timestamp_lookup_key].dataType.simpleString()
             for look in self.lookups if look.timestamp_lookup_key
         }
         return json.dumps({
             "lookups": [asdict(look) for look in self.lookups], "label": self.label,
-            "exclude": list(self.exclude), "times": times,
+            "exclude": list(self.exclude), "times": times, "inputs": inputs or {},
         })
 
 
-def save_spec(spark: SparkSession, training_set: TrainingSet, path: str) -> None:
-    files.write_text(spark, path, training_set.spec(), overwrite=True)
+def save_spec(spark: SparkSession, training_set: TrainingSet, path: str, inputs: dict[str, str] | None = None) -> None:
+    files.write_text(spark, path, training_set.spec(inputs), overwrite=True)
+
+
+def model_inputs(model: Model, df: DataFrame) -> dict[str, str]:
+    """Columns of ``df`` that the stages of ``model`` read, with their types; SQL stages name none."""
+    made, found = set(), {}
+    for stage in getattr(model, "stages", [model]):
+        for param in ("inputCol", "inputCols", "featuresCol"):
+            if stage.hasParam(param) and stage.isDefined(param):
+                value = stage.getOrDefault(param)
+                for name in [value] if isinstance(value, str) else value:
+                    if name in df.columns and name not in made:
+                        found[name] = df.schema[name].dataType.simpleString()
+        for param in ("outputCol", "outputCols", "predictionCol"):
+            if stage.hasParam(param) and stage.isDefined(param):
+                value = stage.getOrDefault(param)
+                made |= {value} if isinstance(value, str) else set(value)
+    return found
 
 
 def score_batch(
@@ -107,8 +124,8 @@ def score_batch(
 ) -> DataFrame:
     """Look the features up again as in training, score, and keep all input and feature columns.
 
-    Lookup times must have the name and type that they had in training. ``model`` is a fitted
-    Spark model or a function from DataFrame to DataFrame that adds the ``prediction`` column.
+    Lookup times, and model inputs where ``save_model`` noted them, must have the name and type that
+    they had in training. ``model`` is a fitted Spark model or a function from DataFrame to DataFrame that adds the ``prediction`` column.
     """
     saved = json.loads(spec)
     for name, kind in saved["times"].items():
@@ -116,6 +133,10 @@ def score_batch(
         if got != kind:
             raise TypeError(f"lookup time {name} is {got}, was {kind} in training")
     df = attach(df, [FeatureLookup(**look) for look in saved["lookups"]], **asof_options)
+    for name, kind in saved.get("inputs", {}).items():
+        got = df.schema[name].dataType.simpleString() if name in df.columns else "missing"
+        if got != kind:
+            raise TypeError(f"model input {name} is {got}, was {kind} in training")
     scored = model.transform(df) if isinstance(model, Model) else model(df)
     result = F.col(prediction)
     if result_type:
@@ -123,11 +144,16 @@ def score_batch(
     return scored.select(*df.columns, result.alias(prediction))
 
 
-def save_model(model: PipelineModel, training_set: TrainingSet, path: str) -> None:
-    """Keep a fitted model together with the lookups that its features come from."""
+def save_model(model: PipelineModel, training_set: TrainingSet, path: str, trained: DataFrame | None = None) -> None:
+    """Keep a fitted model together with the lookups that its features come from.
+
+    With ``trained``, the rows it was fitted on, the types of its inputs are kept as well and checked
+    before scoring. Stages that Spark does not have (``millrace.operators.stages``) are kept too.
+    """
     spark = training_set.raw.sparkSession
     model.write().overwrite().save(f"{path}/model")
-    save_spec(spark, training_set, f"{path}/features.json")
+    inputs = None if trained is None else model_inputs(model, trained)
+    save_spec(spark, training_set, f"{path}/features.json", inputs)
 
 
 def score_saved(df: DataFrame, path: str, **options) -> DataFrame:

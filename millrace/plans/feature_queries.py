@@ -11,7 +11,9 @@ from millrace.operators.asof import (
     MAX_GROUP_ROWS, Features, asof_join, asof_join_all, keyed_lookup,
 )
 from millrace.operators.keys import hot_groups
+from millrace.operators.leafwise import LeafwiseTrees
 from millrace.operators.onehot import one_hot
+from millrace.operators.stages import Bands
 from millrace.operators.store import FeatureTable, upserted
 from millrace.operators.training import FeatureLookup, TrainingSet, save_model, score_batch, score_saved
 from millrace.operators.windows import sliding_mean_count
@@ -281,6 +283,31 @@ def score_saved_model(t):
     return score_saved(raw, path, result_type="string")
 
 
+@query(f"""
+WITH {PICKUP_EVENTS}
+SELECT e.event_id, e.user_id, e.ts, p.mean_fare_window_1h, p.count_trips_window_1h, c.c_mktsegment,
+       CASE WHEN coalesce(p.count_trips_window_1h, 0) < 1 THEN 'none' WHEN p.count_trips_window_1h < 2 THEN 'one'
+            WHEN p.count_trips_window_1h < 4 THEN 'some' ELSE 'many' END AS prediction
+FROM events e ASOF LEFT JOIN pickup p ON e.user_id = p.zip AND e.ts > p.ts
+LEFT JOIN customer c ON e.user_id = c.c_custkey""")
+def score_trained_bands(t):
+    """Trees trained on looked-up features and bands of what they say, saved, loaded again, and applied with the lookups.
+
+    The label is twice the count of trips that a lookup gives, so the right band of each event is known.
+    """
+    raw = t.events.select("event_id", "user_id", "ts")
+    lookups = stored_lookups(t)
+    training = TrainingSet(raw, lookups)
+    rows = cut_lineage(training.to_df().withColumn("label", F.coalesce("count_trips_window_1h", F.lit(0)) * 2.0), "training")
+    stages = [
+        LeafwiseTrees(inputCols=["count_trips_window_1h", "mean_fare_window_1h"], rounds=2, rate=1.0, leaves=32, leastRows=1),
+        Bands("prediction", "prediction", [1.0, 3.0, 7.0], ["none", "one", "some", "many"]),
+    ]
+    path = scratch_path(t.spark, "model")
+    save_model(Pipeline(stages=stages).fit(rows), training, path, trained=rows)
+    return score_saved(raw, path)
+
+
 # -- categories --------------------------------------------------------------------------------
 
 STATUSES = ["F", "O", "P"]

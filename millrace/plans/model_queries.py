@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numbers import FARE_BANDS
 from millrace.operators import aggregates, answers, learn, quality, sampling
+from millrace.operators.leafwise import LeafwiseTrees
+from millrace.operators.search import halving_search
 from millrace.plans.registry import Tables, query
 from millrace.session import cut_lineage
 from millrace.sources.catalog import drop_table
@@ -187,6 +189,64 @@ def fare_model(t):
         F.lit(error < of_mean).alias("better_than_mean"))
 
 
+TRAITS = ["n_chars", "spaces", "digits", "capitals", "symbols", "lines", "different"]
+
+
+def traits(t: Tables):
+    """Shares of kinds of characters in the text of each labelled document, and of its words that differ."""
+    text, size = F.coalesce("text", F.lit("")), F.greatest(F.length(F.coalesce("text", F.lit(""))), F.lit(1))
+    words = F.split(text, "[ \\n]+")
+    share = {"spaces": " ", "digits": "[0-9]", "capitals": "[A-Z]", "symbols": "[^A-Za-z0-9 \\n]", "lines": "\n"}
+    rows = t.documents.select(
+        "doc_id", "n_chars", *[(F.regexp_count(text, F.lit(p)) / size).alias(n) for n, p in share.items()],
+        (F.size(F.array_distinct(words)) / F.size(words)).alias("different"))
+    return t.labels.select("doc_id", "quality").join(rows, "doc_id")
+
+
+@query(f"""
+WITH {JUDGED_SQL}
+SELECT CASE WHEN doc_id % 4 = 0 THEN 'validation' ELSE 'train' END AS part, count(*) AS n,
+       true AS below_base_rate FROM judged GROUP BY ALL""")
+def leafwise_quality(t):
+    """Leaf-wise trees for the quality label: log loss of both parts against that of the label's base rate.
+
+    ``below_base_rate``: at most 0.7 times the loss of always saying the training part's share.
+    """
+    part = F.when(F.col("doc_id") % 4 == 0, "validation").otherwise("train")
+    rows = cut_lineage(traits(t).withColumn("part", part), "traits")
+    train = rows.filter("part = 'train'")
+    model = LeafwiseTrees(
+        inputCols=TRAITS, labelCol="quality", kind="logistic", rounds=10, leaves=16, rate=0.3, leastRows=3, l2=0.1).fit(train)
+    share = train.agg(F.avg("quality")).first()[0] or 0.5
+    scored = cut_lineage(model.transform(rows).select("part", "quality", "score"), "scores")
+    found = quality.probability_metrics(scored, "score", "quality", ["part"])
+    base = quality.probability_metrics(scored.withColumn("score", F.lit(share)), "score", "quality", ["part"])
+    base = base.select("part", F.col("log_loss").alias("base_loss"))
+    return found.join(base, "part").select("part", "n", (F.col("log_loss") <= 0.7 * F.col("base_loss")).alias("below_base_rate"))
+
+
+@query("""
+WITH hashed AS (SELECT md5('124|' || l_orderkey || '|' || l_linenumber) AS h FROM lineitem
+                WHERE substr(md5('123|' || l_orderkey || '|' || l_linenumber), 1, 8) < 'c0000000'),
+rungs(rung, share, edge, tried, kept) AS (VALUES (0, 1.0 / 9, '1c71c71c', 4, 2), (1, 1.0 / 3, '55555555', 2, 1), (2, 1.0, 'g', 1, 1))
+SELECT rung, round(CAST(share AS DOUBLE), 6) AS share, (SELECT count(*) FROM hashed WHERE substr(h, 1, 8) < edge) AS sample_rows,
+       CAST(tried AS BIGINT) AS tried, CAST(kept AS BIGINT) AS kept, true AS learns FROM rungs""")
+def halving_search_rungs(t):
+    """Four settings on a ninth of the rows, two on a third, the best on all: rungs as the search went.
+
+    ``learns``: the settings whose step is too small to learn were left behind.
+    """
+    settings = [{"rate": rate, "leaves": leaves} for rate in (1e-6, 0.5) for leaves in (2, 8)]
+    found = halving_search(
+        priced(t), ["l_orderkey", "l_linenumber"], settings,
+        lambda sample, s: LeafwiseTrees(inputCols=["l_quantity", "l_discount", "l_tax"], labelCol="price", rounds=2, **s).fit(sample),
+        lambda scored: learn.regression_rmse(scored, "price"), keep=0.5, seconds=3600)
+    learns = F.min(~F.col("kept") | F.col("setting").contains("0.5"))
+    return found.tries.groupBy("rung", "share").agg(
+        F.max("rows").alias("sample_rows"), F.count("*").alias("tried"), F.count_if("kept").alias("kept"), learns.alias("learns")
+    ).withColumn("share", F.round("share", 6))
+
+
 @query(f"""
 WITH {JUDGED_SQL}, sizes AS (SELECT quality, count(*) AS n, CAST(ceil(count(*) * 0.75) AS BIGINT) AS k FROM judged GROUP BY quality)
 SELECT 'train' AS dataset, CAST(sum(k) AS BIGINT) AS row_count, true AS learned FROM sizes
