@@ -16,7 +16,7 @@ from millrace.plans.features import pickup_features
 from millrace.plans.registry import query
 from millrace.session import scratch_path, size_shuffles
 from millrace.sources import files
-from millrace.streaming import control, ingest, silver
+from millrace.streaming import control, ingest, nested, silver
 from millrace.streaming.customers import CustomerStates
 from millrace.streaming.features import WindowStates, each_batch, stream_features
 
@@ -73,6 +73,25 @@ def rescued_fields(t):
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
+@query("""
+SELECT o_orderkey AS order_id, o_custkey AS buyer_id, CASE WHEN o_orderkey % 2 = 0 THEN 1 END AS first_part,
+       CASE WHEN o_orderkey % 2 = 1 THEN '{"buyer":{"status":"' || o_orderstatus || '"},"parts":{"0":{"n":"x' || o_orderkey || '"}}}'
+            ELSE '{"buyer":{"status":"' || o_orderstatus || '"}}' END AS _rescued_data FROM orders""")
+def rescued_nested_fields(t):
+    """An unknown field inside a struct in every line, and inside a list a value that does not fit in every other one."""
+    part = F.when(F.col("o_orderkey") % 2 == 0, F.lit('{"n":1}')).otherwise(F.format_string('{"n":"x%d"}', "o_orderkey"))
+    lines = t.orders.select(F.format_string(
+        '{"order_id":%d,"buyer":{"id":%d,"status":"%s"},"parts":[%s]}', "o_orderkey", "o_custkey", "o_orderstatus", part).alias("value"))
+    folder = scratch_path(t.spark, "landing")
+    lines.write.text(folder)
+    known = T.StructType.fromDDL("order_id bigint, buyer struct<id: bigint>, parts array<struct<n: int>>")
+    out = scratch_path(t.spark, "rescued")
+    stream = nested.rescue_nested(ingest.open_lines(t.spark, folder), known)
+    control.wait_all([ingest.stream_to_path(stream, out, f"{out}-checkpoint")])
+    rows = t.spark.read.schema(stream.schema).parquet(out)
+    return rows.select("order_id", F.col("buyer.id").alias("buyer_id"), F.col("parts")[0]["n"].alias("first_part"), ingest.RESCUED)
+
+
 DAY_MS = 86_400_000
 
 

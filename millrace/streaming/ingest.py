@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources import files
+from millrace.streaming import nested
 
 RESCUED = "_rescued_data"
 _BATCH = "ingest_batch"
@@ -67,8 +68,9 @@ def infer_schema(
     after = {"modifiedAfter": modified_after} if modified_after else {}
     if fmt == "csv":
         found = T.StructType([])
-        for paths in _by_header(_located(spark.read.format("text").options(**after).load(folder))).values():
-            found = merge_schemas(found, spark.read.option("header", True).option("inferSchema", True).csv(paths).schema)
+        for header, paths in _by_header(_located(spark.read.format("text").options(**after).load(folder))).items():
+            read = spark.read.option("header", True).option("inferSchema", True).csv(paths)
+            found = merge_schemas(found, read.toDF(*header_names(header)).schema)
         return found
     found = spark.read.format(fmt).options(**after).load(folder).schema
     # Lines that do not parse are rescued whole.
@@ -95,8 +97,8 @@ def resolve_schema(
 ) -> T.StructType:
     """The kept schema, extended by what new files bring. Types in ``hints`` win over inference.
 
-    A column keeps the type it first had: files already written hold that type. Values of new
-    files that do not fit go to the rescued-data column.
+    A column keeps the type it first had: files already written hold that type. Structs may gain
+    fields, at any depth. Values of new files that do not fit go to the rescued-data column.
     """
     now = datetime.now(timezone.utc) - timedelta(seconds=1)
     kept, after = None, None
@@ -114,9 +116,7 @@ def resolve_schema(
         kept_names: set[str] = set()
     else:
         kept_names = set(kept.names)
-        schema = T.StructType([*kept.fields, *[
-            T.StructField(f.name, f.dataType, True) for f in found if f.name not in kept_names
-        ]])
+        schema = nested.extended(kept, found)
     typed = {n: T._parse_datatype_string(t) for n, t in (hints or {}).items()}
     schema = T.StructType([
         T.StructField(f.name, typed.get(f.name, f.dataType) if f.name not in kept_names else f.dataType, True)
@@ -183,6 +183,14 @@ def promote_rescued(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def header_names(header: str) -> list[str]:
+    """Column names of a CSV header; one that is empty or was there before gets the number of its place."""
+    names: list[str] = []
+    for i, n in enumerate(next(csv.reader([header]), [])):
+        names.append(f"{n}_c{i}" if not n or n.lower() in {m.lower() for m in names} else n)
+    return names
+
+
 def _csv_by_header(batch: DataFrame, schema: T.StructType) -> DataFrame | None:
     """Typed rows of one batch of CSV lines (value, path, start): each file by the names in its own header.
 
@@ -192,7 +200,7 @@ def _csv_by_header(batch: DataFrame, schema: T.StructType) -> DataFrame | None:
     typed = {f.name: f.dataType for f in schema}
     result = None
     for header, paths in sorted(_by_header(batch).items()):
-        names = [n or f"_c{i}" for i, n in enumerate(next(csv.reader([header])))]
+        names = header_names(header)
         text = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("__bad", T.StringType())])
         rows = (
             spark.read.schema(text).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
@@ -245,8 +253,9 @@ def ingest_folder(
     lines = open_lines(spark, folder, max_files)
     if fmt == "csv":
         return _write_csv_batches(lines, state, schema, once)
+    rescue = nested.rescue_nested if nested.is_nested(schema) else rescue_unknown
     writer = (
-        rescue_unknown(lines, schema).writeStream.format("parquet").outputMode("append")
+        rescue(lines, schema).writeStream.format("parquet").outputMode("append")
         .queryName(f"{table}_bronze_ingest").option("checkpointLocation", state.checkpoint).option("path", state.data)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -258,18 +267,23 @@ def bronze_schema(spark: SparkSession, root: str, table: str) -> T.StructType:
     return T.StructType([*fields, T.StructField(RESCUED, T.StringType(), True)])
 
 
+def _promoted(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    known = T.StructType(schema.fields[:-1])
+    return (nested.promote_nested if nested.is_nested(known) else promote_rescued)(raw, known)
+
+
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The bronze table as a batch; columns that came later hold what was rescued from older rows."""
     schema = bronze_schema(spark, root, table)
     raw = spark.read.schema(schema).parquet(IngestState(root.rstrip("/"), table).data)
-    return promote_rescued(raw, T.StructType(schema.fields[:-1]))
+    return _promoted(raw, schema)
 
 
 def stream_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The bronze table as a stream, otherwise as ``read_bronze``."""
     schema = bronze_schema(spark, root, table)
     raw = spark.readStream.schema(schema).option("maxFileAge", _ANY_AGE).parquet(IngestState(root.rstrip("/"), table).data)
-    return promote_rescued(raw, T.StructType(schema.fields[:-1]))
+    return _promoted(raw, schema)
 
 
 def stream_to_table(
