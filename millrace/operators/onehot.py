@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 
 def category_values(
     df: DataFrame, columns: Sequence[str], most: int = 1000
 ) -> dict[str, list[str]]:
-    """The ``most`` most frequent non-null values of each column, ties by value, sorted; one pass.
+    """The ``most`` most frequent non-null values of each column, ties by value, sorted; one pass for all columns.
 
-    Rows are counted before the shuffle. All values become columns, so their number is a parameter;
+    Rows are counted before the shuffle, and of each column's values a task hands on its first ones only. All values become columns, so their number is a parameter;
     ``one_hot(other=True)`` flags the values beyond it.
     """
     tagged = F.explode(F.array(*[
@@ -20,10 +21,14 @@ def category_values(
     ]))
     counts = df.select(tagged.alias("pair")).select("pair.*").filter(F.col("value").isNotNull()).groupBy("name", "value").count()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for c in columns:
-        # Each task keeps its first rows, so no task sees all values.
-        for row in counts.filter(F.col("name") == c).orderBy(F.desc("count"), "value").limit(most).collect():
-            found[c].append(row["value"])
+    # Parts of a column's values first, so that a column with very many does not meet in one task whole.
+    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc("count"), F.col("value")]
+    sharded = Window.partitionBy("name", F.pmod(F.xxhash64("value"), F.lit(shards)))
+    first = counts.withColumn("rank", F.row_number().over(sharded.orderBy(*order))).filter(F.col("rank") <= most)
+    best = first.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(*order)))
+    for row in best.filter(F.col("rank") <= most).select("name", "value").collect():
+        found[row["name"]].append(row["value"])
     return {c: sorted(v) for c, v in found.items()}
 
 
