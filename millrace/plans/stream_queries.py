@@ -16,7 +16,7 @@ from millrace.plans.features import pickup_features
 from millrace.plans.registry import query
 from millrace.session import scratch_path, size_shuffles
 from millrace.sources import files
-from millrace.streaming import control, ingest, nested, silver
+from millrace.streaming import control, inference, ingest, nested, silver
 from millrace.streaming.customers import CustomerStates
 from millrace.streaming.features import WindowStates, each_batch, stream_features
 
@@ -128,7 +128,7 @@ SELECT o_custkey AS user_id, o_orderkey AS order_id, o_totalprice AS amount,
        CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority,
        CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
 def ingested_new_field(t):
-    """A field that inference did not see: rescued by the second run, a column once the third has learned it."""
+    """A field that comes later, first in files that look older than the last run: a column from the second run on."""
     folder, root = scratch_path(t.spark, "landing"), scratch_path(t.spark, "lake")
     for turn in range(3):
         part = _order_rows(t).filter(F.pmod("order_id", F.lit(3)) == turn)
@@ -136,10 +136,6 @@ def ingested_new_field(t):
         if turn == 1:
             files.set_modified(t.spark, staged, int(time.time() * 1000) - DAY_MS)
         files.move_into(t.spark, staged, folder, f"{turn}-")
-        if turn == 2:
-            # Inference reads what is a second newer than the last run.
-            time.sleep(1.5)
-            files.set_modified(t.spark, folder, int(time.time() * 1000))
         found = _ingested(t, root, folder, "json")
     return found.select("user_id", "order_id", "amount", "priority", ingest.RESCUED)
 
@@ -166,6 +162,28 @@ def ingested_mixed_csv(t):
     return found.select("user_id", "order_id", "amount", "priority", ingest.RESCUED)
 
 
+@query("""
+SELECT c_nationkey AS nation, 'customer' AS name, '"integer"' AS type FROM customer GROUP BY c_nationkey
+UNION ALL
+SELECT c_nationkey, 'value', CASE WHEN c_nationkey % 3 = 0 THEN '"integer"'
+         WHEN c_nationkey % 3 = 2 AND bool_or(c_custkey % 5 = 0) THEN '"string"' ELSE '"double"' END
+FROM customer GROUP BY c_nationkey""")
+def types_of_files(t):
+    """The table of types that ingestion keeps, one file for each nation: whole numbers, fractions, or some words among them."""
+    segment = F.when((F.col("c_nationkey") % 3 == 2) & (F.col("c_custkey") % 5 == 0), F.col("c_mktsegment"))
+    whole = F.when(F.col("c_nationkey") % 3 == 0, F.col("c_acctbal").cast("int").cast("string"))
+    rows = t.customer.select(
+        F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("customer"),
+        F.coalesce(segment, whole, F.col("c_acctbal").cast("string")).alias("value"),
+    )
+    folder, kept = scratch_path(t.spark, "landing"), scratch_path(t.spark, "types")
+    rows.repartition("nation").write.partitionBy("nation").option("header", True).csv(folder)
+    for _ in range(2):
+        inference.summarise_new(t.spark, folder, "csv", kept, f"{kept}-checkpoint")
+    nation = F.regexp_extract("path", r"nation=(\d+)", 1).cast(t.customer.schema["c_nationkey"].dataType)
+    return inference.read_summaries(t.spark, kept).select(nation.alias("nation"), "name", "type")
+
+
 @query(f"""
 WITH {PICKUP_EVENTS}
 SELECT * FROM pickup WHERE ts <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 hour' FROM events)""")

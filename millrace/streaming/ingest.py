@@ -1,24 +1,23 @@
 """Incremental ingestion of a folder of raw files into a bronze table.
 
-The schema is inferred by a batch read, kept in a file, and given to the stream, which therefore
-never infers. Later runs infer over files newer than the last run only and add what is new to the
-kept schema. What a run finds beyond its schema is rescued as text and read as a column later. The checkpoint remembers which files were taken, and the sink's commit log which
+Each file's column types are found once and kept in a table; the schema is merged from them, kept in a
+file, and given to the stream, which therefore never infers. Later runs look at files they have not seen
+and add what is new to the kept schema. What a run finds beyond its schema is rescued as text and read as a column later. The checkpoint remembers which files were taken, and the sink's commit log which
 output files count, so a restarted run neither loses nor doubles rows.
 """
 
 from __future__ import annotations
 
-import csv
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.session import cut_lineage
 from millrace.sources import files
-from millrace.streaming import nested
+from millrace.streaming import inference, nested
 
 RESCUED = "_rescued_data"
 _BATCH = "ingest_batch"
@@ -43,100 +42,61 @@ class IngestState:
     def data(self) -> str:
         return f"{self.root}/data/{self.table}"
 
+    @property
+    def types(self) -> str:
+        """Folder of the types found in each file."""
+        return f"{self.root}/types/{self.table}"
+
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """All fields of both. Where the types differ, numbers widen to double and the rest to string."""
+    """All fields of both; where the types differ, the narrowest type for the values of both."""
     fields = {f.name: f.dataType for f in old}
     for f in new:
-        known = fields.get(f.name, f.dataType)
-        if known == f.dataType:
-            fields[f.name] = known
-        elif isinstance(known, T.NumericType) and isinstance(f.dataType, T.NumericType):
-            fields[f.name] = T.DoubleType()
-        else:
-            fields[f.name] = T.StringType()
+        fields[f.name] = inference.widened(fields.get(f.name, f.dataType), f.dataType)
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
-def infer_schema(
-    spark: SparkSession, folder: str, fmt: str, modified_after: str | None = None,
-) -> T.StructType:
-    """Column names and types found in the files, which must be JSON lines or CSV with a header.
-
-    CSV files are grouped by their headers, and each group is inferred by itself.
-    """
-    after = {"modifiedAfter": modified_after} if modified_after else {}
-    if fmt == "csv":
-        found = T.StructType([])
-        for header, paths in _by_header(_located(spark.read.format("text").options(**after).load(folder))).items():
-            read = spark.read.option("header", True).option("inferSchema", True).csv(paths)
-            found = merge_schemas(found, read.toDF(*header_names(header)).schema)
-        return found
-    found = spark.read.format(fmt).options(**after).load(folder).schema
-    # Lines that do not parse are rescued whole.
-    return T.StructType([f for f in found if f.name != "_corrupt_record"])
-
-
-def _located(lines: DataFrame) -> DataFrame:
-    return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-
-
-def _by_header(lines: DataFrame) -> dict[str, list[str]]:
-    """Files of a batch by their first line; one short row a file comes to the driver."""
-    # Line numbers rise within a task, and one task reads the start of a file.
-    numbered = lines.withColumn("line", F.monotonically_increasing_id()).filter(F.col("start") == 0)
-    found: dict[str, list[str]] = {}
-    for path, header in numbered.groupBy("path").agg(F.min_by("value", "line")).collect():
-        found.setdefault(header, []).append(path)
-    return found
-
-
 def resolve_schema(
     spark: SparkSession, state: IngestState, folder: str, fmt: str,
-    hints: Mapping[str, str] | None = None,
+    hints: Mapping[str, str] | None = None, max_files: int | None = None,
 ) -> T.StructType:
     """The kept schema, extended by what new files bring. Types in ``hints`` win over inference.
 
-    A column keeps the type it first had: files already written hold that type. Structs may gain
+    Files must be JSON lines or CSV with a header. Each is summarised once, whenever it says it was
+    written. A column keeps the type it first had: files already written hold that type. Structs may gain
     fields, at any depth. Values of new files that do not fit go to the rescued-data column.
     """
-    now = datetime.now(timezone.utc) - timedelta(seconds=1)
-    kept, after = None, None
+    kept, after, done = None, None, -1
     if files.exists(spark, state.schema_file):
         saved = json.loads(files.read_text(spark, state.schema_file))
-        kept, after = T.StructType.fromJson(saved["schema"]), saved["inferred_at"]
-    try:
-        found = infer_schema(spark, folder, fmt, after)
-    except Exception as error:
-        if kept is None or "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        found = T.StructType([])
-    if kept is None:
-        schema = merge_schemas(T.StructType([]), found)
-        kept_names: set[str] = set()
-    else:
-        kept_names = set(kept.names)
-        schema = nested.extended(kept, found)
+        kept, done = T.StructType.fromJson(saved["schema"]), saved.get("batches", -1)
+        # Tables from before files were summarised know only when they last looked.
+        after = saved.get("inferred_at")
+    inference.summarise_new(spark, folder, fmt, state.types, f"{state.checkpoint}_types", max_files)
+    last = inference.last_batch(spark, state.types)
+    found = T.StructType([])
+    if last > done:
+        summaries = inference.read_summaries(spark, state.types, done)
+        if after:
+            summaries = summaries.filter(F.col("modified") > F.lit(after).cast("timestamp"))
+        found = inference.merged_schema(summaries)
+    elif kept is None:
+        raise ValueError(f"no files to infer a schema from in {folder}")
+    kept_names = set(kept.names) if kept else set()
+    schema = nested.extended(kept, found) if kept else found
     typed = {n: T._parse_datatype_string(t) for n, t in (hints or {}).items()}
     schema = T.StructType([
         T.StructField(f.name, typed.get(f.name, f.dataType) if f.name not in kept_names else f.dataType, True)
         for f in schema
     ])
     files.write_text(
-        spark, state.schema_file,
-        json.dumps({"schema": schema.jsonValue(), "inferred_at": now.strftime("%Y-%m-%dT%H:%M:%S")}),
-        overwrite=True,
-    )
+        spark, state.schema_file, json.dumps({"schema": schema.jsonValue(), "batches": last}), overwrite=True)
     return schema
 
 
-# Longer than any file's age: Spark would leave out files more than 7 days older than the newest one.
-_ANY_AGE = "36500d"
-
-
 def open_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """Lines of new files as a stream (column ``value``), however old the files say they are."""
-    reader = spark.readStream.format("text").option("maxFileAge", _ANY_AGE)
+    reader = spark.readStream.format("text").option("maxFileAge", inference.ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
@@ -183,43 +143,6 @@ def promote_rescued(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def header_names(header: str) -> list[str]:
-    """Column names of a CSV header; one that is empty or was there before gets the number of its place."""
-    names: list[str] = []
-    for i, n in enumerate(next(csv.reader([header]), [])):
-        names.append(f"{n}_c{i}" if not n or n.lower() in {m.lower() for m in names} else n)
-    return names
-
-
-def _csv_by_header(batch: DataFrame, schema: T.StructType) -> DataFrame | None:
-    """Typed rows of one batch of CSV lines (value, path, start): each file by the names in its own header.
-
-    Columns the schema lacks, values that do not fit, and whole rows that do not parse go to ``_rescued_data``.
-    """
-    spark = batch.sparkSession
-    typed = {f.name: f.dataType for f in schema}
-    result = None
-    for header, paths in sorted(_by_header(batch).items()):
-        names = header_names(header)
-        text = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("__bad", T.StringType())])
-        rows = (
-            spark.read.schema(text).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "__bad").csv(paths)
-        )
-        value = {n: F.col(f"`{n}`").try_cast(typed[n]) for n in names if n in typed}
-        left = F.map_filter(
-            F.map_from_arrays(
-                F.array(*[F.lit(n) for n in names]),
-                F.array(*[F.when(value[n].isNull(), F.col(f"`{n}`")) if n in value else F.col(f"`{n}`") for n in names])),
-            lambda _, v: v.isNotNull())
-        part = rows.select(
-            *[value.get(n, F.lit(None).cast(t)).alias(n) for n, t in typed.items()],
-            F.when(F.col("__bad").isNotNull(), F.col("__bad")).when(F.size(left) > 0, F.to_json(left)).alias(RESCUED),
-        )
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
 def _write_csv_batches(lines: DataFrame, state: IngestState, schema: T.StructType, once: bool) -> StreamingQuery:
     """Each batch goes to a folder of its own, which is left alone if the batch is run again."""
     spark = lines.sparkSession
@@ -228,11 +151,12 @@ def _write_csv_batches(lines: DataFrame, state: IngestState, schema: T.StructTyp
         folder = f"{state.data}/{_BATCH}={number}"
         if files.exists(spark, f"{folder}/_SUCCESS"):
             return
-        rows = _csv_by_header(batch, schema)
-        if rows is not None:
-            rows.write.mode("overwrite").parquet(folder)
+        heads = cut_lineage(inference.csv_heads(batch, schema), "csv-heads")
+        width = heads.agg(F.max(F.size("names"))).first()[0]
+        if width:
+            inference.csv_rows(batch, heads, width, schema, RESCUED).write.mode("overwrite").parquet(folder)
 
-    writer = _located(lines).writeStream.foreachBatch(write).queryName(f"{state.table}_bronze_ingest").option(
+    writer = lines.writeStream.foreachBatch(write).queryName(f"{state.table}_bronze_ingest").option(
         "checkpointLocation", state.checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
@@ -249,10 +173,11 @@ def ingest_folder(
     of ``max_files``, each of which is done once and for all.
     """
     state = IngestState(root.rstrip("/"), table)
-    schema = resolve_schema(spark, state, folder, fmt, hints)
-    lines = open_lines(spark, folder, max_files)
+    schema = resolve_schema(spark, state, folder, fmt, hints, max_files)
     if fmt == "csv":
+        lines = inference.located(spark.readStream.format("text").option("maxFileAge", inference.ANY_AGE), folder, max_files)
         return _write_csv_batches(lines, state, schema, once)
+    lines = open_lines(spark, folder, max_files)
     rescue = nested.rescue_nested if nested.is_nested(schema) else rescue_unknown
     writer = (
         rescue(lines, schema).writeStream.format("parquet").outputMode("append")
@@ -282,7 +207,7 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 def stream_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The bronze table as a stream, otherwise as ``read_bronze``."""
     schema = bronze_schema(spark, root, table)
-    raw = spark.readStream.schema(schema).option("maxFileAge", _ANY_AGE).parquet(IngestState(root.rstrip("/"), table).data)
+    raw = spark.readStream.schema(schema).option("maxFileAge", inference.ANY_AGE).parquet(IngestState(root.rstrip("/"), table).data)
     return _promoted(raw, schema)
 
 

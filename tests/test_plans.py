@@ -13,7 +13,7 @@ SLOW_TO_BUILD = {
     "churn_model_metrics", "fare_model", "searched_model_scores", "document_vectors", "feature_table_merge",
     "feature_table_range", "score_with_lookups", "score_saved_model", "stored_training_set", "streamed_features", "streamed_silver_orders",
     "streamed_silver_users", "streamed_tables", "rescued_fields", "evolving_table", "table_from_select",
-    "ingested_late_files", "ingested_mixed_csv", "ingested_new_field", "scores_saved_as_table", "controlled_streams", "deleted_rows",
+    "types_of_files", "ingested_late_files", "ingested_mixed_csv", "ingested_new_field", "scores_saved_as_table", "controlled_streams", "deleted_rows",
     "table_made_empty", "table_in_own_database", "catalog_listing", "rebuild_test", "written_in_so_many_files",
 }
 # The trees of a trained model are walked in a pandas UDF.
