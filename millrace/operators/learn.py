@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -178,36 +177,6 @@ def register_model(spark: SparkSession, name: str, predict, result_type: str = "
     spark.udf.register(name, column_model(predict, result_type))
 
 
-def sentence_vectors(df: DataFrame, text: str, dims: int = 256, output: str = "vector", kind: str = "float") -> DataFrame:
-    """Unit-length TF-IDF vectors of hashed words as an array of ``kind``; all 0 for a text without words.
-
-    A word (a run of letters, digits and underscores, in lower case) goes to the slot that the first 8 hex
-    digits of its md5 give modulo ``dims``. The weight of a slot is its count times
-    ln((texts + 1) / (texts with the slot + 1)). Only ``dims`` document counts come to the driver.
-    """
-    words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9_]+"), "")
-    slots = F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int"))
-    hashed = df.withColumn("__slots", slots)
-    seen = dict(hashed.select(F.explode(F.array_distinct("__slots")).alias("slot")).groupBy("slot").count().collect())
-    total = df.count()
-    idf = F.array(*[F.lit(math.log((total + 1) / (seen.get(k, 0) + 1))) for k in range(dims)])
-
-    def bound(value, body):
-        """``body(value)``, the value computed once."""
-        return F.transform(F.array(value), body)[0]
-
-    # Each slot once more than it occurs, sorted; the place after the last of a slot gives the counts.
-    padded = F.sort_array(F.concat("__slots", F.sequence(F.lit(0), F.lit(dims - 1))))
-    ends = bound(padded, lambda s: F.filter(
-        F.transform(s, lambda x, i: F.when(x != F.coalesce(F.get(s, i + 1), F.lit(-1)), i + 1)), lambda e: e.isNotNull()))
-    weights = bound(ends, lambda e: F.transform(
-        e, lambda end, k: (end - F.coalesce(F.get(e, k - 1), F.lit(0)) - 1) * F.get(idf, k)))
-    unit = bound(weights, lambda w: bound(
-        F.sqrt(F.aggregate(w, F.lit(0.0), lambda a, x: a + x * x)),
-        lambda n: F.transform(w, lambda x: F.when(n > 0, x / n).otherwise(0.0).cast(kind))))
-    return hashed.withColumn(output, unit).drop("__slots")
-
-
 def encode_with(
     df: DataFrame, text: str, load: Callable[[], Callable[[list[str]], list]], output: str = "vector"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import FARE_BANDS
-from millrace.operators import aggregates, answers, learn, quality, sampling
+from millrace.operators import aggregates, answers, learn, quality, sampling, vectors
 from millrace.operators.leafwise import LeafwiseTrees
 from millrace.operators.search import halving_search
 from millrace.plans.registry import Tables, query
@@ -310,11 +310,17 @@ SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(w / sqrt(sum(w * w) OVER (PA
 WHERE w > 0""")
 def document_vectors(t):
     """TF-IDF vectors of whole documents, one row for each slot that is not 0."""
-    vectors = learn.sentence_vectors(t.documents.select("doc_id", "text"), "text", kind="double").drop("text")
-    slots = vectors.select("doc_id", F.posexplode("vector").alias("slot", "weight")).filter("weight > 0")
+    weighted = vectors.sentence_vectors(t.documents.select("doc_id", "text"), "text", kind="double").drop("text")
+    slots = weighted.select("doc_id", F.posexplode("vector").alias("slot", "weight")).filter("weight > 0")
     return slots.select("doc_id", "slot", F.round("weight", 4).alias("weight"))
 
 
+@query()
+def dense_document_vectors(t):
+    """Whole documents in the 64 directions in which their TF-IDF vectors vary most."""
+    return vectors.dense_vectors(t.documents.select("doc_id", "text"), "text").drop("text")
+
+
 # -- answers -----------------------------------------------------------------------------------
 
 def _words(text: str) -> str:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import answers, learn, synth
+from millrace.operators import answers, learn, synth, vectors
 from millrace.plans.customers import customer_360
 from millrace.streaming import silver
 
@@ -103,7 +103,7 @@ def test_column_model(spark):
 
 def test_vectors(spark):
     df = spark.createDataFrame([(1, "one two"), (2, "one two"), (3, "three")], "id int, text string")
-    got = {r["id"]: r["vector"] for r in learn.sentence_vectors(df, "text", dims=32).collect()}
+    got = {r["id"]: r["vector"] for r in vectors.sentence_vectors(df, "text", dims=32).collect()}
     assert got[1] == got[2] != got[3] and sum(v * v for v in got[1]) == pytest.approx(1, abs=1e-5)
 
     def load():

@@ -10,7 +10,7 @@ from millrace.plans.registry import Tables
 
 # Queries whose building runs training or streams are left to their own tests.
 SLOW_TO_BUILD = {
-    "churn_model_metrics", "fare_model", "searched_model_scores", "document_vectors", "feature_table_merge",
+    "churn_model_metrics", "fare_model", "searched_model_scores", "document_vectors", "dense_document_vectors", "feature_table_merge",
     "feature_table_range", "score_with_lookups", "score_saved_model", "stored_training_set", "streamed_features", "streamed_silver_orders",
     "streamed_silver_users", "streamed_tables", "rescued_fields", "evolving_table", "table_from_select",
     "types_of_files", "ingested_late_files", "ingested_mixed_csv", "ingested_new_field", "scores_saved_as_table", "controlled_streams", "deleted_rows",
