@@ -29,10 +29,10 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 def _counts(rows: DataFrame, text: str, slots: int) -> DataFrame:
     """Row, slot, n: how often words of a slot are in a text. A task counts its own rows before they are sent."""
-    words = rows.select(_ROW, F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9_]+")).alias("word"))
+    words = rows.select(_ROW, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z0-9_]+"), F.lit(0))).alias("word"))
     digits = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long")
     slot = F.pmod(digits, F.lit(slots)).cast("int")
-    counted = words.filter("word != ''").groupBy(_ROW, slot.alias("slot")).agg(F.count("*").alias("n"))
+    counted = words.groupBy(_ROW, slot.alias("slot")).agg(F.count("*").alias("n"))
     return cut_lineage(counted, "slot-counts")
 
 
