@@ -165,11 +165,16 @@ def mixed_pieces(
 
 
 def mix(docs: DataFrame, keep: tuple[str, ...] = (), **settings) -> DataFrame:
-    """What the mix takes of each row: doc_id, size, source_size, target, taken. See ``mixed_pieces``."""
+    """What the mix takes of each row: doc_id, size, source_size, target, taken, first_slot, last_slot.
+
+    The slots are those of the schedule in which the row's first and last words stand, null where nothing is
+    taken: in their order, any beginning of the mix has about the weights of the whole. See ``mixed_pieces``.
+    """
     sized, pieces = mixed_pieces(docs, keep=keep, **settings)
-    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = pieces.groupBy("row").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
     return sized.join(taken, "row", "left").select(
-        "doc_id", *keep, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+        "doc_id", *keep, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot", "last_slot",
     )
 
 

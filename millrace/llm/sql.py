@@ -68,15 +68,43 @@ WITH rows AS (
   SELECT *, least(lim::DOUBLE, weight * (SELECT level FROM levels WHERE level <= meets ORDER BY meets, number LIMIT 1)) AS target
   FROM levels
 ), starts AS (
-  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS wanted,
-    CAST(coalesce(sum(size) OVER (
+  SELECT doc_id, size, source_size, target, number, CAST(round(target) AS BIGINT) AS wanted, CAST(coalesce(sum(size) OVER (
       PARTITION BY rows.source ORDER BY ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM rows JOIN targets ON rows.source IS NOT DISTINCT FROM targets.source
+), parts AS (
+  SELECT number, CAST(round(target) AS BIGINT) AS words, CAST(sum(CAST(round(target) AS BIGINT)) OVER (ORDER BY number) AS BIGINT) AS high
+  FROM targets
+), counts AS (
+  SELECT max(total) AS total, (max(total) + 255) // 256 + CAST(floor((max(total) + 255) // 256 * CAST(0.05 AS DOUBLE)) AS BIGINT) + 256 AS n
+  FROM targets
+), slots AS (
+  SELECT slot, (slot % 2147483648 * 1327217885 % 2147483648)::DOUBLE / 2147483648::DOUBLE * total AS point
+  FROM (SELECT unnest(range(n)) AS slot, total FROM counts)
+), placed AS (
+  SELECT number, slot, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank
+  FROM slots JOIN parts ON point >= high - words AND point < high
+), had AS (
+  SELECT parts.number, (words + 255) // 256 AS blocks, count(slot) AS had
+  FROM parts LEFT JOIN placed ON parts.number = placed.number GROUP BY ALL
+), short AS (
+  SELECT *, CAST(coalesce(sum(blocks - had) OVER (ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS after
+  FROM had WHERE blocks > had
+), schedule AS (
+  SELECT number, rank, slot FROM placed
+  UNION ALL
+  SELECT number, rank, n + after + rank - had FROM (SELECT *, unnest(range(had, blocks)) AS rank FROM short), counts
+), blocks AS (
+  SELECT *, CASE WHEN size > 0 AND start < wanted THEN start // 256 END AS first_block,
+    CASE WHEN size > 0 AND start < wanted
+      THEN (least(start + least(2, (wanted - 1 - start) // source_size) * source_size + size, wanted) - 1) // 256 END AS last_block
+  FROM starts
 )
 SELECT doc_id, size, source_size, target, CAST(
   least(size, greatest(0, wanted - start)) + least(size, greatest(0, wanted - start - source_size))
-  + least(size, greatest(0, wanted - start - 2 * source_size)) AS BIGINT) AS taken
-FROM starts
+  + least(size, greatest(0, wanted - start - 2 * source_size)) AS BIGINT) AS taken,
+  CAST(f.slot AS BIGINT) AS first_slot, CAST(l.slot AS BIGINT) AS last_slot
+FROM blocks LEFT JOIN schedule f ON f.number = blocks.number AND f.rank = first_block
+LEFT JOIN schedule l ON l.number = blocks.number AND l.rank = last_block
 """
 
 TOP_K_SQL = """

@@ -80,6 +80,27 @@ def test_mix_with_tiny_sources(spark):
     assert abs(big["taken"].sum() - big["target"].iloc[0]) <= 1
 
 
+def test_every_beginning_of_the_mix_has_the_weights(spark):
+    """Words of a source among the first slots stay near its share, while it still has words."""
+    rows = [(i, "word " * (20 + i % 50), "abc"[i % 3]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized, pieces = mixing.mixed_pieces(df, block_words=16)
+    taken = pieces.join(sized.select("row", "source_size", "target"), "row").toPandas()
+    total, targets = 0, {}
+    for (size, target), words in taken.groupby(["source_size", "target"])["words"]:
+        assert abs(words.sum() - target) <= 1
+        total, targets[size, target] = total + words.sum(), target
+    slots = taken.groupby("slot")["words"].sum().sort_index()
+    assert slots.max() <= 16 and (slots == 16).mean() > 0.98
+    for slot in slots.index[len(slots) // 20 :: len(slots) // 20]:
+        begun = taken[taken["slot"] <= slot]
+        for (size, target), words in begun.groupby(["source_size", "target"])["words"]:
+            assert abs(words.sum() / begun["words"].sum() - target / total) < 0.05
+    out = mixing.mix(df, block_words=16).toPandas()
+    assert (out["first_slot"] <= out["last_slot"]).eq(out["taken"] > 0).all()
+    assert out["first_slot"].isna().eq(out["taken"] == 0).all()
+
+
 def test_empty_tables(spark):
     assert mixing.mix(empty(spark)).count() == 0
     assert mixing.mixed_rows(empty(spark)).count() == 0
