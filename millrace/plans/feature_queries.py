@@ -335,3 +335,47 @@ FROM rows WHERE churn IN ('F', 'O')""")
 def churn_frame(t):
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority", F.col("o_orderstatus").alias("churn"))
     return churn_features(rows, ["o_orderpriority"], labels={"F": 1, "O": 0})
+
+
+def _yes(condition: str) -> tuple[str, list[str]]:
+    return f"CASE WHEN {condition} THEN 'Yes' ELSE 'No' END", ["No", "Yes"]
+
+
+# Fifteen categories of an order as SQL that Spark and DuckDB share, and their values.
+ORDER_CATEGORIES = {
+    "priority": ("o_orderpriority", PRIORITIES),
+    "segment": ("c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]),
+    "region": ("r_name", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]),
+    "month": ("concat('m', month(o_orderdate))", sorted(f"m{m}" for m in range(1, 13))),
+    "quarter": ("concat('q', quarter(o_orderdate))", ["q1", "q2", "q3", "q4"]),
+    "third": ("CASE WHEN day(o_orderdate) <= 10 THEN 'first' WHEN day(o_orderdate) <= 20 THEN 'second' ELSE 'last' END", ["first", "last", "second"]),
+    "price": ("CASE WHEN o_totalprice < 100000 THEN 'low' WHEN o_totalprice < 300000 THEN 'middle' ELSE 'high' END", ["high", "low", "middle"]),
+    "balance": ("CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_acctbal < 5000 THEN 'some' ELSE 'much' END", ["debt", "much", "some"]),
+    "urgent": _yes("o_orderpriority IN ('1-URGENT', '2-HIGH')"),
+    "large": _yes("o_totalprice > 250000"),
+    "indebted": _yes("c_acctbal < 0"),
+    "american": _yes("r_name = 'AMERICA'"),
+    "early": _yes("month(o_orderdate) <= 6"),
+    "leap_year": _yes("year(o_orderdate) % 4 = 0"),
+    "builder": _yes("c_mktsegment = 'BUILDING'"),
+}
+_CATEGORY_COLUMNS = ", ".join(f"{sql} AS {name}" for name, (sql, _) in ORDER_CATEGORIES.items())
+_CATEGORY_FLAGS = ", ".join(
+    _flags(name, values, lambda n: n.lower().replace("-", "_").replace(" ", "_")) for name, (_, values) in ORDER_CATEGORIES.items())
+
+
+@query(f"""
+WITH rows AS (
+  SELECT o_orderkey, o_totalprice, o_orderstatus AS churn, {_CATEGORY_COLUMNS}
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT o_orderkey, o_totalprice, CAST(CASE churn WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS INTEGER) AS churn, {_CATEGORY_FLAGS}
+FROM rows WHERE churn IN ('F', 'O')""")
+def churn_frame_fifteen(t):
+    """Fifteen categories at once: their values are found in one pass, and each becomes a column."""
+    rows = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    categories = [F.expr(sql).alias(name) for name, (sql, _) in ORDER_CATEGORIES.items()]
+    rows = rows.select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("churn"), *categories)
+    return churn_features(rows, list(ORDER_CATEGORIES), labels={"F": 1, "O": 0})
