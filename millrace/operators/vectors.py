@@ -1,17 +1,21 @@
 """Vectors of texts: TF-IDF of hashed words, and dense ones by a randomised projection of it.
 
-Both start from a stored table of entries, one row for each text and slot, which is counted before it is
-shuffled. Products of matrices are joins with the entries and sums by row or by slot.
+Both start from a stored table that has the counts of a text's slots beside the text; a task counts its own texts,
+so nothing is shuffled for that. A small table of slots goes to all tasks, which add up its products with their
+texts; products with a larger one are joins with one row for each text and slot, and sums by row or by slot.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,24 +24,34 @@ from millrace.session import cut_lineage
 _ROW = "__row"
 # Largest table of slots, as computed from its shape, that is sent to every task.
 _SMALL = 64 << 20
+# Numbers that are multiplied at once in a task, and words whose slots it remembers.
+_AT_ONCE, _MOST_WORDS = 1 << 21, 200_000
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """``df`` with a number for each row, stored, so that the numbers stay."""
-    return cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()), "texts")
+class _SlotOf(dict):
+    """The slot of a word, computed once for most of its occurrences in a task."""
 
+    def __init__(self, slots: int):
+        super().__init__()
+        self.slots = slots
 
-def _counts(rows: DataFrame, text: str, slots: int) -> DataFrame:
-    """Row, slot, n: how often words of a slot are in a text. A task counts its own rows before they are sent."""
-    words = rows.select(_ROW, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z0-9_]+"), F.lit(0))).alias("word"))
-    digits = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long")
-    slot = F.pmod(digits, F.lit(slots)).cast("int")
-    counted = words.groupBy(_ROW, slot.alias("slot")).agg(F.count("*").alias("n"))
-    return cut_lineage(counted, "slot-counts")
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _MOST_WORDS:
+            self.clear()
+        self[word] = slot = int.from_bytes(hashlib.md5(word).digest()[:4]) % self.slots
+        return slot
 
 
-def _idf(total: int, texts_with: str):
-    return F.log(F.lit(total + 1.0) / (F.col(texts_with) + 1))
+def _slots_of(texts: pd.Series, slots: int) -> Iterator[np.ndarray]:
+    """The slots of all words of each text (UTF-8 in lower case, or null)."""
+    of = _SlotOf(slots)
+    for text in texts:
+        words = re.findall(rb"[a-z0-9_]+", text or b"")
+        yield np.fromiter(map(of.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def _lower(text: str):
+    return F.lower(F.col(text)).cast("binary")
 
 
 def sentence_vectors(df: DataFrame, text: str, dims: int = 256, output: str = "vector", kind: str = "float") -> DataFrame:
@@ -47,40 +61,109 @@ def sentence_vectors(df: DataFrame, text: str, dims: int = 256, output: str = "v
     digits of its md5 give modulo ``dims``. The weight of a slot is its count times
     ln((texts + 1) / (texts with the slot + 1)). Only ``dims`` document counts come to the driver.
     """
-    rows = _numbered(df)
-    counts = _counts(rows, text, dims)
+    @F.pandas_udf("array<int>")
+    def counts(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.bincount(s, minlength=dims).astype(np.int32) for s in _slots_of(texts, dims)], dtype=object)
+
+    rows = cut_lineage(df.withColumn("__n", counts(_lower(text))), "texts")
     total = rows.count()
-    seen = dict(counts.groupBy("slot").count().collect())
+    seen = dict(rows.select(F.posexplode("__n").alias("slot", "n")).filter("n > 0").groupBy("slot").count().collect())
     idf = F.array(*[F.lit(math.log((total + 1) / (seen.get(k, 0) + 1))) for k in range(dims)])
-    # At most ``dims`` entries a text, in order of their slots.
-    weight = F.col("n") * F.get(idf, F.col("slot"))
-    held = counts.groupBy(_ROW).agg(
-        F.sqrt(F.sum(weight * weight)).alias("__norm"), F.array_sort(F.collect_list(F.struct("slot", weight.alias("w")))).alias("__e"))
-    held = held.select(
-        _ROW, F.col("__e.slot").alias("__slots"),
-        F.transform("__e.w", lambda w: F.when(F.col("__norm") > 0, w / F.col("__norm")).otherwise(0.0)).alias("__w"))
-    unit = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.coalesce(
-        F.get("__w", F.array_position("__slots", k).cast("int") - 1), F.lit(0.0)).cast(kind))
-    return rows.join(held, _ROW, "left").withColumn(output, unit).drop(_ROW, "__slots", "__w")
-
-
-def tfidf_entries(rows: DataFrame, text: str, slots: int) -> DataFrame:
-    """Row, slot, w of unit-length rows; the counts of texts by slot are joined and never leave the executors."""
-    counts = _counts(rows, text, slots)
-    total = rows.count()
-    by_slot = counts.groupBy("slot").agg(F.count("*").alias("texts"))
-    weighted = counts.join(by_slot, "slot").select(_ROW, "slot", (F.col("n") * _idf(total, "texts")).alias("w"))
-    norms = weighted.groupBy(_ROW).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return cut_lineage(
-        weighted.join(norms, _ROW).filter("norm > 0 AND w > 0").select(_ROW, "slot", (F.col("w") / F.col("norm")).alias("w")), "tfidf")
+    weights = F.transform("__n", lambda n, k: n * F.get(idf, k))
+
+    def unit(w):
+        # In a list of one, so that the length is computed once for each text.
+        length = F.array(F.sqrt(F.aggregate(w, F.lit(0.0), lambda a, x: a + x * x)))
+        return F.transform(length, lambda n: F.transform(w, lambda x: F.when(n > 0, x / n).otherwise(0.0).cast(kind)))[0]
+
+    return rows.withColumn(output, F.transform(F.array(weights), unit)[0]).drop("__n")
+
+
+def _counted(df: DataFrame, text: str, slots: int) -> DataFrame:
+    """``df`` with a number for each row, its slots in rising order and how often words of each are in the text, stored."""
+    @F.pandas_udf("slots array<int>, n array<int>")
+    def counts(texts: pd.Series) -> pd.DataFrame:
+        found = [np.unique(s, return_counts=True) for s in _slots_of(texts, slots)]
+        return pd.DataFrame({
+            "slots": pd.Series([s.astype(np.int32) for s, _ in found], dtype=object),
+            "n": pd.Series([n.astype(np.int32) for _, n in found], dtype=object)})
+
+    return cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()).withColumn("__held", counts(_lower(text))), "texts")
+
 
+def _entries(rows: DataFrame, idf: DataFrame) -> DataFrame:
+    """Row, slot, w: the weights of each text, not yet of unit length."""
+    held = rows.select(_ROW, F.explode(F.arrays_zip("__held.slots", "__held.n")).alias("e"))
+    held = held.select(_ROW, F.col("e.slots").alias("slot"), F.col("e.n").alias("n"))
+    return held.join(idf, "slot").select(_ROW, "slot", (F.col("n") * F.col("idf")).alias("w")).filter("w > 0")
 
-def _product(entries: DataFrame, vectors: DataFrame, on: str, by: str) -> DataFrame:
+
+def _sums(weight, dims: int) -> list:
+    """Plain sums of the places of ``vec``: kept in the rows of a hash table, which many groups do not overflow."""
+    return [F.sum(weight * F.get("vec", F.lit(i))).alias(f"s{i}") for i in range(dims)]
+
+
+def _vec(dims: int):
+    return F.array(*[f"s{i}" for i in range(dims)]).alias("vec")
+
+
+def _product(entries: DataFrame, vectors: DataFrame, on: str, by: str, dims: int) -> DataFrame:
     """The matrix of entries (or its transpose) times the vectors: sums by ``by`` over what meets in ``on``.
 
-    Sums are begun where the rows are, so a frequent slot sends one vector a task.
+    Sums are begun where the rows are, so a frequent slot sends one vector a task. ``squares``: the sum of squared weights.
     """
-    return entries.join(vectors, on).groupBy(by).agg(Summarizer.sum(F.col("vec"), F.col("w")).alias("vec"))
+    squares = F.sum(F.col("w") * F.col("w")).alias("squares")
+    return entries.join(vectors, on).groupBy(by).agg(*_sums(F.col("w"), dims), squares).select(by, _vec(dims), "squares")
+
+
+def _there_and_back(rows: DataFrame, idf: np.ndarray, table: np.ndarray) -> DataFrame:
+    """The transposed matrix of unit-length rows times that matrix times the table: slot, vec. Each task adds up its texts."""
+    dims = table.shape[1]
+    shared = rows.sparkSession.sparkContext.broadcast((idf, table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, table = shared.value
+        out, most = np.zeros_like(table), max(_AT_ONCE // dims, 1)
+        for batch in batches:
+            begin = batch.column(0).offsets.to_numpy()
+            slot, n = (batch.column(i).values.to_numpy() for i in (0, 1))
+            weight = n * idf[slot]
+            first = 0
+            while first < batch.num_rows:
+                # As many texts as fit, one at least.
+                last = max(int(np.searchsorted(begin, begin[first] + most, side="right")) - 1, first + 1)
+                size = np.diff(begin[first : last + 1])
+                size = size[size > 0]
+                s, w = slot[begin[first] : begin[last]], weight[begin[first] : begin[last], None]
+                first = last
+                if not len(s):
+                    continue
+                starts = np.cumsum(size) - size
+                ahead, squares = np.add.reduceat(w * table[s], starts), np.add.reduceat(w * w, starts)
+                ahead = np.divide(ahead, squares, out=np.zeros_like(ahead), where=squares > 0)
+                order = np.argsort(s, kind="stable")
+                s = s[order]
+                new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+                out[s[new]] += np.add.reduceat((w * np.repeat(ahead, size, axis=0))[order], new)
+        used = np.flatnonzero(out.any(axis=1))
+        for a in range(0, len(used), 4096):
+            part = used[a : a + 4096]
+            offsets = np.arange(len(part) + 1, dtype=np.int32) * dims
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out[part].ravel()))],
+                names=["slot", "vec"])
+
+    parts = rows.select("__held.slots", "__held.n").mapInArrow(run, "slot int, vec array<double>")
+    return parts.groupBy("slot").agg(*_sums(F.lit(1.0), dims)).select("slot", _vec(dims))
+
+
+def _array_of(table: DataFrame, slots: int, dims: int) -> np.ndarray:
+    """A small table of slots as one array."""
+    found, out = table.select("slot", "vec").toArrow(), np.zeros((slots, dims))
+    if found.num_rows:
+        flat = found.column("vec").combine_chunks()
+        out[found.column("slot").to_numpy()] = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return out
 
 
 def _orthonormal(vectors: DataFrame, dims: int) -> DataFrame:
@@ -96,8 +179,7 @@ def _orthonormal(vectors: DataFrame, dims: int) -> DataFrame:
                 sums += m.T @ m
         yield pd.DataFrame({"vec": [sums.ravel().tolist()]})
 
-    plain = vectors.withColumn("vec", vector_to_array("vec"))
-    partial = plain.select("vec").mapInPandas(products, "vec array<double>")
+    partial = vectors.select("vec").mapInPandas(products, "vec array<double>")
     gram = partial.agg(Summarizer.sum(array_to_vector("vec")).alias("s")).first()["s"].toArray().reshape(dims, dims)
     values, turn = np.linalg.eigh(gram)
     held = values > max(values.max(), 0) * 1e-12
@@ -108,8 +190,7 @@ def _orthonormal(vectors: DataFrame, dims: int) -> DataFrame:
             if len(batch):
                 yield batch.assign(vec=list(np.stack(batch["vec"].to_numpy()) @ scale))
 
-    out = plain.select("slot", "vec").mapInPandas(turned, "slot int, vec array<double>")
-    return out.withColumn("vec", array_to_vector("vec"))
+    return vectors.select("slot", "vec").mapInPandas(turned, "slot int, vec array<double>")
 
 
 def dense_vectors(
@@ -122,23 +203,35 @@ def dense_vectors(
     and the matrix, made orthonormal after each. Texts without words that weigh anything (null, empty, or only
     words that all texts have) get zeros. Equal texts get equal vectors up to rounding.
     """
-    rows = _numbered(df)
-    entries = tfidf_entries(rows, text, slots)
+    rows = _counted(df, text, slots)
+    total = rows.count()
     small = slots * dims * 8 <= _SMALL
 
     def sent(table: DataFrame) -> DataFrame:
         return F.broadcast(table) if small else table
 
+    texts_with = rows.select(F.explode("__held.slots").alias("slot")).groupBy("slot").agg(F.count("*").alias("texts"))
+    idf = cut_lineage(texts_with.select("slot", F.log(F.lit(total + 1.0) / (F.col("texts") + 1)).alias("idf")), "idf")
+    entries = _entries(rows, sent(idf))
     signs = F.transform(
         F.sequence(F.lit(0), F.lit(dims - 1)), lambda j: F.when(F.xxhash64("slot", j, F.lit(seed)) % 2 == 0, 1.0).otherwise(-1.0))
-    table = df.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).select("slot", array_to_vector(signs).alias("vec"))
+    table = df.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).select("slot", signs.alias("vec"))
+    if small and rounds:
+        weights = np.zeros(slots)
+        for slot, weight in idf.collect():
+            weights[slot] = weight
     for _ in range(rounds):
-        ahead = _product(entries, sent(table), "slot", _ROW)
-        back = cut_lineage(_product(entries, ahead, _ROW, "slot"), "directions")
-        table = cut_lineage(_orthonormal(back, dims), "directions")
-    found = _product(entries, sent(table), "slot", _ROW).select(_ROW, vector_to_array("vec").alias("__v"))
+        if small:
+            back = _there_and_back(rows, weights, _array_of(table, slots, dims))
+        else:
+            # Rows of unit length, there and back: one division by the squared length.
+            ahead = _product(entries, table, "slot", _ROW, dims)
+            ahead = ahead.select(_ROW, F.transform("vec", lambda x: x / F.col("squares")).alias("vec"))
+            back = _product(entries, ahead, _ROW, "slot", dims)
+        table = cut_lineage(_orthonormal(cut_lineage(back.select("slot", "vec"), "directions"), dims), "directions")
+    found = _product(entries, sent(table), "slot", _ROW, dims).select(_ROW, F.col("vec").alias("__v"))
     length = F.sqrt(F.aggregate("__v", F.lit(0.0), lambda a, x: a + x * x))
     found = found.withColumn("__n", length).select(
         _ROW, F.transform("__v", lambda x: F.when(F.col("__n") > 0, x / F.col("__n")).otherwise(0.0).cast("float")).alias("__v"))
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dims)
-    return rows.join(found, _ROW, "left").withColumn(output, F.coalesce("__v", zeros)).drop(_ROW, "__v")
+    return rows.join(found, _ROW, "left").withColumn(output, F.coalesce("__v", zeros)).drop(_ROW, "__v", "__held")

@@ -80,3 +80,24 @@ def test_only_small_tables_of_slots_are_sent(spark, monkeypatch):
     assert "strategy=broadcast" in plan()
     monkeypatch.setattr(vectors, "_SMALL", 100)
     assert "strategy=broadcast" not in plan()
+
+
+def test_large_tables_of_slots_give_the_same_products(spark, monkeypatch):
+    texts = [*themed(60), *AWKWARD]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+
+    def products():
+        rows = {r.id: r.vector for r in vectors.dense_vectors(df, "text", dims=6, slots=SLOTS).collect()}
+        dense = np.array([rows[i] for i in range(len(texts))], dtype=float)
+        return dense @ dense.T
+
+    small = products()
+    monkeypatch.setattr(vectors, "_SMALL", 100)
+    np.testing.assert_allclose(products(), small, atol=1e-4)
+
+
+def test_sums_of_many_rows_are_plain(spark):
+    """Sums of vector objects are sorted from 128 groups on, with every vector that meets an entry."""
+    df = spark.createDataFrame(list(enumerate(themed(10))), "id int, text string")
+    plan = vectors.dense_vectors(df, "text", dims=4, slots=64, rounds=0)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
