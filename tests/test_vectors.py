@@ -101,3 +101,9 @@ def test_sums_of_many_rows_are_plain(spark):
     df = spark.createDataFrame(list(enumerate(themed(10))), "id int, text string")
     plan = vectors.dense_vectors(df, "text", dims=4, slots=64, rounds=0)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_sparse_vectors_need_no_shuffle(spark):
+    df = spark.createDataFrame(list(enumerate(themed(10))), "id int, text string")
+    plan = vectors.sentence_vectors(df, "text", dims=16)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
