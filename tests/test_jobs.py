@@ -132,3 +132,21 @@ def test_answers(spark):
     assert chat.select(answers.request_text(chat).alias("t")).first()["t"] == "how?"
     plain = spark.createDataFrame([("q",)], "request string")
     assert plain.select(answers.request_text(plain).alias("t")).first()["t"] == "q"
+
+
+def test_trees_get_rows_that_are_alike_once(spark, monkeypatch):
+    """400 rows with 20 values: the passes of the boosting read 20 rows, and rare values keep bins of their own."""
+    read, fit = [], learn.GBTRegressor.fit
+    monkeypatch.setattr(learn.GBTRegressor, "fit", lambda self, rows: read.append(rows.count()) or fit(self, rows))
+    rare = F.when(F.col("id") == 7, -5.0).otherwise(F.col("x"))
+    rows = points(spark).withColumn("x", rare).withColumn("price", F.when(F.col("x") < 0, 90.0).otherwise(F.col("x") * 3))
+    model = learn.fare_regressor(rows, "price", ["x"], rounds=5)
+    assert read == [21]
+    found = model.transform(rows.filter("id = 7").union(rows.filter("id = 5"))).select("prediction").collect()
+    assert abs(found[0][0] - 90) < 5 and abs(found[1][0] - 15) < 5
+
+
+def test_trees_refuse_missing_labels(spark):
+    rows = points(spark).withColumn("price", F.when(F.col("id") > 3, F.col("price")))
+    with pytest.raises(Exception, match="(?i)label"):
+        learn.fare_regressor(rows, "price", ["x"], rounds=2)
