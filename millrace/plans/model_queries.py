@@ -196,9 +196,10 @@ def traits(t: Tables):
     """Shares of kinds of characters in the text of each labelled document, and of its words that differ."""
     text, size = F.coalesce("text", F.lit("")), F.greatest(F.length(F.coalesce("text", F.lit(""))), F.lit(1))
     words = F.split(text, "[ \\n]+")
-    share = {"spaces": " ", "digits": "[0-9]", "capitals": "[A-Z]", "symbols": "[^A-Za-z0-9 \\n]", "lines": "\n"}
+    # What is left when runs of all other characters go: counting matches would make a list of them.
+    others = {"spaces": "[^ ]+", "digits": "[^0-9]+", "capitals": "[^A-Z]+", "symbols": "[A-Za-z0-9 \\n]+", "lines": "[^\\n]+"}
     rows = t.documents.select(
-        "doc_id", "n_chars", *[(F.regexp_count(text, F.lit(p)) / size).alias(n) for n, p in share.items()],
+        "doc_id", "n_chars", *[(F.length(F.regexp_replace(text, F.lit(p), F.lit(""))) / size).alias(n) for n, p in others.items()],
         (F.size(F.array_distinct(words)) / F.size(words)).alias("different"))
     return t.labels.select("doc_id", "quality").join(rows, "doc_id")
 

@@ -442,3 +442,23 @@ def test_probability_metrics(spark, bucket_rows):
     inside = [y for part, y, p in rows if part == "a" and y is not None and p is not None and p >= 0.75]
     assert bins["a", 3]["n"] == len(inside) and bins["a", 3]["positive_share"] == pytest.approx(sum(inside) / len(inside))
     assert quality.probability_metrics(df.limit(0), "p", "y").collect() == []
+
+
+def test_traits_count_characters_without_lists(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from millrace.plans.model_queries import traits
+
+    texts = ["Ab 12\n\nc  é# 𝄞Z", "", None, "   ", "ABC", "x\ty 9"]
+    docs = spark.createDataFrame([(i, x, len(x or "")) for i, x in enumerate(texts)], "doc_id int, text string, n_chars int")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id int, quality int")
+    found = traits(SimpleNamespace(documents=docs, labels=labels))
+    for r in found.collect():
+        x = texts[r.doc_id] or ""
+        size = max(len(x), 1)
+        assert (r.spaces, r.lines) == (x.count(" ") / size, x.count("\n") / size)
+        assert r.digits == sum(c in "0123456789" for c in x) / size
+        assert r.capitals == sum("A" <= c <= "Z" for c in x) / size
+        assert r.symbols == sum(not (c.isascii() and c.isalnum()) and c not in " \n" for c in x) / size
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "regexp_count" not in plan
