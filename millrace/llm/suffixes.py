@@ -88,11 +88,11 @@ def _difference_cover(s: np.ndarray) -> np.ndarray:
 def anchors(texts: pa.Array, length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[tuple]:
     """Runs of windows with one anchor: text, first and last window, the hashes of anchor and run.
 
-    Yields for each few megabytes of text: index of its first text, its bytes, where texts begin,
+    Yields for each half megabyte of text: index of its first text, its bytes, where texts begin,
     and those five arrays. Positions are in the bytes of that part.
     """
     span = length - anchor + 1
-    for begin, stop in W.pieces(texts, most_bytes=2 << 20):
+    for begin, stop in W.pieces(texts, most_bytes=1 << 19):
         data, offsets = W.text_buffers(texts.slice(begin, stop - begin))
         n = len(data) - length + 1
         if n <= 0:
@@ -422,16 +422,17 @@ def _cut_texts(chunk: pa.Table, covered: pa.Table) -> pa.Table:
     marks = np.zeros(len(data) + 1, dtype=np.int32)
     np.add.at(marks, start, 1)
     np.add.at(marks, start + size, -1)
-    gone = np.cumsum(marks[:-1]) > 0
+    gone = np.cumsum(marks, dtype=np.int32, out=marks)[:-1] > 0
+    del marks
     bounds = np.zeros(len(data) + 1, dtype=bool)
     bounds[offsets] = True
     opens = gone & np.concatenate([[True], ~gone[:-1] | bounds[1:-1]])[: len(gone)]
-    sums = lambda x: np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
-    removed, spans = sums(gone), sums(opens)
-    kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    # Text by text: running sums over a whole chunk would take sixteen bytes a byte.
+    ranges = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+    removed, spans = (pa.array([np.count_nonzero(x[a:b]) for a, b in ranges], pa.int64()) for x in (gone, opens))
+    kept = [data[a:b][~gone[a:b]].tobytes() for a, b in ranges]
     return pa.table([
-        chunk.column("md5").cast(pa.string()), chunk.column("doc_key"), removed[offsets[1:]] - removed[offsets[:-1]],
-        spans[offsets[1:]] - spans[offsets[:-1]], [hashlib.sha256(k).hexdigest() for k in kept],
+        chunk.column("md5").cast(pa.string()), chunk.column("doc_key"), removed, spans, [hashlib.sha256(k).hexdigest() for k in kept],
         [k.decode("utf-8", "ignore") for k in kept]], schema=schema)
 
 

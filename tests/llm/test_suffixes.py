@@ -98,3 +98,22 @@ def test_texts_without_repeats(spark):
 def test_empty_table(spark):
     assert suffixes.remove_repeats(empty(spark)).count() == 0
     assert suffixes.without_repeats(empty(spark)).count() == 0
+
+
+def test_chunks_take_little_memory():
+    """A task holds the chunks of two cores beside the JVM's heap: 12 bytes for each byte of text, not 25."""
+    import tracemalloc
+
+    n, text = 400, "some words of a text, " * 500
+    texts = [f"{i} {text}" for i in range(n)]
+    chunk = pa.table({
+        "chunk": pa.array([0] * n), "md5": [f"{i:032d}" for i in range(n)], "doc_key": pa.array(range(n), pa.int64()), "text": texts})
+    covered = pa.table({
+        "numbers": [b"\0\0\0\0\1\0\0\0"], "starts": [b"\0" * 16], "lengths": [b"\x32\0\0\0\x33\0\0\0"]})
+    tracemalloc.start()
+    done = suffixes._cut_texts(chunk, covered)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * sum(map(len, texts))
+    assert done.column("n_removed").to_pylist()[:3] == [50, 51, 0] and done.column("n_spans").to_pylist()[:3] == [1, 1, 0]
+    assert done.column("kept").to_pylist()[:2] == [texts[0][50:], texts[1][51:]]
