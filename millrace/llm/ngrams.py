@@ -19,6 +19,7 @@ from millrace.llm import words as W
 from millrace.llm.common import tasks_for, whole
 from millrace.session import cut_lineage
 
+PIECE_BYTES = 1 << 20  # text whose words are worked on at once, at about 100 bytes a byte
 _BYTE = 255  # most that one entry counts; larger counts take several entries
 
 
@@ -56,29 +57,32 @@ def _chunk_texts(chunk: pa.Table) -> tuple[pa.Table, pa.Array]:
     return chunk, column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Partition of each hash: equal ranges of hashes, so that rising hashes have rising partitions."""
-    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-
-
 def _chunk_counts(chunk: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams of a chunk, in rising order, and their counts."""
     _, column = _chunk_texts(chunk)
     found = []
-    for s, e in W.pieces(column):
+    for s, e in W.pieces(column, PIECE_BYTES):
         for h, _ in _grams(column.slice(s, e - s), order)[1]:
-            found.append(np.sort(h))
-    flat = np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
+            found.append(h)
+    flat = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+    found.clear()
+    flat.sort()
     first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, dtype=np.int64)
     return flat[first], np.diff(np.concatenate([first, [len(flat)]]))
 
 
+def _begins(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Where each partition begins among rising hashes; no array as long as these is made."""
+    least = [-(-(p << 32) // parts) << 32 for p in range(parts)]
+    return np.searchsorted(hashes, np.array(least, dtype=np.uint64))
+
+
 def _blobs(hashes: np.ndarray, parts: int, *columns: np.ndarray):
     """For each partition: its number, the packed hashes, and bytes of the columns."""
-    part = _part(hashes, parts)
-    cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else [0]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(part[a]), pack_keys(hashes[a:b]), *(c[a:b].tobytes() for c in columns)
+    cuts = np.append(_begins(hashes, parts), len(hashes)).tolist()
+    for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < b:
+            yield part, pack_keys(hashes[a:b]), *(c[a:b].tobytes() for c in columns)
 
 
 def _count_chunk(order: int, parts: int):
@@ -86,10 +90,12 @@ def _count_chunk(order: int, parts: int):
 
     def run(chunk: pa.Table) -> pa.Table:
         hashes, count = _chunk_counts(chunk, order)
-        entries = -(-count // _BYTE)
-        hashes, last = np.repeat(hashes, entries), np.cumsum(entries) - 1
-        small = np.full(len(hashes), _BYTE, dtype=np.uint8)
-        small[last] = count - (entries - 1) * _BYTE
+        # Full entries of large counts come before the last one; few have any.
+        many = np.flatnonzero(count > _BYTE)
+        full = np.repeat(many, (count[many] - 1) // _BYTE)
+        small = ((count - 1) % _BYTE + 1).astype(np.uint8)
+        del count
+        small, hashes = np.insert(small, full, _BYTE), np.insert(hashes, full, hashes[full])
         number = chunk.column("chunk")[0].as_py()
         rows = [(part, number, keys, counts) for part, keys, counts in _blobs(hashes, parts, small)]
         return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema], schema=schema)
@@ -140,7 +146,7 @@ def _score_chunk(order: int, parts: int, backoff: float, total_words: int):
             return schema.empty_table()
         known, count = _chunk_counts(chunk, order)
         if shared.num_rows:
-            begin = np.searchsorted(_part(known, parts), np.arange(parts))
+            begin = _begins(known, parts)
             at = np.concatenate([
                 begin[p] + unpack_keys(k).astype(np.int64)
                 for p, k in zip(shared.column("part").to_pylist(), shared.column("keys").to_pylist(), strict=True)])
@@ -148,7 +154,7 @@ def _score_chunk(order: int, parts: int, backoff: float, total_words: int):
             count[at] = totals
         chunk, column = _chunk_texts(chunk)
         scores, backed, number = [], [], []
-        for s, e in W.pieces(column):
+        for s, e in W.pieces(column, PIECE_BYTES):
             w, grams = _grams(column.slice(s, e - s), order)
             # Counts of the other texts, for the run of each order that begins at each word (0: there is none).
             others = np.zeros((order + 1, len(w.start) + order), dtype=np.float64)

@@ -102,3 +102,28 @@ def test_top_k_of_few_rows(spark):
     assert pivots.top_k(spark.createDataFrame([], schema)).count() == 0
     assert pivots.top_k(spark.createDataFrame([(0, [1.0])], schema)).count() == 0
     assert pivots.top_k(spark.createDataFrame([(0, [1.0]), (1, [0.0])], schema)).count() == 1
+
+
+def test_counting_a_chunk_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from millrace.llm import words
+
+    n = 400
+    texts = [" ".join(f"w{(i * 7919 + k * k) % 5000}" for k in range(2000)) for i in range(n)]
+    texts[0] = "often " * 1000  # 1000 = 3 * 255 + 235
+    chunk = pa.table({
+        "chunk": pa.array([0] * n), "md5": [f"{i:032d}" for i in range(n)], "doc_id": pa.array(range(n), pa.int64()), "text": texts})
+    words._powers.clear()
+    tracemalloc.start()
+    out = ngrams._count_chunk(3, 8)(chunk).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28 * sum(map(len, texts))
+    keys = np.concatenate([ngrams.unpack_keys(r["keys"]) for r in out])
+    counts = np.concatenate([np.frombuffer(r["counts"], dtype=np.uint8) for r in out])
+    assert (keys[1:] >= keys[:-1]).all() and counts.astype(int).sum() == sum(3 * len(t.split()) - 3 for t in texts)
+    repeated = keys[1:][keys[1:] == keys[:-1]]
+    assert len(repeated) >= 9 and (counts[:-1][keys[1:] == keys[:-1]] == 255).all()
