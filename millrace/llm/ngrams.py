@@ -9,6 +9,7 @@ vouch for itself.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +24,67 @@ PIECE_BYTES = 1 << 20  # text whose words are worked on at once, at about 100 by
 _BYTE = 255  # most that one entry counts; larger counts take several entries
 
 
+def _squeezed(planes: np.ndarray) -> list[bytes]:
+    """Each row of bytes compressed by itself, with its length before it."""
+    packed = [pa.compress(p.tobytes(), codec="zstd", asbytes=True) for p in planes]
+    return [x for blob in packed for x in (np.uint32(len(blob)).tobytes(), blob)]
+
+
+def _unsqueezed(blob: bytes, at: int, rows: int, n: int) -> Iterator[np.ndarray]:
+    for _ in range(rows):
+        size = int.from_bytes(blob[at : at + 4], "little")
+        yield np.frombuffer(pa.decompress(blob[at + 4 : at + 4 + size], decompressed_size=n, codec="zstd"), dtype=np.uint8)
+        at += 4 + size
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Rising keys of up to 64 bits: the first, then differences of as many bytes as the largest needs."""
+    """Rising keys of up to 64 bits: the first, then differences of as many bytes as the largest needs.
+
+    Low bytes of differences are noise and stay as they are. The two highest are mostly small: all of
+    one place stand together, compressed.
+    """
     if not len(keys):
         return b""
     keys = keys.astype("<u8")
     step = np.diff(keys)
     width = max(-(-int(step.max()).bit_length() // 8), 1) if len(step) else 1
-    return bytes([width]) + keys[:1].tobytes() + step.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    step, low = step.view(np.uint8).reshape(-1, 8), max(width - 2, 0)
+    head = bytes([width]) + keys[:1].tobytes() + np.uint32(len(step)).tobytes()
+    return b"".join([head, step[:, :low].tobytes(), *_squeezed(step[:, low:width].T)])
 
 
 def unpack_keys(blob: bytes) -> np.ndarray:
     if not blob:
         return np.zeros(0, dtype=np.uint64)
-    raw = np.frombuffer(blob, dtype=np.uint8, offset=9)
-    wide = np.zeros((len(raw) // blob[0] + 1, 8), dtype=np.uint8)
+    width, n = blob[0], int.from_bytes(blob[9:13], "little")
+    low = max(width - 2, 0)
+    wide = np.zeros((n + 1, 8), dtype=np.uint8)
     wide[0] = np.frombuffer(blob, dtype=np.uint8, count=8, offset=1)
-    wide[1:, : blob[0]] = raw.reshape(-1, blob[0])
+    wide[1:, :low] = np.frombuffer(blob, dtype=np.uint8, count=n * low, offset=13).reshape(n, low)
+    for place, plane in enumerate(_unsqueezed(blob, 13 + n * low, width - low, n), low):
+        wide[1:, place] = plane
     return np.cumsum(wide.view("<u8").reshape(-1), dtype=np.uint64)
 
 
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers of a stated type, none below 0 and most of them small, byte by byte as in ``pack_keys``."""
+    if not len(numbers):
+        return b""
+    width = max(-(-int(numbers.max()).bit_length() // 8), 1)
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1)[:, :width].T
+    return b"".join([bytes([width]), np.uint32(len(numbers)).tobytes(), *_squeezed(planes)])
+
+
+def unpack_numbers(blob: bytes, dtype: type) -> np.ndarray:
+    if not blob:
+        return np.zeros(0, dtype=dtype)
+    n = int.from_bytes(blob[1:5], "little")
+    wide = np.zeros((n, np.dtype(dtype).itemsize), dtype=np.uint8)
+    for place, plane in enumerate(_unsqueezed(blob, 5, blob[0], n)):
+        wide[:, place] = plane
+    return wide.view(dtype).reshape(-1)
+
+
 def _grams(text: pa.Array, order: int) -> tuple[W.Words, list[tuple[np.ndarray, np.ndarray]]]:
     """Words of some texts, and for each order up to ``order`` the hashes of the runs and their first words."""
     w = W.split(text, in_word=~W.GAP, lower=True)
@@ -97,7 +139,7 @@ def _count_chunk(order: int, parts: int):
         del count
         small, hashes = np.insert(small, full, _BYTE), np.insert(hashes, full, hashes[full])
         number = chunk.column("chunk")[0].as_py()
-        rows = [(part, number, keys, counts) for part, keys, counts in _blobs(hashes, parts, small)]
+        rows = [(part, number, keys, pack_numbers(np.frombuffer(counts, dtype=np.uint8))) for part, keys, counts in _blobs(hashes, parts, small)]
         return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema], schema=schema)
 
     return run
@@ -131,6 +173,14 @@ def _sum_table(rows: pa.Table) -> pa.Table:
     return pa.table([list(c) for c in zip(*out, strict=True)] if out else [[] for _ in schema], schema=schema)
 
 
+def _sum_packed(rows: pa.Table) -> pa.Table:
+    """``_sum_table`` on rows as they are sent: counts and totals packed."""
+    counts = [unpack_numbers(b, np.uint8).tobytes() for b in rows.column("counts").to_pylist()]
+    found = _sum_table(rows.set_column(rows.schema.get_field_index("counts"), "counts", pa.array(counts, pa.binary())))
+    totals = [pack_numbers(np.frombuffer(b, dtype=np.int64)) for b in found.column("totals").to_pylist()]
+    return found.set_column(found.schema.get_field_index("totals"), "totals", pa.array(totals, pa.binary()))
+
+
 def _own_counts(text: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """How often the n-gram of each event is in its own text."""
     keyed = W.mix(hashes + text.astype(np.uint64) * W.BASE)
@@ -150,7 +200,7 @@ def _score_chunk(order: int, parts: int, backoff: float, total_words: int):
             at = np.concatenate([
                 begin[p] + unpack_keys(k).astype(np.int64)
                 for p, k in zip(shared.column("part").to_pylist(), shared.column("keys").to_pylist(), strict=True)])
-            totals = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in shared.column("totals").to_pylist()])
+            totals = np.concatenate([unpack_numbers(b, np.int64) for b in shared.column("totals").to_pylist()])
             count[at] = totals
         chunk, column = _chunk_texts(chunk)
         scores, backed, number = [], [], []
@@ -216,7 +266,7 @@ def backoff_scores(
     )
     texts = spark.table(table)
     counted = texts.groupBy("chunk").applyInArrow(_count_chunk(order, parts), "part long, chunk long, keys binary, counts binary")
-    shared = counted.groupBy("part").applyInArrow(_sum_table, "chunk long, part long, keys binary, totals binary")
+    shared = counted.groupBy("part").applyInArrow(_sum_packed, "chunk long, part long, keys binary, totals binary")
     n_words = texts.agg(F.sum(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).cast("long"))).first()[0] or 0
     scored = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
         _score_chunk(order, parts, backoff, n_words), "doc_id long, n_words long, log_score double, n_backed_off long")

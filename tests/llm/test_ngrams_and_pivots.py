@@ -62,6 +62,27 @@ def test_wide_keys_round_trip(keys):
     assert ngrams.unpack_keys(ngrams.pack_keys(keys)).tolist() == keys.tolist()
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.sampled_from([np.uint8, np.int64]), st.lists(st.integers(0, 2**63 - 1), max_size=50))
+def test_numbers_round_trip(kind, numbers):
+    numbers = np.array(numbers, dtype=np.int64).astype(kind)
+    got = ngrams.unpack_numbers(ngrams.pack_numbers(numbers), kind)
+    assert got.dtype == kind and got.tolist() == numbers.tolist()
+
+
+@pytest.mark.parametrize("n", [850, 50_000])
+def test_what_a_chunk_sends_is_near_its_information(n):
+    """Random hashes at the density of a chunk: log2(mean difference) + 1.44 bits are the least for one."""
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, n << 42, n).astype(np.uint64))
+    assert len(ngrams.pack_keys(keys)) < n * (42 + 1.44) / 8 * 1.04 + 40
+    assert ngrams.unpack_keys(ngrams.pack_keys(keys)).tolist() == keys.tolist()
+    counts = np.where(rng.random(n) < 0.95, 1, 2).astype(np.uint8)
+    assert len(ngrams.pack_numbers(counts)) < n / 4 + 60
+    totals = rng.integers(2, 200, n)
+    assert len(ngrams.pack_numbers(totals)) < 1.1 * n + 60
+
+
 def test_hashes_that_differ_in_high_bits_only():
     """One partition and the low 32 bits do not tell these apart; the count tables must."""
     hashes = np.array([7, 7 + (64 << 32), 7 + (128 << 32)], dtype=np.uint64)
