@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from millrace.session import cut_lineage
 from millrace.sources import files
 
 # Longer than any file's age: Spark would leave out files more than 7 days older than the newest one.
@@ -144,45 +145,62 @@ def _numbered_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.monotonically_increasing_id()).filter(F.col("value").rlike(r"\S"))
 
 
-def _tests(cell: Column) -> dict[str, Column]:
-    """What a cell that is not empty may be read as, the narrowest first."""
-    whole = cell.rlike(r"^[+-]?\d{1,38}$")
+def _first_lines(lines: DataFrame, *by: str) -> DataFrame:
+    """``by``, ``line`` and ``value`` of the first of the numbered lines of each group.
+
+    The lines are read twice. Only numbers are compared in the first pass, which a hash table can hold; with the text
+    beside the number, Spark would sort all lines.
+    """
+    first = cut_lineage(lines.groupBy(*by).agg(F.min("line").alias("line")), "first-lines")
+    return lines.join(first, [*by, "line"]).select(*by, "line", "value")
+
+
+def _whole(cell: Column) -> Column:
+    return cell.rlike(r"^[+-]?\d{1,38}$")
+
+
+def _tests(cell: Column, whole: Column) -> dict[str, Column]:
+    """What a cell that is not empty may be read as, the narrowest first. Casts come last in a test: a failed one is slow."""
+    dated = ~whole & cell.rlike(r"^\d{4}-\d{2}-\d{2}$")
     return {
         "integer": whole & cell.try_cast("int").isNotNull(),
         "long": whole & cell.try_cast("bigint").isNotNull(),
         "decimal": whole,
-        "double": cell.try_cast("double").isNotNull(),
-        "date": cell.rlike(r"^\d{4}-\d{2}-\d{2}$") & cell.try_cast("date").isNotNull(),
-        "timestamp": cell.rlike("[-:]") & cell.try_cast("timestamp").isNotNull(),
-        "boolean": F.lower(cell).isin("true", "false"),
+        "double": whole | (~dated & ~cell.contains(":") & cell.try_cast("double").isNotNull()),
+        "date": dated & cell.try_cast("date").isNotNull(),
+        "timestamp": (cell.contains("-") | cell.contains(":")) & cell.try_cast("timestamp").isNotNull(),
+        "boolean": ~whole & (F.length(cell) <= 5) & F.lower(cell).isin("true", "false"),
     }
 
 
 def csv_summaries(lines: DataFrame) -> DataFrame:
     """Summaries of CSV files with a header, from lines with ``path``, ``start`` of the piece and ``modified``.
 
-    One pass: the header's cells are counted with the others and taken off afterwards, since only
-    the task that has the beginning of a file knows its header. Cells past the header have no column.
+    The header's cells are counted with the others and taken off afterwards, since only the task that has
+    the beginning of a file knows its header. Cells past the header have no column.
     """
-    each = _numbered_lines(lines).select(
-        "path", "modified", F.when(F.col("start") == 0, F.col("line")).alias("line"),
-        F.posexplode(csv_cells(F.col("value"))).alias("position", "cell"),
-    ).withColumn("cell", _unquoted(F.col("cell")))
+    lines = _numbered_lines(lines)
+    titles = _first_lines(lines.filter(F.col("start") == 0), "path").select(
+        "path", F.posexplode(csv_cells(F.col("value"))).alias("position", "title"),
+    ).withColumn("title", _unquoted(F.col("title")))
+    each = lines.select(
+        "path", "modified", F.posexplode(csv_cells(F.col("value"))).alias("position", "cell"),
+    ).withColumn("cell", _unquoted(F.col("cell"))).withColumn("whole", _whole(F.col("cell")))
 
     def counted(test: Column, cell: Column) -> Column:
         return F.when((cell != "") & test, 1).otherwise(0)
 
-    tests = _tests(F.col("cell"))
+    # Numbers only, for the rows of a hash table: texts would have all cells sorted.
+    tests = _tests(F.col("cell"), F.col("whole"))
     found = each.groupBy("path", "position").agg(
-        F.max("modified").alias("modified"), F.min("line").alias("first"), F.min_by("cell", "line").alias("title"),
+        F.max("modified").alias("modified"),
         F.sum(counted(F.lit(True), F.col("cell"))).alias("n"),
         *[F.sum(counted(test, F.col("cell"))).alias(f"n_{k}") for k, test in tests.items()],
         F.max(F.when(tests["decimal"], F.length(F.regexp_replace("cell", "[+-]", "")))).alias("digits"),
-    )
-    found = found.withColumn("top", F.min("first").over(Window.partitionBy("path"))).filter(F.col("first") == F.col("top"))
+    ).join(titles, ["path", "position"])
     n = F.col("n") - counted(F.lit(True), F.col("title"))
     kind = F.when(n == 0, "void")
-    for k, test in _tests(F.col("title")).items():
+    for k, test in _tests(F.col("title"), _whole(F.col("title"))).items():
         name = F.concat(F.lit("decimal("), F.col("digits"), F.lit(",0)")) if k == "decimal" else F.lit(k)
         kind = kind.when(F.col(f"n_{k}") - counted(test, F.col("title")) == n, name)
     column = F.struct("position", "title", F.concat(F.lit('"'), kind.otherwise("string"), F.lit('"')).alias("type"))
@@ -194,8 +212,7 @@ def csv_summaries(lines: DataFrame) -> DataFrame:
 def csv_heads(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """One row for each piece of a CSV file: path, start, ``head`` (number of the header's line), names, and
     ``places`` (for each column of ``schema`` its place among the names, from 1; 0 where it has none)."""
-    pieces = _numbered_lines(lines).groupBy("path", "start").agg(
-        F.min("line").alias("head"), F.min_by("value", "line").alias("header"))
+    pieces = _first_lines(_numbered_lines(lines), "path", "start").withColumnsRenamed({"line": "head", "value": "header"})
     ordered = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     titles = F.transform(csv_cells(F.first("header").over(ordered)), _unquoted)
     pieces = pieces.select("path", "start", F.first("head").over(ordered).alias("head"), titles.alias("titles"))
@@ -225,7 +242,9 @@ def csv_rows(lines: DataFrame, heads: DataFrame, width: int, schema: T.StructTyp
         F.map_from_arrays("names", "__cells"),
         lambda k, v: v.isNotNull() & (F.array_contains("__misfit", k) | F.array_contains("__other", k)))
     rows = rows.withColumn("__left", F.when((F.size("__misfit") > 0) | (F.size("__other") > 0), left))
-    broken = (F.size(csv_cells(F.col("value"))) != F.size("names")) | (F.regexp_count("value", F.lit(r'(?<!\\)"')) % 2 == 1)
+    commas = F.length("value") - F.length(F.replace("value", F.lit(",")))
+    cells = F.when(F.col("value").contains('"'), F.size(csv_cells(F.col("value")))).otherwise(commas + 1)
+    broken = (cells != F.size("names")) | (F.col("value").contains('"') & (F.regexp_count("value", F.lit(r'(?<!\\)"')) % 2 == 1))
     return rows.select(
         *[v.alias(f.name) for v, f in zip(value, schema, strict=True)],
         F.when(broken, F.col("value")).when(F.size("__left") > 0, F.to_json("__left")).alias(rescued),

@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from millrace.streaming import control, inference, ingest
 
@@ -150,3 +150,27 @@ def test_rescued_before_a_schema_knows_the_column(spark, tmp_path):
     control.wait_all([ingest._write_csv_batches(lines, state, T.StructType(schema.fields[:-1]), True)], 120)
     assert {r.id: r["_rescued_data"] for r in ingest.read_bronze(spark, str(root), "t").collect()} == {1: None, 2: '{"extra":"7"}'}
     assert {r.id: (r.extra, r["_rescued_data"]) for r in ingested(spark, folder, root).collect()} == {1: (None, None), 2: (7, None)}
+
+
+def test_lines_of_csv_files_are_not_sorted(spark, tmp_path):
+    """Types and headers are found with hash tables of numbers; a sort of all cells grows with a file's piece."""
+    (tmp_path / "a.csv").write_text('\n"id",when\n' + "".join(f"{i},2024-01-0{i % 9 + 1}\n" for i in range(50)))
+    lines = inference.located(spark.read.format("text"), str(tmp_path))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (
+        inference.csv_summaries(lines), inference.csv_heads(lines, T.StructType.fromDDL("id int")))]
+    assert not any("SortAggregate" in p for p in plans)
+
+
+def test_what_cells_may_be(spark):
+    """Each test alone, without the short cuts."""
+    cells = ["1", "-5", "+07", "-2024", "2147483648", "9" * 19, "9" * 38, "9" * 39, "1.5", "-1e-5", "1d", "0x1p3", "0x1p-3", " 7 ", "NaN", "-inf",
+             "2024-01-02", "2024-13-02", "2024-1-2", "2024-01-02 10:20:30", "10:20", "01-02-2024 10:20:30", "TRUE", "false", "truely", "x", "-", ":", "é"]
+    cell, whole = F.col("cell"), F.col("cell").rlike(r"^[+-]?\d{1,38}$")
+    want = {
+        "integer": whole & cell.try_cast("int").isNotNull(), "long": whole & cell.try_cast("bigint").isNotNull(), "decimal": whole,
+        "double": cell.try_cast("double").isNotNull(), "date": cell.rlike(r"^\d{4}-\d{2}-\d{2}$") & cell.try_cast("date").isNotNull(),
+        "timestamp": cell.rlike("[-:]") & cell.try_cast("timestamp").isNotNull(), "boolean": F.lower(cell).isin("true", "false")}
+    got = inference._tests(cell, inference._whole(cell))
+    rows = spark.createDataFrame([(c,) for c in cells], "cell string").select(
+        "cell", F.struct(*[t.alias(k) for k, t in got.items()]).alias("got"), F.struct(*[t.alias(k) for k, t in want.items()]).alias("want"))
+    assert [r.cell for r in rows.collect() if r.got != r.want] == []
