@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +25,10 @@ _ROW = "__row"
 _SMALL = 64 << 20
 # Numbers that are multiplied at once in a task, and words whose slots it remembers.
 _AT_ONCE, _MOST_WORDS = 1 << 21, 200_000
+# Bytes of text whose words are found at once; bytes of words; and the bits of 8 bytes that a shorter word keeps.
+_TEXT_AT_ONCE = 1 << 20
+_IN_WORD = np.array([chr(b).isascii() and (chr(b).islower() or chr(b).isdigit() or chr(b) == "_") for b in range(256)]).astype(np.int8)
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype="<u8")
 
 
 class _SlotOf(dict):
@@ -42,12 +45,37 @@ class _SlotOf(dict):
         return slot
 
 
+def _slots_of_run(texts: list[bytes], of: _SlotOf) -> Iterator[np.ndarray]:
+    """The slots of all words of each text. A word of up to 8 bytes is one number, looked up once in all the texts."""
+    raw = b"\0".join([*texts, bytes(8)])
+    data = np.frombuffer(raw, dtype=np.uint8)
+    # Begins and ends of words in turn: the last byte is in none.
+    edges = np.flatnonzero(np.diff(_IN_WORD[data], prepend=np.int8(0)))
+    start, end = edges[::2], edges[1::2]
+    size = end - start
+    out, short = np.empty(len(start), dtype=np.int64), size <= 8
+    if short.any():
+        keys = np.lib.stride_tricks.sliding_window_view(data, 8)[start[short]].view("<u8").ravel() & _KEPT[size[short]]
+        keys, at = np.unique(keys, return_inverse=True)
+        out[short] = np.fromiter(map(of.__getitem__, keys.view("S8").tolist()), dtype=np.int64, count=len(keys))[at]
+    words = [raw[s:e] for s, e in zip(start[~short].tolist(), end[~short].tolist(), strict=True)]
+    out[~short] = np.fromiter(map(of.__getitem__, words), dtype=np.int64, count=len(words))
+    cuts = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+        yield out[a:b]
+
+
 def _slots_of(texts: pd.Series, slots: int) -> Iterator[np.ndarray]:
     """The slots of all words of each text (UTF-8 in lower case, or null)."""
-    of = _SlotOf(slots)
+    of, run, size = _SlotOf(slots), [], 0
     for text in texts:
-        words = re.findall(rb"[a-z0-9_]+", text or b"")
-        yield np.fromiter(map(of.__getitem__, words), dtype=np.int64, count=len(words))
+        run.append(text or b"")
+        size += len(run[-1]) + 1
+        if size >= _TEXT_AT_ONCE:
+            yield from _slots_of_run(run, of)
+            run, size = [], 0
+    if run:
+        yield from _slots_of_run(run, of)
 
 
 def _lower(text: str):

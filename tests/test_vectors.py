@@ -107,3 +107,17 @@ def test_sparse_vectors_need_no_shuffle(spark):
     df = spark.createDataFrame(list(enumerate(themed(10))), "id int, text string")
     plan = vectors.sentence_vectors(df, "text", dims=16)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_slots_of_runs_of_texts(monkeypatch):
+    """Words of 1 to 20 bytes at all edges, in one run or one for each text; a word is not looked up at each place."""
+    rng = np.random.default_rng(4)
+    odd = [b"", b"a", b"_", b" ", b"12345678", b"123456789", b"a\0b\0", b"abcdefgh abcdefghi abcdefg", "é_é".encode(), bytes(range(256)), None, b""]
+    texts = odd + [bytes(rng.choice(list(b"ab_1 .\0\n\xc3"), n)) for n in range(80)]
+    want = [[int(hashlib.md5(w).hexdigest()[:8], 16) % 97 for w in re.findall(rb"[a-z0-9_]+", t or b"")] for t in texts]
+    for most in (1, 50, 1 << 20):
+        monkeypatch.setattr(vectors, "_TEXT_AT_ONCE", most)
+        assert [s.tolist() for s in vectors._slots_of(texts, 97)] == want
+    asked = []
+    monkeypatch.setattr(vectors._SlotOf, "__missing__", lambda self, word: asked.append(word) or 5)
+    assert [s.tolist() for s in vectors._slots_of([b"one two one", b"two"], 97)] == [[5] * 3, [5]] and sorted(asked) == [b"one", b"two"]
