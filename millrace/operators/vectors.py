@@ -25,9 +25,10 @@ _ROW = "__row"
 _SMALL = 64 << 20
 # Numbers that are multiplied at once in a task, and words whose slots it remembers.
 _AT_ONCE, _MOST_WORDS = 1 << 21, 200_000
-# Bytes of text whose words are found at once; bytes of words; and the bits of 8 bytes that a shorter word keeps.
-_TEXT_AT_ONCE = 1 << 20
+# Bytes of text whose words are found at once, and words whose md5 is; bytes of words; and the bits of 8 bytes that a shorter word keeps.
+_TEXT_AT_ONCE, _WORDS_AT_ONCE = 1 << 20, 1 << 14
 _IN_WORD = np.array([chr(b).isascii() and (chr(b).islower() or chr(b).isdigit() or chr(b) == "_") for b in range(256)]).astype(np.int8)
+_MD5_SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2**32)) for i in range(64)]
 _KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype="<u8")
 
 
@@ -45,21 +46,53 @@ class _SlotOf(dict):
         return slot
 
 
+def _md5_heads(words: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The number in the first 8 hex digits of the md5 of each word; words are rows of 64 bytes with 0 after their end, at most 55 long."""
+    words[np.arange(len(words)), size] = 0x80
+    m = np.ascontiguousarray(words.view("<u4").T)
+    m[14] = size * 8
+    start = [np.uint32(x) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+    a, b, c, d = (np.full(len(words), x) for x in start)
+    for i in range(64):
+        if i < 16:
+            f, k = (b & c) | (~b & d), i
+        elif i < 32:
+            f, k = (d & b) | (~d & c), (5 * i + 1) % 16
+        elif i < 48:
+            f, k = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, k = c ^ (b | ~d), 7 * i % 16
+        f += a + m[k] + _MD5_SINES[i]
+        turn = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))[i // 16][i % 4]
+        a, d, c, b = d, c, b, b + ((f << np.uint32(turn)) | (f >> np.uint32(32 - turn)))
+    return (a + start[0]).byteswap().astype(np.int64)
+
+
 def _slots_of_run(texts: list[bytes], of: _SlotOf) -> Iterator[np.ndarray]:
     """The slots of all words of each text. A word of up to 8 bytes is one number, looked up once in all the texts."""
-    raw = b"\0".join([*texts, bytes(8)])
+    raw = b"\0".join([*texts, bytes(64)])
     data = np.frombuffer(raw, dtype=np.uint8)
     # Begins and ends of words in turn: the last byte is in none.
     edges = np.flatnonzero(np.diff(_IN_WORD[data], prepend=np.int8(0)))
     start, end = edges[::2], edges[1::2]
     size = end - start
     out, short = np.empty(len(start), dtype=np.int64), size <= 8
-    if short.any():
-        keys = np.lib.stride_tricks.sliding_window_view(data, 8)[start[short]].view("<u8").ravel() & _KEPT[size[short]]
-        keys, at = np.unique(keys, return_inverse=True)
-        out[short] = np.fromiter(map(of.__getitem__, keys.view("S8").tolist()), dtype=np.int64, count=len(keys))[at]
-    words = [raw[s:e] for s, e in zip(start[~short].tolist(), end[~short].tolist(), strict=True)]
-    out[~short] = np.fromiter(map(of.__getitem__, words), dtype=np.int64, count=len(words))
+    keys = np.lib.stride_tricks.sliding_window_view(data, 8)[start[short]].view("<u8").ravel() & _KEPT[size[short]]
+    keys, at = np.unique(keys, return_inverse=True)
+    found = np.empty(len(keys), dtype=np.int64)
+    for i in range(0, len(keys), _WORDS_AT_ONCE):
+        words = np.zeros((len(keys[i : i + _WORDS_AT_ONCE]), 64), dtype=np.uint8)
+        words[:, :8] = keys[i : i + _WORDS_AT_ONCE, None].view(np.uint8)
+        found[i : i + _WORDS_AT_ONCE] = _md5_heads(words, np.count_nonzero(words, axis=1)) % of.slots
+    out[short] = found[at]
+    middle = np.flatnonzero(~short & (size <= 55))
+    for i in range(0, len(middle), _WORDS_AT_ONCE):
+        part = middle[i : i + _WORDS_AT_ONCE]
+        words = np.lib.stride_tricks.sliding_window_view(data, 64)[start[part]]
+        words[np.arange(64) >= size[part, None]] = 0
+        out[part] = _md5_heads(words, size[part]) % of.slots
+    rest = np.flatnonzero(size > 55)
+    out[rest] = [of[raw[s:e]] for s, e in zip(start[rest].tolist(), end[rest].tolist(), strict=True)]
     cuts = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
     for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
         yield out[a:b]

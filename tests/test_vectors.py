@@ -118,6 +118,14 @@ def test_slots_of_runs_of_texts(monkeypatch):
     for most in (1, 50, 1 << 20):
         monkeypatch.setattr(vectors, "_TEXT_AT_ONCE", most)
         assert [s.tolist() for s in vectors._slots_of(texts, 97)] == want
-    asked = []
-    monkeypatch.setattr(vectors._SlotOf, "__missing__", lambda self, word: asked.append(word) or 5)
-    assert [s.tolist() for s in vectors._slots_of([b"one two one", b"two"], 97)] == [[5] * 3, [5]] and sorted(asked) == [b"one", b"two"]
+
+
+def test_md5_of_many_words(monkeypatch):
+    """Lengths on both sides of each limit; few words go through the dictionary."""
+    monkeypatch.setattr(vectors, "_WORDS_AT_ONCE", 7)
+    asked, missing = [], vectors._SlotOf.__missing__
+    monkeypatch.setattr(vectors._SlotOf, "__missing__", lambda self, word: asked.append(len(word)) or missing(self, word))
+    words = [(b"abc123_xyz" * 13)[n % 10 :][:n] for n in range(1, 121)] * 2
+    want = [int(hashlib.md5(w).hexdigest()[:8], 16) for w in words]
+    assert [s.tolist() for s in vectors._slots_of([b" ".join(words), b"", b"a"], 1 << 32)] == [want, [], [int(hashlib.md5(b"a").hexdigest()[:8], 16)]]
+    assert sorted(asked) == list(range(56, 121))
