@@ -91,8 +91,8 @@ _STOPS = _hash_words(STOP_WORDS)
 
 
 def feature_rows(texts: pa.Array) -> np.ndarray:
-    """``features`` for a whole Arrow batch, a few megabytes of text at a time."""
-    parts = [features(texts.slice(s, e - s)) for s, e in W.pieces(texts)]
+    """``features`` for a whole Arrow batch, a megabyte of text at a time."""
+    parts = [features(texts.slice(s, e - s)) for s, e in W.pieces(texts, most_bytes=1 << 20)]
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
 
 

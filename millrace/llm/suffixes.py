@@ -27,6 +27,7 @@ from millrace.session import cut_lineage
 LENGTH, ANCHOR = 50, 20  # bytes of a repeated string; bytes of an anchor
 NO_ID = (1 << 63) - 1  # stands for a null id, which is smaller than none
 HEAVY = 16_384  # pieces of an anchor, about a megabyte, from which they are dealt by window
+WINDOWS = 1 << 18  # windows of heavy anchors that a task holds at once
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -236,7 +237,8 @@ def _pieces_of_chunk(parts: int, length: int = LENGTH):
 
     Of equal pieces in one chunk only those of the smallest id are sent; the others are covered by it.
     Pieces of a heavy anchor go window by window to the partition of the window's hash, so that many
-    surroundings of one frequent string are spread and equal windows still meet.
+    surroundings of one frequent string are spread and equal windows still meet. They are taken in turns by
+    their hash, so that memory is bounded however many of a chunk's windows are heavy.
     """
     schema = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), *((c, pa.binary()) for c in (
         "keys", "docs", "numbers", "starts", "lengths", "bytes"))])
@@ -276,37 +278,42 @@ def _pieces_of_chunk(parts: int, length: int = LENGTH):
         part, key, text, start, size, at, content, large = (np.concatenate(c) for c in zip(*out, strict=True))
         data, doc = np.concatenate(bytes_), doc_of[text]
         covered = _equal_pieces(data, at, size, content, doc)
-        rows = []
-        if covered.any():
-            rows.append((-1, number, b"", b"", text[covered].astype(np.int32).tobytes(), start[covered].astype(np.int64).tobytes(),
-                         size[covered].astype(np.int32).tobytes(), b""))
-        if (large & ~covered).any():
-            light = np.flatnonzero(~covered & ~large)
-            cut = np.flatnonzero(~covered & large)
-            windows = size[cut] - length + 1
-            of = np.repeat(cut, windows)
-            step = _ranges(np.zeros(len(cut), dtype=np.int64), windows)
-            own = (np.arange(len(of)) + len(light)).astype(np.int64)
-            hashed = _window_hashes(data, at[of] + step, length)
-            parted = ((hashed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            part, key, text, start, size, at = (np.concatenate([x[light], y]) for x, y in (
-                (part, parted), (key, hashed & np.uint64(0xFFFFFFFF)), (text, text[of]), (start, start[of] + step),
-                (size, np.full(len(of), length, dtype=np.int64)), (at, at[of] + step)))
-            doc = doc_of[text]
-            covered = np.zeros(len(text), dtype=bool)
-            covered[own] = _equal_pieces(data, at[own], size[own], hashed, doc[own])
+        rows: list[tuple] = []
+
+        def send(covered: np.ndarray, part: np.ndarray, key: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray,
+                 at: np.ndarray) -> None:
             if covered.any():
                 rows.append((-1, number, b"", b"", text[covered].astype(np.int32).tobytes(), start[covered].astype(np.int64).tobytes(),
                              size[covered].astype(np.int32).tobytes(), b""))
-        keep = np.flatnonzero(~covered)
-        keep = keep[np.argsort(part[keep], kind="stable")]
-        part, key, text, start, size, at, doc = (x[keep] for x in (part, key, text, start, size, at, doc))
-        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else [0]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            rows.append((
-                int(part[a]), number, key[a:b].astype(np.uint32).tobytes(), doc[a:b].astype(np.int64).tobytes(),
-                text[a:b].astype(np.int32).tobytes(), start[a:b].astype(np.int64).tobytes(),
-                size[a:b].astype(np.int32).tobytes(), data[_ranges(at[a:b], size[a:b])].tobytes()))
+            keep = np.flatnonzero(~covered)
+            keep = keep[np.argsort(part[keep], kind="stable")]
+            part, key, text, start, size, at = (x[keep] for x in (part, key, text, start, size, at))
+            cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                rows.append((
+                    int(part[a]), number, key[a:b].astype(np.uint32).tobytes(), doc_of[text[a:b]].astype(np.int64).tobytes(),
+                    text[a:b].astype(np.int32).tobytes(), start[a:b].astype(np.int64).tobytes(),
+                    size[a:b].astype(np.int32).tobytes(), data[_ranges(at[a:b], size[a:b])].tobytes()))
+
+        whole_pieces = covered | ~large
+        send(covered[whole_pieces], *(x[whole_pieces] for x in (part, key, text, start, size, at)))
+        cut = np.flatnonzero(~whole_pieces)
+        windows = size[cut] - length + 1
+        ends = np.cumsum(windows)
+        hashed = [np.zeros(0, dtype=np.uint64)]
+        for a, b in _slices(ends, WINDOWS):
+            first = _ranges(at[cut[a:b]], windows[a:b])
+            hashed.append(_hashes(data, first, np.full(len(first), length, dtype=np.int64)))
+        hashed = np.concatenate(hashed)
+        turns = -(-len(hashed) // WINDOWS)
+        for turn in range(turns):
+            w = np.flatnonzero((hashed >> np.uint64(8)) % np.uint64(turns) == np.uint64(turn))
+            which = np.searchsorted(ends, w, side="right")
+            piece, step, h = cut[which], w - (ends - windows)[which], hashed[w]
+            full = np.full(len(w), length, dtype=np.int64)
+            part_w = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            covered_w = _equal_pieces(data, at[piece] + step, full, h, doc[piece])
+            send(covered_w, part_w, h & np.uint64(0xFFFFFFFF), text[piece], start[piece] + step, full, at[piece] + step)
         return rows
 
     return run
@@ -321,26 +328,45 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of so many bytes from each start."""
-    up, inverse = W.powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return W.mix((sums[starts + length] - sums[starts]) * inverse[starts])
+def _slices(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Cuts rows whose running sizes are ``ends`` into runs of about ``most`` in size; a larger row is a run of its own."""
+    a = 0
+    while a < len(ends):
+        b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")), a + 1)
+        yield a, b
+        a = b
 
 
-def _equal_pieces(data: np.ndarray, at: np.ndarray, size: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which pieces are, byte for byte, a piece of a smaller id; ``content`` is a hash of the bytes."""
+def _hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most_bytes: int = 1 << 19) -> np.ndarray:
+    """Hashes of so many bytes from each start; the starts rise. Sums are held for half a megabyte of bytes at a time."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for a, b in _slices(starts + 1 - (starts[0] if len(starts) else 0), most_bytes):
+        at, end = starts[a:b] - starts[a], starts[a:b] + sizes[a:b] - starts[a]
+        part = data[starts[a] : starts[a] + end.max()]
+        up, inverse = W.powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        out.append(W.mix((sums[end] - sums[at]) * inverse[at]))
+    return np.concatenate(out)
+
+
+def _leads(data: np.ndarray, at: np.ndarray, size: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each piece one of the smallest id with the same bytes, or itself; ``content`` is a hash of the bytes."""
     order = np.lexsort((doc, content, size))
-    first = np.concatenate([[True], (content[order][1:] != content[order][:-1]) | (size[order][1:] != size[order][:-1])])
+    first = np.concatenate([[True], (content[order][1:] != content[order][:-1]) | (size[order][1:] != size[order][:-1])])[: len(order)]
     lead = np.empty(len(at), dtype=np.int64)
-    lead[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
-    covered = doc > doc[lead]
-    own = np.flatnonzero(covered)
+    lead[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))] if len(at) else order
+    own = np.flatnonzero(lead != np.arange(len(at)))
     for k in range(int(size[own].max()) if len(own) else 0):
         more = own[size[own] > k]
-        covered[more[data[at[more] + k] != data[at[lead[more]] + k]]] = False
-    return covered
+        other = more[data[at[more] + k] != data[at[lead[more]] + k]]
+        lead[other] = other
+    return lead
+
+
+def _equal_pieces(data: np.ndarray, at: np.ndarray, size: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which pieces are, byte for byte, a piece of a smaller id; ``content`` is a hash of the bytes."""
+    return doc > doc[_leads(data, at, size, content, doc)]
 
 
 def _repeats_in(data: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -370,8 +396,12 @@ def _repeats_in(data: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int
     return p, offset[start], offset[start] + (end - start)
 
 
-def _repeats_of_partition(length: int = LENGTH, most_bytes: int = 1 << 20):
-    """Sort the suffixes of all pieces of a partition, a share of the anchors at a time."""
+def _repeats_of_partition(length: int = LENGTH, most_bytes: int = 1 << 19):
+    """Sort the suffixes of all different pieces of a partition, a share of the anchors at a time.
+
+    Of pieces with the same bytes one of the smallest id is sorted. What it has in common with smaller ids, the others of
+    its id have too; those of larger ids are covered by it.
+    """
     schema = pa.schema([("chunk", pa.int64()), ("numbers", pa.binary()), ("starts", pa.binary()), ("lengths", pa.binary())])
 
     def run(rows: pa.Table) -> pa.Table:
@@ -382,7 +412,9 @@ def _repeats_of_partition(length: int = LENGTH, most_bytes: int = 1 << 20):
         chunk = np.repeat(rows.column("chunk").to_numpy(), [len(b) // 4 for b in rows.column("keys").to_pylist()])
         lengths = lengths.astype(np.int64)
         at = np.cumsum(lengths) - lengths
-        order = np.argsort(keys, kind="stable")
+        lead = _leads(data, at, lengths, _hashes(data, at, lengths), docs)
+        order = np.flatnonzero(lead == np.arange(len(lead)))
+        order = order[np.argsort(keys[order], kind="stable")]
         filled = np.cumsum(lengths[order])
         out = []
         a = 0
@@ -394,10 +426,20 @@ def _repeats_of_partition(length: int = LENGTH, most_bytes: int = 1 << 20):
                 b += 1
             own = order[a:b]
             p, first, last = _repeats_in(data[_ranges(at[own], lengths[own])], lengths[own], docs[own], length)
-            p = own[p]
-            out.append((chunk[p], numbers[p], starts[p] + first, last - first + length - 1))
+            out.append((own[p], first, last))
             a = b
-        found = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, dtype=np.int64)] * 4
+        piece, first, last = (np.concatenate([np.zeros(0, dtype=np.int64), *c]) for c in (zip(*out, strict=True) if out else [[]] * 3))
+        order = np.argsort(piece, kind="stable")
+        piece, first, last = piece[order], first[order], last[order]
+        alike = np.flatnonzero((lead != np.arange(len(lead))) & (docs == docs[lead]))
+        later = np.flatnonzero(docs > docs[lead])
+        low = np.searchsorted(piece, lead[alike], side="left")
+        runs = np.searchsorted(piece, lead[alike], side="right") - low
+        same = _ranges(low, runs)
+        piece, first, last = (np.concatenate(c) for c in (
+            (piece, np.repeat(alike, runs), later), (first, first[same], np.zeros(len(later), dtype=np.int64)),
+            (last, last[same], lengths[later] - length + 1)))
+        found = [chunk[piece], numbers[piece], starts[piece] + first, last - first + length - 1]
         order = np.argsort(found[0], kind="stable")
         c, number, start, size = (x[order] for x in found)
         made = _blobs(c, number.astype(np.int32), start.astype(np.int64), size.astype(np.int32))

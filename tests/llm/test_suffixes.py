@@ -1,6 +1,7 @@
 """Suffix order and removal of repeated strings against brute force."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -117,3 +118,60 @@ def test_chunks_take_little_memory():
     assert peak < 12 * sum(map(len, texts))
     assert done.column("n_removed").to_pylist()[:3] == [50, 51, 0] and done.column("n_spans").to_pylist()[:3] == [1, 1, 0]
     assert done.column("kept").to_pylist()[:2] == [texts[0][50:], texts[1][51:]]
+
+
+def _peak_mb(run) -> tuple[float, pa.Table]:
+    suffixes.W._powers.clear()
+    tracemalloc.start()
+    try:
+        out = run()
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_for_many_heavy_windows():
+    """A chunk whose windows are all heavy: a few bytes for each window, not dozens of arrays of all of them."""
+    rng = np.random.default_rng(5)
+    long = rng.integers(97, 123, 600_000, dtype=np.uint8).tobytes().decode()
+    chunk = pa.table({"chunk": [0] * 4, "md5": list("abcd"), "doc_key": [1, 1, 1, 2], "text": [long, long, long, long]})
+    shared = suffixes._shared_anchors(suffixes._anchor_lists(1)(chunk), 1)
+    peak, pieces = _peak_mb(lambda: suffixes._pieces_of_chunk(1)(chunk, shared))
+    assert peak < 500, f"{peak:.0f} MB"
+    covered = pieces.filter(pa.array(np.array(pieces["part"]) == -1))
+    marks = np.zeros(len(long) + 1, dtype=np.int64)
+    for numbers, starts, sizes in zip(*(covered[c].to_pylist() for c in ("numbers", "starts", "lengths")), strict=True):
+        assert set(np.frombuffer(numbers, dtype=np.int32).tolist()) == {3}
+        start, size = np.frombuffer(starts, dtype=np.int64), np.frombuffer(sizes, dtype=np.int32)
+        np.add.at(marks, start, 1)
+        np.add.at(marks, start + size, -1)
+    assert (np.cumsum(marks)[:-1] > 0).all()
+
+
+def test_equal_pieces_of_a_partition_are_sorted_once():
+    """One frequent string in most texts, and a longer one around it in two; the first text has it twice."""
+    rng = np.random.default_rng(7)
+    string = rng.integers(97, 123, 50, dtype=np.uint8).tobytes()
+    wide = string + b"0123456789"
+    pieces = [(1, string), (1, string), (3, wide), (4, wide), *((k, string) for k in range(5, 30_000))]
+    blob = lambda kind, values: [np.array(values, dtype=kind).tobytes()]
+    rows = pa.table({
+        "part": [0], "chunk": [0], "keys": blob(np.uint32, [9] * len(pieces)), "docs": blob(np.int64, [d for d, _ in pieces]),
+        "numbers": blob(np.int32, range(len(pieces))), "starts": blob(np.int64, [100] * len(pieces)),
+        "lengths": blob(np.int32, [len(b) for _, b in pieces]), "bytes": [b"".join(b for _, b in pieces)]})
+    peak, out = _peak_mb(lambda: suffixes._repeats_of_partition()(rows))
+    assert peak < 40, f"{peak:.0f} MB"
+    read = lambda name, kind: np.concatenate([np.frombuffer(b, dtype=kind) for b in out[name].to_pylist()]).tolist()
+    found = sorted(zip(read("numbers", np.int32), read("starts", np.int64), read("lengths", np.int32), strict=True))
+    assert found == [(2, 100, 50), (3, 100, 60), *((n, 100, 50) for n in range(4, len(pieces)))]
+
+
+def test_hashes_do_not_depend_on_slices():
+    rng = np.random.default_rng(11)
+    data = rng.integers(0, 4, 5_000, dtype=np.uint8)
+    starts = np.sort(rng.integers(0, 4_900, 700))
+    sizes = rng.integers(1, 100, 700)
+    whole = suffixes._hashes(data, starts, sizes)
+    for most in (1, 97, 1_000):
+        assert (suffixes._hashes(data, starts, sizes, most) == whole).all()
+    assert len({(bytes(data[a : a + n]), h) for a, n, h in zip(starts, sizes, whole)}) == len({bytes(data[a : a + n]) for a, n in zip(starts, sizes)})
