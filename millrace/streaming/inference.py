@@ -295,11 +295,16 @@ def _json_fields(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def json_summaries(lines: DataFrame) -> DataFrame:
-    """Summaries of files of JSON objects, one a line; lines that do not parse have no say."""
+    """Summaries of files of JSON objects, one a line; lines that do not parse have no say.
+
+    They are null values that the sums pass over: with a filter on the value, Spark would parse every line twice.
+    """
     large = F.col("value").rlike(r"[:\[,]\s*-?\d{19,}\s*[,}\]]")
-    objects = lines.filter(F.col("value").rlike(r"^\s*\{")).withColumn("v", F.try_parse_json("value")).filter("v IS NOT NULL")
+    objects = lines.filter(F.col("value").rlike(r"^\s*\{")).withColumn("v", F.try_parse_json("value"))
+    parsed = F.col("v").isNotNull()
     found = objects.groupBy("path").agg(
-        F.max("modified").alias("modified"), F.schema_of_variant_agg("v").alias("kind"), F.max(large).alias("large"))
+        F.max("modified").alias("modified"), F.schema_of_variant_agg("v").alias("kind"), F.max(parsed & large).alias("large"),
+        F.max(parsed).alias("parsed")).filter("parsed").drop("parsed")
     return found.mapInPandas(_json_fields, SUMMARY)
 
 

@@ -109,11 +109,13 @@ def rescue_unknown(raw: DataFrame, schema: T.StructType) -> DataFrame:
     otherwise an object of the fields that the schema does not have; null when nothing is left over.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField("__bad", T.StringType(), True)])
+    known = F.array(*[F.lit(n) for n in schema.names]).cast("array<string>")
+    # Only lines with other fields are read as a map as well.
+    other = F.array_except(F.json_object_keys("value"), known)
     parsed = raw.select(
         F.from_json("value", with_corrupt, {"columnNameOfCorruptRecord": "__bad"}).alias("r"),
-        F.from_json(F.when(F.json_object_keys("value").isNotNull(), F.col("value")), "map<string,string>").alias("all"),
+        F.from_json(F.when(F.size(other) > 0, F.col("value")), "map<string,string>").alias("all"),
     )
-    known = F.array(*[F.lit(n) for n in schema.names])
     extra = F.map_filter("all", lambda k, _: ~F.array_contains(known, k))
     return parsed.select(
         *[F.col(f"r.{n}").alias(n) for n in schema.names],

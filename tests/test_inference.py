@@ -174,3 +174,22 @@ def test_what_cells_may_be(spark):
     rows = spark.createDataFrame([(c,) for c in cells], "cell string").select(
         "cell", F.struct(*[t.alias(k) for k, t in got.items()]).alias("got"), F.struct(*[t.alias(k) for k, t in want.items()]).alias("want"))
     assert [r.cell for r in rows.collect() if r.got != r.want] == []
+
+
+def test_json_lines_are_parsed_once(spark, tmp_path):
+    """Odd lines have no say, files of nothing else no row; no second parse stands in a filter before the sums."""
+    for name, lines in {"a": ['{"x":1}', "bad", '{"x":12345678901234567890', "", "[1]", "null"], "b": ["{bad", "{"], "c": ["{}"]}.items():
+        (tmp_path / f"{name}.json").write_text("\n".join(lines))
+    found = inference.json_summaries(located(spark, tmp_path))
+    assert [(r["path"][-6:], r["name"], r["type"]) for r in found.collect()] == [("a.json", "x", '"long"')]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
+
+
+def test_only_lines_with_other_fields_are_read_as_maps(spark):
+    lines = ['{"a":1,"b":"x"}', "bad", '{"a":2,"c":[1]}', '{"a":"x","c":null}', '{"a":1,"a":2,"c":3}', "[1]", "{}", '{"A":1}', '{"a":1,"c":']
+    rows = ingest.rescue_unknown(
+        spark.createDataFrame([(n,) for n in lines], "value string"), T.StructType.fromDDL("a long, b string"))
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, "x", None), (None, None, "bad"), (2, None, '{"c":"[1]"}'), (None, None, '{"a":"x","c":null}'), (2, None, '{"c":"3"}'),
+        (None, None, "[1]"), (None, None, None), (None, None, '{"A":"1"}'), (None, None, '{"a":1,"c":')]
+    assert "array_except(static_invoke(JsonExpressionUtils.jsonObjectKeys" in rows._jdf.queryExecution().optimizedPlan().toString()
