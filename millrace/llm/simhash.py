@@ -180,14 +180,15 @@ def fingerprint_links(fps: DataFrame, list_rows: int = 20_000) -> DataFrame:
     )
     guests = halves.select("half", F.explode(one_off).alias("key"), "fp", F.lit(True).alias("guest"))
     listed = homes.groupBy("half", "key").count().drop("count")
-    rows = cut_lineage(homes.unionByName(guests.join(listed, ["half", "key"])), "lists")
+    # Spark sizes what an explode makes as if it made one row of each; without the hint it may broadcast all of it.
+    rows = cut_lineage(homes.unionByName(guests.join(listed.hint("shuffle_merge"), ["half", "key"])), "lists")
     sizes = rows.groupBy("half", "key").count().filter("count > 1").select(
         "half", "key", F.ceil(F.col("count") / list_rows).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int")
     cells = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.least(other, F.col("block")) * F.col("blocks") + F.greatest(other, F.col("block")))
-    met = rows.join(sizes, ["half", "key"]).withColumn("block", block).select(
+    met = rows.join(sizes.hint("shuffle_merge"), ["half", "key"]).withColumn("block", block).select(
         "half", "key", F.explode(cells).alias("cell"), "guest", "fp")
     tasks = tasks_for(spark, 0, 1)
     return (

@@ -9,6 +9,7 @@ from helpers import awkward, empty
 
 from millrace.llm import simhash
 from millrace.llm.components import components
+from millrace.session import cut_lineage
 
 
 def fingerprint(text):
@@ -104,3 +105,17 @@ def test_components_of_chain_and_star(spark):
         roots.setdefault(root, set()).add(node)
     assert sorted(map(len, roots.values())) == [300, 301]
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_lists_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def noted(df, name="cut"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr(simhash, "cut_lineage", noted)
+    fps = cut_lineage(spark.range(500).selectExpr("xxhash64(id) AS fp"), "fps")
+    links = simhash.fingerprint_links(fps)
+    assert "SortMergeJoin" in plans["lists"] and "Broadcast" not in plans["lists"]
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
