@@ -160,7 +160,8 @@ def mixed_pieces(
     first = F.greatest(F.col("at"), F.col("rank") * block)
     pieces = pieces.withColumn("first_word", first - F.col("at")).withColumn(
         "words", F.least(F.col("end"), (F.col("rank") + 1) * block) - first)
-    taken = pieces.join(schedule(targets, total, block_words), ["source_key", "rank"])
+    # Spark sizes the pieces as if an explode made one row of each; without the hint it may broadcast all of them.
+    taken = pieces.join(schedule(targets, total, block_words).hint("shuffle_merge"), ["source_key", "rank"])
     return sized, taken.select("row", "slot", "repeat", "first_word", "words")
 
 

@@ -1,5 +1,6 @@
 """Source mixing and packing: awkward rows, targets, repeats, and the least padding by brute force."""
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -144,3 +145,11 @@ def test_pack_of_awkward_rows(spark):
     partly = [k for k, v in batches.items() if len(v) < max(350 // max(k[0], 1), 1)]
     assert len({p for p, _ in partly}) == len(partly)  # one short batch a bucket at most
     assert sorted(map(str, rows)) == sorted(map(str, packing.pack(df.repartition(5), context=100, buckets=3, budget=350).collect()))
+
+
+def test_pieces_of_the_mix_are_not_broadcast(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "repeat('word ', 700) AS text")
+    sized, pieces = mixing.mixed_pieces(docs)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[source_key#\d+, rank#\d+L?\], \[source_key#\d+, rank#\d+L?\]", plan)
+    assert pieces.agg({"words": "sum"}).first()[0] > 0 and sized.count() == 300
