@@ -1,8 +1,9 @@
 """Phrases that stand together more often than their parts would: Apriori levels counted by double-array tries.
 
-Texts are split once, into runs with a small dictionary of their own, and stored. Level by level, candidates
-are the phrases seen whose two shorter parts are frequent and whose hash bucket is full enough (an upper bound of their
-count, so none is lost). They go into double-array tries of bounded size that all tasks get; numpy moves the
+Texts are split once, into runs with a small dictionary of their own, and stored. Level by level, the phrases seen
+whose two shorter parts are frequent and whose hash bucket is full enough (an upper bound of their count, so none is
+lost) are sent with how often a task met them, and those that add up to enough are candidates, however full the buckets are.
+They go into double-array tries of bounded size that all tasks get, some at a time; numpy moves the
 states of all text positions at once, one word at a time, and counts the accepting states; tasks' counts are summed.
 """
 
@@ -26,6 +27,7 @@ BLOCK = 1 << 14  # counters that are summed in one group
 RUN_BYTES = 4 << 20  # text that is split at once
 MOST_HELD = 500_000  # different phrases that a task holds before it gives them out
 TRIE_PHRASES = 250_000  # phrases of one trie
+TRIES_AT_ONCE = 4  # tries that one pass over the runs counts
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 # Lower case for A-Z, one mark for all that ends a piece, one for all that ends a word.
 _PLAIN = bytes(
@@ -170,7 +172,7 @@ def _summed(
     if tasks > 256:
         sums = sums.withColumn("some", F.spark_partition_id() % F.lit(tasks // 256)).groupBy("block", "some").applyInArrow(add, schema)
     out = np.zeros(counters + spare, dtype=kind)
-    for block, counts in sums.groupBy("block").applyInArrow(add, schema).toLocalIterator():  # counters / BLOCK rows
+    for block, counts in sums.groupBy("block").applyInArrow(add, schema).collect():  # counters / BLOCK rows, in one job
         out[block * BLOCK : (block + 1) * BLOCK] = opened(counts)
     return out[:counters]
 
@@ -193,46 +195,57 @@ def _phrase_column(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).view(np.int64).ravel()))
 
 
-def _distinct(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different phrases in the order of their hashes. (Of two that share a hash one may come twice.)"""
+def _distinct(h: np.ndarray, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different phrases in the order of their hashes, and sums of ``n``. (Of two that share a hash one may come twice.)"""
     order = np.argsort(h, kind="stable")
-    h, rows = h[order], rows[order]
-    new = np.concatenate([np.ones(min(len(h), 1), dtype=bool), (rows[1:] != rows[:-1]).any(1)])
-    return h[new], rows[new]
+    h, rows, n = h[order], rows[order], n[order]
+    new = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), dtype=bool), (rows[1:] != rows[:-1]).any(1)]))
+    return h[new], rows[new], np.add.reduceat(n, new) if len(new) else n
 
 
 def _seen(size: int, frequent, full, blocks: int):
-    """The different phrases of ``size`` words of a task that may be frequent, packed by ranges of their hashes."""
+    """The different phrases of ``size`` words of a task that may be frequent and how often each, packed by ranges of their hashes."""
 
-    def packed(h: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    def packed(h: np.ndarray, rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         block = (h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
         begin = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), dtype=bool), block[1:] != block[:-1]]))
-        parts = [rows[a:b].astype("<u8").tobytes() for a, b in zip(begin, [*begin[1:], len(h)], strict=False)]
+        ranges = list(zip(begin, [*begin[1:], len(h)], strict=False))
+        parts = [rows[a:b].astype("<u8").tobytes() for a, b in ranges]
+        times = [pa.compress(n[a:b].astype("<i8").tobytes(), "zstd", asbytes=True) for a, b in ranges]
         return pa.RecordBatch.from_arrays(
-            [pa.array(block[begin].astype(np.int64)), pa.array(parts, pa.binary())], names=["block", "phrases"])
+            [pa.array(block[begin].astype(np.int64)), pa.array(parts, pa.binary()), pa.array(times, pa.binary())],
+            names=["block", "phrases", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_h, held = np.zeros(0, dtype=np.uint64), np.zeros((0, size), dtype=np.uint64)
+        none = np.zeros(0, dtype=np.uint64), np.zeros((0, size), dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        held = none
         for keys in _keys_of(batches):
             at, h = _able(keys, size, frequent.value)
             on = full.value[_bucket(h, len(full.value))]
-            h, rows = _distinct(h[on], keys[at[on][:, None] + np.arange(size)])
-            held_h, held = _distinct(np.concatenate([held_h, h]), np.concatenate([held, rows]))
-            if len(held) >= MOST_HELD:
-                yield packed(held_h, held)
-                held_h, held = held_h[:0], held[:0]
-        if len(held):
-            yield packed(held_h, held)
+            found = _distinct(h[on], keys[at[on][:, None] + np.arange(size)], np.ones(np.count_nonzero(on), dtype=np.int64))
+            held = _distinct(*map(np.concatenate, zip(held, found, strict=True)))
+            if len(held[0]) >= MOST_HELD:
+                yield packed(*held)
+                held = none
+        if len(held[0]):
+            yield packed(*held)
 
     return run
 
 
-def _united(size: int):
-    """The different phrases of one range of hashes."""
+def _united(size: int, least: int):
+    """The different phrases of one range of hashes that tasks met ``least`` times or more together."""
 
     def run(rows: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(rows.column("phrases").to_pylist()), dtype="<u8").reshape(-1, size)
-        return pa.table({"phrase": _phrase_column(np.unique(keys, axis=0))})
+        parts = rows.column("phrases").to_pylist()
+        keys = np.frombuffer(b"".join(parts), dtype="<u8").reshape(-1, size)
+        n = np.concatenate([
+            np.frombuffer(pa.decompress(t, len(p) // size, "zstd", asbytes=True), dtype="<i8")
+            for t, p in zip(rows.column("times").to_pylist(), parts, strict=True)])
+        order = np.lexsort(keys.T)
+        keys, n = keys[order], n[order]
+        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
+        return pa.table({"phrase": _phrase_column(keys[new[np.add.reduceat(n, new) >= least]])})
 
     return run
 
@@ -333,7 +346,7 @@ class DoubleArray:
 
 
 def _frequent_of_size(
-    spark: SparkSession, runs: DataFrame, size: int, least: int, frequent: list[np.ndarray], buckets: int,
+    spark: SparkSession, runs: DataFrame, size: int, least: int, frequent: list[np.ndarray], buckets: int, blocks: int,
 ) -> tuple[DataFrame, np.ndarray]:
     """Phrases of ``size`` words with their counts, those of ``least`` occurrences at least, and the buckets of their hashes."""
     spread = runs.select("keys", "codes")
@@ -345,25 +358,31 @@ def _frequent_of_size(
 
     # A bucket counts its phrases together, so a phrase in an emptier one is not frequent.
     full = spark.sparkContext.broadcast(_summed(spread, hashes, buckets, least if least <= 255 else None) >= least)
-    blocks = max(64, buckets >> 12)
-    seen = spread.mapInArrow(_seen(size, shared, full, blocks), "block long, phrases binary")
-    candidates = cut_lineage(seen.groupBy("block").applyInArrow(_united(size), "phrase array<long>"), "phrases-seen")
+    seen = spread.mapInArrow(_seen(size, shared, full, blocks), "block long, phrases binary, times binary")
+    candidates = cut_lineage(seen.groupBy("block").applyInArrow(_united(size, least), "phrase array<long>"), "phrases-seen")
     tries = -(-candidates.count() // TRIE_PHRASES)
     schema = "phrase array<long>, a long"
     path = scratch_path(spark, "phrases")
     of_size, found = np.zeros(buckets, dtype=bool), False
-    for i in range(tries):
-        held = candidates.filter(F.pmod(F.xxhash64("phrase"), F.lit(tries)) == i).toArrow().column("phrase").combine_chunks()
-        if not len(held):
+    for start in range(0, tries, TRIES_AT_ONCE):
+        parts = []
+        for i in range(start, min(start + TRIES_AT_ONCE, tries)):
+            held = candidates.filter(F.pmod(F.xxhash64("phrase"), F.lit(tries)) == i).toArrow().column("phrase").combine_chunks()
+            if len(held):
+                parts.append(_rows_of_keys(held))
+        if not parts:
             continue
-        rows = _rows_of_keys(held)
-        trie = spark.sparkContext.broadcast(DoubleArray.build(rows))
+        rows = np.concatenate(parts)
+        built = spark.sparkContext.broadcast([DoubleArray.build(part) for part in parts])
 
-        def accepted(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def accepted(batches: Iterator[pa.RecordBatch], built=built) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for keys, codes in _coded(batches):
-                n = trie.value.count(keys, codes)
-                at = np.flatnonzero(n)
-                yield at, n[at]
+                begin = 0
+                for trie in built.value:
+                    n = trie.count(keys, codes)
+                    at = np.flatnonzero(n)
+                    yield begin + at, n[at]
+                    begin += trie.phrases
 
         total = _summed(spread, accepted, len(rows))
         on = total >= least
@@ -371,7 +390,7 @@ def _frequent_of_size(
             found = True
             of_size[_bucket(_hashes_of(rows[on]), buckets)] = True
             spark.createDataFrame(pa.table({"phrase": _phrase_column(rows[on]), "a": total[on]})).write.mode("append").parquet(path)
-        trie.destroy()
+        built.destroy()
     shared.destroy()
     full.destroy()
     return (spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)), of_size
@@ -408,8 +427,8 @@ def collocations(
     with fewer words before the cut. A candidate goes if a longer candidate holds it and 100 * its count >= ``share`` * a.
     The first ``keep`` of each language come back by score, count (both falling) and phrase.
 
-    Memory is bounded: buckets, tries and runs have a largest size. Beyond some 10^8 words buckets fill up, so more phrases
-    become candidates and more tries pass over the runs; the result stays the same.
+    Memory is bounded: buckets, tries and runs have a largest size. Beyond some 10^8 words buckets fill up, so more phrases are
+    sent with their counts, up to all whose parts are frequent; tries hold only those that add up to ``least``.
 
     Null texts are empty, a null language is ``und``; empty texts have no words. Repeated rows count again, ids and other
     columns play no part, an empty table gives no rows. Words are told apart by 64-bit keys that are checked to be
@@ -420,7 +439,9 @@ def collocations(
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     known = cut_lineage(
         words.filter(F.col("n") >= least).select(F.array("key").alias("phrase"), F.col("n").alias("a"), "lang", "word"), "frequent")
-    buckets = buckets_for(sum(r["n"] for r in totals.collect()))  # one row a language
+    all_words = sum(r["n"] for r in totals.collect())  # one row a language
+    buckets = buckets_for(all_words)
+    blocks = max(64, buckets >> 12, all_words >> 18)
 
     def word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
@@ -429,7 +450,7 @@ def collocations(
     levels = [known.select("phrase", "a")]
     frequent = [_summed(known.select("phrase"), word_hashes, buckets, 1) > 0]
     for size in range(2, longest + 1):
-        found, of_size = _frequent_of_size(spark, runs, size, least, frequent, buckets)
+        found, of_size = _frequent_of_size(spark, runs, size, least, frequent, buckets, blocks)
         if not of_size.any():
             break
         levels.append(found)

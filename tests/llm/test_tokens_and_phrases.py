@@ -141,6 +141,22 @@ def test_phrases_against_brute_force(spark, monkeypatch, longest, least, keep, s
     assert sorted(map(tuple, got)) == brute_phrases(text_rows(), longest, least, keep, share)
 
 
+def test_only_frequent_phrases_are_counted_by_tries(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [("en", " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)) + " very often" * 3) for _ in range(6)]
+    held, passes = [], []
+    build, summed = phrases.DoubleArray.build, phrases._summed
+    monkeypatch.setattr(phrases.DoubleArray, "build", lambda rows: held.append(len(rows)) or build(rows))
+    monkeypatch.setattr(phrases, "_summed", lambda *a: passes.append(a[2]) or summed(*a))
+    monkeypatch.setattr(phrases, "buckets_for", lambda words: 64)  # each bucket is full
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 20)
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), 2, 9, 2000, 101).collect()
+    assert sorted(map(tuple, got)) == brute_phrases(rows, 2, 9, 2000, 101)
+    assert sum(held) == len(got) < 100
+    # The frequent words, the buckets of pairs, and tries in turns of some.
+    assert len(passes) == 2 + -(-(-(-len(got) // 20)) // phrases.TRIES_AT_ONCE)
+
+
 def test_phrases_awkward(spark):
     clashing = awkward(spark).withColumn("words", F.lit("clash")).withColumn("key", F.lit(1)).withColumn("a", F.lit(1))
     rows = [(r[2], r[1]) for r in awkward_rows()]
