@@ -139,12 +139,24 @@ def _count_chunk(order: int, parts: int):
         del count
         small, hashes = np.insert(small, full, _BYTE), np.insert(hashes, full, hashes[full])
         number = chunk.column("chunk")[0].as_py()
-        rows = [(part, number, keys, pack_numbers(np.frombuffer(counts, dtype=np.uint8))) for part, keys, counts in _blobs(hashes, parts, small)]
+        rows = [(part, number, keys, counts) for part, keys, counts in _blobs(hashes, parts, small)]
         return pa.table([list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in schema], schema=schema)
 
     return run
 
 
+def _count_packed(order: int, parts: int):
+    """``_count_chunk`` with the counts compressed."""
+    counted = _count_chunk(order, parts)
+
+    def run(chunk: pa.Table) -> pa.Table:
+        found = counted(chunk)
+        counts = [pack_numbers(np.frombuffer(b, dtype=np.uint8)) for b in found.column("counts").to_pylist()]
+        return found.set_column(found.schema.get_field_index("counts"), "counts", pa.array(counts, pa.binary()))
+
+    return run
+
+
 def _sum_table(rows: pa.Table) -> pa.Table:
     """One partition of the count tables: for each chunk the totals of its n-grams that others have too.
 
@@ -265,7 +277,7 @@ def backoff_scores(
         .write.option("compression", "zstd").bucketBy(chunks, "chunk").saveAsTable(table)
     )
     texts = spark.table(table)
-    counted = texts.groupBy("chunk").applyInArrow(_count_chunk(order, parts), "part long, chunk long, keys binary, counts binary")
+    counted = texts.groupBy("chunk").applyInArrow(_count_packed(order, parts), "part long, chunk long, keys binary, counts binary")
     shared = counted.groupBy("part").applyInArrow(_sum_packed, "chunk long, part long, keys binary, totals binary")
     n_words = texts.agg(F.sum(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).cast("long"))).first()[0] or 0
     scored = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
