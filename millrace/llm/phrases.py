@@ -463,13 +463,14 @@ def collocations(
     cut = candidates.select("phrase", "a", F.explode(F.sequence(F.lit(1), F.size("phrase") - 1)).alias("k"))
     cut = cut.select(
         "phrase", "a", "k", F.expr("slice(phrase, 1, k)").alias("first"), F.expr("slice(phrase, k + 1, size(phrase) - k)").alias("rest"))
-    cut = cut.join(counts.select(F.col("phrase").alias("first"), F.col("a").alias("l")), "first")
-    cut = cut.join(counts.select(F.col("phrase").alias("rest"), F.col("a").alias("r")), "rest")
+    # Files of phrases are far smaller than their rows, so Spark would broadcast more than the driver may hold.
+    cut = cut.join(counts.select(F.col("phrase").alias("first"), F.col("a").alias("l")).hint("shuffle_merge"), "first")
+    cut = cut.join(counts.select(F.col("phrase").alias("rest"), F.col("a").alias("r")).hint("shuffle_merge"), "rest")
     named = candidates.select("phrase", F.posexplode("phrase").alias("place", "key"))
     named = named.join(known.select(F.col("phrase")[0].alias("key"), "lang", "word"), "key").groupBy("phrase").agg(
         F.first("lang").alias("lang"),
         F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda w: w["word"])).alias("words"))
-    cut = cut.join(named, "phrase").join(totals, "lang")
+    cut = cut.join(named.hint("shuffle_merge"), "phrase").join(totals, "lang")
     wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "n", "l", "r")}
     cut = cut.withColumns({"over": wide["a"] * wide["n"] * 1000, "under": wide["l"] * wide["r"]})
     cut = cut.withColumn("score", F.expr("over div under"))
@@ -479,7 +480,7 @@ def collocations(
     around = candidates.filter(size > 2).select("phrase", "a", F.explode(F.sequence(F.lit(2), size - 1)).alias("m"))
     around = around.select("phrase", "a", "m", F.explode(F.expr("sequence(1, size(phrase) - m + 1)")).alias("s"))
     around = around.groupBy(F.expr("slice(phrase, s, m)").alias("phrase")).agg(F.max("a").alias("held"))
-    left = best.join(around, "phrase", "left").filter(F.expr(f"held is null or 100 * held < {int(share)} * a"))
+    left = best.join(around.hint("shuffle_merge"), "phrase", "left").filter(F.expr(f"held is null or 100 * held < {int(share)} * a"))
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "words")
     ranked = left.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= keep)
     return ranked.select(

@@ -157,6 +157,12 @@ def test_only_frequent_phrases_are_counted_by_tries(spark, monkeypatch):
     assert len(passes) == 2 + -(-(-(-len(got) // 20)) // phrases.TRIES_AT_ONCE)
 
 
+def test_counted_phrases_are_not_broadcast(spark):
+    found = phrases.collocations(spark.createDataFrame(text_rows(), "lang string, text string"), 3, 15)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and not re.search(r"BroadcastExchange.*array<bigint>", plan)
+
+
 def test_phrases_awkward(spark):
     clashing = awkward(spark).withColumn("words", F.lit("clash")).withColumn("key", F.lit(1)).withColumn("a", F.lit(1))
     rows = [(r[2], r[1]) for r in awkward_rows()]
